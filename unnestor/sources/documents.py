@@ -16,6 +16,7 @@ read, both with Spark's own readers so the scan is distributed:
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,25 +34,29 @@ _ROW = "id string, doc string, _id string"
 
 
 # -- S1 + S2 -----------------------------------------------------------------
-def read_envelope(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Whole-envelope dump(s) -> ``DataFrame[id, doc]``; ``doc`` keeps the
-    document's JSON text verbatim. Rows whose document is null (deleted
-    documents) are dropped."""
-    raw = spark.read.schema(_ENVELOPE).option("multiLine", True).json(path)
-    rows = raw.select(F.explode("rows").alias("r"))
+def unwrap_envelope(texts: DataFrame, column: str = "value") -> DataFrame:
+    """Envelope texts ``{"rows": [{"id": .., "doc": {..}}, ..]}`` ->
+    ``DataFrame[id, doc]``; ``doc`` keeps the document's JSON text verbatim.
+    Rows whose document is null (deleted documents) are dropped."""
+    env = texts.select(F.from_json(F.col(column), _ENVELOPE).alias("e"))
+    rows = env.select(F.explode("e.rows").alias("r"))
     return rows.select(F.col("r.id").alias("id"), F.col("r.doc").alias(DOC)).where(
         F.col(DOC).isNotNull()
     )
 
 
-def read_document_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Line-per-row dump(s) -> ``DataFrame[id, doc]``. Each line is either an
+def read_envelope(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Whole-envelope dump file(s): each file is one JSON value, read whole."""
+    return unwrap_envelope(spark.read.text(path, wholetext=True))
+
+
+def document_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Line-per-row text -> ``DataFrame[id, doc]``. Each line is either an
     envelope row ``{"id":..,"doc":{..}}`` or a bare document ``{"_id":..}``;
-    a trailing comma is allowed; lines that are neither (envelope head and
-    tail, blank lines) are skipped."""
-    text = spark.read.text(path)
-    line = F.regexp_replace(F.trim(F.col("value")), r",\s*$", "")
-    parsed = text.select(line.alias("line")).where(F.col("line").startswith("{"))
+    a trailing comma is allowed; lines that are neither (the envelope's head
+    and tail, blank lines) and rows with a null document are skipped."""
+    line = F.regexp_replace(F.trim(F.col(column)), r",\s*$", "")
+    parsed = lines.select(line.alias("line")).where(F.col("line").startswith("{"))
     row = F.from_json("line", _ROW)
     wrapped = F.col("r.doc").isNotNull()
     out = parsed.select(row.alias("r"), "line").select(
@@ -63,6 +68,11 @@ def read_document_lines(spark: SparkSession, path: str | list[str]) -> DataFrame
     return out.where(F.col(DOC).isNotNull())
 
 
+def read_document_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Line-per-row dump file(s); splittable, so large dumps scan in parallel."""
+    return document_lines(spark.read.text(path))
+
+
 def documents_from(df: DataFrame, column: str | Column = DOC) -> DataFrame:
     """Any column of JSON text (or a struct, encoded to JSON) as documents."""
     c = F.col(column) if isinstance(column, str) else column
@@ -101,8 +111,10 @@ def parse_documents(
     spec: TableSpec,
     mode: str = "strict",
     keep_doc: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """S3: typed main-table columns from the ``doc`` column.
+    """S3: typed main-table columns from the ``doc`` column (plus the
+    ``keep`` columns of ``docs``, passed through).
 
     Missing keys give null, keys not declared are ignored, ``source_field``
     renames (``_id`` -> ``relationship_id``). Declared floats accept JSON
@@ -124,7 +136,8 @@ def parse_documents(
         parsed = F.from_json(
             DOC, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
         )
-    extra = [F.col(DOC)] if keep_doc or not strict else []
+    extra = [F.col(f"`{k}`") for k in keep]
+    extra += [F.col(DOC)] if keep_doc or not strict else []
     staged = docs.select(parsed.alias("_p"), *extra)
     # positional struct cast: JSON key names -> declared names, no by-name
     # lookup (so keys differing only in case cannot clash)
@@ -157,6 +170,7 @@ def parse_documents(
         )
         reason = F.concat_ws("; ", *problems)
         cols.append(F.nullif(reason, F.lit("")).alias(REJECT))
-    if extra:
+    cols += [F.col(f"`{k}`") for k in keep]
+    if keep_doc or not strict:
         cols.append(F.col(DOC))
     return staged.select(*cols)
