@@ -2,10 +2,18 @@
 
 All four are narrow transformations (a generator plus a projection): no
 shuffle, so each child table is produced partition by partition from its
-parent. Child keys are built from the parent key and the element's array
-position, never from ``monotonically_increasing_id``, so they do not depend on
-how the input happens to be partitioned and are the same on every re-run or
-task retry.
+parent.
+
+The generators are the ``_outer`` forms followed by a ``pos IS NOT NULL``
+filter. That is the same result as the plain forms (null and empty arrays
+yield nothing), but it stops the optimizer from inferring a
+``size(array) > 0`` filter and pushing it below the projection, where it would
+evaluate the document parse a second time.
+
+Child keys are built from the parent key and the element's array position,
+never from ``monotonically_increasing_id``, so they do not depend on how the
+input happens to be partitioned and are the same on every re-run or task
+retry.
 """
 
 from __future__ import annotations
@@ -25,6 +33,13 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def _posexplode(parent: DataFrame, key: Column, arr: Column) -> DataFrame:
+    """``(_k, _pos, _e)`` for every element of ``arr``; no row for a null or
+    empty array."""
+    out = parent.select(key.alias("_k"), F.posexplode_outer(arr).alias("_pos", "_e"))
+    return out.where(F.col("_pos").isNotNull())
+
+
 def _element_field(elem: Column, elem_type: T.DataType, name: str) -> Column:
     """Field of an array element: map lookup (missing key -> null) or struct
     field (undeclared field -> null)."""
@@ -50,9 +65,7 @@ def unnest_values(
     ``id`` is ``<parent key>_<position>``. Null or empty arrays yield no rows
     (F2); null elements are kept (and counted in positions).
     """
-    exploded = parent.select(
-        _q(parent_key).alias("_k"), F.posexplode(_q(field)).alias("_pos", "_v")
-    )
+    exploded = _posexplode(parent, _q(parent_key), _q(field)).withColumnRenamed("_e", "_v")
     value = F.col("_v") if value_type is None else typed("_v", value_type)
     return exploded.select(
         key_of(F.col("_k"), "_", F.col("_pos").cast("string")).alias(key_name),
@@ -81,9 +94,7 @@ def unnest_records(
     if not isinstance(arr_type, T.ArrayType):
         raise TypeError(f"column {field!r} is {arr_type.simpleString()}, not an array")
     elem_type = arr_type.elementType
-    exploded = parent.select(
-        _q(parent_key).alias("_k"), F.posexplode(_q(field)).alias("_pos", "_e")
-    ).where(F.col("_e").isNotNull())
+    exploded = _posexplode(parent, _q(parent_key), _q(field)).where(F.col("_e").isNotNull())
     e = F.col("_e")
     return exploded.select(
         key_of(F.col("_k"), "_", F.col("_pos").cast("string")).alias(key_name),
@@ -172,9 +183,7 @@ def extract_path_items(
         items = F.try_variant_get(v, p, "array<variant>")
     else:
         items = F.array(F.try_variant_get(v, p, "variant"))
-    exploded = docs.select(
-        _q(doc_id).alias("_doc"), F.posexplode(items).alias("_pos", "_e")
-    )
+    exploded = _posexplode(docs, _q(doc_id), items).withColumnRenamed("_k", "_doc")
     ident = F.try_variant_get(F.col("_e"), json_path(source_id_field), "variant")
     kept = exploded.select(
         "_doc", "_pos", "_e", ident.alias("_idv")
