@@ -273,7 +273,7 @@ items AS (
 SELECT 'shop_order_fabric_items_' || pid || '_' || {_PAGE} || '_' || {_SLOT} AS nested_id,
        'footprint_' || {_PAGE} || '_' || {_SLOT} AS id,
        pid AS parent_id,
-       regexp_replace(CAST(l_quantity AS VARCHAR), '\.0+$', '') AS qty,
+       regexp_replace(CAST(l_quantity AS VARCHAR), '\\.0+$', '') AS qty,
        CASE WHEN l_partkey % 5 = 3 THEN l_returnflag ELSE '' END AS flag,
        '{{"w":' || CAST(l_linenumber AS VARCHAR) || '}}' AS dims,
        CAST(l_linenumber AS VARCHAR) AS w,
