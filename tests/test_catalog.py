@@ -81,3 +81,17 @@ def test_bad_layouts():
         Catalog.from_dict({"x": {"fields": [{"name": "a"}, {"name": "a"}]}})
     with pytest.raises(CatalogError):
         Catalog()["missing"]
+
+
+def test_duplicate_policy_first_and_last():
+    text = """
+a:
+  table_name: first
+  fields: [{name: x}]
+  table_name: second
+"""
+    import warnings
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        assert Catalog.from_yaml_text(text, duplicates="first")["a"].table_name == "first"
+        assert Catalog.from_yaml_text(text, duplicates="last")["a"].table_name == "second"

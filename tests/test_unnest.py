@@ -99,3 +99,10 @@ def test_ambiguous_case_names_parse(spark):
         {"name": "relationship_id", "source_field": "_id"}, {"name": "ID"}, {"name": "idx", "source_field": "id"}]}})
     main = dict(normalize(docs_df(spark, ['{"_id":"a","ID":"upper","id":"lower"}']), cat, "u"))["u"]
     assert rows(main) == [("a", "upper", "lower")]
+
+
+def test_standalone_path_table(spark, edge_catalog):
+    from unnestor.plans.normalize import extract_table
+    t = extract_table(docs_df(spark, DOCS), edge_catalog, "t_path", with_document_id=True)
+    assert sorted(r.parent_id for r in t.collect()) == ["0", "2.5", "z"]
+    assert {r.document_id for r in t.collect()} == {"o"}

@@ -214,24 +214,28 @@ class Catalog:
         return cat
 
     @staticmethod
-    def from_yaml_text(*texts: str) -> "Catalog":
+    def from_yaml_text(*texts: str, duplicates: str = "error") -> "Catalog":
+        """Layouts from YAML text. A key repeated inside one mapping is an
+        error by default (a silently overwritten block changes which table
+        is written); ``duplicates="first"`` or ``"last"`` keeps that
+        occurrence instead, for migrating existing files."""
         cat = Catalog()
         for text in texts:
-            for key, layout in _load_yaml_unique(text).items():
+            for key, layout in _load_yaml_unique(text, duplicates).items():
                 cat.add(TableSpec.parse(str(key), layout))
         return cat
 
     @staticmethod
-    def load_dir(path: str) -> "Catalog":
+    def load_dir(path: str, duplicates: str = "error") -> "Catalog":
         """Read every ``.yml``/``.yaml`` file of a directory (sorted, so the
-        result does not depend on directory order). Duplicate config keys,
-        inside one file or across files, are rejected."""
+        result does not depend on directory order). A layout key declared in
+        two files, or two layouts writing the same table, are rejected."""
         texts = []
         for name in sorted(os.listdir(path)):
             if name.endswith((".yml", ".yaml")):
                 with open(os.path.join(path, name), encoding="utf-8") as fh:
                     texts.append(fh.read())
-        return Catalog.from_yaml_text(*texts)
+        return Catalog.from_yaml_text(*texts, duplicates=duplicates)
 
     def add(self, spec: TableSpec) -> None:
         if spec.key in self.tables:
@@ -278,21 +282,36 @@ class Catalog:
         return [self[k].table_name for k in self.tree(root) if k in self.tables]
 
 
-def _load_yaml_unique(text: str) -> dict:
-    """YAML load that rejects duplicate mapping keys instead of letting the
-    last one win silently."""
+def _load_yaml_unique(text: str, duplicates: str = "error") -> dict:
+    """YAML load with an explicit rule for repeated mapping keys: reject them
+    (default), or keep the first or the last occurrence."""
+    import warnings
+
     import yaml
 
+    if duplicates not in ("error", "first", "last"):
+        raise ValueError("duplicates must be 'error', 'first' or 'last'")
+
     class _Unique(yaml.SafeLoader):
         pass
 
     def construct(loader, node, deep=False):
-        seen = set()
-        for key_node, _ in node.value:
+        seen: dict = {}
+        kept = []
+        for key_node, value_node in node.value:
             k = loader.construct_object(key_node, deep=deep)
             if k in seen:
-                raise CatalogError(f"duplicate key {k!r} (line {key_node.start_mark.line + 1})")
-            seen.add(k)
+                where = f"duplicate key {k!r} (line {key_node.start_mark.line + 1})"
+                if duplicates == "error":
+                    raise CatalogError(where)
+                warnings.warn(f"{where}: keeping the {duplicates} occurrence", stacklevel=2)
+                if duplicates == "first":
+                    continue
+                kept[seen[k]] = (key_node, value_node)
+                continue
+            seen[k] = len(kept)
+            kept.append((key_node, value_node))
+        node.value = kept
         return yaml.SafeLoader.construct_mapping(loader, node, deep)
 
     _Unique.add_constructor(yaml.resolver.BaseResolver.DEFAULT_MAPPING_TAG, construct)

@@ -125,6 +125,22 @@ def normalize(
     return normalize_parsed(parsed, catalog, root, with_defaults, with_document_id)
 
 
+def extract_table(docs: DataFrame, catalog: Catalog, key: str, with_document_id: bool = False) -> DataFrame:
+    """A path-extracted table on its own (without its parent tables): the
+    layout's ``path`` is walked from the root of every document, whose
+    ``_id`` is the document id."""
+    spec = catalog[key]
+    if not spec.path:
+        raise CatalogError(f"layout {key!r} declares no path")
+    v = docs.select(F.try_parse_json(F.col(DOC)).alias("_v"))
+    v = v.select(F.try_variant_get("_v", "$['_id']", "string").alias("_doc_id"), "_v")
+    return extract_path_items(
+        v, "_doc_id", spec.path, [(f.name, f.source) for f in spec.fields], spec.table_name,
+        source_id_field=spec.source_id_field, is_array=spec.is_array, doc_col="_v",
+        item_key_prefix=ITEM_KEY_PREFIX, with_document_id=with_document_id,
+    )
+
+
 def rejected_documents(docs: DataFrame, spec: TableSpec) -> DataFrame:
     """Permissive-mode quarantine: documents with a field that did not fit the
     layout, with the reason (see ``parse_documents``)."""

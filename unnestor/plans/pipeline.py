@@ -21,6 +21,8 @@ ENTITIES: dict[str, str] = {
     "order": "channel1_order",
     "orderline-steps": "channel1_orderline-steps",
 }
+# Fixed value: the path-extracted table that is also loadable on its own.
+STANDALONE_PATH_TABLES: dict[str, str] = {"fabric_fabricFootprint": "channel1_order_fabric_Footprint"}
 
 
 @dataclass(frozen=True)

@@ -13,11 +13,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.catalog import Catalog
-from ..sources.tables import PAGE_SIZE, attach_pages, doc_id, pack_pages
+from ..sources.tables import PAGE_SIZE, attach_pages, doc_id, pack_pages, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, spread over the cluster's cores when it is stored as
+    fewer splits than that (see ``spread``)."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 # every lineitem column, so array order is a total order (rows are distinct)

@@ -82,6 +82,17 @@ def documents_from(df: DataFrame, column: str | Column = DOC) -> DataFrame:
     return df.select(c.alias(DOC)).where(F.col(DOC).isNotNull())
 
 
+def drop_null_documents(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Drop rows whose ``doc`` is null (deleted documents).
+
+    The test sits above a one-element generator, so the optimizer cannot push
+    it below the projection that produces ``doc``: when ``doc`` is computed
+    (for instance encoded from other columns) that would evaluate the
+    encoding twice."""
+    one = docs.select(*[F.col(f"`{k}`") for k in keep], F.explode_outer(F.array(F.col(DOC))).alias(DOC))
+    return one.where(F.col(DOC).isNotNull())
+
+
 # -- S3 ----------------------------------------------------------------------
 @dataclass(frozen=True)
 class ParsePlan:
@@ -127,7 +138,7 @@ def parse_documents(
     if mode not in ("strict", "permissive"):
         raise ValueError(f"mode must be 'strict' or 'permissive', not {mode!r}")
     plan = parse_plan(spec)
-    docs = docs.where(F.col(DOC).isNotNull())
+    docs = drop_null_documents(docs, keep)
     strict = mode == "strict"
     if strict:
         parsed = F.from_json(DOC, plan.json_schema, {"mode": "FAILFAST"})

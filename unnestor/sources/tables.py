@@ -21,6 +21,17 @@ PAGE_SIZE = 1000
 _ID_BITS = 33  # monotonically_increasing_id: partition index << 33 | row index
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give a narrow pipeline enough tasks: when a scan yields fewer partitions
+    than the cluster's default parallelism (a small table stored as one row
+    group), redistribute its rows round-robin. Large inputs already have
+    many more splits than cores and are returned unchanged (no shuffle)."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 def group_positions(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "pos"
 ) -> DataFrame:
