@@ -45,3 +45,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_root(spark)}/unnestor-staging/{uuid.uuid4().hex}/{name}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def stage_text(df: DataFrame, name: str) -> str:
+    """Write a one-column text DataFrame as text files (one line per row) in
+    the checkpoint folder; returns the folder path."""
+    path = f"{checkpoint_root(df.sparkSession)}/unnestor-staging/{uuid.uuid4().hex}/{name}"
+    df.write.mode("errorifexists").text(path)
+    return path

@@ -19,7 +19,8 @@ from ..operators.checks import column_profile, reconcile, row_counts, schema_dri
 from ..operators.unnest import unnest_values
 from ..operators.upsert import latest_per_key, merge_upsert, split_bad_rows
 from ..plans.normalize import normalize, normalize_parsed
-from ..sources.documents import REJECT, document_lines, parse_documents, unwrap_envelope
+from ..plans.staging import stage_text
+from ..sources.documents import REJECT, parse_documents, read_document_lines, unwrap_envelope
 from ..sources.tables import PAGE_SIZE, group_positions, in_slot_order
 from .documents import (
     CONVERSATIONS, CUSTOMERS, EVENTS, LINE_ORDER, PARTS, SHOP, SHOP_TYPED, TURN_ORDER,
@@ -166,9 +167,14 @@ def order_scan_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("order_scan_lines", _SCAN_ORACLE)
 def order_scan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One envelope row per line with trailing commas, as a line dump."""
-    lines = _order_rows(spark, sf_dir).select(F.concat("row", F.lit(",")).alias("value"))
-    return _scan_result(document_lines(lines))
+    """A line dump (one envelope row per line, trailing commas, the envelope's
+    head and tail lines) written as text files, read back with the file
+    reader."""
+    rows = _order_rows(spark, sf_dir).select(F.concat("row", F.lit(",")).alias("value"))
+    frame = spark.range(1).select(F.explode(F.array(
+        F.lit('{"total_rows":0,"offset":0,"rows":['), F.lit("]}"))).alias("value"))
+    path = stage_text(rows.unionByName(frame), "order_dump")
+    return _scan_result(read_document_lines(spark, path))
 
 
 # -- G1 P9 -------------------------------------------------------------------

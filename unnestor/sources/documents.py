@@ -39,7 +39,9 @@ def unwrap_envelope(texts: DataFrame, column: str = "value") -> DataFrame:
     ``DataFrame[id, doc]``; ``doc`` keeps the document's JSON text verbatim.
     Rows whose document is null (deleted documents) are dropped."""
     env = texts.select(F.from_json(F.col(column), _ENVELOPE).alias("e"))
-    rows = env.select(F.explode("e.rows").alias("r"))
+    # outer form + filter above it: no inferred size(rows) > 0 filter that
+    # would be pushed below the parse and parse every envelope twice
+    rows = env.select(F.explode_outer("e.rows").alias("r"))
     return rows.select(F.col("r.id").alias("id"), F.col("r.doc").alias(DOC)).where(
         F.col(DOC).isNotNull()
     )

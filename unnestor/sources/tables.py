@@ -90,19 +90,24 @@ def in_slot_order(arr: Column) -> Column:
     )
 
 
-def pack_pages(
-    children: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    item: Column,
-    page_size: int = PAGE_SIZE,
-) -> DataFrame:
-    """``(keys..., page, items)``: the children of every key as arrays of at
-    most ``page_size`` items, in ``order``. ``item`` may be null (kept as a
-    null element)."""
-    keys = list(keys)
-    src = children.select(*keys, *[c for c in order if c not in keys], item.alias("_item"))
-    ranked = group_positions(src, keys, [c for c in order if c not in keys])
+# Upper bound on the number of over-full keys whose list is broadcast to split
+# the children into the cheap and the exact path (a few MB of keys).
+MAX_BROADCAST_KEYS = 100_000
+
+
+def _key_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & left[k].eqNullSafe(right[k])
+    return cond
+
+
+def _order_struct(order: Sequence[str]) -> Column:
+    return F.struct(*[F.col(c) for c in order])
+
+
+def _pages_by_positions(src: DataFrame, keys: list[str], order: list[str], page_size: int) -> DataFrame:
+    ranked = group_positions(src, keys, order)
     paged = ranked.select(
         *keys,
         F.expr(f"pos div {int(page_size)}").alias("page"),
@@ -115,6 +120,54 @@ def pack_pages(
     return grouped.select(*keys, "page", F.transform("_items", lambda x: x["_item"]).alias("items"))
 
 
+def _single_pages(src: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Keys with at most one page of children: one bounded list per key,
+    sorted by ``order`` (no positions needed)."""
+    entry = F.struct(_order_struct(order).alias("_o"), F.col("_item"))
+    by_order = lambda a, b: F.when(a["_o"] < b["_o"], -1).when(a["_o"] > b["_o"], 1).otherwise(0)
+    grouped = src.groupBy(*keys).agg(F.array_sort(F.collect_list(entry), by_order).alias("_items"))
+    return grouped.select(
+        *keys, F.lit(0).cast("long").alias("page"), F.transform("_items", lambda x: x["_item"]).alias("items")
+    )
+
+
+def pack_pages(
+    children: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    item: Column,
+    page_size: int = PAGE_SIZE,
+) -> DataFrame:
+    """``(keys..., page, items)``: the children of every key as arrays of at
+    most ``page_size`` items, in ``order`` (which should be a total order of
+    the children for a deterministic result). ``item`` may be null (kept as a
+    null element).
+
+    Per-key counts come from a partial aggregate. Keys with at most
+    ``page_size`` children are packed with one bounded ``collect_list`` per
+    key. Keys with more (the only ones that could be large) go through
+    ``group_positions``, which never puts a key in one task; their list is
+    broadcast to route the rows when it is small enough, otherwise every key
+    takes the exact path.
+    """
+    keys = [k for k in keys]
+    order = [c for c in order if c not in keys]
+    src = children.select(*keys, *order, item.alias("_item"))
+    if not keys:
+        return _pages_by_positions(src, keys, order, page_size)
+    counts = children.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > page_size).select(*keys)
+    n_hot = hot.count()
+    if n_hot == 0:
+        return _single_pages(src, keys, order)
+    if n_hot > MAX_BROADCAST_KEYS:
+        return _pages_by_positions(src, keys, order, page_size)
+    b = F.broadcast(hot)
+    cold = src.join(b, _key_match(src, b, keys), "left_anti")
+    heavy = src.join(b, _key_match(src, b, keys), "left_semi")
+    return _single_pages(cold, keys, order).unionByName(_pages_by_positions(heavy, keys, order, page_size))
+
+
 def attach_pages(
     parents: DataFrame, parent_key: str, pages: DataFrame, child_key: str, items_as: str
 ) -> DataFrame:
