@@ -125,6 +125,24 @@ def normalize(
     return normalize_parsed(parsed, catalog, root, with_defaults, with_document_id)
 
 
+def normalize_staged(
+    docs: DataFrame,
+    catalog: Catalog,
+    root: str,
+    mode: str = "strict",
+    with_defaults: bool = False,
+    with_document_id: bool = False,
+) -> list[tuple[str, DataFrame]]:
+    """``normalize`` for fan-out: the documents are parsed once and the typed
+    result is written to the checkpoint folder; every table of the tree then
+    reads that copy (pruned to the columns it needs) instead of re-parsing
+    the JSON."""
+    from .staging import stage
+
+    parsed = parse_documents(docs, catalog[root], mode, keep_doc=_needs_docs(catalog, root))
+    return normalize_parsed(stage(parsed, f"parsed_{root}"), catalog, root, with_defaults, with_document_id)
+
+
 def extract_table(docs: DataFrame, catalog: Catalog, key: str, with_document_id: bool = False) -> DataFrame:
     """A path-extracted table on its own (without its parent tables): the
     layout's ``path`` is walked from the root of every document, whose

@@ -18,8 +18,8 @@ from ..functions.values import apply_null_policy, sanitize_name_col, strip_contr
 from ..operators.checks import column_profile, reconcile, row_counts, schema_drift
 from ..operators.unnest import unnest_values
 from ..operators.upsert import latest_per_key, merge_upsert, split_bad_rows
-from ..plans.normalize import normalize, normalize_parsed
-from ..plans.staging import stage_text
+from ..plans.normalize import normalize, normalize_staged
+from ..plans.staging import stage, stage_text
 from ..sources.documents import REJECT, parse_documents, read_document_lines, unwrap_envelope
 from ..sources.tables import PAGE_SIZE, group_positions, in_slot_order
 from .documents import (
@@ -52,6 +52,12 @@ def tables_of(docs: DataFrame, catalog, root: str, **kw) -> dict[str, DataFrame]
     return dict(normalize(docs, catalog, root, **kw))
 
 
+def staged_tables_of(docs: DataFrame, catalog, root: str) -> list[tuple[str, DataFrame]]:
+    """Several tables of one tree: parse once, stage, fan out (as the load
+    pipeline does)."""
+    return normalize_staged(docs, catalog, root)
+
+
 # -- SQL building blocks -----------------------------------------------------
 _ORDER_SQL = ", ".join(LINE_ORDER)
 _RANKED = f"""ranked AS (
@@ -203,7 +209,7 @@ FROM ranked WHERE l_returnflag <> 'R'
 """)
 def null_element_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = order_documents(spark, sf_dir, numbers=True, null_when_returned=True)
-    t = tables_of(docs, SHOP, "shop_order")
+    t = dict(staged_tables_of(docs, SHOP, "shop_order"))
     prim = t["shop_order_linenos"].select(
         F.lit("primitive").alias("kind"), F.col("id").alias("key"), "order_id", "linenumber"
     )
@@ -302,7 +308,7 @@ UNION ALL SELECT 'shop_order_linenos', count(*) FROM lineitem
 """)
 def tree_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = order_documents(spark, sf_dir, numbers=True, fabric=True)
-    return row_counts(normalize(docs, SHOP, "shop_order"))
+    return row_counts(staged_tables_of(docs, SHOP, "shop_order"))
 
 
 # -- V2 ----------------------------------------------------------------------
@@ -497,8 +503,8 @@ UNION ALL SELECT 'shop_order_linenos', count(*), count(*), 'ok' FROM lineitem
 def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows expected from the raw documents (independent JSON functions) vs
     rows produced by normalisation, per table."""
-    docs = order_documents(spark, sf_dir, numbers=True)
-    t = tables_of(docs, SHOP, "shop_order")
+    docs = stage(order_documents(spark, sf_dir, numbers=True), "order_docs")
+    t = dict(staged_tables_of(docs, SHOP, "shop_order"))
     size = lambda k: F.coalesce(F.json_array_length(F.get_json_object("doc", f"$.{k}")), F.lit(0))
     exp = docs.agg(
         F.count(F.lit(1)).alias("shop_order"),

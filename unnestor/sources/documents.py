@@ -67,7 +67,7 @@ def document_lines(lines: DataFrame, column: str = "value") -> DataFrame:
         .when(F.col("r._id").isNotNull(), F.col("line"))
         .alias(DOC),
     )
-    return out.where(F.col(DOC).isNotNull())
+    return drop_null_documents(out, ["id"])
 
 
 def read_document_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
