@@ -11,7 +11,7 @@ from ..sinks.tables import LoadReport, Store, load_table
 from ..sources.documents import parse_documents, read_document_lines, read_envelope
 from .catalog import Catalog
 from .normalize import _needs_docs, normalize_parsed, rejected_documents
-from .staging import stage
+from .staging import stage_at, unstage
 
 # Database name -> root layout key of the four document
 # databases the original loader handles.
@@ -53,16 +53,22 @@ def load_database(
     load every table. ``order_by`` names a column of every table that orders
     versions of a row; without it the greatest row wins on duplicate keys."""
     spec = catalog[root]
+    spark = docs.sparkSession
     parsed = parse_documents(docs, spec, mode, keep_doc=_needs_docs(catalog, root))
+    staged_path = None
     if staged:
-        parsed = stage(parsed, f"parsed_{root}")
+        parsed, staged_path = stage_at(parsed, f"parsed_{root}")
     keys = primary_keys(catalog, root)
     reports = []
-    for name, df in normalize_parsed(parsed, catalog, root):
-        order = order_by if order_by is None or _has(df, order_by) else None
-        reports.append(
-            load_table(df, store, name, keys.get(name), load_mode, order, quarantine, dedupe)
-        )
+    try:
+        for name, df in normalize_parsed(parsed, catalog, root):
+            order = order_by if order_by is None or _has(df, order_by) else None
+            reports.append(
+                load_table(df, store, name, keys.get(name), load_mode, order, quarantine, dedupe)
+            )
+    finally:
+        if staged_path:
+            unstage(spark, staged_path)
     rejected = 0
     if mode == "permissive":
         bad = rejected_documents(docs, spec)

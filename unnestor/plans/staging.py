@@ -38,18 +38,44 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return root.rstrip("/")
 
 
+def _new_path(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_root(spark)}/unnestor-staging/{uuid.uuid4().hex}/{name}"
+
+
+def stage_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``stage`` that also returns the folder, for ``unstage`` once every
+    consumer of the staged copy has run."""
+    spark = df.sparkSession
+    path = _new_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path), path
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the checkpoint folder and return a DataFrame that
     reads the written copy (column pruning and filter push-down apply to it)."""
-    spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/unnestor-staging/{uuid.uuid4().hex}/{name}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return stage_at(df, name)[0]
+
+
+def unstage(spark: SparkSession, path: str) -> None:
+    """Delete a staged copy (through the cluster's file system client, so
+    any shared file system or object store works)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p.getParent(), True)
 
 
 def stage_text(df: DataFrame, name: str) -> str:
     """Write a one-column text DataFrame as text files (one line per row) in
     the checkpoint folder; returns the folder path."""
-    path = f"{checkpoint_root(df.sparkSession)}/unnestor-staging/{uuid.uuid4().hex}/{name}"
+    path = _new_path(df.sparkSession, name)
     df.write.mode("errorifexists").text(path)
     return path
+
+
+def clear_staging(spark: SparkSession) -> None:
+    """Delete every staged copy this library left in the checkpoint folder
+    (intermediates of lazily returned results; call once they are consumed)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/unnestor-staging")
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.values import apply_null_policy, sanitize_name
 from ..operators.upsert import latest_per_key, merge_upsert, split_bad_rows
-from ..plans.staging import stage
+from ..plans.staging import stage_at, unstage
 
 QUARANTINE_SUFFIX = "__rejected"
 
@@ -180,11 +180,16 @@ def load_table(
     else:
         rejected = bad.count()
 
+    merged_path = None
     if mode == "upsert" and store.exists(spark, name):
         current = store.read(spark, name)
-        rows = stage(merge_upsert(current, rows, pk), f"merge_{name}")
-    obs = Observation(f"written_{name}")
-    store.write(rows.observe(obs, F.count(F.lit(1)).alias("n")), name, "overwrite")
-    written = int(obs.get["n"])
-    loaded = store.read(spark, name).count()
+        rows, merged_path = stage_at(merge_upsert(current, rows, pk), f"merge_{name}")
+    try:
+        obs = Observation(f"written_{name}")
+        store.write(rows.observe(obs, F.count(F.lit(1)).alias("n")), name, "overwrite")
+        written = int(obs.get["n"])
+        loaded = store.read(spark, name).count()
+    finally:
+        if merged_path:
+            unstage(spark, merged_path)
     return LoadReport(name, written, loaded, rejected)
