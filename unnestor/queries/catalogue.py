@@ -274,10 +274,10 @@ def conversation_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ITEMS_SQL = f"""WITH {_RANKED},
 items AS (
   SELECT r.*, o.o_orderpriority, o.o_orderstatus,
-         CASE l_partkey % 5 WHEN 3 THEN 'S' || CAST(l_suppkey AS VARCHAR)
-                            WHEN 4 THEN CAST(l_suppkey AS VARCHAR) END AS pid
+         CASE l_linestatus WHEN 'O' THEN 'S' || CAST(l_suppkey AS VARCHAR)
+                           ELSE CAST(l_suppkey AS VARCHAR) END AS pid
   FROM ranked r JOIN orders o ON o.o_orderkey = r.l_orderkey
-  WHERE (l_partkey % 5 = 3 OR (l_partkey % 5 = 4 AND l_suppkey <> 0)) AND {_ARRAY_SHAPE})"""
+  WHERE l_returnflag = 'N' AND NOT (l_linestatus = 'F' AND l_suppkey = 0) AND {_ARRAY_SHAPE})"""
 
 
 @query("path_items", f"""
@@ -286,7 +286,7 @@ SELECT 'shop_order_fabric_items_' || pid || '_' || {_PAGE} || '_' || {_SLOT} AS
        'footprint_' || {_PAGE} || '_' || {_SLOT} AS id,
        pid AS parent_id,
        regexp_replace(CAST(l_quantity AS VARCHAR), '\\.0+$', '') AS qty,
-       CASE WHEN l_partkey % 5 = 3 THEN l_returnflag ELSE '' END AS flag,
+       CASE WHEN l_linestatus = 'O' THEN l_returnflag ELSE '' END AS flag,
        '{{"w":' || CAST(l_linenumber AS VARCHAR) || '}}' AS dims,
        CAST(l_linenumber AS VARCHAR) AS w,
        '' AS note

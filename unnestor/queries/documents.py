@@ -252,9 +252,10 @@ def line_map(null_when_returned: bool = False) -> Column:
 
 
 def fabric_item() -> Column:
-    """JSON text of one fabric item, its kind picked by ``l_partkey % 5``:
-    a bare number, a blank id, a zero id, a text id, a numeric id."""
-    kind = F.pmod(F.col("l_partkey"), F.lit(5))
+    """JSON text of one fabric item, its kind picked by the line's return flag
+    and status: R -> a bare number; A/F -> a blank id; A/O -> a zero id;
+    N/O -> a text id; N/F -> a numeric id (falsy when the supplier key is 0)."""
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     dims = F.struct(F.col("l_linenumber").alias("w"))
     proper_text = F.to_json(F.struct(
         F.concat(F.lit("S"), _text("l_suppkey")).alias("ID"),
@@ -265,10 +266,10 @@ def fabric_item() -> Column:
         F.parse_json(F.lit("null")).alias("note"),
     ))
     return (
-        F.when(kind == 0, _text("l_linenumber"))
-        .when(kind == 1, F.to_json(F.struct(F.lit("").alias("ID"), F.col("l_quantity").alias("qty"))))
-        .when(kind == 2, F.to_json(F.struct(F.lit(0).alias("ID"), F.col("l_quantity").alias("qty"))))
-        .when(kind == 3, proper_text)
+        F.when(flag == "R", _text("l_linenumber"))
+        .when((flag == "A") & (status == "F"), F.to_json(F.struct(F.lit("").alias("ID"), F.col("l_quantity").alias("qty"))))
+        .when(flag == "A", F.to_json(F.struct(F.lit(0).alias("ID"), F.col("l_quantity").alias("qty"))))
+        .when(status == "O", proper_text)
         .otherwise(proper_num)
     )
 
