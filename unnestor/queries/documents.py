@@ -9,6 +9,8 @@ never by sampling or dropping rows.
 
 from __future__ import annotations
 
+from typing import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,10 +18,11 @@ from ..plans.catalog import Catalog
 from ..sources.tables import PAGE_SIZE, attach_pages, doc_id, pack_pages, spread
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
     """A driver table, spread over the cluster's cores when it is stored as
     fewer splits than that (see ``spread``)."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_rows else df
 
 
 # every lineitem column, so array order is a total order (rows are distinct)
@@ -229,11 +232,18 @@ event:
 )
 
 
-def _text(c: str) -> Column:
-    return F.col(c).cast("string")
+Row = Callable[[str], Column]
+
 
+def _text(c: str, r: Row = F.col) -> Column:
+    return r(c).cast("string")
 
-def line_map(null_when_returned: bool = False) -> Column:
+
+def line_map(null_when_returned: bool = False, r: Row = F.col) -> Column:
+    """The order line as a text map; ``r`` resolves a lineitem column (a
+    plain column, or a field of a packed row)."""
+    _text = lambda c: r(c).cast("string")
+    F_col = r  # noqa: N806
     m = F.create_map(
         F.lit("partkey"), _text("l_partkey"),
         F.lit("suppkey"), _text("l_suppkey"),
@@ -242,33 +252,34 @@ def line_map(null_when_returned: bool = False) -> Column:
         F.lit("extendedprice"), _text("l_extendedprice"),
         F.lit("discount"), _text("l_discount"),
         F.lit("tax"), _text("l_tax"),
-        F.lit("returnflag"), F.col("l_returnflag"),
-        F.lit("linestatus"), F.col("l_linestatus"),
+        F.lit("returnflag"), F_col("l_returnflag"),
+        F.lit("linestatus"), F_col("l_linestatus"),
         F.lit("shipdate"), _text("l_shipdate"),
     )
     if null_when_returned:
-        m = F.when(F.col("l_returnflag") != "R", m)
+        m = F.when(F_col("l_returnflag") != "R", m)
     return m
 
 
-def fabric_item() -> Column:
+def fabric_item(r: Row = F.col) -> Column:
     """JSON text of one fabric item, its kind picked by the line's return flag
     and status: R -> a bare number; A/F -> a blank id; A/O -> a zero id;
     N/O -> a text id; N/F -> a numeric id (falsy when the supplier key is 0)."""
-    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
-    dims = F.struct(F.col("l_linenumber").alias("w"))
+    flag, status = r("l_returnflag"), r("l_linestatus")
+    qty = r("l_quantity").alias("qty")
+    dims = F.struct(r("l_linenumber").alias("w"))
     proper_text = F.to_json(F.struct(
-        F.concat(F.lit("S"), _text("l_suppkey")).alias("ID"),
-        F.col("l_quantity").alias("qty"), F.col("l_returnflag").alias("flag"), dims.alias("dims"),
+        F.concat(F.lit("S"), _text("l_suppkey", r)).alias("ID"),
+        qty, r("l_returnflag").alias("flag"), dims.alias("dims"),
     ))
     proper_num = F.to_json(F.struct(
-        F.col("l_suppkey").alias("ID"), F.col("l_quantity").alias("qty"), dims.alias("dims"),
+        r("l_suppkey").alias("ID"), qty, dims.alias("dims"),
         F.parse_json(F.lit("null")).alias("note"),
     ))
     return (
-        F.when(flag == "R", _text("l_linenumber"))
-        .when((flag == "A") & (status == "F"), F.to_json(F.struct(F.lit("").alias("ID"), F.col("l_quantity").alias("qty"))))
-        .when(flag == "A", F.to_json(F.struct(F.lit(0).alias("ID"), F.col("l_quantity").alias("qty"))))
+        F.when(flag == "R", _text("l_linenumber", r))
+        .when((flag == "A") & (status == "F"), F.to_json(F.struct(F.lit("").alias("ID"), qty)))
+        .when(flag == "A", F.to_json(F.struct(F.lit(0).alias("ID"), qty)))
         .when(status == "O", proper_text)
         .otherwise(proper_num)
     )
@@ -303,14 +314,20 @@ def order_documents(
     priority, orderLines?, lineNumbers?, fabric?}``, one per order and page
     of at most ``page_size`` lines."""
     orders = table(spark, sf_dir, "orders")
-    li = table(spark, sf_dir, "lineitem")
-    items = [line_map(null_when_returned).alias("m")]
-    if numbers:
-        n = F.col("l_linenumber")
-        items.append((F.when(F.col("l_returnflag") != "R", n) if null_when_returned else n).alias("n"))
-    if fabric:
-        items.append(fabric_item().alias("f"))
-    pages = pack_pages(li, ["l_orderkey"], LINE_ORDER, F.struct(*items), page_size)
+    # the lines go straight into a grouping shuffle, so they are not spread
+    li = table(spark, sf_dir, "lineitem", spread_rows=False)
+
+    def build(x: Column) -> Column:  # one packed line -> its parts of the document
+        r = lambda c: x[c]
+        items = [line_map(null_when_returned, r).alias("m")]
+        if numbers:
+            n = r("l_linenumber")
+            items.append((F.when(r("l_returnflag") != "R", n) if null_when_returned else n).alias("n"))
+        if fabric:
+            items.append(fabric_item(r).alias("f"))
+        return F.struct(*items)
+
+    pages = pack_pages(li, ["l_orderkey"], LINE_ORDER, build, page_size)
     docs = attach_pages(orders, "o_orderkey", pages, "l_orderkey", "_items")
     fields = [
         doc_id("o_orderkey").alias("_id"),

@@ -9,7 +9,7 @@ of children, however large, is ever gathered into one row or one task.
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -106,7 +106,18 @@ def _order_struct(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
-def _pages_by_positions(src: DataFrame, keys: list[str], order: list[str], page_size: int) -> DataFrame:
+ItemBuilder = Callable[[Column], Column]
+
+
+def _finish(items: Column, build: ItemBuilder | None) -> Column:
+    if build is None:
+        return F.transform(items, lambda x: x["_item"])
+    return F.transform(items, lambda x: build(x["_item"]))
+
+
+def _pages_by_positions(
+    src: DataFrame, keys: list[str], order: list[str], page_size: int, build: ItemBuilder | None = None
+) -> DataFrame:
     ranked = group_positions(src, keys, order)
     paged = ranked.select(
         *keys,
@@ -114,20 +125,27 @@ def _pages_by_positions(src: DataFrame, keys: list[str], order: list[str], page_
         F.pmod(F.col("pos"), F.lit(page_size)).alias("_slot"),
         "_item",
     )
-    grouped = paged.groupBy(*keys, "page").agg(
-        in_slot_order(F.collect_list(F.struct("_slot", "_item"))).alias("_items")
-    )
-    return grouped.select(*keys, "page", F.transform("_items", lambda x: x["_item"]).alias("items"))
+    collected = F.collect_list(F.struct("_slot", "_item"))
+    # raw rows are orderable: the natural (compiled) sort, slot first
+    ordered = in_slot_order(collected) if build is None else F.array_sort(collected)
+    grouped = paged.groupBy(*keys, "page").agg(ordered.alias("_items"))
+    return grouped.select(*keys, "page", _finish(F.col("_items"), build).alias("items"))
 
 
-def _single_pages(src: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def _single_pages(
+    src: DataFrame, keys: list[str], order: list[str], build: ItemBuilder | None = None
+) -> DataFrame:
     """Keys with at most one page of children: one bounded list per key,
     sorted by ``order`` (no positions needed)."""
-    entry = F.struct(_order_struct(order).alias("_o"), F.col("_item"))
-    by_order = lambda a, b: F.when(a["_o"] < b["_o"], -1).when(a["_o"] > b["_o"], 1).otherwise(0)
-    grouped = src.groupBy(*keys).agg(F.array_sort(F.collect_list(entry), by_order).alias("_items"))
+    if build is None:
+        entry = F.struct(_order_struct(order).alias("_o"), F.col("_item"))
+        by_order = lambda a, b: F.when(a["_o"] < b["_o"], -1).when(a["_o"] > b["_o"], 1).otherwise(0)
+        ordered = F.array_sort(F.collect_list(entry), by_order)
+    else:  # the raw row leads with the order columns: natural (compiled) sort
+        ordered = F.array_sort(F.collect_list(F.struct(F.col("_item"))))
+    grouped = src.groupBy(*keys).agg(ordered.alias("_items"))
     return grouped.select(
-        *keys, F.lit(0).cast("long").alias("page"), F.transform("_items", lambda x: x["_item"]).alias("items")
+        *keys, F.lit(0).cast("long").alias("page"), _finish(F.col("_items"), build).alias("items")
     )
 
 
@@ -135,14 +153,20 @@ def pack_pages(
     children: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    item: Column,
+    item: Column | ItemBuilder,
     page_size: int = PAGE_SIZE,
+    payload: Sequence[str] = (),
 ) -> DataFrame:
     """``(keys..., page, items)``: the children of every key as arrays of at
     most ``page_size`` items, in ``order`` (which should be a total order of
     the children for a deterministic result). ``item`` may be null (kept as a
     null element).
 
+    ``item`` is either a column, built before the grouping, or a function
+    that builds the item from the raw row (a struct of the ``order`` and
+    ``payload`` columns) after it, so that the shuffle carries the compact
+    typed columns instead of the finished items.
+
     Per-key counts come from a partial aggregate. Keys with at most
     ``page_size`` children are packed with one bounded ``collect_list`` per
     key. Keys with more (the only ones that could be large) go through
@@ -152,20 +176,27 @@ def pack_pages(
     """
     keys = [k for k in keys]
     order = [c for c in order if c not in keys]
-    src = children.select(*keys, *order, item.alias("_item"))
+    build = item if callable(item) and not isinstance(item, Column) else None
+    if build is None:
+        src = children.select(*keys, *order, item.alias("_item"))
+    else:
+        raw = [*order, *[c for c in payload if c not in order]]
+        src = children.select(*keys, *order, F.struct(*raw).alias("_item"))
     if not keys:
-        return _pages_by_positions(src, keys, order, page_size)
+        return _pages_by_positions(src, keys, order, page_size, build)
     counts = children.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") > page_size).select(*keys)
     n_hot = hot.count()
     if n_hot == 0:
-        return _single_pages(src, keys, order)
+        return _single_pages(src, keys, order, build)
     if n_hot > MAX_BROADCAST_KEYS:
-        return _pages_by_positions(src, keys, order, page_size)
+        return _pages_by_positions(src, keys, order, page_size, build)
     b = F.broadcast(hot)
     cold = src.join(b, _key_match(src, b, keys), "left_anti")
     heavy = src.join(b, _key_match(src, b, keys), "left_semi")
-    return _single_pages(cold, keys, order).unionByName(_pages_by_positions(heavy, keys, order, page_size))
+    return _single_pages(cold, keys, order, build).unionByName(
+        _pages_by_positions(heavy, keys, order, page_size, build)
+    )
 
 
 def attach_pages(
