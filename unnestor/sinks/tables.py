@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.values import apply_null_policy, sanitize_name
-from ..operators.upsert import latest_per_key, merge_upsert, split_bad_rows
+from ..operators.upsert import blank_key, latest_per_key, merge_upsert
 from ..plans.staging import stage_at, unstage
 
 QUARANTINE_SUFFIX = "__rejected"
@@ -167,18 +167,15 @@ def load_table(
     spark = df.sparkSession
     name = sanitize_name(table_name)
     pk = choose_primary_key(df.schema, primary_key)
-    good, bad = split_bad_rows(df, pk)
-    rows = apply_null_policy(good)
+    bad = blank_key(pk, df.schema)
+    # rows in and rows set aside are observed on the write's own input pass
+    obs_in = Observation(f"input_{name}")
+    observed = df.observe(obs_in, F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("bad"))
+    rows = apply_null_policy(observed.where(~bad))
     if dedupe:
         rows = latest_per_key(rows, pk, order_by)
-
-    rejected = 0
     if quarantine is not None:
-        obs_bad = Observation(f"rejected_{name}")
-        quarantine.write(bad.observe(obs_bad, F.count(F.lit(1)).alias("n")), name + QUARANTINE_SUFFIX)
-        rejected = int(obs_bad.get["n"])
-    else:
-        rejected = bad.count()
+        quarantine.write(df.where(bad), name + QUARANTINE_SUFFIX)
 
     merged_path = None
     if mode == "upsert" and store.exists(spark, name):
@@ -188,6 +185,7 @@ def load_table(
         obs = Observation(f"written_{name}")
         store.write(rows.observe(obs, F.count(F.lit(1)).alias("n")), name, "overwrite")
         written = int(obs.get["n"])
+        rejected = int(obs_in.get["bad"])
         loaded = store.read(spark, name).count()
     finally:
         if merged_path:
