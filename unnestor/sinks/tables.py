@@ -168,14 +168,19 @@ def load_table(
     name = sanitize_name(table_name)
     pk = choose_primary_key(df.schema, primary_key)
     bad = blank_key(pk, df.schema)
-    # rows in and rows set aside are observed on the write's own input pass
-    obs_in = Observation(f"input_{name}")
-    observed = df.observe(obs_in, F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("bad"))
-    rows = apply_null_policy(observed.where(~bad))
+    rows = apply_null_policy(df.where(~bad))
     if dedupe:
         rows = latest_per_key(rows, pk, order_by)
+    # Counts come from observations placed right before a write, i.e. in the
+    # write's final stage, where only successful task attempts are merged;
+    # an observation in a stage before a shuffle could count twice if that
+    # stage were re-run after a lost executor.
     if quarantine is not None:
-        quarantine.write(df.where(bad), name + QUARANTINE_SUFFIX)
+        obs_bad = Observation(f"rejected_{name}")
+        quarantine.write(df.where(bad).observe(obs_bad, F.count(F.lit(1)).alias("n")), name + QUARANTINE_SUFFIX)
+        rejected = int(obs_bad.get["n"])
+    else:
+        rejected = df.where(bad).count()
 
     merged_path = None
     if mode == "upsert" and store.exists(spark, name):
@@ -185,7 +190,6 @@ def load_table(
         obs = Observation(f"written_{name}")
         store.write(rows.observe(obs, F.count(F.lit(1)).alias("n")), name, "overwrite")
         written = int(obs.get["n"])
-        rejected = int(obs_in.get["bad"])
         loaded = store.read(spark, name).count()
     finally:
         if merged_path:
