@@ -101,15 +101,26 @@ class ParquetStore(Store):
 class JdbcStore(Store):
     """A relational database through Spark's JDBC data source. Rows are
     inserted by the executors in batches of ``batchsize`` (K5); at most
-    ``num_partitions`` connections are open at once."""
+    ``num_partitions`` connections are open at once.
+
+    Reads (the stored table an upsert merges into, the read-back count) are
+    parallel when a numeric ``partition_column`` with bounds, or a list of
+    ``predicates`` (one per partition, in the database's SQL), is given;
+    otherwise a table is read through one connection. Counts and limits are
+    pushed down to the database."""
 
     url: str
     properties: dict = field(default_factory=dict)
     batchsize: int = 1000
     num_partitions: int | None = None
+    partition_column: str | None = None
+    lower_bound: int | None = None
+    upper_bound: int | None = None
+    predicates: list[str] | None = None
 
     def _opts(self, table: str) -> dict:
-        opts = {"url": self.url, "dbtable": table, **self.properties}
+        opts = {"url": self.url, "dbtable": table, "pushDownAggregate": "true",
+                "pushDownLimit": "true", **self.properties}
         if self.num_partitions:
             opts["numPartitions"] = str(self.num_partitions)
         return opts
@@ -122,7 +133,14 @@ class JdbcStore(Store):
          .mode(mode).save())
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.format("jdbc").options(**self._opts(table)).load()
+        opts = self._opts(table)
+        if self.predicates:
+            props = {k: v for k, v in opts.items() if k not in ("url", "dbtable")}
+            return spark.read.jdbc(self.url, table, predicates=self.predicates, properties=props)
+        if self.partition_column and self.num_partitions:
+            opts.update(partitionColumn=self.partition_column, lowerBound=str(self.lower_bound),
+                        upperBound=str(self.upper_bound))
+        return spark.read.format("jdbc").options(**opts).load()
 
 
 @dataclass(frozen=True)
