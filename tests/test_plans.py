@@ -19,7 +19,6 @@ def test_children_do_not_shuffle_and_parse_once(spark, edge_catalog):
 
 
 def test_struct_paths_prune_at_scan(spark, tmp_path):
-    from pyspark.sql import functions as F
     from unnestor.operators.unnest import flatten_struct
     from pyspark.sql import types as T
     df = spark.createDataFrame([("a", ("x", "y", "z"), 1)], "k string, s struct<p:string,q:string,r:string>, n int")

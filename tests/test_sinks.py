@@ -1,6 +1,5 @@
 """K1-K6 and A3: stores, key choice, DDL, dedupe, merge, quarantine, reconcile."""
 
-import os
 
 import pytest
 from pyspark.sql import types as T

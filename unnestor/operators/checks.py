@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Iterable, Sequence
+from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,8 +99,9 @@ def schema_drift(docs: DataFrame, spec: TableSpec, doc_col: str = "doc") -> Data
     ``ok`` (declared and seen), ``extra`` (seen, not declared) or ``missing``
     (declared, never seen). The key count is a partial aggregate, so it is
     cheap even if one key is in every document."""
+    keys = docs.select(F.explode_outer(F.json_object_keys(F.col(doc_col))).alias("key"))
     seen = (
-        docs.select(F.explode(F.json_object_keys(F.col(doc_col))).alias("key"))
+        keys.where(F.col("key").isNotNull())  # outer form: keys are extracted once
         .groupBy("key")
         .agg(F.count(F.lit(1)).alias("documents"))
     )
