@@ -75,3 +75,15 @@ def test_null_policy(spark):
 def test_fill_defaults(spark):
     df = spark.createDataFrame([("a", None), ("b", "x")], "k string, v string")
     assert rows(fill_defaults(df, {"v": "dflt"})) == [("a", "dflt"), ("b", "x")]
+
+
+def test_strict_coercion_fails_without_ansi(spark):
+    df = spark.createDataFrame([("1.5",), ("abc",)], "x string")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="not a float"):
+            df.select(as_float("x", strict=True)).collect()
+        with pytest.raises(Exception, match="not a timestamp"):
+            df.select(as_timestamp("x", strict=True)).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

@@ -26,18 +26,27 @@ def stringify_variant(v: ColumnOrName, path: str = "$") -> Column:
 
 
 # -- V2 ----------------------------------------------------------------------
+def _or_fail(raw: Column, value: Column, what: str) -> Column:
+    """``value``, failing the job where ``raw`` is present but did not
+    convert (independent of the session's ANSI setting)."""
+    msg = F.concat(F.lit(f"not a {what}: "), raw)
+    return F.when(raw.isNotNull() & value.isNull(), F.raise_error(msg)).otherwise(value)
+
+
 def as_float(x: ColumnOrName, strict: bool = True) -> Column:
     """Declared float: JSON numbers and numeric strings become 32-bit floats.
     Strict mode fails the job on text that is not a number; permissive mode
     gives null (and the caller routes the row to quarantine)."""
     x = _c(x).cast("string")
-    return x.cast(T.FloatType()) if strict else x.try_cast(T.FloatType())
+    value = x.try_cast(T.FloatType())
+    return _or_fail(x, value, "float") if strict else value
 
 
 # -- V3 ----------------------------------------------------------------------
 def as_timestamp(x: ColumnOrName, strict: bool = True) -> Column:
     x = _c(x).cast("string")
-    return F.to_timestamp(x) if strict else F.try_to_timestamp(x)
+    value = F.try_to_timestamp(x)
+    return _or_fail(x, value, "timestamp") if strict else value
 
 
 # -- V4 ----------------------------------------------------------------------
