@@ -46,3 +46,17 @@ def test_run_databases(spark, edge_catalog, tmp_path):
     with pytest.raises(ValueError):
         run_databases(spark, {"nope": str(p)}, edge_catalog, store, bindings={"things": "t"})
     assert set(ENTITIES) == {"user", "company", "order", "orderline-steps"}
+
+
+def test_command_line(spark, tmp_path):
+    from tests.conftest import EDGE_LAYOUT
+    from unnestor.__main__ import main
+
+    (tmp_path / "schema").mkdir()
+    (tmp_path / "schema" / "t.yml").write_text(EDGE_LAYOUT)
+    dump = tmp_path / "d.txt"
+    dump.write_text("\n".join(DOCS))
+    rc = main(["--schema-dir", str(tmp_path / "schema"), "--dump", f"things={dump}", "--bind", "things=t",
+               "--parquet", str(tmp_path / "out"), "--quarantine", str(tmp_path / "q")])
+    assert rc == 0
+    assert spark.read.parquet(str(tmp_path / "out" / "t_prim")).count() == 2
