@@ -37,6 +37,10 @@ def test_every_query_has_an_oracle():
     assert set(E.oracle_sql()) == set(E.queries())
 
 
+_TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+          "boolean": "BOOLEAN", "float": "FLOAT"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
@@ -44,6 +48,9 @@ def test_query_matches_oracle(spark, duck, name):
     got = _sorted(tuple(r[c] for c in cols) for r in df.collect())
     rel = duck.sql(E.oracle_sql()[name])
     assert sorted(rel.columns) == cols
+    spark_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == dict(zip(rel.columns, map(str, rel.types)))
     idx = [rel.columns.index(c) for c in cols]
     want = _sorted(tuple(r[i] for i in idx) for r in rel.fetchall())
     assert got == want

@@ -525,7 +525,7 @@ def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- R1 K1 K6 A3: the load itself --------------------------------------------
 @query("load_tables", f"""
 {_ITEMS_SQL}, {_DOCS}
-SELECT 'shop_order' AS table_name, count(*) AS written, count(*) AS loaded, 0 AS rejected, 'ok' AS status FROM docs
+SELECT 'shop_order' AS table_name, count(*) AS written, count(*) AS loaded, CAST(0 AS BIGINT) AS rejected, 'ok' AS status FROM docs
 UNION ALL SELECT 'shop_order_fabric', count(*), count(*), 0, 'ok' FROM docs
 UNION ALL SELECT 'shop_order_fabric_items', count(*), count(*), 0, 'ok' FROM items
 UNION ALL SELECT 'shop_order_lines', count(*), count(*), 0, 'ok' FROM lineitem
