@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.values import key_of, stringify_variant, typed
+from ..sources.documents import json_path
 
 Typed = Sequence[tuple[str, T.DataType]]
 
@@ -124,12 +125,6 @@ def flatten_struct(
 
 
 # -- G4 ----------------------------------------------------------------------
-def json_path(*steps: str) -> str:
-    """Variant path for a list of object keys (bracket form, so keys with
-    dots, dashes or spaces are safe)."""
-    return "$" + "".join("['" + s.replace("\\", "\\\\").replace("'", "\\'") + "']" for s in steps)
-
-
 def is_truthy(v: Column) -> Column:
     """Truthiness of a JSON value held in a variant: missing, null, ``""``,
     ``false``, zero, ``[]`` and ``{}`` are false; the string ``"0"`` is true."""

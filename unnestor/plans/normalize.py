@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.values import fill_defaults
 from ..operators.unnest import extract_path_items, flatten_struct, unnest_records, unnest_values
-from ..sources.documents import DOC, REJECT, parse_documents
+from ..sources.documents import DOC, REJECT, parse_documents, path_column
 from .catalog import PATH, PRIMITIVE, RECORDS, SINGLE, Catalog, CatalogError, ChildLink, TableSpec
 
 # Fixed value: prefix of the per-item key of path-extracted tables.
@@ -25,14 +25,23 @@ def main_columns(spec: TableSpec) -> list[str]:
     return [f.name for f in spec.fields if not f.generated and not f.nested_table]
 
 
-def _needs_docs(catalog: Catalog, root: str) -> bool:
+def path_links(catalog: Catalog, root: str) -> list[tuple[str, tuple[str, ...]]]:
+    """``(target key, key path)`` of every path-extracted table in the tree,
+    in tree order; the i-th one reads column ``_path<i>`` of the parse."""
+    out = []
     for key in catalog.tree(root):
         spec = catalog.tables.get(key)
         for link in spec.children if spec else ():
             target = catalog.tables.get(link.target)
             if target is not None and target.kind(link) == PATH:
-                return True
-    return False
+                out.append((target.key, target.path or (link.field,)))
+    return out
+
+
+def parse_tree(docs: DataFrame, catalog: Catalog, root: str, mode: str = "strict") -> DataFrame:
+    """The typed main-table columns plus, for each path table of the tree,
+    the document's value at its path (a variant; the raw text is not kept)."""
+    return parse_documents(docs, catalog[root], mode, paths=[p for _, p in path_links(catalog, root)])
 
 
 def child_table(
@@ -43,8 +52,11 @@ def child_table(
     docs: DataFrame | None = None,
     doc_id: str | None = None,
     with_document_id: bool = False,
+    doc_col: str = DOC,
 ) -> DataFrame:
-    """Dispatch one child on its kind."""
+    """Dispatch one child on its kind. A path table reads ``doc_col`` of
+    ``docs``: the raw document, or (a ``_path<i>`` column) the value already
+    taken at its path."""
     kind = target.kind(link)
     pk = parent_spec.primary_key
     if kind != PATH and not pk:
@@ -61,14 +73,16 @@ def child_table(
     if kind == PATH:
         if docs is None or doc_id is None:
             raise CatalogError(f"path table {target.key!r} needs the raw documents")
+        at_path = doc_col != DOC
         return extract_path_items(
             docs,
             doc_id,
-            target.path or (link.field,),
+            () if at_path else (target.path or (link.field,)),
             [(f.name, f.source) for f in target.fields],
             target.table_name,
             source_id_field=target.source_id_field,
             is_array=target.is_array,
+            doc_col=doc_col,
             item_key_prefix=ITEM_KEY_PREFIX,
             with_document_id=with_document_id,
         )
@@ -83,13 +97,16 @@ def normalize_parsed(
     with_document_id: bool = False,
 ) -> list[tuple[str, DataFrame]]:
     """G6 on already-parsed (or staged) documents: ``parsed`` holds the main
-    layout's columns, plus ``doc`` when a path table is in the tree."""
+    layout's columns, plus for path tables either their ``_path<i>`` columns
+    (see ``parse_tree``) or the raw ``doc``."""
     spec = catalog[root]
     main = parsed.select(*[F.col(f"`{c}`") for c in main_columns(spec)])
     if with_defaults:
         defaults = {f.name: f.default for f in spec.fields if f.default is not None and f.name in main.columns}
         main = fill_defaults(main, defaults)
-    docs = parsed if DOC in parsed.columns else None
+    columns = {k: path_column(i) for i, (k, _) in enumerate(path_links(catalog, root))}
+    has_paths = all(c in parsed.columns for c in columns.values())
+    docs = parsed if (has_paths or DOC in parsed.columns) else None
     out: list[tuple[str, DataFrame]] = [(spec.table_name, main)]
 
     def walk(parent_spec: TableSpec, parent_df: DataFrame) -> None:
@@ -100,8 +117,9 @@ def normalize_parsed(
                 source_df = next((d for n, d in out if n == link.parent_table), None)
                 if source_df is None:
                     raise CatalogError(f"parent table {link.parent_table!r} not built yet")
+            doc_col = columns.get(target.key, DOC) if has_paths else DOC
             child = child_table(
-                source_df, parent_spec, link, target, docs, spec.primary_key, with_document_id
+                source_df, parent_spec, link, target, docs, spec.primary_key, with_document_id, doc_col
             )
             out.append((target.table_name, child))
             if target.children:
@@ -121,8 +139,7 @@ def normalize(
 ) -> list[tuple[str, DataFrame]]:
     """R1 core: ``DataFrame[doc]`` -> ``[(table_name, DataFrame)]``, main table
     first, children depth-first in declared order."""
-    parsed = parse_documents(docs, catalog[root], mode, keep_doc=_needs_docs(catalog, root))
-    return normalize_parsed(parsed, catalog, root, with_defaults, with_document_id)
+    return normalize_parsed(parse_tree(docs, catalog, root, mode), catalog, root, with_defaults, with_document_id)
 
 
 def normalize_staged(
@@ -139,7 +156,7 @@ def normalize_staged(
     the JSON."""
     from .staging import stage
 
-    parsed = parse_documents(docs, catalog[root], mode, keep_doc=_needs_docs(catalog, root))
+    parsed = parse_tree(docs, catalog, root, mode)
     return normalize_parsed(stage(parsed, f"parsed_{root}"), catalog, root, with_defaults, with_document_id)
 
 

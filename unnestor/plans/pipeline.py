@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sinks.tables import LoadReport, Store, load_table
 from ..sources.documents import parse_documents, read_document_lines, read_envelope
 from .catalog import Catalog
-from .normalize import _needs_docs, normalize_parsed, rejected_documents
+from .normalize import normalize_parsed, parse_tree, rejected_documents
 from .staging import stage_at, unstage
 
 # Database name -> root layout key of the four document
@@ -54,7 +54,7 @@ def load_database(
     versions of a row; without it the greatest row wins on duplicate keys."""
     spec = catalog[root]
     spark = docs.sparkSession
-    parsed = parse_documents(docs, spec, mode, keep_doc=_needs_docs(catalog, root))
+    parsed = parse_tree(docs, catalog, root, mode)
     staged_path = None
     if staged:
         parsed, staged_path = stage_at(parsed, f"parsed_{root}")

@@ -313,8 +313,11 @@ def order_documents(
     """Order documents ``{_id, custkey, status, totalprice, orderdate,
     priority, orderLines?, lineNumbers?, fabric?}``, one per order and page
     of at most ``page_size`` lines."""
+    # orders stay spread: when the planner broadcasts the pages, the join
+    # output keeps the orders' partitioning, and everything after it (JSON,
+    # parse, unnest) runs in those partitions. The lines go straight into a
+    # grouping shuffle, so they are not spread.
     orders = table(spark, sf_dir, "orders")
-    # the lines go straight into a grouping shuffle, so they are not spread
     li = table(spark, sf_dir, "lineitem", spread_rows=False)
 
     def build(x: Column) -> Column:  # one packed line -> its parts of the document

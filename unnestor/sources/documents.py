@@ -95,6 +95,16 @@ def drop_null_documents(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return one.where(F.col(DOC).isNotNull())
 
 
+def path_column(i: int) -> str:
+    return f"_path{i}"
+
+
+def json_path(*steps: str) -> str:
+    """Variant path for a list of object keys (bracket form, so keys with
+    dots, dashes or spaces are safe)."""
+    return "$" + "".join("['" + s.replace("\\", "\\\\").replace("'", "\\'") + "']" for s in steps)
+
+
 # -- S3 ----------------------------------------------------------------------
 @dataclass(frozen=True)
 class ParsePlan:
@@ -125,6 +135,7 @@ def parse_documents(
     mode: str = "strict",
     keep_doc: bool = False,
     keep: Sequence[str] = (),
+    paths: Sequence[Sequence[str]] = (),
 ) -> DataFrame:
     """S3: typed main-table columns from the ``doc`` column (plus the
     ``keep`` columns of ``docs``, passed through).
@@ -133,6 +144,10 @@ def parse_documents(
     renames (``_id`` -> ``relationship_id``). Declared floats accept JSON
     numbers and numeric text; declared timestamps are parsed from text.
 
+    ``paths``: for each key path, a column ``_path<i>`` holding the document's
+    value at that path as a ``variant`` (null where absent). Path tables read
+    these instead of the raw text, so the raw document need not be kept.
+
     ``mode="strict"``: any document that does not fit the layout fails the job.
     ``mode="permissive"``: fields that do not fit are null and the row carries a
     ``_reject_reason`` (null for clean rows), so the caller can quarantine it.
@@ -150,15 +165,20 @@ def parse_documents(
             DOC, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
         )
     extra = [F.col(f"`{k}`") for k in keep]
+    if paths:
+        v = F.try_parse_json(F.col(DOC))
+        extra += [F.try_variant_get(v, json_path(*p), "variant").alias(path_column(i))
+                  for i, p in enumerate(paths)]
     extra += [F.col(DOC)] if keep_doc or not strict else []
     staged = docs.select(parsed.alias("_p"), *extra)
+    carried = [F.col(f"`{c}`") for c in staged.columns if c != "_p"]
     # positional struct cast: JSON key names -> declared names, no by-name
     # lookup (so keys differing only in case cannot clash)
     target = T.StructType(
         plan.text_schema.fields
         + ([] if strict else [T.StructField(CORRUPT, T.StringType())])
     )
-    staged = staged.select(F.col("_p").cast(target).alias("_p"), *extra)
+    staged = staged.select(F.col("_p").cast(target).alias("_p"), *carried)
 
     cols: list[Column] = []
     problems: list[Column] = []
@@ -184,6 +204,7 @@ def parse_documents(
         reason = F.concat_ws("; ", *problems)
         cols.append(F.nullif(reason, F.lit("")).alias(REJECT))
     cols += [F.col(f"`{k}`") for k in keep]
+    cols += [F.col(path_column(i)) for i in range(len(paths))]
     if keep_doc or not strict:
         cols.append(F.col(DOC))
     return staged.select(*cols)
