@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.values import fill_defaults
 from ..operators.unnest import extract_path_items, flatten_struct, unnest_records, unnest_values
-from ..sources.documents import DOC, REJECT, parse_documents, path_column
+from ..sources.documents import DOC, PATH_DOC_ID, REJECT, parse_documents, path_column, path_struct, path_values
 from .catalog import PATH, PRIMITIVE, RECORDS, SINGLE, Catalog, CatalogError, ChildLink, TableSpec
 
 # Fixed value: prefix of the per-item key of path-extracted tables.
@@ -41,7 +41,12 @@ def path_links(catalog: Catalog, root: str) -> list[tuple[str, tuple[str, ...]]]
 def parse_tree(docs: DataFrame, catalog: Catalog, root: str, mode: str = "strict") -> DataFrame:
     """The typed main-table columns plus, for each path table of the tree,
     the document's value at its path (a variant; the raw text is not kept)."""
-    return parse_documents(docs, catalog[root], mode, paths=[p for _, p in path_links(catalog, root)])
+    spec = catalog[root]
+    pk = spec.field(spec.primary_key) if spec.primary_key else None
+    return parse_documents(
+        docs, spec, mode, paths=[p for _, p in path_links(catalog, root)],
+        path_id_key=pk.source if pk is not None else "_id",
+    )
 
 
 def child_table(
@@ -118,8 +123,9 @@ def normalize_parsed(
                 if source_df is None:
                     raise CatalogError(f"parent table {link.parent_table!r} not built yet")
             doc_col = columns.get(target.key, DOC) if has_paths else DOC
+            doc_id = PATH_DOC_ID if PATH_DOC_ID in parsed.columns else spec.primary_key
             child = child_table(
-                source_df, parent_spec, link, target, docs, spec.primary_key, with_document_id, doc_col
+                source_df, parent_spec, link, target, docs, doc_id, with_document_id, doc_col
             )
             out.append((target.table_name, child))
             if target.children:
@@ -167,11 +173,11 @@ def extract_table(docs: DataFrame, catalog: Catalog, key: str, with_document_id:
     spec = catalog[key]
     if not spec.path:
         raise CatalogError(f"layout {key!r} declares no path")
-    v = docs.select(F.try_parse_json(F.col(DOC)).alias("_v"))
-    v = v.select(F.try_variant_get("_v", "$['_id']", "string").alias("_doc_id"), "_v")
+    tops = docs.select(path_struct(F.col(DOC), [spec.path], "_id").alias("_tops"))
+    v = tops.select(*path_values(F.col("_tops"), [spec.path], "_id"))
     return extract_path_items(
-        v, "_doc_id", spec.path, [(f.name, f.source) for f in spec.fields], spec.table_name,
-        source_id_field=spec.source_id_field, is_array=spec.is_array, doc_col="_v",
+        v, PATH_DOC_ID, (), [(f.name, f.source) for f in spec.fields], spec.table_name,
+        source_id_field=spec.source_id_field, is_array=spec.is_array, doc_col=path_column(0),
         item_key_prefix=ITEM_KEY_PREFIX, with_document_id=with_document_id,
     )
 

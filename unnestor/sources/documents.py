@@ -105,6 +105,36 @@ def json_path(*steps: str) -> str:
     return "$" + "".join("['" + s.replace("\\", "\\\\").replace("'", "\\'") + "']" for s in steps)
 
 
+PATH_DOC_ID = "_path_doc_id"
+TOPS = "_tops"
+
+
+def path_struct(doc: Column, paths: Sequence[Sequence[str]], id_key: str | None = None) -> Column:
+    """One narrow parse for path tables: the first key of each path as a
+    variant (``from_json`` skips every other key of the document without
+    building it), and the document id as text. Independent of the main
+    layout. Give it a column of its own (``_tops``) and read it with
+    ``path_values``: when its fields are taken straight off the expression,
+    the optimizer splits it into one parse per field."""
+    firsts = list(dict.fromkeys(p[0] for p in paths))
+    fields = [T.StructField(k, T.VariantType()) for k in firsts]
+    if id_key is not None and id_key not in firsts:
+        fields.append(T.StructField(id_key, T.StringType()))
+    return F.from_json(doc, T.StructType(fields))
+
+
+def path_values(tops: Column, paths: Sequence[Sequence[str]], id_key: str | None = None) -> list[Column]:
+    """``_path<i>`` (the value at each key path, a variant, null where
+    absent) and ``_path_doc_id``, from a ``path_struct`` column."""
+    out = [
+        F.try_variant_get(tops.getField(p[0]), json_path(*p[1:]), "variant").alias(path_column(i))
+        for i, p in enumerate(paths)
+    ]
+    if id_key is not None:
+        out.append(tops.getField(id_key).cast("string").alias(PATH_DOC_ID))
+    return out
+
+
 # -- S3 ----------------------------------------------------------------------
 @dataclass(frozen=True)
 class ParsePlan:
@@ -136,6 +166,7 @@ def parse_documents(
     keep_doc: bool = False,
     keep: Sequence[str] = (),
     paths: Sequence[Sequence[str]] = (),
+    path_id_key: str | None = None,
 ) -> DataFrame:
     """S3: typed main-table columns from the ``doc`` column (plus the
     ``keep`` columns of ``docs``, passed through).
@@ -145,8 +176,9 @@ def parse_documents(
     numbers and numeric text; declared timestamps are parsed from text.
 
     ``paths``: for each key path, a column ``_path<i>`` holding the document's
-    value at that path as a ``variant`` (null where absent). Path tables read
-    these instead of the raw text, so the raw document need not be kept.
+    value at that path as a ``variant`` (null where absent), plus the document
+    id (``path_id_key``) as ``_path_doc_id``. Path tables read these instead
+    of the raw text, so the raw document need not be kept.
 
     ``mode="strict"``: any document that does not fit the layout fails the job.
     ``mode="permissive"``: fields that do not fit are null and the row carries a
@@ -166,12 +198,12 @@ def parse_documents(
         )
     extra = [F.col(f"`{k}`") for k in keep]
     if paths:
-        v = F.try_parse_json(F.col(DOC))
-        extra += [F.try_variant_get(v, json_path(*p), "variant").alias(path_column(i))
-                  for i, p in enumerate(paths)]
+        extra.append(path_struct(F.col(DOC), paths, path_id_key).alias(TOPS))
     extra += [F.col(DOC)] if keep_doc or not strict else []
     staged = docs.select(parsed.alias("_p"), *extra)
-    carried = [F.col(f"`{c}`") for c in staged.columns if c != "_p"]
+    carried = [F.col(f"`{c}`") for c in staged.columns if c not in ("_p", TOPS)]
+    if paths:
+        carried += path_values(F.col(TOPS), paths, path_id_key)
     # positional struct cast: JSON key names -> declared names, no by-name
     # lookup (so keys differing only in case cannot clash)
     target = T.StructType(
@@ -205,6 +237,8 @@ def parse_documents(
         cols.append(F.nullif(reason, F.lit("")).alias(REJECT))
     cols += [F.col(f"`{k}`") for k in keep]
     cols += [F.col(path_column(i)) for i in range(len(paths))]
+    if paths and path_id_key is not None:
+        cols.append(F.col(PATH_DOC_ID))
     if keep_doc or not strict:
         cols.append(F.col(DOC))
     return staged.select(*cols)
