@@ -16,9 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 CONF = "spark.checkpoint.dir"
 
 
+def _configured(spark: SparkSession) -> str | None:
+    sc = spark.sparkContext
+    return spark.conf.get(CONF, None) or sc.getConf().get(CONF, None) or sc.getCheckpointDir()
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by the session's ``spark.checkpoint.dir``."""
-    root = spark.conf.get(CONF, None) or spark.sparkContext.getConf().get(CONF, None)
+    """The shared folder named by the session's ``spark.checkpoint.dir`` (or
+    the context's checkpoint folder)."""
+    root = _configured(spark)
     if not root:
         raise RuntimeError(
             f"{CONF} is not set: set it to a folder every executor can reach "
@@ -30,12 +36,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     """Use the configured checkpoint folder; only where none is configured
     (tests, local runs) set ``fallback``."""
-    root = spark.conf.get(CONF, None) or spark.sparkContext.getConf().get(CONF, None)
-    if not root:
-        spark.conf.set(CONF, fallback)
+    if not _configured(spark):
+        try:
+            spark.conf.set(CONF, fallback)
+        except Exception:  # noqa: BLE001 - some sessions refuse core settings at runtime
+            pass
         spark.sparkContext.setCheckpointDir(fallback)
-        root = fallback
-    return root.rstrip("/")
+    return checkpoint_root(spark)
 
 
 def _new_path(spark: SparkSession, name: str) -> str:
