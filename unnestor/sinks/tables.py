@@ -7,6 +7,7 @@ JDBC in batches), never by collecting rows on the driver.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from typing import Sequence
 
@@ -194,7 +195,7 @@ def load_table(
     # an observation in a stage before a shuffle could count twice if that
     # stage were re-run after a lost executor.
     if quarantine is not None:
-        obs_bad = Observation(f"rejected_{name}")
+        obs_bad = Observation(f"rejected_{name}_{uuid.uuid4().hex[:12]}")
         quarantine.write(df.where(bad).observe(obs_bad, F.count(F.lit(1)).alias("n")), name + QUARANTINE_SUFFIX)
         rejected = int(obs_bad.get["n"])
     else:
@@ -205,7 +206,7 @@ def load_table(
         current = store.read(spark, name)
         rows, merged_path = stage_at(merge_upsert(current, rows, pk), f"merge_{name}")
     try:
-        obs = Observation(f"written_{name}")
+        obs = Observation(f"written_{name}_{uuid.uuid4().hex[:12]}")
         store.write(rows.observe(obs, F.count(F.lit(1)).alias("n")), name, "overwrite")
         written = int(obs.get["n"])
         loaded = store.read(spark, name).count()
