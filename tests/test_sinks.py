@@ -90,3 +90,12 @@ def test_jdbc_partitioned_reads_embedded_derby(spark):
     assert store.read(spark, "derby_parts").rdd.getNumPartitions() == 3
     by_pred = JdbcStore(store.url, store.properties, predicates=['"n" < 10', '"n" >= 10'])
     assert by_pred.read(spark, "derby_parts").count() == 30
+
+
+def test_rejected_counted_on_write_pass(spark, tmp_path):
+    store = ParquetStore(str(tmp_path / "s"))
+    df = spark.createDataFrame([("a", 1), ("", 2), (None, 3), ("b", 4)], "k string, v int")
+    rep = load_table(df, store, "t", "k", dedupe=False)
+    assert (rep.written, rep.loaded, rep.rejected, rep.status) == (2, 2, 2, "ok")
+    rep = load_table(df, store, "t", "k", dedupe=True)
+    assert (rep.written, rep.rejected) == (2, 2)

@@ -187,18 +187,23 @@ def load_table(
     name = sanitize_name(table_name)
     pk = choose_primary_key(df.schema, primary_key)
     bad = blank_key(pk, df.schema)
-    rows = apply_null_policy(df.where(~bad))
+    # Counts come from observations in a write's final stage, where only
+    # successful task attempts are merged; an observation in a stage before a
+    # shuffle could count twice if that stage were re-run after a lost
+    # executor. Without a shuffle before the write (refresh, no dedupe) the
+    # set-aside rows are counted on the write's own pass.
+    same_stage = not dedupe and mode == "refresh"
+    obs_in = Observation(f"input_{name}_{uuid.uuid4().hex[:12]}")
+    source = df.observe(obs_in, F.count_if(bad).alias("bad")) if same_stage else df
+    rows = apply_null_policy(source.where(~bad))
     if dedupe:
         rows = latest_per_key(rows, pk, order_by)
-    # Counts come from observations placed right before a write, i.e. in the
-    # write's final stage, where only successful task attempts are merged;
-    # an observation in a stage before a shuffle could count twice if that
-    # stage were re-run after a lost executor.
+    rejected = None
     if quarantine is not None:
         obs_bad = Observation(f"rejected_{name}_{uuid.uuid4().hex[:12]}")
         quarantine.write(df.where(bad).observe(obs_bad, F.count(F.lit(1)).alias("n")), name + QUARANTINE_SUFFIX)
         rejected = int(obs_bad.get["n"])
-    else:
+    elif not same_stage:
         rejected = df.where(bad).count()
 
     merged_path = None
@@ -209,6 +214,8 @@ def load_table(
         obs = Observation(f"written_{name}_{uuid.uuid4().hex[:12]}")
         store.write(rows.observe(obs, F.count(F.lit(1)).alias("n")), name, "overwrite")
         written = int(obs.get["n"])
+        if rejected is None:
+            rejected = int(obs_in.get["bad"])
         loaded = store.read(spark, name).count()
     finally:
         if merged_path:
