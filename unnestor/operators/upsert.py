@@ -29,19 +29,23 @@ def latest_per_key(
     """One row per key: the row with the greatest ``order_by`` value (ties and
     ``order_by=None`` broken by the whole row, so the result is deterministic).
 
-    ``max_by`` is a partial aggregate: every task first keeps its own latest row
-    per key, so a key that holds a large share of the rows is reduced map-side
-    before the shuffle and never gathered in one place.
+    ``max`` over ``struct(order..., row)`` is a partial aggregate: every task
+    first keeps its own latest row per key, so a key that holds a large share
+    of the rows is reduced map-side before the shuffle and never gathered in
+    one place.
     """
     keys = _keys(key)
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*[_q(k) for k in keys]).distinct()
     orders = [] if order_by is None else _keys(order_by)
-    row = F.struct(*[_q(c) for c in rest])
-    rank = F.struct(*[_q(o) for o in orders], row) if orders else row
-    picked = df.groupBy(*[_q(k) for k in keys]).agg(F.max_by(row, rank).alias("_row"))
-    return picked.select(*[_q(k) for k in keys], "_row.*").select(*[_q(c) for c in df.columns])
+    row = F.struct(*[_q(c) for c in rest]).alias("_row")
+    # one struct per key in the buffer: (ordering..., row); its maximum is
+    # the latest version, the whole row breaking ties (and standing in for
+    # an ordering that is null)
+    ranked = F.struct(*[_q(o).alias(f"_o{i}") for i, o in enumerate(orders)], row)
+    picked = df.groupBy(*[_q(k) for k in keys]).agg(F.max(ranked).alias("_m"))
+    return picked.select(*[_q(k) for k in keys], "_m._row.*").select(*[_q(c) for c in df.columns])
 
 
 def merge_upsert(
