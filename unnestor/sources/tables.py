@@ -110,6 +110,7 @@ ItemBuilder = Callable[[Column], Column]
 
 
 def _finish(items: Column, build: ItemBuilder | None) -> Column:
+    """Items out of collected ``struct(..., _item)`` entries."""
     if build is None:
         return F.transform(items, lambda x: x["_item"])
     return F.transform(items, lambda x: build(x["_item"]))
@@ -145,18 +146,14 @@ def _single_pages(
         entry = F.struct(_order_struct(order).alias("_o"), F.col("_item"))
         by_order = lambda a, b: F.when(a["_o"] < b["_o"], -1).when(a["_o"] > b["_o"], 1).otherwise(0)
         ordered = F.array_sort(F.collect_list(entry), by_order)
+        finish = lambda items: _finish(items, None)
     else:
         # the raw row leads with the order columns: natural (compiled) sort of
         # the rows themselves (an extra struct around them costs over 2x here)
         ordered = F.array_sort(F.collect_list(F.col("_item")))
-        grouped = src.groupBy(*keys).agg(ordered.alias("_items"))
-        return grouped.select(
-            *keys, F.lit(0).cast("long").alias("page"), F.transform("_items", build).alias("items")
-        )
+        finish = lambda items: F.transform(items, build)
     grouped = src.groupBy(*keys).agg(ordered.alias("_items"))
-    return grouped.select(
-        *keys, F.lit(0).cast("long").alias("page"), _finish(F.col("_items"), build).alias("items")
-    )
+    return grouped.select(*keys, F.lit(0).cast("long").alias("page"), finish(F.col("_items")).alias("items"))
 
 
 def pack_pages(
@@ -213,11 +210,22 @@ def attach_pages(
     parents: DataFrame, parent_key: str, pages: DataFrame, child_key: str, items_as: str
 ) -> DataFrame:
     """Parents with their pages: one row per (parent, page); a parent without
-    children gets page 0 and a null array. The page side holds one row per
-    page, so even a parent with very many children joins as many small rows."""
+    children gets page 0 and a null array.
+
+    Written as an inner join plus the parents that have no page, not as a
+    left join: a parent with very many children has very many pages, and
+    adaptive execution can split a skewed partition on either side of an
+    inner join, but only on the preserved side of an outer one. The parents
+    without pages come from an anti join against the distinct page keys (a
+    partial aggregate, so it is small and skew-free)."""
     p = pages.select(F.col(child_key).alias("_ck"), "page", F.col("items").alias(items_as))
-    j = parents.join(p, parents[parent_key] == p["_ck"], "left")
-    return j.select(*[parents[c] for c in parents.columns], F.coalesce("page", F.lit(0)).alias("page"), items_as)
+    cols = [parents[c] for c in parents.columns]
+    with_pages = parents.join(p, parents[parent_key] == p["_ck"], "inner").select(*cols, "page", items_as)
+    keys = pages.select(F.col(child_key).alias("_ck")).distinct()
+    lonely = parents.join(keys, parents[parent_key] == keys["_ck"], "left_anti").select(
+        *cols, F.lit(0).cast("long").alias("page"), F.lit(None).cast(p.schema[items_as].dataType).alias(items_as)
+    )
+    return with_pages.unionByName(lonely)
 
 
 def doc_id(key: Column | str, page: Column | str = "page") -> Column:
