@@ -262,10 +262,12 @@ def conversation_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources.tables import doc_id, pack_pages
 
     conv = table(spark, sf_dir, "conversations")
-    item = F.create_map(
-        F.lit("turn"), F.col("turn").cast("string"), F.lit("role"), F.col("role"),
-        F.lit("text"), F.col("text"),
-    )
+
+    def item(x):  # one packed turn -> its map in the document
+        return F.create_map(
+            F.lit("turn"), x["turn"].cast("string"), F.lit("role"), x["role"], F.lit("text"), x["text"],
+        )
+
     pages = pack_pages(conv, ["conv_id"], TURN_ORDER, item)
     docs = pages.select(
         F.to_json(F.struct(doc_id("conv_id").alias("_id"), F.col("items").alias("turns"))).alias("doc")
