@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..sinks.tables import LoadReport, Store, load_table
-from ..sources.documents import parse_documents, read_document_lines, read_envelope
+from ..sources.documents import DOC, REJECT, read_document_lines, read_envelope
 from .catalog import Catalog
-from .normalize import normalize_parsed, parse_tree, rejected_documents
+from .normalize import normalize_parsed, parse_tree
 from .staging import stage_at, unstage
 
 # Database name -> root layout key of the four document
@@ -66,15 +68,21 @@ def load_database(
             reports.append(
                 load_table(df, store, name, keys.get(name), load_mode, order, quarantine, dedupe)
             )
+        rejected = 0
+        if mode == "permissive":
+            # from the staged parse: no second pass over the JSON
+            cols = [c for c in (spec.primary_key, REJECT, DOC) if c and c in parsed.columns]
+            bad = parsed.where(F.col(REJECT).isNotNull()).select(*cols)
+            if quarantine is not None:
+                obs = Observation(f"rejected_docs_{uuid.uuid4().hex[:12]}")
+                quarantine.write(bad.observe(obs, F.count(F.lit(1)).alias("n")),
+                                 f"{spec.table_name}__documents_rejected")
+                rejected = int(obs.get["n"])
+            else:
+                rejected = bad.count()
     finally:
         if staged_path:
             unstage(spark, staged_path)
-    rejected = 0
-    if mode == "permissive":
-        bad = rejected_documents(docs, spec)
-        if quarantine is not None:
-            quarantine.write(bad, f"{spec.table_name}__documents_rejected")
-        rejected = bad.count()
     return DatabaseRun(spec.table_name, tuple(reports), rejected)
 
 

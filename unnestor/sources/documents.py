@@ -233,12 +233,14 @@ def parse_documents(
         problems.insert(
             0, F.when(F.col("_p").getField(CORRUPT).isNotNull(), F.lit("document does not fit layout"))
         )
-        reason = F.concat_ws("; ", *problems)
-        cols.append(F.nullif(reason, F.lit("")).alias(REJECT))
+        reason = F.nullif(F.concat_ws("; ", *problems), F.lit(""))
+        cols.append(reason.alias(REJECT))
     cols += [F.col(f"`{k}`") for k in keep]
     cols += [F.col(path_column(i)) for i in range(len(paths))]
     if paths and path_id_key is not None:
         cols.append(F.col(PATH_DOC_ID))
-    if keep_doc or not strict:
+    if keep_doc:
         cols.append(F.col(DOC))
+    elif not strict:  # the raw text only where it is needed: rejected documents
+        cols.append(F.when(reason.isNotNull(), F.col(DOC)).alias(DOC))
     return staged.select(*cols)
