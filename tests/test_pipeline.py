@@ -60,3 +60,13 @@ def test_command_line(spark, tmp_path):
                "--parquet", str(tmp_path / "out"), "--quarantine", str(tmp_path / "q")])
     assert rc == 0
     assert spark.read.parquet(str(tmp_path / "out" / "t_prim")).count() == 2
+
+
+def test_standalone_path_table_load(spark, edge_catalog, tmp_path, monkeypatch):
+    import unnestor.plans.pipeline as P
+    monkeypatch.setitem(P.STANDALONE_PATH_TABLES, "items_only", "t_path")
+    p = tmp_path / "dump.txt"
+    p.write_text("\n".join(DOCS))
+    runs = run_databases(spark, {"items_only": str(p)}, edge_catalog, ParquetStore(str(tmp_path / "o")),
+                         bindings={})
+    assert runs[0].tables[0].loaded == 1 and runs[0].tables[0].status == "ok"

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..sinks.tables import LoadReport, Store, load_table
 from ..sources.documents import DOC, REJECT, read_document_lines, read_envelope
 from .catalog import Catalog
-from .normalize import normalize_parsed, parse_tree
+from .normalize import extract_table, normalize_parsed, parse_tree
 from .staging import stage_at, unstage
 
 # Database name -> root layout key of the four document
@@ -99,6 +99,22 @@ def read_dump(spark: SparkSession, path: str, layout: str = "lines") -> DataFram
     raise ValueError(f"unknown dump layout {layout!r}")
 
 
+def load_path_table(
+    docs: DataFrame,
+    catalog: Catalog,
+    key: str,
+    store: Store,
+    load_mode: str = "refresh",
+    quarantine: Store | None = None,
+    dedupe: bool = True,
+) -> DatabaseRun:
+    """A path-extracted table loaded on its own, straight from the documents."""
+    spec = catalog[key]
+    report = load_table(extract_table(docs, catalog, key), store, spec.table_name, spec.primary_key,
+                        load_mode, None, quarantine, dedupe)
+    return DatabaseRun(spec.table_name, (report,))
+
+
 def run_databases(
     spark: SparkSession,
     dumps: Mapping[str, str],
@@ -109,13 +125,18 @@ def run_databases(
     **load_options,
 ) -> list[DatabaseRun]:
     """R2: each named database dump through R1, one after another; an unknown
-    database name or a failing database stops the run (fail fast)."""
-    unknown = [d for d in dumps if d not in bindings]
+    database name or a failing database stops the run (fail fast). Names in
+    ``STANDALONE_PATH_TABLES`` load that one path-extracted table."""
+    known = {**bindings, **STANDALONE_PATH_TABLES}
+    unknown = [d for d in dumps if d not in known]
     if unknown:
         raise ValueError(f"unknown database(s): {unknown}")
     runs = []
     for db, path in dumps.items():
-        runs.append(
-            load_database(read_dump(spark, path, layout), catalog, bindings[db], store, **load_options)
-        )
+        docs = read_dump(spark, path, layout)
+        if db in bindings:
+            runs.append(load_database(docs, catalog, bindings[db], store, **load_options))
+        else:
+            opts = {k: v for k, v in load_options.items() if k in ("load_mode", "quarantine", "dedupe")}
+            runs.append(load_path_table(docs, catalog, STANDALONE_PATH_TABLES[db], store, **opts))
     return runs
