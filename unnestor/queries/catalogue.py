@@ -24,7 +24,7 @@ from ..plans.pipeline import load_database
 from ..plans.staging import checkpoint_root, stage, stage_text
 from ..sinks.tables import ParquetStore
 from ..sources.documents import REJECT, parse_documents, read_document_lines, unwrap_envelope
-from ..sources.tables import PAGE_SIZE, group_positions, in_slot_order
+from ..sources.tables import PAGE_SIZE, group_positions
 from .documents import (
     CONVERSATIONS, CUSTOMERS, EVENTS, LINE_ORDER, PARTS, SHOP, SHOP_TYPED, TURN_ORDER,
     order_documents, table,
@@ -165,7 +165,7 @@ def order_scan_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     position), then read back with the envelope reader."""
     rows = group_positions(_order_rows(spark, sf_dir), [], ["o_orderkey"])
     env = rows.groupBy(F.expr(f"pos div {PAGE_SIZE}").alias("env")).agg(
-        in_slot_order(F.collect_list(F.struct(F.col("pos").alias("_slot"), "row"))).alias("rows")
+        F.array_sort(F.collect_list(F.struct(F.col("pos").alias("_slot"), "row"))).alias("rows")
     )
     text = F.concat(
         F.lit('{"total_rows":'), F.size("rows").cast("string"), F.lit(',"offset":0,"rows":[\n'),
