@@ -27,3 +27,21 @@ def test_struct_paths_prune_at_scan(spark, tmp_path):
     out = flatten_struct(src, "k", "s", "fk", [("p", T.StringType())])
     p = plan(out)
     assert "struct<k:string,s:struct<p:string>>" in p.replace(" ", "") or "s:struct<p:string>" in p
+
+
+def test_staged_fan_out_prunes_columns(spark, edge_catalog):
+    import re
+
+    from unnestor.plans.normalize import normalize_staged
+
+    docs = spark.createDataFrame(
+        [('{"_id":"a","n":1,"prim":[1],"arr":[{"k":"1"}],"st":{"p":"x","items":[{"ID":"i"}]}}',)], "doc string")
+    tables = dict(normalize_staged(docs, edge_catalog, "t"))
+
+    def read_schema(df):
+        return re.search(r"ReadSchema: (struct<.*?>)(?:,|$|\n)", plan(df)).group(1)
+
+    assert read_schema(tables["t_arr"]).startswith("struct<relationship_id:string,arr:array<map<string,string>>")
+    assert "prim" not in read_schema(tables["t_arr"]) and "_path" not in read_schema(tables["t_arr"])
+    path_schema = read_schema(tables["t_path"])
+    assert "_path0" in path_schema and "relationship_id" not in path_schema and "arr" not in path_schema
