@@ -34,3 +34,27 @@ def test_counts_keys_and_partition_invariance(spark, edge_catalog, docs, parts):
     assert {r.t_id for r in prim} <= parents and {r.t_id for r in arr} <= parents
     for name in ("t_prim", "t_arr", "t_st"):
         assert sorted(map(tuple, out[name].collect())) == sorted(map(tuple, again[name].collect()))
+
+
+rows_st = st.lists(
+    st.tuples(st.one_of(st.none(), st.sampled_from(["a", "b", "c"])), st.integers(0, 5), st.integers(0, 1000)),
+    min_size=0, max_size=40,
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows_st, st.integers(1, 4), st.booleans())
+def test_pack_pages_matches_brute_force(spark, rows, page_size, as_builder):
+    from pyspark.sql import functions as F
+
+    from unnestor.sources.tables import pack_pages
+
+    df = spark.createDataFrame(rows, "k string, o int, p int")
+    item = (lambda x: x["p"]) if as_builder else F.col("p")
+    got = {(r.k, r.page): list(r["items"]) for r in pack_pages(df, ["k"], ["o", "p"], item, page_size).collect()}
+    want: dict = {}
+    for k in {r[0] for r in rows}:
+        ordered = [r[2] for r in sorted((r for r in rows if r[0] == k), key=lambda r: (r[1], r[2]))]
+        for i in range(0, len(ordered), page_size):
+            want[(k, i // page_size)] = ordered[i:i + page_size]
+    assert got == want
