@@ -106,3 +106,22 @@ def test_standalone_path_table(spark, edge_catalog):
     t = extract_table(docs_df(spark, DOCS), edge_catalog, "t_path", with_document_id=True)
     assert sorted(r.parent_id for r in t.collect()) == ["0", "2.5", "z"]
     assert {r.document_id for r in t.collect()} == {"o"}
+
+
+def test_typed_nested_input_without_json(spark):
+    from unnestor import Catalog, normalize_parsed
+    cat = Catalog.from_dict({
+        "m": {"table_name": "m", "primary_key": "relationship_id",
+              "nested_tables": [{"field": "xs", "target_table": "m_xs", "foreign_key": "m_id"},
+                                {"field": "recs", "target_table": "m_recs", "foreign_key": "m_id"}],
+              "fields": [{"name": "relationship_id"}, {"name": "xs", "type": "array<integer>"},
+                         {"name": "recs", "type": "array<map<string,string>>"}]},
+        "m_xs": {"is_array": True, "fields": [{"name": "id", "generated": True}, {"name": "x", "type": "integer"}]},
+        "m_recs": {"is_array": True, "fields": [{"name": "nested_id", "generated": True},
+                                                {"name": "a", "type": "integer"}, {"name": "b"}]},
+    })
+    df = spark.createDataFrame([("r1", [4, 5], [{"a": 1, "b": "x"}])],
+                               "relationship_id string, xs array<int>, recs array<struct<a:int,b:string>>")
+    out = dict(normalize_parsed(df, cat, "m"))
+    assert rows(out["m_xs"]) == [("r1_0", "r1", 4), ("r1_1", "r1", 5)]
+    assert rows(out["m_recs"]) == [("r1_0", "r1", 1, "x")]
