@@ -83,3 +83,14 @@ def test_multi_page_order_documents_match_sql(spark):
         LEFT JOIN (SELECT DISTINCT l_orderkey, (row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(LINE_ORDER)}) - 1) // 3 AS page
                    FROM read_parquet('{sf}/lineitem.parquet')) p ON p.l_orderkey = o.o_orderkey""").fetchall()[0][0]
     assert n_docs == want_docs
+
+
+def test_exact_path_when_broadcast_disabled(spark):
+    import unnestor.sources.tables as tables
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame([("hot", i) for i in range(12)] + [("cold", 0)], "k string, o int")
+        got = {(r.k, r.page): r["items"] for r in tables.pack_pages(df, ["k"], ["o"], F.col("o"), 5).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {("hot", 0): [0, 1, 2, 3, 4], ("hot", 1): [5, 6, 7, 8, 9], ("hot", 2): [10, 11], ("cold", 0): [0]}

@@ -91,10 +91,27 @@ def in_slot_order(arr: Column) -> Column:
 
 
 # Upper bound on the number of over-full keys whose list is broadcast to split
-# the children into the cheap and the exact path (a few MB of keys).
+# the children into the cheap and the exact path; the list's measured size
+# must also be under the session's broadcast threshold.
 MAX_BROADCAST_KEYS = 100_000
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def broadcast_limit(spark) -> int:
+    """The session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes
+    (negative: broadcasting is off)."""
+    import re
+
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")).strip().lower()
+    m = re.fullmatch(r"(-?\d+)\s*([a-z]*)", raw)
+    if not m or m.group(2) not in _UNITS:
+        return -1
+    return int(m.group(1)) * _UNITS[m.group(2)]
+
+
 def _key_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     cond = F.lit(True)
     for k in keys:
@@ -177,9 +194,10 @@ def pack_pages(
     Per-key counts come from a partial aggregate. Keys with at most
     ``page_size`` children are packed with one bounded ``collect_list`` per
     key. Keys with more (the only ones that could be large) go through
-    ``group_positions``, which never puts a key in one task; their list is
-    broadcast to route the rows when it is small enough, otherwise every key
-    takes the exact path.
+    ``group_positions``, which never puts a key in one task. Their list is
+    broadcast to route the rows only when its measured size is under the
+    session's broadcast threshold (and it has at most ``MAX_BROADCAST_KEYS``
+    keys); otherwise every key takes the exact path.
     """
     keys = [k for k in keys]
     order = [c for c in order if c not in keys]
@@ -193,10 +211,12 @@ def pack_pages(
         return _pages_by_positions(src, keys, order, page_size, build)
     counts = children.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") > page_size).select(*keys)
-    n_hot = hot.count()
+    key_bytes = sum(F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) + 8 for k in keys)
+    n_hot, hot_bytes = hot.agg(F.count(F.lit(1)), F.sum(key_bytes)).first()
     if n_hot == 0:
         return _single_pages(src, keys, order, build)
-    if n_hot > MAX_BROADCAST_KEYS:
+    limit = broadcast_limit(children.sparkSession)
+    if n_hot > MAX_BROADCAST_KEYS or limit < 0 or (hot_bytes or 0) > limit:
         return _pages_by_positions(src, keys, order, page_size, build)
     b = F.broadcast(hot)
     cold = src.join(b, _key_match(src, b, keys), "left_anti")
