@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.sizing import fits_broadcast, measure
+
 
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
@@ -56,11 +58,17 @@ def merge_upsert(
 ) -> DataFrame:
     """Target rows whose key does not arrive, plus the latest incoming row per
     key. Both sides carry unique keys after deduplication, so the anti join
-    is free of skew; the planner may broadcast the incoming keys when its size
-    estimate is under the broadcast threshold."""
+    is free of skew. The arriving keys are broadcast only after their size is
+    measured (see ``plans.sizing``); a large increment is a sort-merge join."""
     keys = _keys(key)
     latest = latest_per_key(incoming, keys, order_by)
-    kept = target.join(latest.select(*[_q(k) for k in keys]), keys, "left_anti")
+    # the arriving keys are broadcast only when the raw arriving rows (an
+    # upper bound on the distinct keys) measure under the broadcast limit;
+    # otherwise both sides are shuffled on the key
+    rows, nbytes = measure(incoming, keys)
+    arriving = latest.select(*[_q(k) for k in keys])
+    arriving = F.broadcast(arriving) if fits_broadcast(incoming.sparkSession, rows, nbytes) else arriving.hint("merge")
+    kept = target.join(arriving, keys, "left_anti")
     return kept.unionByName(latest.select(*[_q(c) for c in target.columns]))
 
 

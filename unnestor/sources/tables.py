@@ -14,6 +14,7 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.sizing import fits_broadcast, measure
 from ..plans.staging import stage
 
 PAGE_SIZE = 1000
@@ -76,7 +77,10 @@ def group_positions(
     cond = F.col("_part") == F.col("_r_part")
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-    joined = s.join(runs, cond)
+    # with keys, the summary has about one row per key: it grows with the
+    # data, so it is shuffled, never broadcast on a size estimate; without
+    # keys it has one row per partition and the planner may broadcast it
+    joined = s.join(runs.hint("merge") if keys else runs, cond)
     pos = F.col("_idx") - F.col("_first") + F.col("_before")
     return joined.select(*df.columns, pos.alias(name))
 
@@ -96,22 +100,6 @@ def in_slot_order(arr: Column) -> Column:
 MAX_BROADCAST_KEYS = 100_000
 
 
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
-
-
-def broadcast_limit(spark) -> int:
-    """The session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes
-    (negative: broadcasting is off)."""
-    import re
-
-    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")).strip().lower()
-    m = re.fullmatch(r"(-?\d+)\s*([a-z]*)", raw)
-    if not m or m.group(2) not in _UNITS:
-        return -1
-    return int(m.group(1)) * _UNITS[m.group(2)]
-
-
 def _key_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     cond = F.lit(True)
     for k in keys:
@@ -211,12 +199,10 @@ def pack_pages(
         return _pages_by_positions(src, keys, order, page_size, build)
     counts = children.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") > page_size).select(*keys)
-    key_bytes = sum(F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) + 8 for k in keys)
-    n_hot, hot_bytes = hot.agg(F.count(F.lit(1)), F.sum(key_bytes)).first()
+    n_hot, hot_bytes = measure(hot, keys)
     if n_hot == 0:
         return _single_pages(src, keys, order, build)
-    limit = broadcast_limit(children.sparkSession)
-    if n_hot > MAX_BROADCAST_KEYS or limit < 0 or (hot_bytes or 0) > limit:
+    if not fits_broadcast(children.sparkSession, n_hot, hot_bytes, MAX_BROADCAST_KEYS):
         return _pages_by_positions(src, keys, order, page_size, build)
     b = F.broadcast(hot)
     cold = src.join(b, _key_match(src, b, keys), "left_anti")
@@ -238,10 +224,12 @@ def attach_pages(
     inner join, but only on the preserved side of an outer one. The parents
     without pages come from an anti join against the distinct page keys (a
     partial aggregate, so it is small and skew-free)."""
-    p = pages.select(F.col(child_key).alias("_ck"), "page", F.col("items").alias(items_as))
+    # Both sides grow with the data (no proven size bound), so the joins are
+    # sort-merge joins, never broadcasts chosen from a size estimate.
+    p = pages.select(F.col(child_key).alias("_ck"), "page", F.col("items").alias(items_as)).hint("merge")
     cols = [parents[c] for c in parents.columns]
     with_pages = parents.join(p, parents[parent_key] == p["_ck"], "inner").select(*cols, "page", items_as)
-    keys = pages.select(F.col(child_key).alias("_ck")).distinct()
+    keys = pages.select(F.col(child_key).alias("_ck")).distinct().hint("merge")
     lonely = parents.join(keys, parents[parent_key] == keys["_ck"], "left_anti").select(
         *cols, F.lit(0).cast("long").alias("page"), F.lit(None).cast(p.schema[items_as].dataType).alias(items_as)
     )
