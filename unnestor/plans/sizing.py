@@ -38,12 +38,3 @@ def measure(df: DataFrame, columns: Sequence[str]) -> tuple[int, int]:
 def fits_broadcast(spark: SparkSession, rows: int, nbytes: int, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     limit = broadcast_limit(spark)
     return limit >= 0 and rows <= max_rows and nbytes <= limit
-
-
-def join_side(side: DataFrame, columns: Sequence[str], max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``side`` marked for the join: broadcast when its measured size fits,
-    otherwise pinned to a sort-merge join."""
-    rows, nbytes = measure(side, columns)
-    if fits_broadcast(side.sparkSession, rows, nbytes, max_rows):
-        return F.broadcast(side)
-    return side.hint("merge")
