@@ -177,7 +177,8 @@ def load_table(
       them) ``dedupe=False`` skips this shuffle;
     * ``mode="refresh"`` replaces the table; ``mode="upsert"`` merges into the
       existing one by key (the merged result is staged first, so the table is
-      never overwritten while it is being read);
+      never overwritten while it is being read, and is removed only after the
+      overwrite succeeded);
     * the written count is observed during the write itself, then compared
       with a read-back count (A3).
     """
@@ -210,14 +211,17 @@ def load_table(
     if mode == "upsert" and store.exists(spark, name):
         current = store.read(spark, name)
         rows, merged_path = stage_at(merge_upsert(current, rows, pk), f"merge_{name}")
+    obs = Observation(f"written_{name}_{uuid.uuid4().hex[:12]}")
     try:
-        obs = Observation(f"written_{name}_{uuid.uuid4().hex[:12]}")
         store.write(rows.observe(obs, F.count(F.lit(1)).alias("n")), name, "overwrite")
-        written = int(obs.get["n"])
-        if rejected is None:
-            rejected = int(obs_in.get["bad"])
-        loaded = store.read(spark, name).count()
-    finally:
-        if merged_path:
-            unstage(spark, merged_path)
+    except Exception as ex:
+        if merged_path:  # the merged table survives the failed overwrite
+            raise RuntimeError(f"writing {name!r} failed; the merged rows are kept at {merged_path}") from ex
+        raise
+    written = int(obs.get["n"])
+    if rejected is None:
+        rejected = int(obs_in.get["bad"])
+    loaded = store.read(spark, name).count()
+    if merged_path:  # only once the table is written
+        unstage(spark, merged_path)
     return LoadReport(name, written, loaded, rejected)
