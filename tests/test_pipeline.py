@@ -70,3 +70,17 @@ def test_standalone_path_table_load(spark, edge_catalog, tmp_path, monkeypatch):
     runs = run_databases(spark, {"items_only": str(p)}, edge_catalog, ParquetStore(str(tmp_path / "o")),
                          bindings={})
     assert runs[0].tables[0].loaded == 1 and runs[0].tables[0].status == "ok"
+
+
+def test_document_versions_resolved_once(spark, edge_catalog, tmp_path):
+    """Two versions of one document: the later one (by ``n``) supplies the
+    main row and all its children; nothing of the earlier one remains."""
+    docs = docs_df(spark, ['{"_id":"a","n":1,"prim":[1,2,3],"m":{"k":"v"}}',
+                           '{"_id":"a","n":2,"prim":[9]}',
+                           '{"_id":"b","n":5}'])
+    store = ParquetStore(str(tmp_path / "o"))
+    run = load_database(docs, edge_catalog, "t", store, order_by="n")
+    assert all(r.status == "ok" for r in run.tables)
+    from .conftest import rows
+    assert rows(store.read(spark, "t").select("relationship_id", "n")) == [("a", 2), ("b", 5)]
+    assert rows(store.read(spark, "t_prim")) == [("a_0", "a", 9)]

@@ -26,7 +26,10 @@ def _keys(key: str | Sequence[str]) -> list[str]:
 
 
 def latest_per_key(
-    df: DataFrame, key: str | Sequence[str], order_by: str | Sequence[str] | None = None
+    df: DataFrame,
+    key: str | Sequence[str],
+    order_by: str | Sequence[str] | None = None,
+    tiebreak: str | None = None,
 ) -> DataFrame:
     """One row per key: the row with the greatest ``order_by`` value (ties and
     ``order_by=None`` broken by the whole row, so the result is deterministic).
@@ -34,7 +37,8 @@ def latest_per_key(
     ``max`` over ``struct(order..., row)`` is a partial aggregate: every task
     first keeps its own latest row per key, so a key that holds a large share
     of the rows is reduced map-side before the shuffle and never gathered in
-    one place.
+    one place. ``tiebreak`` names a cheap deterministic column (a hash of the
+    row's source) to break ties with instead of the whole row.
     """
     keys = _keys(key)
     rest = [c for c in df.columns if c not in keys]
@@ -42,12 +46,32 @@ def latest_per_key(
         return df.select(*[_q(k) for k in keys]).distinct()
     orders = [] if order_by is None else _keys(order_by)
     row = F.struct(*[_q(c) for c in rest]).alias("_row")
-    # one struct per key in the buffer: (ordering..., row); its maximum is
-    # the latest version, the whole row breaking ties (and standing in for
-    # an ordering that is null)
-    ranked = F.struct(*[_q(o).alias(f"_o{i}") for i, o in enumerate(orders)], row)
-    picked = df.groupBy(*[_q(k) for k in keys]).agg(F.max(ranked).alias("_m"))
-    return picked.select(*[_q(k) for k in keys], "_m._row.*").select(*[_q(c) for c in df.columns])
+    group = df.groupBy(*[_q(k) for k in keys])
+    if tiebreak is not None:
+        rank = F.struct(*[_q(o).alias(f"_o{i}") for i, o in enumerate(orders)], _q(tiebreak).alias("_t"))
+        picked = group.agg(F.max_by(row, rank).alias("_r")).select(*[_q(k) for k in keys], "_r.*")
+    elif all(_orderable(df.schema[c].dataType) for c in rest):
+        # one struct per key in the buffer: (ordering..., row); its maximum is
+        # the latest version, the whole row breaking ties (and standing in for
+        # an ordering that is null)
+        ranked = F.struct(*[_q(o).alias(f"_o{i}") for i, o in enumerate(orders)], row)
+        picked = group.agg(F.max(ranked).alias("_m")).select(*[_q(k) for k in keys], "_m._row.*")
+    else:
+        # maps and variants have no order: rank by (ordering..., row as JSON)
+        tie = F.to_json(F.struct(*[_q(c) for c in rest]))
+        rank = F.struct(*[_q(o).alias(f"_o{i}") for i, o in enumerate(orders)], tie.alias("_t"))
+        picked = group.agg(F.max_by(row, rank).alias("_r")).select(*[_q(k) for k in keys], "_r.*")
+    return picked.select(*[_q(c) for c in df.columns])
+
+
+def _orderable(t: T.DataType) -> bool:
+    if isinstance(t, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(t, T.ArrayType):
+        return _orderable(t.elementType)
+    if isinstance(t, T.StructType):
+        return all(_orderable(f.dataType) for f in t.fields)
+    return True
 
 
 def merge_upsert(

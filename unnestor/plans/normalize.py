@@ -38,14 +38,16 @@ def path_links(catalog: Catalog, root: str) -> list[tuple[str, tuple[str, ...]]]
     return out
 
 
-def parse_tree(docs: DataFrame, catalog: Catalog, root: str, mode: str = "strict") -> DataFrame:
+def parse_tree(
+    docs: DataFrame, catalog: Catalog, root: str, mode: str = "strict", doc_hash: bool = False
+) -> DataFrame:
     """The typed main-table columns plus, for each path table of the tree,
     the document's value at its path (a variant; the raw text is not kept)."""
     spec = catalog[root]
     pk = spec.field(spec.primary_key) if spec.primary_key else None
     return parse_documents(
         docs, spec, mode, paths=[p for _, p in path_links(catalog, root)],
-        path_id_key=pk.source if pk is not None else "_id",
+        path_id_key=pk.source if pk is not None else "_id", doc_hash=doc_hash,
     )
 
 

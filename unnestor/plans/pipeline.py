@@ -9,8 +9,9 @@ from typing import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.upsert import blank_key, latest_per_key
 from ..sinks.tables import LoadReport, Store, load_table
-from ..sources.documents import DOC, REJECT, read_document_lines, read_envelope
+from ..sources.documents import DOC, DOC_HASH, REJECT, read_document_lines, read_envelope
 from .catalog import Catalog
 from .normalize import extract_table, normalize_parsed, parse_tree
 from .staging import stage_at, unstage
@@ -52,11 +53,25 @@ def load_database(
 ) -> DatabaseRun:
     """Parse the documents once (staged to the checkpoint folder, so the
     JSON is not re-parsed for each of the N tables), build the table tree and
-    load every table. ``order_by`` names a column of every table that orders
-    versions of a row; without it the greatest row wins on duplicate keys."""
+    load every table.
+
+    With ``dedupe``, repeated documents (same key) are resolved once, before
+    staging: the version with the greatest ``order_by`` (a column of the main
+    layout; without it the greatest row) wins, with all its children."""
     spec = catalog[root]
     spark = docs.sparkSession
-    parsed = parse_tree(docs, catalog, root, mode)
+    resolve = dedupe and spec.primary_key in parse_documents_columns(spec)
+    parsed = parse_tree(docs, catalog, root, mode, doc_hash=resolve)
+    if resolve:
+        # Versions of a document are resolved once, on the document, before
+        # the tree is built: the latest version supplies the main row and all
+        # its children (keys of child rows derive from the document key), so
+        # no table needs a keyed shuffle of its own. Documents without a key
+        # are not merged; they are set aside at the load.
+        order = order_by if order_by is not None and _has(parsed, order_by) else None
+        no_key = blank_key(spec.primary_key, parsed.schema)
+        latest = latest_per_key(parsed.where(~no_key), spec.primary_key, order, tiebreak=DOC_HASH)
+        parsed = latest.unionByName(parsed.where(no_key)).drop(DOC_HASH)
     staged_path = None
     if staged:
         parsed, staged_path = stage_at(parsed, f"parsed_{root}")
@@ -66,7 +81,8 @@ def load_database(
         for name, df in normalize_parsed(parsed, catalog, root):
             order = order_by if order_by is None or _has(df, order_by) else None
             reports.append(
-                load_table(df, store, name, keys.get(name), load_mode, order, quarantine, dedupe)
+                load_table(df, store, name, keys.get(name), load_mode, order, quarantine,
+                           dedupe=dedupe and not resolve)
             )
         rejected = 0
         if mode == "permissive":
@@ -86,6 +102,11 @@ def load_database(
     return DatabaseRun(spec.table_name, tuple(reports), rejected)
 
 
+def parse_documents_columns(spec) -> list[str]:
+    """Column names of the main layout's parse (the declared data fields)."""
+    return [f.name for f in spec.data_fields()]
+
+
 def _has(df: DataFrame, cols: str | Sequence[str]) -> bool:
     cols = [cols] if isinstance(cols, str) else list(cols)
     return all(c in df.columns for c in cols)

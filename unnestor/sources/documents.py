@@ -26,6 +26,7 @@ from ..functions.values import as_float, as_timestamp
 from ..plans.catalog import TableSpec
 
 DOC = "doc"
+DOC_HASH = "_doc_hash"
 CORRUPT = "_corrupt_record"
 REJECT = "_reject_reason"
 
@@ -167,6 +168,7 @@ def parse_documents(
     keep: Sequence[str] = (),
     paths: Sequence[Sequence[str]] = (),
     path_id_key: str | None = None,
+    doc_hash: bool = False,
 ) -> DataFrame:
     """S3: typed main-table columns from the ``doc`` column (plus the
     ``keep`` columns of ``docs``, passed through).
@@ -180,6 +182,9 @@ def parse_documents(
     id (``path_id_key``) as ``_path_doc_id``. Path tables read these instead
     of the raw text, so the raw document need not be kept.
 
+    ``doc_hash``: a ``_doc_hash`` column, ``xxhash64`` of the raw text (a cheap
+    deterministic tie-break between versions of a document).
+
     ``mode="strict"``: any document that does not fit the layout fails the job.
     ``mode="permissive"``: fields that do not fit are null and the row carries a
     ``_reject_reason`` (null for clean rows), so the caller can quarantine it.
@@ -197,6 +202,8 @@ def parse_documents(
             DOC, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
         )
     extra = [F.col(f"`{k}`") for k in keep]
+    if doc_hash:
+        extra.append(F.xxhash64(F.col(DOC)).alias(DOC_HASH))
     if paths:
         extra.append(path_struct(F.col(DOC), paths, path_id_key).alias(TOPS))
     extra += [F.col(DOC)] if keep_doc or not strict else []
@@ -236,6 +243,8 @@ def parse_documents(
         reason = F.nullif(F.concat_ws("; ", *problems), F.lit(""))
         cols.append(reason.alias(REJECT))
     cols += [F.col(f"`{k}`") for k in keep]
+    if doc_hash:
+        cols.append(F.col(DOC_HASH))
     cols += [F.col(path_column(i)) for i in range(len(paths))]
     if paths and path_id_key is not None:
         cols.append(F.col(PATH_DOC_ID))
