@@ -45,8 +45,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return checkpoint_root(spark)
 
 
-def _new_path(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_root(spark)}/unnestor-staging/{uuid.uuid4().hex}/{name}"
+def _app_folder(spark: SparkSession) -> str:
+    """This application's staging folder (so applications sharing a
+    checkpoint folder never touch each other's copies)."""
+    return f"{checkpoint_root(spark)}/unnestor-staging/{spark.sparkContext.applicationId}"
+
+
+def staging_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for ``name`` in this application's staging area."""
+    return f"{_app_folder(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+_new_path = staging_path
 
 
 def stage_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -81,8 +91,9 @@ def stage_text(df: DataFrame, name: str) -> str:
 
 
 def clear_staging(spark: SparkSession) -> None:
-    """Delete every staged copy this library left in the checkpoint folder
-    (intermediates of lazily returned results; call once they are consumed)."""
+    """Delete the staged copies this application left in the checkpoint
+    folder (intermediates of lazily returned results; call once they are
+    consumed). Other applications' copies are not touched."""
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/unnestor-staging")
+    p = jvm.org.apache.hadoop.fs.Path(_app_folder(spark))
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

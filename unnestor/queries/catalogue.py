@@ -8,7 +8,6 @@ widened to double, timestamps are rendered as text.
 
 from __future__ import annotations
 
-import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +20,7 @@ from ..operators.unnest import unnest_values
 from ..operators.upsert import latest_per_key, merge_upsert, split_bad_rows
 from ..plans.normalize import normalize, normalize_staged
 from ..plans.pipeline import load_database
-from ..plans.staging import checkpoint_root, stage, stage_text
+from ..plans.staging import stage, stage_text, staging_path
 from ..sinks.tables import ParquetStore
 from ..sources.documents import REJECT, parse_documents, read_document_lines, unwrap_envelope
 from ..sources.tables import PAGE_SIZE, group_positions
@@ -539,7 +538,7 @@ def load_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     key checks, dedupe by key, observed and read-back counts); the result is
     the load report, one row per table."""
     docs = order_documents(spark, sf_dir, numbers=True, fabric=True)
-    store = ParquetStore(f"{checkpoint_root(spark)}/unnestor-staging/{uuid.uuid4().hex}/store")
+    store = ParquetStore(staging_path(spark, "store"))
     run = load_database(docs, SHOP, "shop_order", store)
     return spark.createDataFrame(
         [(r.table, r.written, r.loaded, r.rejected, r.status) for r in run.tables],
