@@ -84,3 +84,11 @@ def test_document_versions_resolved_once(spark, edge_catalog, tmp_path):
     from .conftest import rows
     assert rows(store.read(spark, "t").select("relationship_id", "n")) == [("a", 2), ("b", 5)]
     assert rows(store.read(spark, "t_prim")) == [("a_0", "a", 9)]
+
+
+def test_keyless_documents_are_not_merged(spark, edge_catalog, tmp_path):
+    docs = docs_df(spark, ['{"x":1}', '{"x":1}', '{"_id":""}', '{"_id":"a","n":1}', '{"_id":"a","n":2}'])
+    store = ParquetStore(str(tmp_path / "o"))
+    run = load_database(docs, edge_catalog, "t", store, order_by="n")
+    main = next(r for r in run.tables if r.table == "t")
+    assert (main.loaded, main.rejected) == (1, 3)

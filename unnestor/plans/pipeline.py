@@ -70,8 +70,16 @@ def load_database(
         # are not merged; they are set aside at the load.
         order = order_by if order_by is not None and _has(parsed, order_by) else None
         no_key = blank_key(spec.primary_key, parsed.schema)
-        latest = latest_per_key(parsed.where(~no_key), spec.primary_key, order, tiebreak=DOC_HASH)
-        parsed = latest.unionByName(parsed.where(no_key)).drop(DOC_HASH)
+        # one grouping key, so the documents are parsed once: the document key,
+        # or for a document without one a per-row id (never merged, never a
+        # hot group)
+        group = F.struct(
+            no_key.alias("b"),
+            F.when(no_key, F.monotonically_increasing_id()).alias("i"),
+            F.when(~no_key, F.col(spec.primary_key)).alias("k"),
+        )
+        keyed = parsed.withColumn("_grp", group)
+        parsed = latest_per_key(keyed, "_grp", order, tiebreak=DOC_HASH).drop("_grp", DOC_HASH)
     staged_path = None
     if staged:
         parsed, staged_path = stage_at(parsed, f"parsed_{root}")
