@@ -92,3 +92,22 @@ def test_keyless_documents_are_not_merged(spark, edge_catalog, tmp_path):
     run = load_database(docs, edge_catalog, "t", store, order_by="n")
     main = next(r for r in run.tables if r.table == "t")
     assert (main.loaded, main.rejected) == (1, 3)
+
+
+def test_load_of_multi_page_documents_matches_sql(spark, tmp_path):
+    import duckdb
+
+    from unnestor.queries.documents import LINE_ORDER, SHOP, order_documents
+
+    sf = "/root/testdata/sf0.001"
+    store = ParquetStore(str(tmp_path / "o"))
+    run = load_database(order_documents(spark, sf, numbers=True, fabric=True, page_size=3), SHOP,
+                        "shop_order", store)
+    assert all(r.status == "ok" and r.rejected == 0 for r in run.tables)
+    got = sorted(tuple(r) for r in store.read(spark, "shop_order_lines")
+                 .select("nested_id", "order_id", "linenumber").collect())
+    want = sorted(duckdb.sql(f"""
+        SELECT l_orderkey || '-' || (rn // 3) || '_' || (rn % 3), l_orderkey || '-' || (rn // 3), l_linenumber
+        FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(LINE_ORDER)}) - 1 AS rn
+              FROM read_parquet('{sf}/lineitem.parquet'))""").fetchall())
+    assert got == want
