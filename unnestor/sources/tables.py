@@ -22,15 +22,30 @@ PAGE_SIZE = 1000
 _ID_BITS = 33  # monotonically_increasing_id: partition index << 33 | row index
 
 
+# Compressed input bytes per task when a small scan is spread out (they
+# expand several times into rows, and into JSON for the documents).
+SPREAD_BYTES_PER_TASK = 256 * 1024
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Give a narrow pipeline enough tasks: when a scan yields fewer partitions
     than the cluster's default parallelism (a small table stored as one row
-    group), redistribute its rows round-robin. Large inputs already have
-    many more splits than cores and are returned unchanged (no shuffle)."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    group), redistribute its rows round-robin, over at most one task per
+    ``SPREAD_BYTES_PER_TASK`` of input, so a tiny table is never cut into
+    thousands of tasks. Large inputs already have many more splits than cores
+    and are returned unchanged (no shuffle)."""
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    if have >= want:
         return df
-    return df.repartition(want)
+    conf = sc._jsc.hadoopConfiguration()
+    size = 0
+    for f in df.inputFiles():
+        path = sc._jvm.org.apache.hadoop.fs.Path(f)
+        size += path.getFileSystem(conf).getFileStatus(path).getLen()
+    want = min(want, -(-size // SPREAD_BYTES_PER_TASK))
+    return df.repartition(want) if want > have else df
 
 
 def group_positions(
