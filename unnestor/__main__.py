@@ -1,6 +1,6 @@
 """Command line: load document dumps into tables.
 
-    spark-submit -m unnestor --schema-dir config/schema \\
+    spark-submit -m unnestor --schema-dir layouts/ \\
         --dump order=s3://dumps/order/ --dump user=s3://dumps/user/ \\
         --parquet s3://lake/tables --quarantine s3://lake/quarantine
 
