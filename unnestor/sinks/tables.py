@@ -97,6 +97,12 @@ class ParquetStore(Store):
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.parquet(self.path(table))
 
+    def exists(self, spark: SparkSession, table: str) -> bool:
+        """A file system check (no read is attempted on a missing folder)."""
+        sc = spark.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(self.path(table))
+        return bool(path.getFileSystem(sc._jsc.hadoopConfiguration()).exists(path))
+
 
 @dataclass
 class JdbcStore(Store):
