@@ -94,3 +94,12 @@ def test_exact_path_when_broadcast_disabled(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == {("hot", 0): [0, 1, 2, 3, 4], ("hot", 1): [5, 6, 7, 8, 9], ("hot", 2): [10, 11], ("cold", 0): [0]}
+
+
+def test_spread_keeps_tiny_tables_whole(spark, tmp_path):
+    from unnestor.sources.tables import spread
+    tiny = spark.createDataFrame([(i,) for i in range(10)], "x int").coalesce(1)
+    tiny.write.parquet(str(tmp_path / "tiny"))
+    df = spark.read.parquet(str(tmp_path / "tiny"))
+    assert spread(df).rdd.getNumPartitions() == df.rdd.getNumPartitions()
+    assert spread(spark.read.parquet("/root/testdata/sf0.01/orders.parquet")).rdd.getNumPartitions() > 1
