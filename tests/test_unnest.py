@@ -125,3 +125,23 @@ def test_typed_nested_input_without_json(spark):
     out = dict(normalize_parsed(df, cat, "m"))
     assert rows(out["m_xs"]) == [("r1_0", "r1", 4), ("r1_1", "r1", 5)]
     assert rows(out["m_recs"]) == [("r1_0", "r1", 1, "x")]
+
+
+def test_awkward_field_names(spark, tmp_path):
+    from unnestor import Catalog, load_database
+    from unnestor.sinks.tables import ParquetStore
+    cat = Catalog.from_dict({
+        "w": {"table_name": "w-docs", "primary_key": "doc id",
+              "nested_tables": [{"field": "line.items", "target_table": "w_items", "foreign_key": "w id"}],
+              "fields": [{"name": "doc id", "source_field": "_id"}, {"name": "a.b", "type": "integer"},
+                         {"name": "line.items", "type": "array<map<string,string>>"}]},
+        "w_items": {"table_name": "w-items", "is_array": True,
+                    "fields": [{"name": "nested_id", "generated": True}, {"name": "x-y", "type": "integer"},
+                               {"name": "p q"}]},
+    })
+    docs = docs_df(spark, ['{"_id":"d","a.b":3,"line.items":[{"x-y":"7","p q":"z"}]}'])
+    tables = dict(normalize(docs, cat, "w"))
+    assert rows(tables["w-docs"].select("`doc id`", "`a.b`")) == [("d", 3)]
+    assert rows(tables["w-items"]) == [("d_0", "d", 7, "z")]
+    run = load_database(docs, cat, "w", ParquetStore(str(tmp_path / "o")))
+    assert [r.table for r in run.tables] == ["w_docs", "w_items"] and all(r.status == "ok" for r in run.tables)
