@@ -145,3 +145,24 @@ def test_awkward_field_names(spark, tmp_path):
     assert rows(tables["w-items"]) == [("d_0", "d", 7, "z")]
     run = load_database(docs, cat, "w", ParquetStore(str(tmp_path / "o")))
     assert [r.table for r in run.tables] == ["w_docs", "w_items"] and all(r.status == "ok" for r in run.tables)
+
+
+def test_parent_table_override_uses_that_tables_key(spark):
+    from unnestor import Catalog
+    cat = Catalog.from_dict({
+        "m": {"primary_key": "relationship_id",
+              "nested_tables": [{"field": "s", "target_table": "m_s", "foreign_key": "m_id"}],
+              "fields": [{"name": "relationship_id", "source_field": "_id"}, {"name": "xs", "type": "array<integer>"},
+                         {"name": "s", "type": "struct", "fields": [{"name": "p"}]}]},
+        "m_s": {"primary_key": "id", "fields": [{"name": "id", "generated": True}, {"name": "m_id"}, {"name": "p"}],
+                "nested_tables": [{"field": "xs", "target_table": "m_xs", "foreign_key": "m_id", "parent_table": "m"}]},
+        "m_xs": {"is_array": True, "fields": [{"name": "id", "generated": True}, {"name": "x", "type": "integer"}]},
+    })
+    out = dict(normalize(docs_df(spark, ['{"_id":"a","xs":[1,2],"s":{"p":"q"}}']), cat, "m"))
+    assert rows(out["m_xs"]) == [("a_0", "a", 1), ("a_1", "a", 2)]
+
+
+def test_empty_input_loads_empty_tables(spark, edge_catalog, tmp_path):
+    from unnestor import ParquetStore, load_database
+    run = load_database(spark.createDataFrame([], "doc string"), edge_catalog, "t", ParquetStore(str(tmp_path / "o")))
+    assert [(r.written, r.loaded, r.status) for r in run.tables] == [(0, 0, "ok")] * 5

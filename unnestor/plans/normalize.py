@@ -119,15 +119,19 @@ def normalize_parsed(
     def walk(parent_spec: TableSpec, parent_df: DataFrame) -> None:
         for link in parent_spec.children:
             target = catalog[link.target]
-            source_df = parent_df
+            source_df, source_spec = parent_df, parent_spec
             if link.parent_table:
+                # read another table of the tree: its rows, and its own key
                 source_df = next((d for n, d in out if n == link.parent_table), None)
-                if source_df is None:
+                source_spec = next(
+                    (catalog[k] for k in catalog.tree(root) if catalog[k].table_name == link.parent_table), None
+                )
+                if source_df is None or source_spec is None:
                     raise CatalogError(f"parent table {link.parent_table!r} not built yet")
             doc_col = columns.get(target.key, DOC) if has_paths else DOC
             doc_id = PATH_DOC_ID if PATH_DOC_ID in parsed.columns else spec.primary_key
             child = child_table(
-                source_df, parent_spec, link, target, docs, doc_id, with_document_id, doc_col
+                source_df, source_spec, link, target, docs, doc_id, with_document_id, doc_col
             )
             out.append((target.table_name, child))
             if target.children:
