@@ -166,3 +166,34 @@ def test_empty_input_loads_empty_tables(spark, edge_catalog, tmp_path):
     from unnestor import ParquetStore, load_database
     run = load_database(spark.createDataFrame([], "doc string"), edge_catalog, "t", ParquetStore(str(tmp_path / "o")))
     assert [(r.written, r.loaded, r.status) for r in run.tables] == [(0, 0, "ok")] * 5
+
+
+def test_layout_errors_are_clear(spark):
+    import pytest
+    from unnestor import Catalog, CatalogError
+    base = {"primary_key": "relationship_id",
+            "fields": [{"name": "relationship_id", "source_field": "_id"}, {"name": "s"}]}
+    child = {"is_array": True, "fields": [{"name": "nested_id", "generated": True}, {"name": "a"}, {"name": "b"}]}
+    docs = docs_df(spark, ['{"_id":"a","s":"x"}'])
+    missing = Catalog.from_dict({"m": {**base, "nested_tables": [{"field": "nope", "target_table": "c", "foreign_key": "m_id"}]}, "c": child})
+    with pytest.raises(CatalogError, match="does not have"):
+        normalize(docs, missing, "m")
+    wrong = Catalog.from_dict({"m": {**base, "nested_tables": [{"field": "s", "target_table": "c", "foreign_key": "m_id"}]}, "c": child})
+    with pytest.raises(CatalogError, match="is string"):
+        normalize(docs, wrong, "m")
+
+
+def test_single_layout_over_array_reads_as_array(spark):
+    import warnings
+    from unnestor import Catalog
+    cat = Catalog.from_dict({
+        "m": {"primary_key": "relationship_id",
+              "nested_tables": [{"field": "photos", "target_table": "m_photos", "foreign_key": "m_id"}],
+              "fields": [{"name": "relationship_id", "source_field": "_id"},
+                         {"name": "photos", "type": "array<map<string,string>>"}]},
+        "m_photos": {"fields": [{"name": "url"}, {"name": "status", "type": "integer"}]},  # no is_array
+    })
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        out = dict(normalize(docs_df(spark, ['{"_id":"a","photos":[{"url":"u","status":"2"}]}']), cat, "m"))
+    assert rows(out["m_photos"]) == [("a_0", "a", "u", 2)]

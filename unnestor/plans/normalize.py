@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.values import fill_defaults
 from ..operators.unnest import extract_path_items, flatten_struct, unnest_records, unnest_values
@@ -66,8 +67,27 @@ def child_table(
     taken at its path."""
     kind = target.kind(link)
     pk = parent_spec.primary_key
-    if kind != PATH and not pk:
-        raise CatalogError(f"layout {parent_spec.key!r} needs a primary_key for its children")
+    if kind != PATH:
+        if not pk:
+            raise CatalogError(f"layout {parent_spec.key!r} needs a primary_key for its children")
+        if link.field not in parent.columns:
+            raise CatalogError(f"{target.key!r} reads field {link.field!r}, which {parent_spec.key!r} does not have")
+        dt = parent.schema[link.field].dataType
+        if kind == SINGLE and isinstance(dt, T.ArrayType):
+            # a layout without ``is_array`` over an array field: read it as the
+            # array it is (primitive or records, by the usual rule)
+            import warnings
+
+            warnings.warn(f"{target.key!r} lacks is_array but {link.field!r} is an array; reading it as one",
+                          stacklevel=2)
+            fk_names = {"id", "nested_id", target.foreign_key, link.foreign_key}
+            data = [f for f in target.fields if not f.generated and f.name not in fk_names]
+            kind = PRIMITIVE if len(data) == 1 else RECORDS
+        wanted = (T.StructType, T.MapType) if kind == SINGLE else (T.ArrayType,)
+        if not isinstance(dt, wanted):
+            raise CatalogError(
+                f"{target.key!r} is a {kind} child, but {parent_spec.key}.{link.field} is {dt.simpleString()}"
+            )
     if kind == PRIMITIVE:
         value = target.data_fields("id", target.foreign_key, link.foreign_key)[0]
         return unnest_values(parent, pk, link.field, link.foreign_key, value.name, value.data_type())
