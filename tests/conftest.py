@@ -96,3 +96,7 @@ def docs_df(spark, docs):
 def rows(df, *cols):
     cols = cols or tuple(df.columns)
     return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
+
+
+TESTDATA = "/root/testdata"
+needs_testdata = pytest.mark.skipif(not os.path.isdir(TESTDATA), reason="driver tables not present")

@@ -5,7 +5,7 @@ import pytest
 from unnestor.plans.pipeline import ENTITIES, load_database, run_databases
 from unnestor.sinks.tables import ParquetStore
 
-from .conftest import docs_df
+from .conftest import needs_testdata, docs_df
 
 DOCS = [
     '{"_id":"a","prim":[1,2],"arr":[{"k":"1","v":"x"}],"st":{"p":"1","items":[{"ID":"i1","v":"q"}]}}',
@@ -94,6 +94,7 @@ def test_keyless_documents_are_not_merged(spark, edge_catalog, tmp_path):
     assert (main.loaded, main.rejected) == (1, 3)
 
 
+@needs_testdata
 def test_load_of_multi_page_documents_matches_sql(spark, tmp_path):
     import duckdb
 

@@ -1,5 +1,6 @@
 """Skew-safe positions and bounded document pages, against brute force."""
 
+from .conftest import needs_testdata
 import random
 
 from pyspark.sql import functions as F
@@ -59,6 +60,7 @@ def test_exact_path_beyond_broadcast_bound(spark, monkeypatch):
                    ("hot", 2): list(range(20, 25)), ("cold", 0): [0, 1, 2]}
 
 
+@needs_testdata
 def test_multi_page_order_documents_match_sql(spark):
     """Order documents with a page size of 3, so most orders span several
     documents; keys and values checked against the same rule in DuckDB."""
@@ -96,6 +98,7 @@ def test_exact_path_when_broadcast_disabled(spark):
     assert got == {("hot", 0): [0, 1, 2, 3, 4], ("hot", 1): [5, 6, 7, 8, 9], ("hot", 2): [10, 11], ("cold", 0): [0]}
 
 
+@needs_testdata
 def test_spread_keeps_tiny_tables_whole(spark, tmp_path):
     from unnestor.sources.tables import spread
     tiny = spark.createDataFrame([(i,) for i in range(10)], "x int").coalesce(1)
