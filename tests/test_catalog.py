@@ -95,3 +95,19 @@ a:
         warnings.simplefilter("ignore")
         assert Catalog.from_yaml_text(text, duplicates="first")["a"].table_name == "first"
         assert Catalog.from_yaml_text(text, duplicates="last")["a"].table_name == "second"
+
+
+def test_validate_tree(edge_catalog):
+    edge_catalog.validate("t")
+    bad = Catalog.from_dict({
+        "m": {"fields": [{"name": "x"}],
+              "nested_tables": [{"field": "nope", "target_table": "c"}, {"field": "x", "target_table": "gone"}]},
+        "c": {"is_array": True, "fields": [{"name": "a"}, {"name": "b"}]},
+    })
+    found = bad.problems("m")
+    assert any("unknown layout 'gone'" in p for p in found)
+    assert any("no primary_key" in p for p in found)
+    assert any("does not declare" in p for p in found)
+    with pytest.raises(CatalogError):
+        bad.validate("m")
+    assert Catalog().problems("m") == ["unknown root layout 'm'"]

@@ -281,6 +281,46 @@ class Catalog:
     def table_names(self, root: str) -> list[str]:
         return [self[k].table_name for k in self.tree(root) if k in self.tables]
 
+    def problems(self, root: str) -> list[str]:
+        """Metadata-only checks of a tree: every link's target exists, parents
+        of non-path children declare a primary key and the linked field, and
+        no two tables of the tree write the same (sanitised) name."""
+        from ..functions.values import sanitize_name
+
+        out: list[str] = []
+        if root not in self.tables:
+            return [f"unknown root layout {root!r}"]
+        seen: dict[str, str] = {}
+        for key in self.tree(root):
+            spec = self.tables.get(key)
+            if spec is None:
+                continue
+            clean = sanitize_name(spec.table_name)
+            if clean in seen and seen[clean] != key:
+                out.append(f"{key!r} and {seen[clean]!r} both write table {clean!r}")
+            seen.setdefault(clean, key)
+            for link in spec.children:
+                target = self.tables.get(link.target)
+                if target is None:
+                    out.append(f"{key!r} links to unknown layout {link.target!r}")
+                    continue
+                if target.kind(link) == PATH:
+                    continue
+                parent = spec  # the table the child reads: its parent, or the named one
+                if link.parent_table:
+                    parent = next((t for t in self.tables.values() if t.table_name == link.parent_table), spec)
+                if not parent.primary_key:
+                    out.append(f"{parent.key!r} has children but no primary_key")
+                if parent.field(link.field) is None:
+                    out.append(f"{link.target!r} reads {link.field!r}, which {parent.key!r} does not declare")
+        return out
+
+    def validate(self, root: str) -> None:
+        """Raise ``CatalogError`` listing every problem of the tree."""
+        found = self.problems(root)
+        if found:
+            raise CatalogError("; ".join(found))
+
 
 def _load_yaml_unique(text: str, duplicates: str = "error") -> dict:
     """YAML load with an explicit rule for repeated mapping keys: reject them
