@@ -58,6 +58,7 @@ def load_database(
     With ``dedupe``, repeated documents (same key) are resolved once, before
     staging: the version with the greatest ``order_by`` (a column of the main
     layout; without it the greatest row) wins, with all its children."""
+    catalog.validate(root)  # layout mistakes fail here, all at once, before any job
     spec = catalog[root]
     spark = docs.sparkSession
     resolve = dedupe and spec.primary_key in parse_documents_columns(spec)
