@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, sharding, simhash
+from . import decontaminate, mixing, sharding, simhash, toxicity
 from .common import table
 
 N_SHARDS = 40
@@ -19,6 +19,18 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.copies(table(spark, sf_dir, "documents")))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs.select("doc_id", "text"), model).select("doc_id", "severity", "p_toxic", "toxic")
+
+
+def op4_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that documents hold."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards of near equal bytes, contiguous in the order of the id."""
     keys = sharding.shard_keys(table(spark, sf_dir, "documents"))
@@ -50,7 +62,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_source_mix, op5_byte_shards, op6_simhash)}
+    return {f.__name__: f for f in (op1_source_mix, op2_toxicity, op4_leaks, op5_byte_shards, op6_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
