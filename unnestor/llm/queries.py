@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, sharding, simhash, toxicity
+from ..plans.staging import staging_path
+from . import compression_quality, decontaminate, mixing, sharding, simhash, token_files, toxicity
 from .common import table
 
 N_SHARDS = 40
@@ -61,8 +62,35 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from four fifths of the labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = compression_quality.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return compression_quality.score(docs, model).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    """Path of a public tokenizer's vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, read back from the files they were written to."""
+    path = staging_path(spark, "tokens")
+    token_files.write(table(spark, sf_dir, "documents"), path, tokenizer_file())
+    return token_files.read(spark, path)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_source_mix, op2_toxicity, op4_leaks, op5_byte_shards, op6_simhash)}
+    found = (
+        op1_source_mix, op2_toxicity, op4_leaks, op5_byte_shards, op6_simhash,
+        op9_compression_quality, op10_token_files,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
