@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.staging import staging_path
-from . import compression_quality, decontaminate, mixing, sharding, simhash, token_files, toxicity
+from . import compression_quality, decontaminate, html_text, mixing, pq_dedup, sharding, simhash, token_files, toxicity
 from .common import table
 
 N_SHARDS = 40
@@ -27,6 +27,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs.select("doc_id", "text"), model).select("doc_id", "severity", "p_toxic", "toxic")
 
 
+def op3_embedding_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and near-duplicate component of every vector."""
+    return pq_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark items that documents hold."""
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -62,6 +67,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = html_text.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op9_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learnt from four fifths of the labels."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -87,7 +98,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
-        op1_source_mix, op2_toxicity, op4_leaks, op5_byte_shards, op6_simhash,
+        op1_source_mix, op2_toxicity, op3_embedding_components, op4_leaks, op5_byte_shards, op6_simhash, op7_page_text,
         op9_compression_quality, op10_token_files,
     )
     return {f.__name__: f for f in found}
