@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.staging import staging_path
-from . import compression_quality, decontaminate, html_text, mixing, pq_dedup, sharding, simhash, token_files, toxicity
+from . import compression_quality, decontaminate, html_text, mixing, ngram_lm, pq_dedup, sharding, simhash, token_files, toxicity
 from .common import table
 
 N_SHARDS = 40
@@ -73,6 +73,11 @@ def op7_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+def op8_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model score of every document."""
+    return ngram_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op9_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learnt from four fifths of the labels."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -98,7 +103,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
-        op1_source_mix, op2_toxicity, op3_embedding_components, op4_leaks, op5_byte_shards, op6_simhash, op7_page_text,
+        op1_source_mix, op2_toxicity, op3_embedding_components, op4_leaks, op5_byte_shards, op6_simhash, op7_page_text, op8_backoff_scores,
         op9_compression_quality, op10_token_files,
     )
     return {f.__name__: f for f in found}
