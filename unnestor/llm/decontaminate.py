@@ -188,10 +188,10 @@ class Index:
             gaps = np.flatnonzero(np.diff(starts) > len(seq)) + 1
             for part in np.split(np.array(starts), gaps):
                 most = min(allowed(len(seq)), best[at][0] - 1 if at in best else len(seq))
-                region = ids[part[0] : min(part[-1] + len(seq) + most, last[at[0]])]
-                hit = nearest(seq, region, most)
+                begin = max(int(part[0]) - most, int(last[at[0]] - lens[at[0]]))
+                hit = nearest(seq, ids[begin : min(part[-1] + len(seq) + most, last[at[0]])], most)
                 if hit:
-                    best[at] = (hit[0], int(part[0]) + hit[1], hit[2])
+                    best[at] = (hit[0], begin + hit[1], hit[2])
         out: list[list[dict]] = [[] for _ in docs]
         for (doc, item), (distance, start, n) in best.items():
             out[doc].append({

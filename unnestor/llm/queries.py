@@ -52,12 +52,12 @@ with d as (
   select doc_id, coalesce(octet_length(encode(text)), 0) + {sharding.OVERHEAD} as size, text from documents
 ), p as (
   select *, sum(size) over (order by doc_id) - size as start, sum(size) over () as total,
-         row_number() over (order by doc_id) - 1 as at
+         row_number() over (order by doc_id) - 1 as place
   from d
 ), s as (
   select *, cast(least({N_SHARDS - 1}, ((2 * start + size) * {N_SHARDS}) // (2 * total)) as integer) as shard from p
 )
-select doc_id, size, shard, at - min(at) over (partition by shard) as slot from s
+select doc_id, size, shard, place - min(place) over (partition by shard) as slot from s
 """
 
 

@@ -81,17 +81,33 @@ ORDER = ["doc_id", "text_crc32", "size", "row"]
 def shard_documents(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with a column ``shard``: contiguous in the order of the id, of
     near equal bytes. Texts are not shuffled: the shards of the slim rows give
-    each shard's first key (``n_shards`` rows on the driver), and every
-    document compares its key with those. An input column ``shard`` is replaced."""
+    each shard's first and last key (``n_shards`` rows on the driver), and
+    every document compares its key with those. The rows of a key that a cut
+    divides are dealt to its shards in proportion, by hash of their place.
+    An input column ``shard`` is replaced."""
+    parts = ["doc_id", "text_crc32", "size"]
     cut = contiguous_shards(shard_keys(docs, id_col, text_col), n_shards, ORDER)
-    cuts = cut.groupBy("shard").agg(F.min(F.struct(*ORDER)).alias("first")).orderBy("shard").collect()
+    key = F.struct(*parts)
+    cuts = cut.groupBy("shard").agg(F.min(key).alias("first"), F.max(key).alias("last")).orderBy("shard").collect()
+    literal = lambda k: F.struct(*[F.lit(k[c]).cast("bigint").alias(c) for c in parts])
+    own = F.col("__key")
+    shard = F.lit(cuts[0]["shard"] if cuts else 0)
+    for r in cuts[1:]:
+        shard = F.when(own >= literal(r["first"]), F.lit(r["shard"])).otherwise(shard)
+    divided = {b["first"] for a, b in zip(cuts, cuts[1:]) if a["last"] == b["first"]}
+    for k in divided:
+        same = cut.where(key.eqNullSafe(literal(k))).groupBy("shard").count().orderBy("shard").collect()
+        end = sum(r["count"] for r in same)
+        place = F.pmod(F.xxhash64("__place"), F.lit(end))
+        dealt = F.lit(same[-1]["shard"])
+        for r in reversed(same):
+            dealt = F.when(place < end, F.lit(r["shard"])).otherwise(dealt)
+            end -= r["count"]
+        shard = F.when(own.eqNullSafe(literal(k)), dealt).otherwise(shard)
     text = F.col(f"`{text_col}`")
-    key = F.struct(
+    mine = F.struct(
         F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
-        document_size(text).alias("size"), F.monotonically_increasing_id().alias("row"),
+        document_size(text).alias("size"),
     )
-    shard = F.lit(cuts[0]["shard"] if cuts else 0)
-    for r in cuts[1:]:
-        start = F.struct(*[F.lit(r["first"][c]).cast("bigint").alias(c) for c in ORDER])
-        shard = F.when(F.col("__key") >= start, F.lit(r["shard"])).otherwise(shard)
-    return docs.withColumn("__key", key).withColumn("shard", shard.cast("int")).drop("__key")
+    placed = docs.withColumn("__key", mine).withColumn("__place", F.monotonically_increasing_id())
+    return placed.withColumn("shard", shard.cast("int")).drop("__key", "__place")

@@ -3,8 +3,9 @@ severity grades on sparse text features.
 
 P(grade > k) = sigmoid(w.x - t_k): one weight vector, ordered thresholds t_k.
 x says how often words, and word beginnings of 4, 5 and 6 bytes, occur in the
-text: 1 from one word in ``OFTEN`` on, less if rarer, so that a long text isn't
-marked by chance. An L1 penalty leaves few weights, so scoring a text is a set
+text, on two scales: 1 from one word in 600 on, so that a long text isn't
+marked by chance, and 1 from one word in 50 on, for what clean texts hold at
+times. An L1 penalty leaves few weights, so scoring a text is a set
 intersection. The labels are binary; a toxic text's grade is the third it
 falls in by how many distinct marked features it holds.
 """
@@ -25,13 +26,14 @@ from .common import attach, stage_at, unstage
 SAMPLE = 3000  # labelled rows of each class that the fit uses at most, by hash of the id
 FEATURES = 3000  # features it uses at most
 TELLING = 4  # they are as many times as frequent in toxic rows at least
+CERTAIN = 15  # chi-squared statistic they have at least: hundreds of thousands are tried
 MIN_ROWS = 3  # sample rows a feature occurs in at least
 STARTS = (4, 5, 6)
 GRADES = 4
 PENALTY = 5e-4
 STEPS = 400
-OFTEN = 600
-LIMIT = 0.15  # a text is rejected if P(grade > 0) is at least this
+SCALES = (600, 50)
+LIMIT = 0.15  # a text that holds marked features is rejected if P(grade > 0) is at least this
 
 # everything but ASCII letters and digits and bytes over 127 separates words
 _SEPARATORS = bytes(b if chr(b).isalnum() and b < 128 or b > 127 else 32 for b in range(256))
@@ -56,17 +58,21 @@ def occurrences(own: Counter, start: int, names) -> Counter:
 
 
 def features(text: str | None, names: dict[int, set[bytes]] | None = None) -> dict[bytes, float]:
-    """Feature values of a text, of all features or of those named by kind:
-    words and beginnings of words, marked by their length."""
+    """Features of a text and their shares of its words, all or those named by
+    kind: words and beginnings of words, marked by their length."""
     own = words(text)
-    scale = OFTEN / max(1, own.total())
+    total = max(1, own.total())
     found = {}
     for n in (0, *STARTS):
         for w, k in occurrences(own, n, own.keys() | {w[:n] for w in own} if names is None else names.get(n, set())).items():
-            found[(b"%d" % n if n else b"w") + w] = min(1.0, k * scale)
+            found[(b"%d" % n if n else b"w") + w] = k / total
     return found
 
 
+def scaled(share: float) -> tuple[float, ...]:
+    return tuple(min(1.0, share * s) for s in SCALES)
+
+
 def by_kind(names) -> dict[int, set[bytes]]:
     """Feature names by the bytes of the beginning they mean, 0 for whole words."""
     kinds: dict[int, set[bytes]] = {}
@@ -77,9 +83,9 @@ def by_kind(names) -> dict[int, set[bytes]]:
 
 @dataclass
 class Model:
-    """Weights by feature and the ascending thresholds of the grades."""
+    """Weights by feature, one per scale, and the ascending thresholds of the grades."""
 
-    weights: dict[bytes, float] = field(default_factory=dict)
+    weights: dict[bytes, tuple[float, ...]] = field(default_factory=dict)
     thresholds: list[float] = field(default_factory=lambda: [50.0] * (GRADES - 1))
 
 
@@ -89,7 +95,8 @@ def _scores(text: Column, model: Model) -> Column:
     @F.arrow_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.array([sum(weights[f] * x for f, x in features(t.as_py(), kinds).items()) for t in texts], pa.float64())
+            found = (features(t.as_py(), kinds) for t in texts)
+            yield pa.array([float(sum(w * x for f, share in fs.items() for w, x in zip(weights[f], scaled(share)))) for fs in found], pa.float64())
 
     return score(text)
 
@@ -100,14 +107,14 @@ def _feature_names(text: Column) -> Column:
     @F.arrow_udf("array<string>")
     def names(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            out = [[f.decode("latin-1") for f, x in features(t.as_py()).items() if x >= 0.5] for t in texts]
+            out = [[f.decode("latin-1") for f, share in features(t.as_py()).items() if scaled(share)[0] >= 0.5] for t in texts]
             yield pa.array(out, pa.list_(pa.string()))
 
     return names(text)
 
 
 def _feature_values(text: Column, ids: dict[bytes, int]) -> Column:
-    """Numbers and values of the features that ``ids`` names."""
+    """Numbers and shares of the features that ``ids`` names."""
     kinds = by_kind(ids)
     kind = pa.list_(pa.struct([("i", pa.int32()), ("x", pa.float64())]))
 
@@ -166,7 +173,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rate = F.col("all") / (n0 + n1)
     good = F.col("all") - F.col("bad")
     strength = F.pow(F.col("bad") / n1 - good / n0, F.lit(2)) / F.greatest(rate * (1 - rate), F.lit(1e-9))
-    best = seen.select("f", ((F.col("bad") + 0.5) / (n1 + 1) / ((good + 0.5) / (n0 + 1))).alias("ratio"), strength.alias("s")).where(F.col("ratio") >= TELLING).orderBy(
+    best = seen.select("f", ((F.col("bad") + 0.5) / (n1 + 1) / ((good + 0.5) / (n0 + 1))).alias("ratio"), strength.alias("s")).where(
+        (F.col("ratio") >= TELLING) & (F.col("s") * (n1 * n0 / (n1 + n0)) >= CERTAIN)).orderBy(
         F.desc("s"), "f").limit(FEATURES).collect()
     names = [r["f"].encode("latin-1") for r in best]
     marked = np.array([r["ratio"] >= 20 for r in best], bool)
@@ -175,32 +183,39 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     unstage(spark, at)
     counts = np.array([len(r["held"]) for r in held])
     cols = np.array([f["i"] for r in held for f in r["held"]], np.int64)
-    x = np.array([f["x"] for r in held for f in r["held"]], float)
+    share = np.array([f["x"] for r in held for f in r["held"]], float)
     at_row = np.repeat(np.arange(len(held)), counts)
     bad = np.array([r["label"] for r in held], bool)
-    hits = np.bincount(at_row, weights=marked[cols] if len(cols) else None, minlength=len(held))
+    hits = np.bincount(at_row, weights=marked[cols] * 1.0, minlength=len(held)) if len(cols) else np.zeros(len(held))
     edges = np.quantile(hits[bad], [i / (GRADES - 1) for i in range(1, GRADES - 1)])
     grades = np.where(bad, 1 + (hits[:, None] > edges).sum(axis=1), 0)
-    weights, thresholds = fit_ordinal(at_row, cols, x, grades, len(names), GRADES)
-    return Model({f: float(w) for f, w in zip(names, weights) if w}, [float(t) for t in thresholds])
+    k = len(names)
+    weights, thresholds = fit_ordinal(
+        np.tile(at_row, len(SCALES)), np.concatenate([cols + i * k for i in range(len(SCALES))]),
+        np.concatenate([np.minimum(1.0, share * s) for s in SCALES]), grades, k * len(SCALES), GRADES)
+    by_name = weights.reshape(len(SCALES), k).T
+    return Model({f: tuple(map(float, w)) for f, w in zip(names, by_name) if w.any()}, [float(t) for t in thresholds])
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``severity`` (expected grade, 0 to 3), ``p_toxic`` (chance
-    of a grade over 0) and ``toxic`` (p_toxic >= ``LIMIT``). Null and empty
-    texts hold no features; they get the scores of any text without marks.
+    of a grade over 0) and ``toxic`` (p_toxic >= ``LIMIT``, on marked features).
+    Null and empty texts hold no features; they get the scores of any text
+    without marks and are never toxic.
     Input columns of these names are replaced."""
     out = docs.withColumn("__score", _scores(F.col(f"`{text_col}`"), model))
     above = [F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(t) - F.col("__score"))) for t in model.thresholds]
     total = above[0]
     for a in above[1:]:
         total = total + a
-    return out.withColumn("severity", total).withColumn("p_toxic", above[0]).withColumn("toxic", F.col("p_toxic") >= LIMIT).drop("__score")
+    return out.withColumn("severity", total).withColumn("p_toxic", above[0]).withColumn(
+        "toxic", (F.col("p_toxic") >= LIMIT) & (F.col("__score") > 0)).drop("__score")
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that the fitted model doesn't reject, with their columns."""
     model = fit(docs, labels, id_col, text_col)
     marked = docs.withColumn("__score", _scores(F.col(f"`{text_col}`"), model))
-    # p_toxic < LIMIT
-    return marked.where(F.col("__score") < model.thresholds[0] + float(np.log(LIMIT / (1 - LIMIT)))).drop("__score")
+    # p_toxic < LIMIT, or nothing marked
+    least = model.thresholds[0] + float(np.log(LIMIT / (1 - LIMIT)))
+    return marked.where(F.col("__score") < F.greatest(F.lit(least), F.lit(1e-12))).drop("__score")
