@@ -5,7 +5,7 @@ import pytest
 from unnestor.plans.pipeline import ENTITIES, load_database, run_databases
 from unnestor.sinks.tables import ParquetStore
 
-from .conftest import needs_testdata, docs_df
+from .conftest import docs_df, needs_testdata, rows
 
 DOCS = [
     '{"_id":"a","prim":[1,2],"arr":[{"k":"1","v":"x"}],"st":{"p":"1","items":[{"ID":"i1","v":"q"}]}}',
@@ -129,4 +129,16 @@ def test_command_line_jdbc(spark, tmp_path):
     except Exception as ex:  # noqa: BLE001
         import pytest
         pytest.skip(f"embedded Derby not usable here: {str(ex)[:200]}")
-    assert rc == 0
+    assert rc == 1  # the document without a key is set aside with nowhere to keep it
+
+
+def test_versions_by_stored_key_and_unknown_order(spark, edge_catalog, tmp_path):
+    from unnestor.plans.catalog import CatalogError
+
+    docs = docs_df(spark, ['{"_id":"a","n":1,"prim":[1,2]}', '{"_id":"a\\u0000","n":2,"prim":[7]}', '{"_id":"  ","n":3}'])
+    store = ParquetStore(str(tmp_path / "s"))
+    load_database(docs, edge_catalog, "t", store, order_by="n")
+    assert rows(store.read(spark, "t"), "relationship_id", "n") == sorted([("  ", 3), ("a", 2)], key=repr)
+    assert rows(store.read(spark, "t_prim"), "value") == [(7,)]
+    with pytest.raises(CatalogError):
+        load_database(docs, edge_catalog, "t", store, order_by="nn")

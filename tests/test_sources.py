@@ -3,7 +3,7 @@
 import pytest
 
 from unnestor import parse_documents, read_document_lines, read_envelope, rejected_documents
-from unnestor.sources.documents import documents_from
+from unnestor.sources.documents import documents_from, rejected_lines, unwrap_envelope
 
 from .conftest import docs_df, rows
 
@@ -30,6 +30,27 @@ def test_line_dump(spark, tmp_path):
     assert [r[0] for r in got] == ["d1", "d3"]
 
 
+BROKEN = ['{"id":"a","doc":{"_id":"a"}},', '{"id":"b","doc":{"_id":', "text", '{"x":1}', '{"_id":"d","doc":"free text"}', '{"id":"e","doc":"text"}',
+          '{"id":"f","doc":null}', "", "]}", '{"rows":[']
+
+
+def test_broken_lines(spark, tmp_path):
+    p = tmp_path / "db.txt"
+    p.write_text("\n".join(BROKEN))
+    with pytest.raises(Exception, match="not a JSON object|doc is not an object"):
+        read_document_lines(spark, str(p)).collect()
+    got = rows(read_document_lines(spark, str(p), "permissive"))
+    assert got == sorted([("a", '{"_id":"a"}'), (None, '{"x":1}'), ("d", BROKEN[4])], key=repr)
+    bad = rows(rejected_lines(spark.read.text(str(p))))
+    assert sorted(b[1] for b in bad) == sorted([BROKEN[1], BROKEN[5], "text"])
+
+
+def test_broken_envelope(spark):
+    texts = spark.createDataFrame([('{"rows":[{"id":"a","doc":{"_id":"a"}},{"id":"b","doc":{"_id":',)], "value string")
+    with pytest.raises(Exception):
+        unwrap_envelope(texts).collect()
+
+
 def test_documents_from_struct(spark):
     df = spark.createDataFrame([("a", 1)], "_id string, n int")
     from pyspark.sql import functions as F

@@ -71,10 +71,12 @@ def main(argv: list[str] | None = None) -> int:
     failed = False
     for run in runs:
         for r in run.tables:
-            failed |= r.status != "ok"
+            # rows set aside with nowhere to keep them are lost
+            failed |= r.status != "ok" or (r.rejected > 0 and quarantine is None)
             print(json.dumps({"database": run.database, "table": r.table, "written": r.written,
                               "loaded": r.loaded, "rejected": r.rejected, "status": r.status}))
         if run.rejected_documents:
+            failed |= quarantine is None
             print(json.dumps({"database": run.database, "rejected_documents": run.rejected_documents}))
     return 1 if failed else 0
 

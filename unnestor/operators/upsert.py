@@ -3,7 +3,7 @@
 The store semantics are "insert, and on a key conflict the later row replaces
 the earlier one". Distributed input has no arrival order, so the caller names
 an ordering column (or columns); without one the greatest row wins, which is
-deterministic too.
+the same on every run but says nothing about which arrived last.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.values import strip_control
 from ..plans.sizing import fits_broadcast, measure
 
 
@@ -97,13 +98,14 @@ def merge_upsert(
 
 
 def blank_key(key: str | Sequence[str], schema: T.StructType) -> Column:
-    """True where any key column is null, or blank text (blank text becomes
-    null on load, so such a row could never be stored)."""
+    """True where any key column is null, or text that is empty once control
+    characters are gone (it becomes null on load, so such a row could never
+    be stored)."""
     conds = []
     for k in _keys(key):
         c = _q(k)
         if isinstance(schema[k].dataType, T.StringType):
-            conds.append(c.isNull() | (F.trim(c) == ""))
+            conds.append(c.isNull() | (strip_control(c) == ""))
         else:
             conds.append(c.isNull())
     out = conds[0]

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.values import strip_control
 from ..operators.upsert import blank_key, latest_per_key
 from ..sinks.tables import LoadReport, Store, load_table
-from ..sources.documents import DOC, DOC_HASH, REJECT, read_document_lines, read_envelope
-from .catalog import Catalog
+from ..sources.documents import DOC, DOC_HASH, REJECT, read_document_lines, read_envelope, rejected_lines
+from .catalog import Catalog, CatalogError
 from .normalize import extract_table, normalize_parsed, parse_tree
 from .staging import stage_at, unstage
 
@@ -57,7 +58,9 @@ def load_database(
 
     With ``dedupe``, repeated documents (same key) are resolved once, before
     staging: the version with the greatest ``order_by`` (a column of the main
-    layout; without it the greatest row) wins, with all its children."""
+    layout) wins, with all its children. Without ``order_by`` it is the one
+    whose text has the greatest hash: arbitrary, though the same on every run.
+    Keys are compared as they are stored, without control characters."""
     catalog.validate(root)  # layout mistakes fail here, all at once, before any job
     spec = catalog[root]
     spark = docs.sparkSession
@@ -69,7 +72,9 @@ def load_database(
         # its children (keys of child rows derive from the document key), so
         # no table needs a keyed shuffle of its own. Documents without a key
         # are not merged; they are set aside at the load.
-        order = order_by if order_by is not None and _has(parsed, order_by) else None
+        if order_by is not None and not _has(parsed, order_by):
+            raise CatalogError(f"layout {root!r} has no field {order_by!r} to order by")
+        order = order_by
         no_key = blank_key(spec.primary_key, parsed.schema)
         # one grouping key, so the documents are parsed once: the document key,
         # or for a document without one a per-row id (never merged, never a
@@ -77,7 +82,7 @@ def load_database(
         group = F.struct(
             no_key.alias("b"),
             F.when(no_key, F.monotonically_increasing_id()).alias("i"),
-            F.when(~no_key, F.col(spec.primary_key)).alias("k"),
+            F.when(~no_key, strip_control(F.col(spec.primary_key).cast("string"))).alias("k"),
         )
         keyed = parsed.withColumn("_grp", group)
         parsed = latest_per_key(keyed, "_grp", order, tiebreak=DOC_HASH).drop("_grp", DOC_HASH)
@@ -121,14 +126,24 @@ def _has(df: DataFrame, cols: str | Sequence[str]) -> bool:
     return all(c in df.columns for c in cols)
 
 
-def read_dump(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
+def read_dump(spark: SparkSession, path: str, layout: str = "lines", mode: str = "strict") -> DataFrame:
     if layout == "lines":
-        return read_document_lines(spark, path)
+        return read_document_lines(spark, path, mode)
     if layout == "envelope":
-        return read_envelope(spark, path)
+        return read_envelope(spark, path, mode)
     raise ValueError(f"unknown dump layout {layout!r}")
 
 
+def _set_aside_lines(spark: SparkSession, path: str, database: str, quarantine: Store | None) -> int:
+    """Count the lines of a dump that hold no document, and keep them."""
+    bad = rejected_lines(spark.read.text(path))
+    if quarantine is None:
+        return bad.count()
+    obs = Observation(f"rejected_lines_{uuid.uuid4().hex[:12]}")
+    quarantine.write(bad.observe(obs, F.count(F.lit(1)).alias("n")), f"{database}__lines_rejected")
+    return int(obs.get["n"])
+
+
 def load_path_table(
     docs: DataFrame,
     catalog: Catalog,
@@ -138,10 +153,15 @@ def load_path_table(
     quarantine: Store | None = None,
     dedupe: bool = True,
 ) -> DatabaseRun:
-    """A path-extracted table loaded on its own, straight from the documents."""
+    """A path-extracted table loaded on its own, straight from the documents.
+    With ``dedupe``, one row per document and position stays (of documents
+    that repeat); their key column names both, whereas ids that hold ``_`` can
+    make two items' ``nested_id`` equal."""
     spec = catalog[key]
-    report = load_table(extract_table(docs, catalog, key), store, spec.table_name, spec.primary_key,
-                        load_mode, None, quarantine, dedupe)
+    items = extract_table(docs, catalog, key)
+    if dedupe and "id" in items.columns:
+        items, dedupe = latest_per_key(items, "id"), False
+    report = load_table(items, store, spec.table_name, spec.primary_key, load_mode, None, quarantine, dedupe)
     return DatabaseRun(spec.table_name, (report,))
 
 
@@ -163,10 +183,14 @@ def run_databases(
         raise ValueError(f"unknown database(s): {unknown}")
     runs = []
     for db, path in dumps.items():
-        docs = read_dump(spark, path, layout)
+        mode = load_options.get("mode", "strict")
+        docs = read_dump(spark, path, layout, mode)
         if db in bindings:
             runs.append(load_database(docs, catalog, bindings[db], store, **load_options))
         else:
             opts = {k: v for k, v in load_options.items() if k in ("load_mode", "quarantine", "dedupe")}
             runs.append(load_path_table(docs, catalog, STANDALONE_PATH_TABLES[db], store, **opts))
+        if layout == "lines" and mode == "permissive":
+            lost = _set_aside_lines(spark, path, db.replace("-", "_"), load_options.get("quarantine"))
+            runs[-1] = replace(runs[-1], rejected_documents=runs[-1].rejected_documents + lost)
     return runs

@@ -22,7 +22,7 @@ from ..plans.normalize import normalize, normalize_staged
 from ..plans.pipeline import load_database
 from ..plans.staging import stage, stage_text, staging_path
 from ..sinks.tables import ParquetStore
-from ..sources.documents import REJECT, parse_documents, read_document_lines, unwrap_envelope
+from ..sources.documents import REJECT, parse_documents, read_document_lines, scan_lines, unwrap_envelope
 from ..sources.tables import PAGE_SIZE, group_positions
 from .documents import (
     CONVERSATIONS, CUSTOMERS, EVENTS, LINE_ORDER, PARTS, SHOP, SHOP_TYPED, TURN_ORDER,
@@ -185,6 +185,36 @@ def order_scan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scan_result(read_document_lines(spark, path))
 
 
+@query("dump_rejects", """
+SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'not a JSON object' WHEN '5-LOW' THEN 'doc is not an object'
+         WHEN '2-HIGH' THEN 'document without a key' ELSE 'document' END AS kind,
+       count(*) AS rows, count(*) FILTER (o_orderpriority = '3-MEDIUM') AS with_doc_field
+FROM orders GROUP BY 1
+""")
+def dump_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A line dump of the orders with lines that are cut short, documents
+    without a key, bare documents that have a field ``doc`` and rows whose
+    ``doc`` isn't an object, written as text files and read back: every line
+    is a document or rejected with its reason."""
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey").cast("string")
+    whole = F.to_json(F.struct(key.alias("id"), F.struct(key.alias("_id"), F.col("o_orderstatus").alias("status")).alias("doc")))
+    line = (
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.expr("left(whole, length(whole) - 2)"))
+        .when(F.col("o_orderpriority") == "2-HIGH", F.to_json(F.struct(F.col("o_orderstatus").alias("status"))))
+        .when(F.col("o_orderpriority") == "3-MEDIUM", F.to_json(F.struct(key.alias("_id"), F.lit("free text").alias("doc"))))
+        .when(F.col("o_orderpriority") == "5-LOW", F.to_json(F.struct(key.alias("id"), F.lit("free text").alias("doc"))))
+        .otherwise(F.col("whole"))
+    )
+    path = stage_text(o.withColumn("whole", whole).select(F.concat(line, F.lit(",")).alias("value")), "order_dump_rejects")
+    found = scan_lines(spark.read.text(path))
+    kind = F.coalesce(F.col(REJECT), F.when(F.col("id").isNull(), "document without a key").otherwise("document"))
+    return found.groupBy(kind.alias("kind")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.coalesce(F.get_json_object("doc", "$.doc") == "free text", F.lit(False))).alias("with_doc_field"),
+    )
+
+
 # -- G1 P9 -------------------------------------------------------------------
 @query("embedding_values", """
 SELECT CAST(vec_id AS VARCHAR) || '_' || CAST(i - 1 AS VARCHAR) AS id,

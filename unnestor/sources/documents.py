@@ -32,14 +32,19 @@ REJECT = "_reject_reason"
 
 _ENVELOPE = "rows array<struct<id:string,doc:string>>"
 _ROW = "id string, doc string, _id string"
+# the lines around an envelope's rows
+_FRAME = r'^(\{[^{}]*"rows"\s*:\s*\[|\]\s*\}?)$'
 
 
 # -- S1 + S2 -----------------------------------------------------------------
-def unwrap_envelope(texts: DataFrame, column: str = "value") -> DataFrame:
+def unwrap_envelope(texts: DataFrame, column: str = "value", mode: str = "strict") -> DataFrame:
     """Envelope texts ``{"rows": [{"id": .., "doc": {..}}, ..]}`` ->
     ``DataFrame[id, doc]``; ``doc`` keeps the document's JSON text verbatim.
-    Rows whose document is null (deleted documents) are dropped."""
-    env = texts.select(F.from_json(F.col(column), _ENVELOPE).alias("e"))
+    Rows whose document is null (deleted documents) are dropped. A text that
+    isn't such an envelope fails the job in strict mode; in permissive mode
+    it gives no rows."""
+    options = {"mode": "FAILFAST" if mode == "strict" else "PERMISSIVE"}
+    env = texts.select(F.from_json(F.col(column), _ENVELOPE, options).alias("e"))
     # outer form + filter above it: no inferred size(rows) > 0 filter that
     # would be pushed below the parse and parse every envelope twice
     rows = env.select(F.explode_outer("e.rows").alias("r"))
@@ -48,32 +53,65 @@ def unwrap_envelope(texts: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def read_envelope(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Whole-envelope dump file(s): each file is one JSON value, read whole."""
-    return unwrap_envelope(spark.read.text(path, wholetext=True))
+def read_envelope(spark: SparkSession, path: str | list[str], mode: str = "strict") -> DataFrame:
+    """Whole-envelope dump file(s): each file is one JSON value, read whole by
+    one task, so for small databases; the usual dump, with one row per line,
+    is read in parallel by ``read_document_lines``."""
+    return unwrap_envelope(spark.read.text(path, wholetext=True), mode=mode)
 
 
-def document_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Line-per-row text -> ``DataFrame[id, doc]``. Each line is either an
-    envelope row ``{"id":..,"doc":{..}}`` or a bare document ``{"_id":..}``;
-    a trailing comma is allowed; lines that are neither (the envelope's head
-    and tail, blank lines) and rows with a null document are skipped."""
+def scan_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Line-per-row text -> ``DataFrame[id, doc, _reject_reason, line]``, a row
+    for every line but blank ones, the envelope's head and tail, and rows with
+    a null document (deleted documents).
+
+    A line is a bare document if it has ``_id``, else an envelope row if it
+    has ``doc``, else a bare document without a key (``id`` null). Lines that
+    are not whole JSON objects, and envelope rows whose ``doc`` isn't an
+    object, have no ``doc`` and a ``_reject_reason``. A trailing comma is
+    allowed."""
     line = F.regexp_replace(F.trim(F.col(column)), r",\s*$", "")
-    parsed = lines.select(line.alias("line")).where(F.col("line").startswith("{"))
-    row = F.from_json("line", _ROW)
-    wrapped = F.col("r.doc").isNotNull()
-    out = parsed.select(row.alias("r"), "line").select(
-        F.when(wrapped, F.col("r.id")).otherwise(F.col("r._id")).alias("id"),
-        F.when(wrapped, F.col("r.doc"))
-        .when(F.col("r._id").isNotNull(), F.col("line"))
-        .alias(DOC),
+    frame = F.col("line").rlike(_FRAME) | (F.col("line") == "")
+    row = F.from_json("line", f"{_ROW}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT})
+    # above a generator, so that the parse is evaluated once
+    parsed = lines.select(line.alias("line")).where(~frame).select("line", F.explode_outer(F.array(row)).alias("r"))
+    kind = (
+        F.when(F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull() | ~F.col("line").startswith("{"), "unreadable")
+        .when(F.col("r._id").isNotNull(), "bare")
+        .when(~F.coalesce(F.array_contains(F.json_object_keys("line"), "doc"), F.lit(False)), "bare")
+        .when(F.col("r.doc").isNull(), "deleted")
+        .when(F.ltrim("r.doc").startswith("{"), "row")
+        .otherwise("odd")
+    )
+    kinds = parsed.select("line", "r", F.explode_outer(F.array(kind)).alias("k")).where(F.col("k") != "deleted")
+    return kinds.select(
+        F.when(F.col("k") == "row", F.col("r.id")).when(F.col("k") == "bare", F.col("r._id")).alias("id"),
+        F.when(F.col("k") == "row", F.col("r.doc")).when(F.col("k") == "bare", F.col("line")).alias(DOC),
+        F.when(F.col("k") == "unreadable", "not a JSON object").when(F.col("k") == "odd", "doc is not an object").alias(REJECT),
+        "line",
     )
-    return drop_null_documents(out, ["id"])
 
 
-def read_document_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def document_lines(lines: DataFrame, column: str = "value", mode: str = "strict") -> DataFrame:
+    """The documents of line-per-row text, ``DataFrame[id, doc]`` (see
+    ``scan_lines``). A rejected line fails the job in strict mode and is left
+    to ``rejected_lines`` in permissive mode."""
+    scanned = scan_lines(lines, column)
+    good = F.col(REJECT).isNull()
+    if mode == "strict":
+        said = F.concat(F.col(REJECT), F.lit(": "), F.substring("line", 1, 200))
+        good = F.when(F.col(REJECT).isNotNull(), F.raise_error(said).cast("boolean")).otherwise(True)
+    return scanned.where(good).select("id", DOC)
+
+
+def rejected_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """``DataFrame[_reject_reason, doc]``: the lines that hold no document, as they are."""
+    return scan_lines(lines, column).where(F.col(REJECT).isNotNull()).select(REJECT, F.col("line").alias(DOC))
+
+
+def read_document_lines(spark: SparkSession, path: str | list[str], mode: str = "strict") -> DataFrame:
     """Line-per-row dump file(s); splittable, so large dumps scan in parallel."""
-    return document_lines(spark.read.text(path))
+    return document_lines(spark.read.text(path), mode=mode)
 
 
 def documents_from(df: DataFrame, column: str | Column = DOC) -> DataFrame:

@@ -139,7 +139,9 @@ def _finish(items: Column, build: ItemBuilder | None) -> Column:
 def _pages_by_positions(
     src: DataFrame, keys: list[str], order: list[str], page_size: int, build: ItemBuilder | None = None
 ) -> DataFrame:
-    ranked = group_positions(src, keys, order)
+    # ties fall back on the whole row, as they do in a single page
+    ties = [] if build is None else ["_item"]
+    ranked = group_positions(src, keys, [*order, *ties])
     paged = ranked.select(
         *keys,
         F.expr(f"pos div {int(page_size)}").alias("page"),

@@ -47,7 +47,7 @@ def start_incremental_load(
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    docs = document_lines(reader.load(source_dir))
+    docs = document_lines(reader.load(source_dir), mode=mode)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         load_database(batch, catalog, root, store, mode=mode, load_mode="upsert",
