@@ -15,9 +15,13 @@ wider values are exceptions. All numbers are little-endian.
 
 from __future__ import annotations
 
+import gc
+import re
 import struct
+import sys
 import zlib
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +34,7 @@ from .common import attach, partitions
 BLOCK = 128
 SHARE = 0.9
 SEGMENT = 1 << 20  # ids after which a segment is written
-CACHE = 400_000  # words whose ids a task keeps
+CACHE = 1_000_000  # words whose ids a Python worker keeps
 END = 2  # the id that ends a document
 
 MAGIC = b"PFR1"
@@ -116,10 +120,15 @@ def read_segment(data: bytes) -> tuple[np.ndarray, int, np.ndarray]:
     return docs, before, values.reshape(-1)[:n]
 
 
+# letters that all versions of Unicode know, and punctuation that ends a word on its own
+STEM = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
 class Encoder:
     """Ids of texts by a byte-level tokenizer, word by word. Its pattern never
     joins a space to the visible character before it, so the ids of a text are
-    those of its pieces between such places; pieces recur, so their ids are kept."""
+    those of its pieces between such places; nor does it join letters and the
+    punctuation after them. Pieces recur, so their ids are kept."""
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
@@ -128,43 +137,74 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.first: dict[str, bytes | None] = {}
-        self.later: dict[str, bytes | None] = {"": None}
+        self.gap = np.array(self.tokenizer.encode(" \0", add_special_tokens=False).ids)
+        self.stems: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {"": b""}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _learn(self, known: dict[str, bytes | None], pieces: set[str], space: str) -> None:
-        new = list(pieces - known.keys())
-        for i in range(0, len(new), 50_000):
-            part = new[i : i + 50_000]
-            for p, ids in zip(part, self._ids([space + p for p in part])):
-                # after white space the next space may belong to the piece's last word
-                known[p] = None if p[-1:].isspace() or not p[-1:].isprintable() else ids
+    def _stem_ids(self, stems: list[str]) -> None:
+        """Ids of words after a space, many in one text: a space and a zero
+        byte between them is encoded alone, and the words hold none."""
+        for i in range(0, len(stems), 4096):
+            part = stems[i : i + 4096]
+            text = "".join([f" {w} \0" for w in part])
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ends = (np.flatnonzero(ids == self.gap[-1]) + 1 - len(self.gap)).tolist()
+            raw, at = ids.tobytes(), 0
+            for w, end in zip(part, ends, strict=True):
+                self.stems[w] = raw[4 * at : 4 * end]
+                at = end + len(self.gap)
+
+    def _pieces(self, pieces: list[str], space: str) -> dict[str, bytes | None]:
+        """Ids of pieces after ``space``; None for those that end in white
+        space, to whose last word the next space may belong."""
+        known: dict[str, bytes | None] = {}
+        if space:
+            # strings alone: millions of small tuples would keep the garbage collector busy
+            found = list(map(STEM.fullmatch, pieces))
+            plain = [m[0] for m in found if m]
+            stems, tails = [m[1] for m in found if m], [m[2] for m in found if m]
+            pieces = [p for p, m in zip(pieces, found) if not m]
+            if len(self.stems) + len(self.tails) > CACHE:
+                self.stems, self.tails = {}, {"": b""}
+            self._stem_ids(list(set(stems) - self.stems.keys()))
+            ends = list(set(tails) - self.tails.keys())
+            self.tails.update(zip(ends, self._ids(ends)))
+            known.update(zip(plain, map(bytes.__add__, map(self.stems.__getitem__, stems), map(self.tails.__getitem__, tails))))
+        for p, ids in zip(pieces, self._ids([space + p for p in pieces])):
+            known[p] = None if p[-1:].isspace() or not p[-1:].isprintable() else ids
+        return known
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of unsigned 32-bit numbers."""
-        if len(self.first) + len(self.later) > CACHE:
-            self.first, self.later = {}, {"": None}
         split = [t.split(" ") for t in texts]
-        self._learn(self.first, {p[0] for p in split if p[0]}, "")
-        self._learn(self.later, set().union(*(p[1:] for p in split)), " ")
-        out: list[bytes] = []
-        later, slow = self.later, []
-        for i, pieces in enumerate(split):
-            head = self.first[pieces[0]] if pieces[0] else b""
-            try:
-                out.append(head + b"".join([later[p] for p in pieces[1:]]) if head is not None or len(pieces) == 1 else None)
-            except TypeError:
-                out.append(None)
-            if out[-1] is None:
-                slow.append(i)
+        first = self._pieces(list({p[0] for p in split if p[0]}), "")
+        later = self._pieces(list(set().union(*(p[1:] for p in split)) - {""}), " ")
+        out: list[bytes | None] = []
+        for pieces in split:
+            head = first[pieces[0]] if pieces[0] else b""
+            ids = list(map(later.get, pieces[1:]))
+            whole = len(pieces) == 1 or head is not None and None not in ids
+            # a first piece alone is a whole text, whatever it ends in
+            out.append(head + b"".join(ids) if whole and head is not None else None)
+        slow = [i for i, ids in enumerate(out) if ids is None]
         for i, ids in zip(slow, self._ids([texts[i] for i in slow])):
             out[i] = ids
         return out
 
 
+def worker_encoder(tokenizer_file: str) -> Encoder:
+    """The encoder that all tasks of a Python worker share."""
+    store = sys.modules.setdefault("_token_encoders", ModuleType("_token_encoders")).__dict__
+    if tokenizer_file not in store:
+        store[tokenizer_file] = Encoder(tokenizer_file)
+        gc.freeze()
+    return store[tokenizer_file]
+
+
 def write(docs: DataFrame, path: str, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text", end: int = END) -> None:
     """Write the ids of all documents to ``path`` in ascending order of the id
     (null first; equal ids by the hash of the text). Null texts are empty, so
@@ -173,7 +213,7 @@ def write(docs: DataFrame, path: str, tokenizer_file: str, id_col: str = "doc_id
     spark = docs.sparkSession
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seq, before = Encoder(tokenizer_file), TaskContext.get().partitionId(), 0, 0
+        encoder, part, seq, before = worker_encoder(tokenizer_file), TaskContext.get().partitionId(), 0, 0
         doc_ids: list[int | None] = []
         held: list[bytes] = []
         size, last = 0, struct.pack("<I", end)
@@ -186,8 +226,8 @@ def write(docs: DataFrame, path: str, tokenizer_file: str, id_col: str = "doc_id
 
         for batch in batches:
             texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
-            for i in range(0, len(texts), 256):
-                for d, own in zip(ids[i : i + 256], encoder.encode(texts[i : i + 256])):
+            for i in range(0, len(texts), 1024):
+                for d, own in zip(ids[i : i + 1024], encoder.encode(texts[i : i + 1024])):
                     doc_ids.append(d)
                     held.append(own + last)
                     size += len(own) // 4 + 1
