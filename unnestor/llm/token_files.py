@@ -34,7 +34,7 @@ from .common import attach, partitions
 BLOCK = 128
 SHARE = 0.9
 SEGMENT = 1 << 20  # ids after which a segment is written
-CACHE = 1_000_000  # words whose ids a Python worker keeps
+CACHE = 1_500_000  # words whose ids a Python worker keeps
 END = 2  # the id that ends a document
 
 MAGIC = b"PFR1"
@@ -48,15 +48,17 @@ SCHEMA = "part int, seq int, n_docs bigint, n_ids bigint, data binary"
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
     """Rows of ``BLOCK`` values at ``width`` bits each."""
-    bits = np.unpackbits(values.astype("<u4").view(np.uint8).reshape(*values.shape, 4), axis=2, bitorder="little")
+    word = 2 if width <= 16 else 4
+    bits = np.unpackbits(values.astype(f"<u{word}").view(np.uint8).reshape(*values.shape, word), axis=2, bitorder="little")
     return np.packbits(bits[:, :, :width].reshape(len(values), -1), axis=1, bitorder="little")
 
 
 def _unpack(data: np.ndarray, width: int) -> np.ndarray:
     bits = np.unpackbits(data, axis=1, bitorder="little").reshape(len(data), BLOCK, width)
-    full = np.zeros((len(data), BLOCK, 32), np.uint8)
+    word = 2 if width <= 16 else 4
+    full = np.zeros((len(data), BLOCK, 8 * word), np.uint8)
     full[:, :, :width] = bits
-    return np.packbits(full, axis=2, bitorder="little").view("<u4").reshape(len(data), BLOCK)
+    return np.packbits(full, axis=2, bitorder="little").view(f"<u{word}").reshape(len(data), BLOCK)
 
 
 def write_segment(doc_ids: list[int | None], counts: list[int], ids: np.ndarray, before: int) -> bytes:
@@ -226,8 +228,8 @@ def write(docs: DataFrame, path: str, tokenizer_file: str, id_col: str = "doc_id
 
         for batch in batches:
             texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
-            for i in range(0, len(texts), 1024):
-                for d, own in zip(ids[i : i + 1024], encoder.encode(texts[i : i + 1024])):
+            for i in range(0, len(texts), 2048):
+                for d, own in zip(ids[i : i + 2048], encoder.encode(texts[i : i + 2048])):
                     doc_ids.append(d)
                     held.append(own + last)
                     size += len(own) // 4 + 1
