@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, stage_at, unstage
+from .common import stage_at, unstage
 
 SAMPLE = 4000  # labelled rows of each class that are used at most, by hash of the id
 TEXT_BYTES = 1 << 15  # a sample text is at most as long
@@ -108,7 +108,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     pick = [known.where(f"label = {c}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * sample) for c in (0, 1)]
     texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where(
         F.octet_length("text").between(1, TEXT_BYTES))
-    joined, at = stage_at(attach(texts, pick[0].unionByName(pick[1]), ["doc_id"]), "quality-sample")
+    # at most 4 * sample ids: small enough to send to every task
+    joined, at = stage_at(texts.join(F.broadcast(pick[0].unionByName(pick[1])), "doc_id"), "quality-sample")
     of = [joined.where(f"label = {c}").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample) for c in (0, 1)]
     quarter = F.pmod(F.xxhash64(F.lit(7), F.col("doc_id")), F.lit(4))
     rows, at2 = stage_at(of[0].unionByName(of[1]).withColumn("quarter", quarter), "quality-rows")

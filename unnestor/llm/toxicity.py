@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, stage_at, unstage
+from .common import stage_at, unstage
 
 SAMPLE = 3000  # labelled rows of each class that the fit uses at most, by hash of the id
 FEATURES = 3000  # features it uses at most
@@ -162,7 +162,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     pick = [known.where(f"label = {c}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for c in (1, 0)]
     chosen = pick[0].unionByName(pick[1]).dropDuplicates(["doc_id"])
     texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    rows, at = stage_at(attach(texts, chosen, ["doc_id"]), "toxicity-sample")
+    # at most 2 * sample ids: small enough to send to every task
+    rows, at = stage_at(texts.join(F.broadcast(chosen), "doc_id"), "toxicity-sample")
     sizes = dict(rows.groupBy("label").count().collect())
     if not sizes.get(0) or not sizes.get(1):
         unstage(spark, at)
