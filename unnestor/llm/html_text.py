@@ -138,10 +138,10 @@ def page_lines(html: str | None) -> list[tuple[str, bool]]:
     return [(text, plain) for text, level, plain in lines if level >= best]
 
 
-def common_lines(a: list[str], b: list[str]) -> set[int]:
+def common_lines(a: list, b: list) -> set[int]:
     """Places of ``a`` in a longest common subsequence with ``b``: the longest
     rising run of places in ``b``, over the pairs of equal lines."""
-    places: dict[str, list[int]] = {}
+    places: dict = {}
     for j in range(len(b) - 1, -1, -1):
         places.setdefault(b[j], []).append(j)
     ends: list[int] = []
@@ -162,9 +162,10 @@ def common_lines(a: list[str], b: list[str]) -> set[int]:
     return found
 
 
-def difference(lines: list[tuple[str, bool]], other: list[str]) -> list[str]:
-    """The lines of a page that remain when compared with another page's."""
-    shared = common_lines([t for t, _ in lines], other)
+def difference(lines: list[tuple[str, bool]], own: list, other: list) -> list[str]:
+    """The lines of a page that remain when compared with another page's;
+    ``own`` and ``other`` are the hashes of both pages' lines."""
+    shared = common_lines(own, other)
     words = [len(t.split()) for t, _ in lines]
     if 2 * sum(words[i] for i in shared) > sum(words):
         return [t for t, _ in lines]
@@ -181,16 +182,16 @@ def _lines(html):
     return lines(html)
 
 
-def _difference(own, other):
+def _difference(lines, own, other):
     @F.arrow_udf("string")
-    def remain(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for pages, others in batches:
+    def remain(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for pages, keys, others in batches:
             out = []
-            for lines, there in zip(pages.to_pylist(), others.to_pylist()):
-                out.append("\n".join(difference([(r["text"], r["plain"]) for r in lines], there or [])))
+            for page, mine, there in zip(pages.to_pylist(), keys.to_pylist(), others.to_pylist()):
+                out.append("\n".join(difference([(r["text"], r["plain"]) for r in page], mine, there or [])))
             yield pa.array(out, pa.string())
 
-    return remain(own, other)
+    return remain(lines, own, other)
 
 
 def neighbours(urls: DataFrame) -> DataFrame:
@@ -222,19 +223,22 @@ def main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     that page differencing leaves, one per line, white space inside a block as
     one space. Null or empty html gives an empty text. Pages without a
     readable URL are not paired. An input column ``text`` is replaced."""
-    url = F.col(f"`{url_col}`")
+    url, html = F.col(f"`{url_col}`"), F.col(f"`{html_col}`")
     others = [c for c in pages.columns if c not in (html_col, "text")]
+    # pages are named by their content, so equal ones are one page of the search
+    name = F.concat(F.hex(F.xxhash64(url, html)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), html, url)))
+    keys = lambda lines: F.transform(lines, lambda r: F.xxhash64(r["text"]))
     cut = stage(
         pages.select(
-            F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in others]).alias("page"),
-            F.lower(F.try_parse_url(url, F.lit("HOST"))).alias("host"),
-            F.rtrim(F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit("")), F.lit("/")).alias("path"),
-            _lines(F.col(f"`{html_col}`")).alias("lines"),
-        ),
-        "page-lines",
+            name.alias("row"), F.lower(F.try_parse_url(url, F.lit("HOST"))).alias("host"),
+            F.rtrim(F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit("")), F.lit("/")).alias("path"), _lines(html).alias("lines"),
+        ).select("row", "host", "path", keys(F.col("lines")).alias("keys")).dropDuplicates(["row"]),
+        "page-keys",
     )
     pairs = stage(neighbours(cut.select("row", "host", "path")), "page-pairs")
-    there = cut.select(F.col("row").alias("other"), F.col("lines.text").alias("there"))
+    there = cut.select(F.col("row").alias("other"), F.col("keys").alias("there"))
     paired = pairs.join(there.hint("merge"), "other").select(F.col("row").alias("__row"), "there")
-    joined = cut.join(paired.hint("merge"), F.col("row") == F.col("__row"), "left")
-    return joined.select("page", _difference(F.col("lines"), F.col("there")).alias("text")).select("page.*", "text")
+    own = pages.select(
+        name.alias("row"), F.struct(*[F.col(f"`{c}`") for c in others]).alias("page"), _lines(html).alias("lines"))
+    joined = own.join(paired.hint("merge"), F.col("row") == F.col("__row"), "left")
+    return joined.select("page", _difference(F.col("lines"), keys(F.col("lines")), F.col("there")).alias("text")).select("page.*", "text")
