@@ -279,6 +279,19 @@ def test_backoff_scores_equal_brute_force(spark):
         assert got[d].log_score == pytest.approx(sum(logs)) and got[d].word_score == pytest.approx(np.mean(logs))
 
 
+def test_backoff_scores_keep_every_word(spark):
+    # of 600,000 words two occur once: they may not share a class
+    common = " ".join(f"w{i}" for i in range(1000))
+    texts = {1: "zebra eats quince", 2: "zebra eats quince", 3: "zebra eats medlar", 4: "zebra eats damson", **{10 + i: common for i in range(600)}}
+    got = {r.doc_id: r for r in ngram_lm.score(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()}
+    total = sum(len(t.split()) + 1 for t in texts.values())
+    n_rows = len(texts)
+    # of the others: <s> zebra 3, zebra eats 3, eats quince 1, quince </s> 1
+    assert got[1].n_backoff == 0 and got[1].log_score == pytest.approx(np.log10([3 / n_rows, 3 / 4, 1 / 4, 1 / 2]).sum())
+    # eats medlar and medlar </s> are its own
+    assert got[3].n_backoff == 2 and got[3].log_score == pytest.approx(np.log10([3 / n_rows, 3 / 4, 0.4 * 1 / total, 0.4 * n_rows / total]).sum())
+
+
 # --- tokens -----------------------------------------------------------------
 
 @settings(max_examples=60, deadline=None)

@@ -1,32 +1,31 @@
 """Language-model scores with stupid backoff, as joins of count tables.
 
-The model is made of the corpus itself: bigrams of words, each document
-between a start and an end mark. The vocabulary is the words that make up at
-least ``RARE`` of all words, so it has at most ``1 / RARE`` entries however
-large the corpus; all rarer words are one class. The bigram table is
-partitioned by hash and joined to the documents' bigrams, whose counts it has
-less the document's own: a bigram no other document has backs off to
-``BACKOFF`` times the share of its word.
+The model is made of the corpus itself: bigrams of all its words, each document
+between two marks. Words are named by a 63-bit hash; frequent ones have short
+names, which only saves bytes, so any sample may choose them. The bigram table and the word counts are partitioned by hash: a bigram
+of several rows gets the count of its first word and is joined to the
+documents' bigrams, whose counts it has less the document's own; a bigram that
+one row alone has backs off to ``BACKOFF`` times the share of its second word,
+whose count it gets.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage, stage_at, unstage
 
 BACKOFF = 0.4
-RARE = 2e-6
-FLUSH = 1 << 18  # distinct words, or bigrams, that a task counts before it passes them on
-
-START, END, OTHER = 0, 1, 2
-MARKS = ["<s>", "</s>", "<rare>"]
+CACHE = 1 << 18  # words whose hash a task keeps
+SHORT = 1 << 18  # short names, the mark's among them
+SAMPLE = 0.05  # share of the rows that chooses the words with short names
 
 
 def words(text: str | None) -> list[str]:
@@ -34,118 +33,134 @@ def words(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
 
-def _word_counts(docs: DataFrame) -> DataFrame:
-    """(word, n) of the column ``text``."""
+def word_hash(word: str) -> int:
+    """A negative number, as short names are positive."""
+    return int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") // 2 - (1 << 63)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
-
-        for batch in batches:
-            for t in batch.column(0):
-                held.update(words(t.as_py()))
-                if len(held) >= FLUSH:
-                    yield out()
-                    held.clear()
-        yield out()
-
-    return docs.select("text").mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+# one mark is both start and end of a document; no word holds a space
+MARK, OTHER = 0, word_hash("rare word")
 
 
-class _Bigrams:
-    """The bigrams of a text as numbers: first word times vocabulary plus second."""
+class _Names(dict):
+    """Names of words: the short ones, and hashes as they are met."""
 
-    def __init__(self, vocabulary: dict[str, int]):
-        self.get = vocabulary.get
-        self.base = len(vocabulary) + len(MARKS)
+    def __init__(self, short: dict[str, int]):
+        super().__init__(short)
+        self.short = short
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        get = self.get
-        ids = np.array([START, *[get(w, OTHER) for w in words(text)], END], np.int64)
-        return ids[:-1] * self.base + ids[1:]
+    def __missing__(self, word: str) -> int:
+        if len(self) >= len(self.short) + CACHE:
+            self.clear()
+            self.update(self.short)
+        self[word] = found = word_hash(word)
+        return found
 
 
-def _bigram_counts(docs: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
-    """(bigram, total) of the whole corpus; tasks add up before they shuffle."""
+def _short_names(docs: DataFrame) -> dict[str, int]:
+    """Names of at most ``SHORT`` words that are frequent in a sample."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bigrams = _Bigrams(vocabulary)
-        held: list[np.ndarray] = []
-        size = 0
-
-        def out() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], names=["bigram", "n"])
-
+        held: Counter = Counter()
         for batch in batches:
             for t in batch.column(0):
-                held.append(bigrams(t.as_py()))
-                size += len(held[-1])
-                if size >= 16 * FLUSH:
-                    yield out()
-                    held, size = [], 0
-        if held:
-            yield out()
+                held.update(words(t.as_py()))
+                if len(held) >= CACHE:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
+                    held.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
 
-    return docs.select("text").mapInArrow(count, "bigram bigint, n bigint").groupBy("bigram").agg(F.sum("n").alias("total"))
+    counted = docs.select("text").sample(SAMPLE, 1).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    found = counted.where("n > 1 and length(word) < 40").orderBy(F.desc("n"), "word").limit(SHORT - 1).collect()
+    return {r["word"]: i for i, r in enumerate(found, MARK + 1)}
 
 
-def _document_bigrams(docs: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
-    """(doc_id, bigram, n) of each document row."""
+def _key() -> Column:
+    """One number for both words of a bigram, short if their names are."""
+    short = F.col("first") * SHORT + F.col("second")
+    long = F.xxhash64("first", "second").bitwiseOR(F.lit(-(1 << 63)))
+    return F.when((F.col("first") >= 0) & (F.col("second") >= 0), short).otherwise(long).alias("bigram")
+
+
+def _document_bigrams(docs: DataFrame, names: dict[str, int], known: np.ndarray | None = None) -> DataFrame:
+    """(doc_id, first, second, n) of each document row; words that aren't in
+    ``known``, if given, are one class."""
+    turn = np.uint64(0x9E3779B97F4A7C15)
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bigrams = _Bigrams(vocabulary)
+        get = _Names(names).__getitem__
+
+        def bigrams(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            ids = np.array([MARK, *map(get, words(text)), MARK], np.int64)
+            if known is not None:
+                ids[1:-1][~np.isin(ids[1:-1], known)] = OTHER
+            pairs = ids.view(np.uint64)
+            _, at, n = np.unique(pairs[:-1] * turn + pairs[1:], return_index=True, return_counts=True)
+            return ids[at], ids[at + 1], n
+
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text")
             for a in range(0, len(texts), 512):
-                found = [np.unique(bigrams(t.as_py()), return_counts=True) for t in texts[a : a + 512]]
-                sizes = np.array([len(k) for k, _ in found])
+                found = [bigrams(t.as_py()) for t in texts[a : a + 512]]
+                sizes = np.array([len(n) for _, _, n in found])
                 yield pa.RecordBatch.from_arrays([
                     ids[a : a + 512].take(pa.array(np.repeat(np.arange(len(found)), sizes))),
-                    pa.array(np.concatenate([k for k, _ in found])),
-                    pa.array(np.concatenate([n for _, n in found]).astype(np.int64)),
-                ], names=["doc_id", "bigram", "n"])
+                    *[pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*found)],
+                ], names=["doc_id", "first", "second", "n"])
+
+    return docs.select("doc_id", "text").mapInArrow(explode, "doc_id bigint, first bigint, second bigint, n bigint")
 
-    return docs.select("doc_id", "text").mapInArrow(explode, "doc_id bigint, bigram bigint, n bigint")
 
+def _frequent(docs: DataFrame, names: dict[str, int], rare: float) -> np.ndarray:
+    """Names of the words that make up at least ``rare`` of all: at most 1 / rare."""
+    counted, at = stage_at(_document_bigrams(docs, names).where(F.col("first") != MARK).groupBy("first").agg(F.sum("n").alias("n")), "word-counts")
+    n_words = counted.agg(F.sum("n")).first()[0] or 0
+    known = np.array([r["first"] for r in counted.where(F.col("n") >= rare * n_words).collect()], np.int64)
+    unstage(docs.sparkSession, at)
+    return known
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare: float = RARE, backoff: float = BACKOFF) -> DataFrame:
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare: float = 0.0, backoff: float = BACKOFF) -> DataFrame:
     """One row per id: doc_id, n_words, n_backoff (bigrams that backed off, the
     one with the end mark included), log_score (sum of the base-10 logarithms
     of all bigrams' scores) and word_score (its mean).
 
     Rows that share an id, null among them, are added up; "the document's own"
     are the counts of each row. Null and empty texts have the bigram of the two
-    marks alone. An empty table gives no rows.
+    marks alone. An empty table gives no rows. Every word counts as itself,
+    unless ``rare`` is given: words under that share of all are then one class.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    counted, counted_at = stage_at(_word_counts(texts), "word-counts")
-    n_words = counted.agg(F.sum("n")).first()[0] or 0
-    # at most 1 / rare rows
-    known = counted.where(F.col("n") >= rare * n_words).orderBy(F.desc("n"), "word").collect()
-    unstage(spark, counted_at)
-    vocabulary = {r["word"]: i + len(MARKS) for i, r in enumerate(known)}
-    base = len(vocabulary) + len(MARKS)
-    bigrams = stage(_bigram_counts(texts, vocabulary), "bigram-counts")
-    # every row of the corpus has one start and one end mark
-    n_rows = bigrams.where(F.expr(f"bigram div {base}") == START).agg(F.sum("total")).first()[0] or 0
-    frequent = sum(r["n"] for r in known)
-    single = [n_rows, n_rows, n_words - frequent, *[r["n"] for r in known]]
-    unigrams = F.broadcast(spark.createDataFrame([(i, float(n)) for i, n in enumerate(single)], "id bigint, count double"))
-    total = float(n_words + n_rows)
-    mine = _document_bigrams(texts, vocabulary)
-    rows = mine.join(bigrams.hint("merge"), "bigram")
-    rows = rows.join(unigrams.toDF("first", "context"), F.expr(f"bigram div {base}") == F.col("first")).join(
-        unigrams.toDF("second", "alone"), F.col("bigram") % base == F.col("second"))
-    others = F.col("total") - F.col("n")
-    found = others > 0
-    value = F.log10(F.when(found, others / F.col("context")).otherwise(F.lit(backoff) * F.col("alone") / F.lit(total)))
-    return rows.groupBy("doc_id").agg(
-        (F.sum("n") - F.sum(F.when(F.col("second") == END, F.col("n")).otherwise(0))).alias("n_words"),
-        F.sum(F.when(found, 0).otherwise(F.col("n"))).alias("n_backoff"),
-        F.sum(F.col("n") * value).alias("log_score"),
-        (F.sum(F.col("n") * value) / F.sum("n")).alias("word_score"),
-    )
+    names = _short_names(texts)
+    mine = _document_bigrams(texts, names, _frequent(texts, names, rare) if rare else None)
+    # doc_id is that of the row if there is one alone
+    bigrams, bigrams_at = stage_at(mine.groupBy("first", "second").agg(
+        F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_rows"), F.min("doc_id").alias("doc_id")), "bigram-counts")
+    # every word, and one mark of each row, is the first of one bigram
+    counts, counts_at = stage_at(bigrams.groupBy("first").agg(F.sum("total").alias("count")).withColumnRenamed("first", "word"), "word-counts")
+    everything = float(counts.agg(F.sum("count")).first()[0] or 0)
+    ends = (F.col("second") == MARK).alias("ends")
+
+    def summed(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("doc_id").agg(*[F.sum(c).alias(c) for c in ("n_words", "n_backoff", "n", "log_score")])
+
+    # a bigram of several rows is found for each of them, one of a single row never
+    single = bigrams.where("n_rows = 1").select("doc_id", "second", "total").join(
+        counts.hint("merge"), F.col("second") == F.col("word"))
+    value = F.log10(F.lit(backoff) * F.col("count") / F.lit(everything))
+    single = stage(summed(single.select(
+        "doc_id", F.when(ends, 0).otherwise(F.col("total")).alias("n_words"), F.col("total").alias("n_backoff"),
+        F.col("total").alias("n"), (F.col("total") * value).alias("log_score"))), "bigrams-of-one")
+    several = bigrams.where("n_rows > 1").select("first", _key(), "total", ends).join(
+        counts.hint("merge"), F.col("first") == F.col("word"))
+    several = stage(several.select("bigram", "total", "ends", "count"), "bigrams-of-several")
+    unstage(spark, bigrams_at)
+    unstage(spark, counts_at)
+    found = mine.select("doc_id", _key(), "n").join(several.hint("merge"), "bigram")
+    value = F.log10((F.col("total") - F.col("n")) / F.col("count"))
+    found = found.select(
+        "doc_id", F.when(F.col("ends"), 0).otherwise(F.col("n")).alias("n_words"), F.lit(0).cast("bigint").alias("n_backoff"),
+        "n", (F.col("n") * value).alias("log_score"))
+    return summed(found.unionByName(single)).select(
+        "doc_id", "n_words", "n_backoff", "log_score", (F.col("log_score") / F.col("n")).alias("word_score"))
