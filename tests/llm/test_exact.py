@@ -316,6 +316,19 @@ def test_encoder_equals_the_tokenizer(texts):
     assert encoder.encode(texts) == want
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(ALPHABET, min_size=1, max_size=3))
+def test_encoder_equals_a_fresh_tokenizer(texts):
+    from tokenizers import Tokenizer
+
+    if "fresh" not in ENCODER:
+        ENCODER["fresh"] = Tokenizer.from_file(queries.tokenizer_file()), token_files.Encoder(queries.tokenizer_file())
+    fresh, encoder = ENCODER["fresh"]
+    texts = [*texts, "hello <|endoftext|> world", "a<|endoftext|>", "<|ENDOFTEXT|> b", ""]
+    want = [np.array(fresh.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoder.encode(texts) == want and 50256 in np.frombuffer(want[-4], "<u4")
+
+
 ENCODER = {}
 
 

@@ -130,15 +130,18 @@ class Encoder:
     """Ids of texts by a byte-level tokenizer, word by word. Its pattern never
     joins a space to the visible character before it, so the ids of a text are
     those of its pieces between such places; nor does it join letters and the
-    punctuation after them. Pieces recur, so their ids are kept."""
+    punctuation after them. Pieces recur, so their ids are kept. Texts that
+    hold an added token, such as <|endoftext|>, are encoded whole."""
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        # whatever the case and the form, as added tokens may be matched after normalization
+        self.added = re.compile("|".join(map(re.escape, added)), re.I) if added else None
         self.gap = np.array(self.tokenizer.encode(" \0", add_special_tokens=False).ids)
         self.stems: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {"": b""}
@@ -182,11 +185,15 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of unsigned 32-bit numbers."""
-        split = [t.split(" ") for t in texts]
-        first = self._pieces(list({p[0] for p in split if p[0]}), "")
+        whole_texts = {i for i, t in enumerate(texts) if self.added and self.added.search(t)}
+        split = [[] if i in whole_texts else t.split(" ") for i, t in enumerate(texts)]
+        first = self._pieces(list({p[0] for p in split if p and p[0]}), "")
         later = self._pieces(list(set().union(*(p[1:] for p in split)) - {""}), " ")
         out: list[bytes | None] = []
         for pieces in split:
+            if not pieces:
+                out.append(None)
+                continue
             head = first[pieces[0]] if pieces[0] else b""
             ids = list(map(later.get, pieces[1:]))
             whole = len(pieces) == 1 or head is not None and None not in ids
