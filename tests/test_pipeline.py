@@ -4,6 +4,7 @@ import pytest
 
 from unnestor.plans.pipeline import ENTITIES, load_database, run_databases
 from unnestor.sinks.tables import ParquetStore
+from unnestor.sources.documents import envelope_texts
 
 from .conftest import docs_df, needs_testdata, rows
 
@@ -142,3 +143,23 @@ def test_versions_by_stored_key_and_unknown_order(spark, edge_catalog, tmp_path)
     assert rows(store.read(spark, "t_prim"), "value") == [(7,)]
     with pytest.raises(CatalogError):
         load_database(docs, edge_catalog, "t", store, order_by="nn")
+
+
+def test_unreadable_envelopes_are_quarantined(spark, edge_catalog, tmp_path):
+    d = tmp_path / "dump"
+    d.mkdir()
+    (d / "a.json").write_text('{"rows":[{"id":"a","doc":{"_id":"a","n":1}},\n{"id":"z","doc":null}]}')
+    cut = '{"rows":[{"id":"b","doc":{"_id":"b","n":1}},{"id":"c","doc":{"_id":'
+    (d / "b.json").write_text(cut)
+    (d / "c.json").write_text('{"other":1}')
+    q = ParquetStore(str(tmp_path / "q"))
+    store = ParquetStore(str(tmp_path / "o"))
+    run = run_databases(spark, {"things": str(d)}, edge_catalog, store, bindings={"things": "t"}, layout="envelope",
+                        mode="permissive", quarantine=q)[0]
+    assert run.rejected_documents == 2
+    kept = q.read(spark, "things__envelopes_rejected").collect()
+    assert sorted(r["doc"] for r in kept) == sorted([cut, '{"other":1}'])
+    loaded = [r["relationship_id"] for r in store.read(spark, "t").collect()]
+    assert "a" in loaded
+    with pytest.raises(ValueError, match="layout 'lines'"):
+        envelope_texts(spark, str(d), whole=50)

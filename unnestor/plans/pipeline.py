@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from ..functions.values import strip_control
 from ..operators.upsert import blank_key, latest_per_key
 from ..sinks.tables import LoadReport, Store, load_table
-from ..sources.documents import DOC, DOC_HASH, REJECT, read_document_lines, read_envelope, rejected_lines
+from ..sources.documents import (
+    DOC, DOC_HASH, REJECT, envelope_texts, read_document_lines, read_envelope, rejected_envelopes, rejected_lines,
+)
 from .catalog import Catalog, CatalogError
 from .normalize import extract_table, normalize_parsed, parse_tree
 from .staging import stage_at, unstage
@@ -134,13 +136,13 @@ def read_dump(spark: SparkSession, path: str, layout: str = "lines", mode: str =
     raise ValueError(f"unknown dump layout {layout!r}")
 
 
-def _set_aside_lines(spark: SparkSession, path: str, database: str, quarantine: Store | None) -> int:
-    """Count the lines of a dump that hold no document, and keep them."""
-    bad = rejected_lines(spark.read.text(path))
+def _set_aside(spark: SparkSession, path: str, layout: str, database: str, quarantine: Store | None) -> int:
+    """Count the lines, or the envelopes, of a dump that can't be read, and keep them."""
+    bad = rejected_lines(spark.read.text(path)) if layout == "lines" else rejected_envelopes(envelope_texts(spark, path))
     if quarantine is None:
         return bad.count()
-    obs = Observation(f"rejected_lines_{uuid.uuid4().hex[:12]}")
-    quarantine.write(bad.observe(obs, F.count(F.lit(1)).alias("n")), f"{database}__lines_rejected")
+    obs = Observation(f"rejected_{layout}_{uuid.uuid4().hex[:12]}")
+    quarantine.write(bad.observe(obs, F.count(F.lit(1)).alias("n")), f"{database}__{'lines' if layout == 'lines' else 'envelopes'}_rejected")
     return int(obs.get["n"])
 
 
@@ -190,7 +192,7 @@ def run_databases(
         else:
             opts = {k: v for k, v in load_options.items() if k in ("load_mode", "quarantine", "dedupe")}
             runs.append(load_path_table(docs, catalog, STANDALONE_PATH_TABLES[db], store, **opts))
-        if layout == "lines" and mode == "permissive":
-            lost = _set_aside_lines(spark, path, db.replace("-", "_"), load_options.get("quarantine"))
+        if mode == "permissive":
+            lost = _set_aside(spark, path, layout, db.replace("-", "_"), load_options.get("quarantine"))
             runs[-1] = replace(runs[-1], rejected_documents=runs[-1].rejected_documents + lost)
     return runs

@@ -4,7 +4,7 @@ A document is one JSON object; ``_id`` is its identity. Two dump layouts are
 read, both with Spark's own readers so the scan is distributed:
 
 * the whole-database envelope ``{"rows": [{"id": .., "doc": {..}}, ..]}``
-  (one JSON value per file, so one task per file), and
+  (one JSON value per file, so one task per file of at most ``WHOLE`` bytes), and
 * the line-per-row form, where each line holds one envelope row or one bare
   document, optionally followed by a comma, with the envelope's opening and
   closing lines around them. This layout is splittable and is the one to use
@@ -30,6 +30,8 @@ DOC_HASH = "_doc_hash"
 CORRUPT = "_corrupt_record"
 REJECT = "_reject_reason"
 
+WHOLE = 1 << 30  # bytes of a file that is read as one text
+
 _ENVELOPE = "rows array<struct<id:string,doc:string>>"
 _ROW = "id string, doc string, _id string"
 # the lines around an envelope's rows
@@ -42,7 +44,7 @@ def unwrap_envelope(texts: DataFrame, column: str = "value", mode: str = "strict
     ``DataFrame[id, doc]``; ``doc`` keeps the document's JSON text verbatim.
     Rows whose document is null (deleted documents) are dropped. A text that
     isn't such an envelope fails the job in strict mode; in permissive mode
-    it gives no rows."""
+    it gives no rows and is left to ``rejected_envelopes``."""
     options = {"mode": "FAILFAST" if mode == "strict" else "PERMISSIVE"}
     env = texts.select(F.from_json(F.col(column), _ENVELOPE, options).alias("e"))
     # outer form + filter above it: no inferred size(rows) > 0 filter that
@@ -53,11 +55,31 @@ def unwrap_envelope(texts: DataFrame, column: str = "value", mode: str = "strict
     )
 
 
+def rejected_envelopes(texts: DataFrame, column: str = "value") -> DataFrame:
+    """``DataFrame[_reject_reason, doc]``: the texts that aren't whole
+    envelopes, as they are."""
+    options = {"columnNameOfCorruptRecord": CORRUPT}
+    # above a generator, so that the parse is evaluated once
+    parsed = texts.select(column, F.explode_outer(F.array(F.from_json(column, f"{_ENVELOPE}, {CORRUPT} string", options))).alias("e"))
+    bad = F.col("e").isNull() | F.col(f"e.{CORRUPT}").isNotNull() | F.col("e.rows").isNull()
+    return parsed.where(bad).select(F.lit("not an envelope").alias(REJECT), F.col(column).alias(DOC))
+
+
+def envelope_texts(spark: SparkSession, path: str | list[str], whole: int = WHOLE) -> DataFrame:
+    """The files as one text each; a file of more than ``whole`` bytes is an error."""
+    large = spark.read.format("binaryFile").load(path).where(F.col("length") > whole).select("path", "length").take(1)
+    if large:
+        raise ValueError(
+            f"{large[0]['path']} has {large[0]['length']} bytes; an envelope is read whole up to {whole} bytes, "
+            "and with one row per line at any size by layout 'lines'")
+    return spark.read.text(path, wholetext=True)
+
+
 def read_envelope(spark: SparkSession, path: str | list[str], mode: str = "strict") -> DataFrame:
     """Whole-envelope dump file(s): each file is one JSON value, read whole by
     one task, so for small databases; the usual dump, with one row per line,
     is read in parallel by ``read_document_lines``."""
-    return unwrap_envelope(spark.read.text(path, wholetext=True), mode=mode)
+    return unwrap_envelope(envelope_texts(spark, path), mode=mode)
 
 
 def scan_lines(lines: DataFrame, column: str = "value") -> DataFrame:
