@@ -215,6 +215,15 @@ def test_toxicity_held_out(spark):
     assert model.thresholds == sorted(model.thresholds)
 
 
+def test_toxicity_of_repeated_rows(spark):
+    rows = [(i, f"vile foul words number{i} here", 1) for i in range(30)] + [(100 + i, f"plain good words number{i} here", 0) for i in range(60)]
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int")
+    once = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id bigint, text string")
+    again = once.where("doc_id = 7").withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(300)))).drop("k")
+    model = toxicity.fit(once, labels)
+    assert model.weights and toxicity.fit(once.unionByName(again), labels) == model
+
+
 @needs_testdata
 def test_quality_held_out(spark):
     truth = spark.read.parquet(f"{TESTDATA}/sf0.1/labels.parquet").select("doc_id", "quality")

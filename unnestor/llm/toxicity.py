@@ -154,8 +154,8 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, x: np.ndarray, grades: np.nd
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Model:
     """Fit on at most ``sample`` labelled rows of each class, chosen by hash of
-    the id. Labels that are null or of documents that aren't there don't
-    count; without both classes the model rejects nothing."""
+    the id; of rows that share an id, the text of the least hash counts once.
+    Labels that are null or of documents that aren't there don't count; without both classes the model rejects nothing."""
     spark = docs.sparkSession
     known = labels.select(F.col(f"`{id_col}`").alias("doc_id"), (F.col(f"`{label_col}`") > 0).cast("int").alias("label")).where(
         "label is not null and doc_id is not null")
@@ -163,7 +163,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = pick[0].unionByName(pick[1]).dropDuplicates(["doc_id"])
     texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     # at most 2 * sample ids: small enough to send to every task
-    rows, at = stage_at(texts.join(F.broadcast(chosen), "doc_id"), "toxicity-sample")
+    held = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
+        F.min("label").alias("label"), F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows, at = stage_at(held, "toxicity-sample")
     sizes = dict(rows.groupBy("label").count().collect())
     if not sizes.get(0) or not sizes.get(1):
         unstage(spark, at)
