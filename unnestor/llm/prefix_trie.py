@@ -260,8 +260,9 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     rows are turns of their own. Null roles and texts are empty; rows without
     conv_id are no conversation and are left out. A conversation whose rebuilt
     sequence is empty is a member of the root alone. An empty table gives no
-    rows, not even a root. Other columns are ignored. Texts of any length are
-    hashed whole. Prefixes are told apart by 128-bit digests.
+    rows, not even a root. Other columns are ignored. The remainder of a
+    negative id has its sign. Texts of any length are hashed whole. Prefixes
+    are told apart by 128-bit digests.
     """
     spark = conversations.sparkSession
     turns, turns_at = _ordered_turns(conversations)
