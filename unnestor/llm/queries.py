@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.staging import staging_path
-from . import collocations, compression_quality, decontaminate, html_text, mixing, ngram_lm, pq_dedup, prefix_trie, sharding, simhash, token_files, toxicity
+from . import collocations, compression_quality, decontaminate, html_text, mixing, ngram_lm, personal_data, pq_dedup, prefix_trie, sharding, simhash, token_files, toxicity
 from .common import table
 
 N_SHARDS = 40
@@ -111,10 +111,15 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The personal data of every document."""
+    return personal_data.personal_data(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_source_mix, op2_toxicity, op3_embedding_components, op4_leaks, op5_byte_shards, op6_simhash, op7_page_text, op8_backoff_scores,
-        op9_compression_quality, op10_token_files, op11_prefix_trie, op12_collocations,
+        op9_compression_quality, op10_token_files, op11_prefix_trie, op12_collocations, op13_personal_data,
     )
     return {f.__name__: f for f in found}
 
