@@ -197,3 +197,50 @@ def test_single_layout_over_array_reads_as_array(spark):
         warnings.simplefilter("ignore")
         out = dict(normalize(docs_df(spark, ['{"_id":"a","photos":[{"url":"u","status":"2"}]}']), cat, "m"))
     assert rows(out["m_photos"]) == [("a_0", "a", "u", 2)]
+
+
+def test_path_items_of_quirky_json(spark):
+    docs = docs_df(spark, [
+        '{"_id":"1_2","a":{"items":[{"ID":"x","v":1, "v" : 17.0},"{\\"ID\\":\\"t\\"}",{"ID":"y","v":"{braced","w":{"k":"{in","n":null}}]}}',
+        '{"_id":"2","a":{"items":[{"ID":"x_1","v":"\\u0001{odd"},{"ID":"p%q","v":[1,2]}]}}',
+        '{"_id":"3","a":{"items":"[{\\"ID\\":1}]"}}',
+        '{"_id":"4","a":{"items":[{"ID":"old"}]},"a":{"items":[{"ID":"new","v":123456789012345678901234567890}]}}',
+        '{"_id":"5","a":{"items":[{"ID":0},{"ID":"0"},{"ID":0.0},{"ID":"false"},{"ID":false},{"ID":"[]"},{"ID":[]},{"ID":"{}"},{"ID":{}},{"ID":null}]}}',
+        '{"_id":"6","a":"text"}', '{"_id":"7","a":[{"items":[{"ID":"no"}]}]}',
+    ]).selectExpr("get_json_object(doc, '$._id') AS rid", "doc")
+    fields = [("nested_id", ""), ("parent_id", ""), ("v", "v"), ("w", "w"), ("k", "w.k")]
+    got = {r.nested_id: tuple(r)[1:] for r in extract_path_items(docs, "rid", ["a", "items"], fields, "t").collect()}
+    assert got == {
+        "t_x_1%5F2_0": ("x", "17.0", "", ""),
+        "t_y_1%5F2_2": ("y", "{braced", '{"k":"{in","n":null}', "{in"),
+        "t_x%5F1_2_0": ("x_1", "\x01{odd", "", ""),
+        "t_p%25q_2_1": ("p%q", "[1,2]", "", ""),
+        "t_new_4_0": ("new", "123456789012345678901234567890", "", ""),
+        "t_0_5_1": ("0", "", "", ""), "t_false_5_3": ("false", "", "", ""), "t_[]_5_5": ("[]", "", "", ""), "t_{}_5_7": ("{}", "", "", ""),
+    }
+
+
+def test_path_keys_can_be_undone(spark):
+    from unnestor.operators.unnest import key_part, split_path_key
+    from pyspark.sql import functions as F
+    ids = ["x_1", "2", "x", "1_2", "%5F", "_", "%", "a%_b", "%25"]
+    df = spark.createDataFrame([(a, b, i) for i, a in enumerate(ids) for b in ids], "a string, b string, i int")
+    keyed = df.withColumn("key", F.concat(F.lit("t_"), key_part(F.col("a")), F.lit("_"), key_part(F.col("b")), F.lit("_"), F.col("i").cast("string")))
+    assert keyed.select("key").distinct().count() == len(ids) ** 2
+    back = keyed.select("a", "b", "i", *[c.alias(n) for c, n in zip(split_path_key(F.col("key"), "t"), ("a2", "b2", "i2"))])
+    assert back.where("a <> a2 or b <> b2 or i <> i2").count() == 0
+
+
+def test_paths_that_overlap(spark):
+    """A path that begins another is read by a parse of its own."""
+    from unnestor import Catalog
+    path = lambda *steps: [{"field": s} for s in steps]
+    items = {"use_nested_transformer": True, "is_array": True, "fields": [{"name": "nested_id", "generated": True}, {"name": "v"}]}
+    cat = Catalog.from_dict({
+        "m": {"primary_key": "relationship_id", "nested_tables": [
+                {"field": "a", "target_table": "one", "foreign_key": "f"}, {"field": "a", "target_table": "two", "foreign_key": "f"}],
+              "fields": [{"name": "relationship_id", "source_field": "_id"}]},
+        "one": {**items, "table_name": "one", "path": path("a")}, "two": {**items, "table_name": "two", "path": path("a", "b")},
+    })
+    out = dict(normalize(docs_df(spark, ['{"_id":"p","a":[{"ID":1,"v":"x"}]}', '{"_id":"q","a":{"b":[{"ID":2,"v":"y"}]}}']), cat, "m"))
+    assert rows(out["one"]) == [("one_1_p_0", "x")] and rows(out["two"]) == [("two_2_q_0", "y")]

@@ -7,17 +7,17 @@ from pyspark.sql import functions as F
 
 from unnestor.functions.values import (
     apply_null_policy, as_float, as_timestamp, fill_defaults, json_text, key_of, sanitize_name,
-    sanitize_name_col, stringify_variant, strip_control, typed,
+    sanitize_name_col, stringify, strip_control, typed,
 )
 
 from .conftest import rows
 
 
-def test_stringify_variant(spark):
-    df = spark.createDataFrame([('{"s":"x","n":3,"b":false,"o":{"a":[1]},"z":null}',)], "j string")
-    v = df.select(F.parse_json("j").alias("v"))
-    got = v.select(*[stringify_variant("v", f"$.{k}").alias(k) for k in "snbozq"]).first()
-    assert tuple(got) == ("x", "3", "false", '{"a":[1]}', "", "")
+def test_stringify(spark):
+    df = spark.createDataFrame([('{"s":"x","n":3,"b":false,"o":{"a":[1]},"z":null,"f":17.0}',)], "j string")
+    p = df.select(F.from_json("j", "s string, n string, b string, o string, z string, q string, f string").alias("p"))
+    got = p.select(*[stringify(F.col("p")[k]).alias(k) for k in "snbozqf"]).first()
+    assert tuple(got) == ("x", "3", "false", '{"a":[1]}', "", "", "17.0")
 
 
 def test_float_coercion_strict_and_permissive(spark):

@@ -2,9 +2,9 @@
 
 from .values import (
     apply_null_policy, as_float, as_timestamp, fill_defaults, json_text, key_of, null_policy_exprs,
-    sanitize_name, sanitize_name_col, stringify_variant, strip_control, typed,
+    sanitize_name, sanitize_name_col, stringify, strip_control, typed,
 )
 
 __all__ = ["apply_null_policy", "as_float", "as_timestamp", "fill_defaults", "json_text", "key_of",
-           "null_policy_exprs", "sanitize_name", "sanitize_name_col", "stringify_variant",
+           "null_policy_exprs", "sanitize_name", "sanitize_name_col", "stringify",
            "strip_control", "typed"]

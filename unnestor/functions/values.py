@@ -18,11 +18,10 @@ def _c(x: ColumnOrName) -> Column:
 
 
 # -- V1 ----------------------------------------------------------------------
-def stringify_variant(v: ColumnOrName, path: str = "$") -> Column:
-    """Text of a JSON value inside a variant: strings as-is, numbers and
-    booleans as their JSON text, objects and arrays as JSON; null or missing
-    become the empty string."""
-    return F.coalesce(F.try_variant_get(_c(v), path, "string"), F.lit(""))
+def stringify(x: ColumnOrName) -> Column:
+    """Text of a JSON value that was parsed into a text column: strings as
+    they are, everything else its JSON text; null or missing become ``''``."""
+    return F.coalesce(_c(x), F.lit(""))
 
 
 # -- V2 ----------------------------------------------------------------------

@@ -24,8 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.values import key_of, stringify_variant, typed
-from ..sources.documents import json_path
+from ..functions.json_text import Paths, is_object, truthy, unguard
+from ..functions.values import key_of, stringify, typed
+from ..sources.documents import PathColumns, path_column
 
 Typed = Sequence[tuple[str, T.DataType]]
 
@@ -125,19 +126,28 @@ def flatten_struct(
 
 
 # -- G4 ----------------------------------------------------------------------
-def is_truthy(v: Column) -> Column:
-    """Truthiness of a JSON value held in a variant: missing, null, ``""``,
-    ``false``, zero, ``[]`` and ``{}`` are false; the string ``"0"`` is true."""
-    kind = F.schema_of_variant(v)
-    text = F.try_variant_get(v, "$", "string")
-    num = F.try_variant_get(v, "$", "double")
-    return (
-        F.when(v.isNull() | (kind == "VOID"), False)
-        .when(kind == "STRING", text != "")
-        .when(kind == "BOOLEAN", text == "true")
-        .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), ~text.isin("[]", "{}"))
-        .otherwise(F.coalesce(num != 0, F.lit(True)))
-    )
+# Characters of an id that are written by their code in a key of several ids,
+# so that the key can be taken apart again; "%" first, as the codes hold it.
+_KEY_CODES = (("%", "%25"), ("_", "%5F"))
+
+
+def key_part(x: Column) -> Column:
+    """An id as a part of a key: without the sign that joins parts."""
+    for sign, code in _KEY_CODES:
+        x = F.replace(x, F.lit(sign), F.lit(code))
+    return x
+
+
+def split_path_key(key: Column, table_name: str) -> list[Column]:
+    """``[item id, document id, position]`` of the key of a path item."""
+    parts = F.split(F.substring(key, len(table_name) + 2, 1 << 30), "_")
+
+    def plain(x: Column) -> Column:
+        for sign, code in reversed(_KEY_CODES):
+            x = F.replace(x, F.lit(code), F.lit(sign))
+        return x
+
+    return [plain(parts[0]), plain(parts[1]), parts[2].cast("int")]
 
 
 def extract_path_items(
@@ -161,41 +171,47 @@ def extract_path_items(
     * with ``is_array``, a non-array at the path gives no rows (F4); without
       it, the value is taken as a single item;
     * items that are not objects, or whose ``source_id_field`` is missing or
-      falsy, are skipped (F5, F6);
+      falsy, are skipped (F5, F6); a text that looks like an object is a text;
     * ``fields`` is ``[(output name, source key)]``; a source key ``a.b.c``
       is a nested path (P10). Values are their JSON text, missing values ``''``
-      (V1).
+      (V1); a repeated key has its last value; integers are exact and other
+      numbers are printed as doubles (``17.0``, ``1e3`` as ``1000.0``).
 
-    Keys: ``nested_id = <table>_<item id>_<doc id>_<position>`` and
+    Keys: ``nested_id = <table>_<item id>_<doc id>_<position>`` with ``_`` and
+    ``%`` of the ids written as ``%5F`` and ``%25``, so that no two items share
+    one (``split_path_key`` undoes it), and
     ``id = <item_key_prefix>_<doc id>_<position>``; ``parent_id`` is the
-    item's own id. ``doc_col`` may hold JSON text or a parsed variant.
+    item's own id. ``doc_col`` holds the JSON document, or with an empty
+    ``path`` the items themselves (a ``_path<i>`` column of the parse).
     """
     nested_name, id_name, parent_name = key_names
-    src = docs.schema[doc_col].dataType
-    v = F.try_parse_json(_q(doc_col)) if isinstance(src, T.StringType) else _q(doc_col)
-    p = json_path(*path)
-    if is_array:
-        items = F.try_variant_get(v, p, "array<variant>")
-    else:
-        items = F.array(F.try_variant_get(v, p, "variant"))
-    exploded = _posexplode(docs, _q(doc_id), items).withColumnRenamed("_k", "_doc")
-    ident = F.try_variant_get(F.col("_e"), json_path(source_id_field), "variant")
-    kept = exploded.select(
-        "_doc", "_pos", "_e", ident.alias("_idv")
-    ).where(is_truthy(F.col("_idv")))
-    item_id = F.try_variant_get(F.col("_idv"), "$", "string")
+    if isinstance(docs.schema[doc_col].dataType, T.StringType):
+        at_path = PathColumns(((tuple(path), is_array),))
+        docs = docs.select(_q(doc_id), *at_path.parses(_q(doc_col))).select(_q(doc_id), *at_path.values())
+        doc_col = path_column(0)
+    exploded = _posexplode(docs, _q(doc_id), _q(doc_col)).withColumnRenamed("_k", "_doc")
+    items = exploded.where(is_object(F.col("_e"))).select("_doc", "_pos", F.explode_outer(F.array(unguard(F.col("_e")))).alias("_e"))
+    sources = [source_id_field, *[s for n, s in fields if n not in key_names]]
+    read = Paths([(tuple(s.split(".")) if i else (s,), T.StringType()) for i, s in enumerate(sources)])
+    # above a generator, so that each parse is evaluated once
+    parsed = items.select("_doc", "_pos", "_e", F.explode_outer(F.array(F.struct(
+        *[c.alias(f"_p{i}") for i, c in enumerate(read.parses(F.col("_e")))]))).alias("_p"))
+    trees = [F.col("_p").getField(f"_p{i}") for i in range(len(read.trees))]
+    parsed = parsed.where(truthy(F.col("_e"), source_id_field, read.value(0, trees)))
+    item_id = read.value(0, trees)
     pos = F.col("_pos").cast("string")
     generated = {
-        nested_name: key_of(f"{table_name}_", item_id, "_", F.col("_doc"), "_", pos),
+        nested_name: key_of(f"{table_name}_", key_part(item_id), "_", key_part(F.col("_doc")), "_", pos),
         id_name: key_of(f"{item_key_prefix}_", F.col("_doc"), "_", pos),
         parent_name: item_id,
     }
-    cols = []
-    for name, source in fields:
+    cols, i = [], 1
+    for name, _ in fields:
         if name in generated:
             cols.append(generated[name].alias(name))
         else:
-            cols.append(stringify_variant(F.col("_e"), json_path(*source.split("."))).alias(name))
+            cols.append(stringify(read.value(i, trees)).alias(name))
+            i += 1
     if with_document_id:
         cols.append(F.col("_doc").alias("document_id"))
-    return kept.select(*cols)
+    return parsed.select(*cols)

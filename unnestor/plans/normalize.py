@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions.values import fill_defaults
 from ..operators.unnest import extract_path_items, flatten_struct, unnest_records, unnest_values
-from ..sources.documents import DOC, PATH_DOC_ID, REJECT, parse_documents, path_column, path_struct, path_values
+from ..sources.documents import DOC, PATH_DOC_ID, REJECT, PathColumns, parse_documents, path_column
 from .catalog import PATH, PRIMITIVE, RECORDS, SINGLE, Catalog, CatalogError, ChildLink, TableSpec
 
 # Fixed value: prefix of the per-item key of path-extracted tables.
@@ -26,16 +26,16 @@ def main_columns(spec: TableSpec) -> list[str]:
     return [f.name for f in spec.fields if not f.generated and not f.nested_table]
 
 
-def path_links(catalog: Catalog, root: str) -> list[tuple[str, tuple[str, ...]]]:
-    """``(target key, key path)`` of every path-extracted table in the tree,
-    in tree order; the i-th one reads column ``_path<i>`` of the parse."""
+def path_links(catalog: Catalog, root: str) -> list[tuple[str, tuple[str, ...], bool]]:
+    """``(target key, key path, is_array)`` of every path-extracted table in
+    the tree, in tree order; the i-th one reads column ``_path<i>`` of the parse."""
     out = []
     for key in catalog.tree(root):
         spec = catalog.tables.get(key)
         for link in spec.children if spec else ():
             target = catalog.tables.get(link.target)
             if target is not None and target.kind(link) == PATH:
-                out.append((target.key, target.path or (link.field,)))
+                out.append((target.key, target.path or (link.field,), target.is_array))
     return out
 
 
@@ -43,11 +43,11 @@ def parse_tree(
     docs: DataFrame, catalog: Catalog, root: str, mode: str = "strict", doc_hash: bool = False
 ) -> DataFrame:
     """The typed main-table columns plus, for each path table of the tree,
-    the document's value at its path (a variant; the raw text is not kept)."""
+    the JSON texts of the items at its path (the raw document is not kept)."""
     spec = catalog[root]
     pk = spec.field(spec.primary_key) if spec.primary_key else None
     return parse_documents(
-        docs, spec, mode, paths=[p for _, p in path_links(catalog, root)],
+        docs, spec, mode, paths=[(p, array) for _, p, array in path_links(catalog, root)],
         path_id_key=pk.source if pk is not None else "_id", doc_hash=doc_hash,
     )
 
@@ -63,8 +63,8 @@ def child_table(
     doc_col: str = DOC,
 ) -> DataFrame:
     """Dispatch one child on its kind. A path table reads ``doc_col`` of
-    ``docs``: the raw document, or (a ``_path<i>`` column) the value already
-    taken at its path."""
+    ``docs``: the raw document, or (a ``_path<i>`` column) the items already
+    taken from its path."""
     kind = target.kind(link)
     pk = parent_spec.primary_key
     if kind != PATH:
@@ -131,7 +131,7 @@ def normalize_parsed(
     if with_defaults:
         defaults = {f.name: f.default for f in spec.fields if f.default is not None and f.name in main.columns}
         main = fill_defaults(main, defaults)
-    columns = {k: path_column(i) for i, (k, _) in enumerate(path_links(catalog, root))}
+    columns = {k: path_column(i) for i, (k, _, _) in enumerate(path_links(catalog, root))}
     has_paths = all(c in parsed.columns for c in columns.values())
     docs = parsed if (has_paths or DOC in parsed.columns) else None
     out: list[tuple[str, DataFrame]] = [(spec.table_name, main)]
@@ -199,8 +199,8 @@ def extract_table(docs: DataFrame, catalog: Catalog, key: str, with_document_id:
     spec = catalog[key]
     if not spec.path:
         raise CatalogError(f"layout {key!r} declares no path")
-    tops = docs.select(path_struct(F.col(DOC), [spec.path], "_id").alias("_tops"))
-    v = tops.select(*path_values(F.col("_tops"), [spec.path], "_id"))
+    at_path = PathColumns(((spec.path, spec.is_array),), "_id")
+    v = docs.select(*at_path.parses(F.col(DOC))).select(*at_path.values())
     return extract_path_items(
         v, PATH_DOC_ID, (), [(f.name, f.source) for f in spec.fields], spec.table_name,
         source_id_field=spec.source_id_field, is_array=spec.is_array, doc_col=path_column(0),

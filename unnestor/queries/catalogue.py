@@ -22,10 +22,10 @@ from ..plans.normalize import normalize, normalize_staged
 from ..plans.pipeline import load_database
 from ..plans.staging import stage, stage_text, staging_path
 from ..sinks.tables import ParquetStore
-from ..sources.documents import REJECT, parse_documents, read_document_lines, scan_lines, unwrap_envelope
+from ..sources.documents import REJECT, parse_documents, read_document_lines, scan_lines, unreadable_documents, unwrap_envelope
 from ..sources.tables import PAGE_SIZE, group_positions
 from .documents import (
-    CONVERSATIONS, CUSTOMERS, EVENTS, LINE_ORDER, PARTS, SHOP, SHOP_TYPED, TURN_ORDER,
+    CONVERSATIONS, CUSTOMERS, EVENTS, LINE_ORDER, PARTS, QUIRKS, SHOP, SHOP_TYPED, TURN_ORDER,
     order_documents, table,
 )
 
@@ -319,7 +319,7 @@ items AS (
 SELECT 'shop_order_fabric_items_' || pid || '_' || {_PAGE} || '_' || {_SLOT} AS nested_id,
        'footprint_' || {_PAGE} || '_' || {_SLOT} AS id,
        pid AS parent_id,
-       regexp_replace(CAST(l_quantity AS VARCHAR), '\\.0+$', '') AS qty,
+       CAST(l_quantity AS VARCHAR) AS qty,
        CASE WHEN l_linestatus = 'O' THEN l_returnflag ELSE '' END AS flag,
        '{{"w":' || CAST(l_linenumber AS VARCHAR) || '}}' AS dims,
        CAST(l_linenumber AS VARCHAR) AS w,
@@ -331,6 +331,45 @@ def path_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables_of(docs, SHOP, "shop_order")["shop_order_fabric_items"]
 
 
+_QUIRK_ID = "CAST(o_custkey AS VARCHAR) || '_' || CAST(o_orderkey AS VARCHAR)"
+
+
+@query("path_rejects", f"""
+SELECT CAST(o_orderkey AS VARCHAR) || '_d' AS document_id,
+       CASE o_orderpriority WHEN '1-URGENT' THEN NULL ELSE 'quirk_items_' || replace({_QUIRK_ID}, '_', '%5F') || '_'
+         || CAST(o_orderkey AS VARCHAR) || '%5Fd_1' END AS nested_id,
+       CASE o_orderpriority WHEN '1-URGENT' THEN NULL ELSE {_QUIRK_ID} END AS parent_id,
+       CASE o_orderpriority WHEN '1-URGENT' THEN NULL WHEN '2-HIGH' THEN '17.0' ELSE '1000' END AS price,
+       CASE o_orderpriority WHEN '1-URGENT' THEN NULL WHEN '4-NOT SPECIFIED' THEN '{{"ID":"x"}}' ELSE o_orderstatus END AS note,
+       CASE o_orderpriority WHEN '1-URGENT' THEN 'not a JSON object' END AS reason
+FROM orders WHERE o_orderpriority <> '3-MEDIUM'
+""")
+def path_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Path items of documents with a repeated key, a number with a fraction of
+    zero, texts that look like objects, items that are a text (no rows), ids
+    that hold the sign between the parts of a key, and documents that are cut
+    short (rejected with their reason)."""
+    o = table(spark, sf_dir, "orders")
+    key = F.concat(F.col("o_orderkey").cast("string"), F.lit("_d"))
+    ident = F.concat(F.col("o_custkey").cast("string"), F.lit("_"), F.col("o_orderkey").cast("string"))
+    pr = F.col("o_orderpriority")
+    looks = F.to_json(F.struct(F.lit("x").alias("ID")))
+    item = F.concat(
+        F.lit('{"ID":"'), ident, F.lit('","price":3,"note":'), F.when(pr == "4-NOT SPECIFIED", F.lit('"{\\"ID\\":\\"x\\"}"'))
+        .otherwise(F.concat(F.lit('"'), F.col("o_orderstatus"), F.lit('"'))),
+        F.lit(',"price" : '), F.when(pr == "2-HIGH", "17.0").otherwise("1000"), F.lit("}"))
+    first = F.when(pr == "4-NOT SPECIFIED", F.concat(F.lit('"'), F.replace(looks, F.lit('"'), F.lit('\\"')), F.lit('"'))).otherwise("null")
+    items = F.when(pr == "3-MEDIUM", F.lit('"[{\\"ID\\":1}]"')).otherwise(F.concat(F.lit("["), first, F.lit(","), item, F.lit("]")))
+    doc = F.concat(F.lit('{"_id":"'), key, F.lit('","f":{"items":'), items, F.when(pr == "1-URGENT", "").otherwise("}}"))
+    docs = o.select(doc.alias("doc"))
+    found = tables_of(docs, QUIRKS, "quirk", mode="permissive", with_document_id=True)["quirk_items"]
+    lost = unreadable_documents(docs).select(
+        F.regexp_extract("doc", '"_id":"([^"]*)"', 1).alias("document_id"),
+        *[F.lit(None).cast("string").alias(c) for c in ("nested_id", "parent_id", "price", "note")], F.col(REJECT).alias("reason"))
+    return found.select(
+        "document_id", "nested_id", "parent_id", "price", "note", F.lit(None).cast("string").alias("reason")).unionByName(lost)
+
+
 # -- G6 R1 A1 ----------------------------------------------------------------
 @query("tree_row_counts", f"""
 {_ITEMS_SQL}, {_DOCS}
@@ -511,15 +550,16 @@ def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- K6 Q16 ------------------------------------------------------------------
 @query("bad_rows", """
 SELECT c_mktsegment AS segment,
-       CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'rejected' ELSE 'kept' END AS status,
+       CASE WHEN c_mktsegment IN ('HOUSEHOLD', 'MACHINERY', 'FURNITURE') THEN 'rejected' ELSE 'kept' END AS status,
        count(*) AS rows
 FROM customer GROUP BY 1, 2
 """)
 def bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of blanks are kept; empty ones, ones of control characters alone and nulls are rejected."""
     c = table(spark, sf_dir, "customer")
     seg = F.col("c_mktsegment")
-    key = F.when(seg == "BUILDING", F.lit("  ")).when(seg == "MACHINERY", F.lit(None)) \
-        .otherwise(F.col("c_custkey").cast("string"))
+    key = F.when(seg == "BUILDING", F.lit("  ")).when(seg == "MACHINERY", F.lit(None)).when(seg == "HOUSEHOLD", F.lit("")) \
+        .when(seg == "FURNITURE", F.lit("\x00\x0b")).otherwise(F.col("c_custkey").cast("string"))
     df = c.select(key.alias("key"), seg.alias("segment"))
     good, bad = split_bad_rows(df, "key")
     both = good.select("segment", F.lit("kept").alias("status")).unionByName(

@@ -217,6 +217,31 @@ part_specs:
 """
 )
 
+# Orders whose items have the quirks of hand-made JSON.
+QUIRKS = Catalog.from_yaml_text(
+    """
+quirk:
+  table_name: quirk
+  primary_key: relationship_id
+  nested_tables:
+    - {field: f, target_table: quirk_items, foreign_key: parent_id, use_nested_transformer: true}
+  fields:
+    - {name: relationship_id, type: string, source_field: _id}
+quirk_items:
+  table_name: quirk_items
+  primary_key: nested_id
+  is_array: true
+  path: [{field: f}, {field: items}]
+  source_id_field: ID
+  fields:
+    - {name: nested_id, type: string, generated: true}
+    - {name: id, type: string, generated: true}
+    - {name: parent_id, type: string}
+    - {name: price, type: string}
+    - {name: note, type: string}
+"""
+)
+
 EVENTS = Catalog.from_yaml_text(
     """
 event:
@@ -285,22 +310,25 @@ def fabric_item(r: Row = F.col) -> Column:
     )
 
 
-# Shape of the ``fabric`` value per order, by priority and status:
+# JSON text of the ``fabric`` value per order, by priority and status:
 # no fabric, items as text, fabric null, items an object, items an array.
 def fabric_value(items: Column) -> Column:
     pr, st = F.col("o_orderpriority"), F.col("o_orderstatus")
-    arr = F.concat(F.lit('{"items":['), F.coalesce(F.array_join(items, ","), F.lit("")), F.lit("]}"))
-    text = F.to_json(F.struct(F.lit("text").alias("items"), F.col("o_orderpriority").alias("note")))
-    obj = F.lit('{"items":{"ID":"x"}}')
     return (
         F.when(pr == "1-URGENT", F.lit(None))
-        .when(pr == "2-HIGH", F.parse_json(text))
-        .when((pr == "3-MEDIUM") & (st == "F"), F.parse_json(F.lit("null")))
-        .when((pr == "4-NOT SPECIFIED") & (st == "O"), F.parse_json(obj))
-        .otherwise(F.parse_json(arr))
+        .when(pr == "2-HIGH", F.to_json(F.struct(F.lit("text").alias("items"), F.col("o_orderpriority").alias("note"))))
+        .when((pr == "3-MEDIUM") & (st == "F"), F.lit("null"))
+        .when((pr == "4-NOT SPECIFIED") & (st == "O"), F.lit('{"items":{"ID":"x"}}'))
+        .otherwise(F.concat(F.lit('{"items":['), F.coalesce(F.array_join(items, ","), F.lit("")), F.lit("]}")))
     )
 
 
+def with_field(doc: Column, name: str, value: Column) -> Column:
+    """A JSON object with another field, given as JSON text (null: without)."""
+    more = F.concat(F.substring(doc, F.lit(1), F.length(doc) - 1), F.lit(f',"{name}":'), value, F.lit("}"))
+    return F.when(value.isNotNull(), more).otherwise(doc)
+
+
 def order_documents(
     spark: SparkSession,
     sf_dir: str,
@@ -344,6 +372,11 @@ def order_documents(
         fields.append(F.transform("_items", lambda x: x["m"]).alias("orderLines"))
     if numbers:
         fields.append(F.transform("_items", lambda x: x["n"]).alias("lineNumbers"))
-    if fabric:
-        fields.append(fabric_value(F.transform("_items", lambda x: x["f"])).alias("fabric"))
-    return docs.select(F.to_json(F.struct(*fields)).alias("doc"))
+    doc = F.to_json(F.struct(*fields))
+    if not fabric:
+        return docs.select(doc.alias("doc"))
+    # spliced in as text, so that its numbers stay as they are written; above
+    # generators, so that both texts are built once
+    texts = docs.select(F.explode_outer(F.array(F.struct(
+        doc.alias("doc"), fabric_value(F.transform("_items", lambda x: x["f"])).alias("fabric")))).alias("t"))
+    return texts.select(with_field(F.col("t.doc"), "fabric", F.col("t.fabric")).alias("doc"))

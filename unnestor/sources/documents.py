@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.json_text import Paths, guard
 from ..functions.values import as_float, as_timestamp
 from ..plans.catalog import TableSpec
 
@@ -160,40 +161,48 @@ def path_column(i: int) -> str:
     return f"_path{i}"
 
 
-def json_path(*steps: str) -> str:
-    """Variant path for a list of object keys (bracket form, so keys with
-    dots, dashes or spaces are safe)."""
-    return "$" + "".join("['" + s.replace("\\", "\\\\").replace("'", "\\'") + "']" for s in steps)
+PATH_DOC_ID = "_path_doc_id"
 
 
-PATH_DOC_ID = "_path_doc_id"
-TOPS = "_tops"
-
-
-def path_struct(doc: Column, paths: Sequence[Sequence[str]], id_key: str | None = None) -> Column:
-    """One narrow parse for path tables: the first key of each path as a
-    variant (``from_json`` skips every other key of the document without
-    building it), and the document id as text. Independent of the main
-    layout. Give it a column of its own (``_tops``) and read it with
-    ``path_values``: when its fields are taken straight off the expression,
-    the optimizer splits it into one parse per field."""
-    firsts = list(dict.fromkeys(p[0] for p in paths))
-    fields = [T.StructField(k, T.VariantType()) for k in firsts]
-    if id_key is not None and id_key not in firsts:
-        fields.append(T.StructField(id_key, T.StringType()))
-    return F.from_json(doc, T.StructType(fields))
-
-
-def path_values(tops: Column, paths: Sequence[Sequence[str]], id_key: str | None = None) -> list[Column]:
-    """``_path<i>`` (the value at each key path, a variant, null where
-    absent) and ``_path_doc_id``, from a ``path_struct`` column."""
-    out = [
-        F.try_variant_get(tops.getField(p[0]), json_path(*p[1:]), "variant").alias(path_column(i))
-        for i, p in enumerate(paths)
-    ]
-    if id_key is not None:
-        out.append(tops.getField(id_key).cast("string").alias(PATH_DOC_ID))
-    return out
+@dataclass(frozen=True)
+class PathColumns:
+    """The parse behind path tables: for each ``(key path, is_array)`` a column
+    ``_path<i>``, and ``_path_doc_id``. Independent of the main layout.
+
+    ``_path<i>`` is an array of texts, each the JSON text of one item; it is
+    null where the path is absent, or runs through a null or a non-object, or
+    (``is_array``) ends at a non-array. Without ``is_array`` the value is the
+    only item. Keys that no path names are skipped unread."""
+
+    paths: tuple[tuple[tuple[str, ...], bool], ...]
+    id_key: str | None = None
+
+    def _tree(self) -> Paths:
+        leaves = [(steps, T.ArrayType(T.StringType()) if array else T.StringType()) for steps, array in self.paths]
+        return Paths(leaves + ([((self.id_key,), T.StringType())] if self.id_key is not None else []))
+
+    def parses(self, doc: Column) -> list[Column]:
+        """Columns of the parse (``_tops<i>``), for a projection of their own."""
+        return [c.alias(f"_tops{i}") for i, c in enumerate(self._tree().parses(guard(doc)))]
+
+    def values(self) -> list[Column]:
+        """The path columns, from those of the parse."""
+        tree = self._tree()
+        tops = [F.col(f"_tops{i}") for i in range(len(tree.trees))]
+        out = []
+        for i, (_, array) in enumerate(self.paths):
+            v = tree.value(i, tops)
+            out.append((v if array else F.when(v.isNotNull(), F.array(v))).alias(path_column(i)))
+        if self.id_key is not None:
+            out.append(tree.value(len(self.paths), tops).alias(PATH_DOC_ID))
+        return out
+
+
+def unreadable_documents(docs: DataFrame, column: str = DOC) -> DataFrame:
+    """``DataFrame[_reject_reason, doc]``: the documents that aren't JSON
+    objects from beginning to end, which a permissive parse leaves null."""
+    one = docs.select(F.explode_outer(F.array(F.col(column))).alias(DOC)).where(F.col(DOC).isNotNull())
+    return one.where(F.json_object_keys(DOC).isNull()).select(F.lit("not a JSON object").alias(REJECT), DOC)
 
 
 # -- S3 ----------------------------------------------------------------------
@@ -226,7 +235,7 @@ def parse_documents(
     mode: str = "strict",
     keep_doc: bool = False,
     keep: Sequence[str] = (),
-    paths: Sequence[Sequence[str]] = (),
+    paths: Sequence[tuple[Sequence[str], bool]] = (),
     path_id_key: str | None = None,
     doc_hash: bool = False,
 ) -> DataFrame:
@@ -237,10 +246,10 @@ def parse_documents(
     renames (``_id`` -> ``relationship_id``). Declared floats accept JSON
     numbers and numeric text; declared timestamps are parsed from text.
 
-    ``paths``: for each key path, a column ``_path<i>`` holding the document's
-    value at that path as a ``variant`` (null where absent), plus the document
-    id (``path_id_key``) as ``_path_doc_id``. Path tables read these instead
-    of the raw text, so the raw document need not be kept.
+    ``paths``: for each ``(key path, is_array)``, a column ``_path<i>`` with the
+    JSON texts of the items there (see ``PathColumns``), plus the document id
+    (``path_id_key``) as ``_path_doc_id``. Path tables read these instead of
+    the raw text, so the raw document need not be kept.
 
     ``doc_hash``: a ``_doc_hash`` column, ``xxhash64`` of the raw text (a cheap
     deterministic tie-break between versions of a document).
@@ -264,13 +273,14 @@ def parse_documents(
     extra = [F.col(f"`{k}`") for k in keep]
     if doc_hash:
         extra.append(F.xxhash64(F.col(DOC)).alias(DOC_HASH))
-    if paths:
-        extra.append(path_struct(F.col(DOC), paths, path_id_key).alias(TOPS))
+    at_paths = PathColumns(tuple((tuple(p), array) for p, array in paths), path_id_key)
+    tops = at_paths.parses(F.col(DOC)) if paths else []
+    extra += tops
     extra += [F.col(DOC)] if keep_doc or not strict else []
     staged = docs.select(parsed.alias("_p"), *extra)
-    carried = [F.col(f"`{c}`") for c in staged.columns if c not in ("_p", TOPS)]
+    carried = [F.col(f"`{c}`") for c in staged.columns if c != "_p" and not (paths and c.startswith("_tops"))]
     if paths:
-        carried += path_values(F.col(TOPS), paths, path_id_key)
+        carried += at_paths.values()
     # positional struct cast: JSON key names -> declared names, no by-name
     # lookup (so keys differing only in case cannot clash)
     target = T.StructType(
