@@ -100,3 +100,6 @@ def rows(df, *cols):
 
 TESTDATA = "/root/testdata"
 needs_testdata = pytest.mark.skipif(not os.path.isdir(TESTDATA), reason="driver tables not present")
+
+# Tests that open an embedded database in this process run on request only.
+needs_database = pytest.mark.skipif(not os.environ.get("UNNESTOR_TEST_JDBC"), reason="opens an embedded database; set UNNESTOR_TEST_JDBC to run")

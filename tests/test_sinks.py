@@ -9,7 +9,7 @@ from unnestor.sinks.tables import (
     JdbcStore, ParquetStore, choose_primary_key, create_table_sql, load_table,
 )
 
-from .conftest import rows
+from .conftest import needs_database, rows
 
 
 def test_primary_key_choice():
@@ -63,29 +63,25 @@ def test_load_table_refresh_and_upsert(spark, tmp_path):
     assert rows(store.read(spark, "my_table")) == [("a", "y", 2), ("b", "new", 5), ("c", "w", 1)]
 
 
+@needs_database
 def test_jdbc_round_trip_embedded_derby(spark):
     """Spark's bundled embedded Derby, in memory, in process (no port)."""
     store = JdbcStore("jdbc:derby:memory:unnestor;create=true",
                       {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}, batchsize=2)
     df = spark.createDataFrame([("a", 1, True), ("b", None, None), ("c", 3, False)], "k string, n int, b boolean")
-    try:
-        rep = load_table(df, store, "derby-t", "k")
-    except Exception as ex:  # noqa: BLE001
-        pytest.skip(f"embedded Derby not usable here: {str(ex)[:200]}")
+    rep = load_table(df, store, "derby-t", "k")
     assert rep.status == "ok" and rep.loaded == 3
     got = {r[0].strip() if isinstance(r[0], str) else r[0]: r for r in store.read(spark, "derby_t").collect()}
     assert got["b"][2] is False  # boolean null -> false
 
 
+@needs_database
 def test_jdbc_partitioned_reads_embedded_derby(spark):
     store = JdbcStore("jdbc:derby:memory:unnestor2;create=true",
                       {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}, num_partitions=3,
                       partition_column='"n"', lower_bound=0, upper_bound=30)  # Derby: quoted lower case
     df = spark.createDataFrame([(f"k{i}", i) for i in range(30)], "k string, n int")
-    try:
-        rep = load_table(df, store, "derby_parts", "k", dedupe=False)
-    except Exception as ex:  # noqa: BLE001
-        pytest.skip(f"embedded Derby not usable here: {str(ex)[:200]}")
+    rep = load_table(df, store, "derby_parts", "k", dedupe=False)
     assert rep.loaded == 30
     assert store.read(spark, "derby_parts").rdd.getNumPartitions() == 3
     by_pred = JdbcStore(store.url, store.properties, predicates=['"n" < 10', '"n" >= 10'])
@@ -101,14 +97,12 @@ def test_rejected_counted_on_write_pass(spark, tmp_path):
     assert (rep.written, rep.rejected) == (2, 2)
 
 
+@needs_database
 def test_jdbc_upsert_embedded_derby(spark):
     store = JdbcStore("jdbc:derby:memory:unnestor3;create=true",
                       {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
     first = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
-    try:
-        load_table(first, store, "derby_up", "k")
-    except Exception as ex:  # noqa: BLE001
-        pytest.skip(f"embedded Derby not usable here: {str(ex)[:200]}")
+    load_table(first, store, "derby_up", "k")
     later = spark.createDataFrame([("b", 20), ("c", 3)], "k string, v int")
     rep = load_table(later, store, "derby_up", "k", mode="upsert")
     assert rep.status == "ok" and rep.loaded == 3

@@ -21,5 +21,5 @@ def test_incremental_upsert(spark, edge_catalog, tmp_path):
                                checkpoint_location=ckpt)
     q.awaitTermination(120)
     assert rows(store.read(spark, "t").select("relationship_id", "n")) == [("a", 10), ("b", 2)]
-    # a_0 is replaced, a_1 from the first version stays (child rows are keyed by position)
-    assert rows(store.read(spark, "t_prim")) == [("a_0", "a", 7), ("a_1", "a", 2)]
+    # the arriving version replaces all children of the stored one
+    assert rows(store.read(spark, "t_prim")) == [("a_0", "a", 7)]

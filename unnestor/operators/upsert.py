@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.values import strip_control
 from ..plans.sizing import fits_broadcast, measure
+from ..plans.staging import stage_at, unstage
 
 
 def _q(name: str) -> Column:
@@ -65,6 +66,36 @@ def latest_per_key(
     return picked.select(*[_q(c) for c in df.columns])
 
 
+def superseded(
+    df: DataFrame, key: Column, row_id: str, order_by: str | Sequence[str] | None = None, tiebreak: str | None = None
+) -> tuple[DataFrame, str]:
+    """``DataFrame[row_id]`` and its staged folder: the rows that ``latest_per_key`` would not keep,
+    found from (key, order, tiebreak, row id) alone, so no payload is moved or
+    compared. Rows with a null ``key`` are never superseded. ``row_id`` must
+    be a stored column: both passes over ``df`` have to agree on it."""
+    orders = [] if order_by is None else _keys(order_by)
+    ranks = [*[_q(o).alias(f"_o{i}") for i, o in enumerate(orders)], *([_q(tiebreak).alias("_t")] if tiebreak else []), _q(row_id).alias("_id")]
+    slim = df.select(key.alias("_k"), F.struct(*ranks).alias("_v")).where(F.col("_k").isNotNull())
+    several = slim.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.max("_v").alias("_best")).where("_n > 1")
+    several, several_at = stage_at(several.select("_k", F.col("_best._id").alias("_best")), "versions")
+    size = measure(several, ["_k"])
+    side = F.broadcast(several) if fits_broadcast(df.sparkSession, *size) else several.hint("merge")
+    lost = stage_at(slim.join(side, "_k").where("_v._id <> _best").select(F.col("_v._id").alias(row_id)), "superseded")
+    unstage(df.sparkSession, several_at)
+    return lost
+
+
+def without_rows(df: DataFrame, lost: DataFrame, row_id: str) -> DataFrame:
+    """``df`` without the rows of ``lost``. Their ids are broadcast where they
+    measure under the limit, so that the payload stays where it is; beyond
+    it both sides are dealt out by row id, which is even."""
+    size = measure(lost, [row_id])
+    if not size[0]:
+        return df
+    side = F.broadcast(lost) if fits_broadcast(df.sparkSession, *size) else lost.hint("merge")
+    return df.join(side, row_id, "left_anti")
+
+
 def _orderable(t: T.DataType) -> bool:
     if isinstance(t, (T.MapType, T.VariantType)):
         return False

@@ -7,12 +7,12 @@ for path extraction, of the documents), so the whole tree is shuffle-free.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.values import fill_defaults
-from ..operators.unnest import extract_path_items, flatten_struct, unnest_records, unnest_values
+from ..operators.unnest import extract_path_items, flatten_struct, split_path_key, unnest_records, unnest_values
 from ..sources.documents import DOC, PATH_DOC_ID, REJECT, PathColumns, parse_documents, path_column
 from .catalog import PATH, PRIMITIVE, RECORDS, SINGLE, Catalog, CatalogError, ChildLink, TableSpec
 
@@ -208,6 +208,42 @@ def extract_table(docs: DataFrame, catalog: Catalog, key: str, with_document_id:
     )
 
 
+def owners(catalog: Catalog, root: str) -> dict[str, Column | None]:
+    """Table name -> the document key that a stored row goes with, from the
+    row's own keys: every table of the tree can be replaced document by
+    document. None where a layout keeps no key of it."""
+    spec = catalog[root]
+    out: dict[str, Column | None] = {spec.table_name: F.col(f"`{spec.primary_key}`") if spec.primary_key else None}
+    # the document key of a table's key, as a function of that key
+    document = {spec.table_name: lambda k: k}
+
+    def walk(parent: TableSpec) -> None:
+        for link in parent.children:
+            target = catalog[link.target]
+            of_parent = document[link.parent_table or parent.table_name]
+            kind = target.kind(link)
+            if kind == PATH:
+                out[target.table_name] = _path_owner(target)
+                document[target.table_name] = lambda k: k
+            else:
+                tail = rf"_\Q{link.field}\E$" if kind == SINGLE else "_[0-9]+$"
+                out[target.table_name] = of_parent(F.col(f"`{link.foreign_key}`"))
+                # (an array under a layout of a single record has positions too)
+                tail = f"(?:{tail}|_[0-9]+$)" if kind == SINGLE else tail
+                document[target.table_name] = lambda k, tail=tail, up=of_parent: up(F.regexp_replace(k, tail, ""))
+            walk(target)
+
+    walk(spec)
+    return out
+
+
+def _path_owner(target: TableSpec) -> Column | None:
+    names = [f.name for f in target.fields]
+    if "id" in names:
+        return F.regexp_replace(F.substring(F.col("id"), len(ITEM_KEY_PREFIX) + 2, 1 << 30), "_[0-9]+$", "")
+    return split_path_key(F.col("nested_id"), target.table_name)[1] if "nested_id" in names else None
+
+
 def rejected_documents(docs: DataFrame, spec: TableSpec) -> DataFrame:
     """Permissive-mode quarantine: documents with a field that did not fit the
     layout, with the reason (see ``parse_documents``)."""

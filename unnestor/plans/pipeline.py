@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.values import strip_control
-from ..operators.upsert import blank_key, latest_per_key
+from ..operators.upsert import blank_key, latest_per_key, superseded, without_rows
 from ..sinks.tables import LoadReport, Store, load_table
 from ..sources.documents import (
-    DOC, DOC_HASH, REJECT, envelope_texts, read_document_lines, read_envelope, rejected_envelopes, rejected_lines,
+    DOC, DOC_HASH, REJECT, envelope_texts, read_document_lines, read_envelope, rejected_envelopes, rejected_lines, unreadable_documents,
 )
 from .catalog import Catalog, CatalogError
-from .normalize import extract_table, normalize_parsed, parse_tree
+from .normalize import extract_table, normalize_parsed, owners, parse_tree
+from .parallel import run_all
 from .staging import stage_at, unstage
 
 # Database name -> root layout key of the four document
@@ -31,11 +32,21 @@ ENTITIES: dict[str, str] = {
 STANDALONE_PATH_TABLES: dict[str, str] = {"fabric_fabricFootprint": "channel1_order_fabric_Footprint"}
 
 
+ROW = "_row"
+
+
 @dataclass(frozen=True)
 class DatabaseRun:
+    """What a load did; ``error`` says why it failed, where failures are reported."""
+
     database: str
     tables: tuple[LoadReport, ...]
     rejected_documents: int = 0
+    error: str | None = None
+
+    @property
+    def status(self) -> str:
+        return "failed" if self.error else "ok" if all(t.status == "ok" for t in self.tables) else "mismatch"
 
 
 def primary_keys(catalog: Catalog, root: str) -> dict[str, str | None]:
@@ -51,55 +62,62 @@ def load_database(
     load_mode: str = "refresh",
     order_by: str | Sequence[str] | None = None,
     quarantine: Store | None = None,
-    staged: bool = True,
     dedupe: bool = True,
+    parallel: int = 1,
+    verify: str = "rows",
 ) -> DatabaseRun:
     """Parse the documents once (staged to the checkpoint folder, so the
     JSON is not re-parsed for each of the N tables), build the table tree and
-    load every table.
-
-    With ``dedupe``, repeated documents (same key) are resolved once, before
-    staging: the version with the greatest ``order_by`` (a column of the main
-    layout) wins, with all its children. Without ``order_by`` it is the one
-    whose text has the greatest hash: arbitrary, though the same on every run.
-    Keys are compared as they are stored, without control characters."""
+    load every table, ``parallel`` of them at once.
+
+    With ``dedupe``, repeated documents (same key) are resolved once: the
+    version with the greatest ``order_by`` (a column of the main layout) wins,
+    with all its children. Without ``order_by`` it is the one whose text has
+    the greatest hash: arbitrary, though the same on every run. Keys are
+    compared as they are stored, without control characters. Only keys, order
+    and hashes are compared; a document is moved only if very many are
+    superseded.
+
+    With ``load_mode="upsert"``, an arriving document replaces its stored row
+    and all its stored children, in every table of the tree."""
     catalog.validate(root)  # layout mistakes fail here, all at once, before any job
     spec = catalog[root]
     spark = docs.sparkSession
     resolve = dedupe and spec.primary_key in parse_documents_columns(spec)
     parsed = parse_tree(docs, catalog, root, mode, doc_hash=resolve)
     if resolve:
-        # Versions of a document are resolved once, on the document, before
-        # the tree is built: the latest version supplies the main row and all
-        # its children (keys of child rows derive from the document key), so
-        # no table needs a keyed shuffle of its own. Documents without a key
-        # are not merged; they are set aside at the load.
         if order_by is not None and not _has(parsed, order_by):
             raise CatalogError(f"layout {root!r} has no field {order_by!r} to order by")
-        order = order_by
-        no_key = blank_key(spec.primary_key, parsed.schema)
-        # one grouping key, so the documents are parsed once: the document key,
-        # or for a document without one a per-row id (never merged, never a
-        # hot group)
-        group = F.struct(
-            no_key.alias("b"),
-            F.when(no_key, F.monotonically_increasing_id()).alias("i"),
-            F.when(~no_key, strip_control(F.col(spec.primary_key).cast("string"))).alias("k"),
-        )
-        keyed = parsed.withColumn("_grp", group)
-        parsed = latest_per_key(keyed, "_grp", order, tiebreak=DOC_HASH).drop("_grp", DOC_HASH)
-    staged_path = None
-    if staged:
-        parsed, staged_path = stage_at(parsed, f"parsed_{root}")
+        parsed = parsed.withColumn(ROW, F.monotonically_increasing_id())
+    parsed, staged_path = stage_at(parsed, f"parsed_{root}")
     keys = primary_keys(catalog, root)
-    reports = []
+    reports, lost_at = [], None
     try:
-        for name, df in normalize_parsed(parsed, catalog, root):
+        # the key as it is stored; documents without one are not merged, they are set aside at the load
+        key = None
+        if spec.primary_key in parsed.columns:
+            key = F.when(~blank_key(spec.primary_key, parsed.schema), strip_control(F.col(f"`{spec.primary_key}`").cast("string")))
+        if resolve:
+            # the latest version supplies the main row and all its children (keys of child rows derive from
+            # the document key), so no table needs a keyed shuffle of its own
+            lost, lost_at = superseded(parsed, key, ROW, order_by, DOC_HASH)
+            parsed = without_rows(parsed, lost, ROW).drop(ROW, DOC_HASH)
+        owner, arriving = {}, None
+        if load_mode == "upsert" and key is not None:
+            owner = owners(catalog, root)
+            arriving = parsed.select(key.alias("_key")).where("_key is not null")
+
+        def load(name: str, df: DataFrame) -> LoadReport:
             order = order_by if order_by is None or _has(df, order_by) else None
-            reports.append(
-                load_table(df, store, name, keys.get(name), load_mode, order, quarantine,
-                           dedupe=dedupe and not resolve)
-            )
+            own = owner.get(name)
+            return load_table(df, store, name, keys.get(name), load_mode, order, quarantine, dedupe and not resolve,
+                              own, arriving if own is not None else None, verify)
+
+        tables = normalize_parsed(parsed, catalog, root)
+        for outcome in run_all(spark, [(name, lambda n=name, d=df: load(n, d)) for name, df in tables], parallel):
+            if isinstance(outcome, Exception):
+                raise outcome
+            reports.append(outcome)
         rejected = 0
         if mode == "permissive":
             # from the staged parse: no second pass over the JSON
@@ -113,8 +131,8 @@ def load_database(
             else:
                 rejected = bad.count()
     finally:
-        if staged_path:
-            unstage(spark, staged_path)
+        for path in filter(None, (staged_path, lost_at)):
+            unstage(spark, path)
     return DatabaseRun(spec.table_name, tuple(reports), rejected)
 
 
@@ -154,17 +172,29 @@ def load_path_table(
     load_mode: str = "refresh",
     quarantine: Store | None = None,
     dedupe: bool = True,
+    mode: str = "strict",
 ) -> DatabaseRun:
     """A path-extracted table loaded on its own, straight from the documents.
     With ``dedupe``, one row per document and position stays (of documents
-    that repeat); their key column names both, whereas ids that hold ``_`` can
-    make two items' ``nested_id`` equal."""
+    that repeat). Documents that aren't JSON objects fail the load in strict
+    mode; in permissive mode they are counted, and kept in ``quarantine``."""
     spec = catalog[key]
     items = extract_table(docs, catalog, key)
     if dedupe and "id" in items.columns:
         items, dedupe = latest_per_key(items, "id"), False
+    bad, rejected = unreadable_documents(docs), 0
+    if mode == "strict":
+        first = bad.first()
+        if first:
+            raise ValueError(f"not a JSON object: {first[DOC][:200]}")
+    elif quarantine is not None:
+        obs = Observation(f"rejected_docs_{uuid.uuid4().hex[:12]}")
+        quarantine.write(bad.observe(obs, F.count(F.lit(1)).alias("n")), f"{spec.table_name}__documents_rejected")
+        rejected = int(obs.get["n"])
+    else:
+        rejected = bad.count()
     report = load_table(items, store, spec.table_name, spec.primary_key, load_mode, None, quarantine, dedupe)
-    return DatabaseRun(spec.table_name, (report,))
+    return DatabaseRun(spec.table_name, (report,), rejected)
 
 
 def run_databases(
@@ -174,25 +204,47 @@ def run_databases(
     store: Store,
     bindings: Mapping[str, str] = ENTITIES,
     layout: str = "lines",
+    parallel: int = 1,
+    on_error: str = "stop",
     **load_options,
 ) -> list[DatabaseRun]:
-    """R2: each named database dump through R1, one after another; an unknown
-    database name or a failing database stops the run (fail fast). Names in
-    ``STANDALONE_PATH_TABLES`` load that one path-extracted table."""
+    """R2: each named database dump through R1. An unknown database name stops
+    the run before it begins. Names in ``STANDALONE_PATH_TABLES`` load that one
+    path-extracted table.
+
+    Databases are independent: ``parallel`` of them load at once (and as many
+    tables of each), every one in a scheduler pool of its own. One that fails
+    raises at the end with ``on_error="stop"`` (and with ``parallel=1`` nothing
+    after it is loaded); with ``"report"`` it has a run with its ``error``, and
+    the others are loaded."""
+    if on_error not in ("stop", "report"):
+        raise ValueError(f"on_error must be 'stop' or 'report', not {on_error!r}")
     known = {**bindings, **STANDALONE_PATH_TABLES}
     unknown = [d for d in dumps if d not in known]
     if unknown:
         raise ValueError(f"unknown database(s): {unknown}")
-    runs = []
-    for db, path in dumps.items():
-        mode = load_options.get("mode", "strict")
+    mode = load_options.get("mode", "strict")
+
+    def load(db: str, path: str) -> DatabaseRun:
         docs = read_dump(spark, path, layout, mode)
         if db in bindings:
-            runs.append(load_database(docs, catalog, bindings[db], store, **load_options))
+            run = load_database(docs, catalog, bindings[db], store, parallel=parallel, **load_options)
         else:
-            opts = {k: v for k, v in load_options.items() if k in ("load_mode", "quarantine", "dedupe")}
-            runs.append(load_path_table(docs, catalog, STANDALONE_PATH_TABLES[db], store, **opts))
+            opts = {k: v for k, v in load_options.items() if k in ("load_mode", "quarantine", "dedupe", "mode")}
+            run = load_path_table(docs, catalog, STANDALONE_PATH_TABLES[db], store, **opts)
         if mode == "permissive":
             lost = _set_aside(spark, path, layout, db.replace("-", "_"), load_options.get("quarantine"))
-            runs[-1] = replace(runs[-1], rejected_documents=runs[-1].rejected_documents + lost)
+            run = replace(run, rejected_documents=run.rejected_documents + lost)
+        return run
+
+    runs: list[DatabaseRun] = []
+    jobs = [(db, lambda db=db, path=path: load(db, path)) for db, path in dumps.items()]
+    # one by one, a failure stops what comes after it
+    for some in ([jobs] if parallel > 1 or on_error == "report" else [[j] for j in jobs]):
+        for (db, _), outcome in zip(some, run_all(spark, some, parallel)):
+            if isinstance(outcome, Exception):
+                if on_error == "stop":
+                    raise outcome
+                outcome = DatabaseRun(db, (), error=f"{type(outcome).__name__}: {str(outcome)[:500]}")
+            runs.append(outcome)
     return runs

@@ -8,20 +8,23 @@ widened to double, timestamps are rendered as text.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.values import apply_null_policy, sanitize_name_col, strip_control
-from ..operators.checks import column_profile, reconcile, row_counts, schema_drift
+from ..functions.values import apply_null_policy, null_policy_exprs, sanitize_name_col, strip_control
+from ..operators.checks import column_profile, reconcile, reconcile_content, row_counts, schema_drift
 from ..operators.unnest import unnest_values
-from ..operators.upsert import latest_per_key, merge_upsert, split_bad_rows
+from ..operators.upsert import latest_per_key, split_bad_rows
+from ..plans.catalog import Catalog
 from ..plans.normalize import normalize, normalize_staged
-from ..plans.pipeline import load_database
+from ..plans.pipeline import load_database, run_databases
 from ..plans.staging import stage, stage_text, staging_path
-from ..sinks.tables import ParquetStore
+from ..sinks.tables import REJECT_COLUMN, ParquetStore, load_table
+from ..sinks.tables import REJECT_REASON as ROW_REASON
 from ..sources.documents import REJECT, parse_documents, read_document_lines, scan_lines, unreadable_documents, unwrap_envelope
 from ..sources.tables import PAGE_SIZE, group_positions
 from .documents import (
@@ -544,7 +547,151 @@ def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     v2 = arriving.select("o_orderkey", "o_orderstatus",
                          F.concat("o_orderpriority", F.lit("*")).alias("o_orderpriority"),
                          (F.col("o_totalprice") + 1).alias("o_totalprice"), F.lit(2).alias("version"))
-    return merge_upsert(target, v1.unionByName(v2), "o_orderkey", "version")
+    store = ParquetStore(staging_path(spark, "orders"), buckets=16)
+    load_table(target, store, "orders", "o_orderkey", dedupe=False)
+    load_table(latest_per_key(v1.unionByName(v2), "o_orderkey", "version").drop("version"), store, "orders", "o_orderkey",
+               mode="upsert", dedupe=False)
+    return store.read(spark, "orders")
+
+
+def _tree_sql(name: str, lines: str, orders: str) -> str:
+    """Rows of the order tree, with the document they are of, made of some orders and lines."""
+    return f"""{name}_r AS (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_ORDER_SQL}) - 1 AS rn FROM lineitem WHERE {lines}),
+{name}_d AS (
+  SELECT o.*, CAST(o.o_orderkey AS VARCHAR) || '-' || CAST(coalesce(p.page, 0) AS VARCHAR) AS doc
+  FROM orders o LEFT JOIN (SELECT DISTINCT l_orderkey, rn // {PAGE_SIZE} AS page FROM {name}_r) p ON p.l_orderkey = o.o_orderkey
+  WHERE {orders}),
+{name}_l AS (
+  SELECT r.*, o_orderpriority, o_orderstatus, {_PAGE} AS doc, {_SLOT} AS slot,
+         CASE l_linestatus WHEN 'O' THEN 'S' || CAST(l_suppkey AS VARCHAR) ELSE CAST(l_suppkey AS VARCHAR) END AS pid
+  FROM {name}_r r JOIN orders ON o_orderkey = l_orderkey WHERE {orders}),
+{name} AS (
+  SELECT doc, 'shop_order' AS table_name, doc AS key, o_orderpriority AS value FROM {name}_d
+  UNION ALL SELECT doc, 'shop_order_fabric', doc || '_fabric', doc FROM {name}_d
+  UNION ALL SELECT doc, 'shop_order_lines', doc || '_' || slot, CAST(l_partkey AS VARCHAR) FROM {name}_l
+  UNION ALL SELECT doc, 'shop_order_linenos', doc || '_' || slot, CAST(l_linenumber AS VARCHAR) FROM {name}_l
+  UNION ALL SELECT doc, 'shop_order_fabric_items', 'shop_order_fabric_items_' || pid || '_' || doc || '_' || slot, pid FROM {name}_l
+    WHERE l_returnflag = 'N' AND NOT (l_linestatus = 'F' AND l_suppkey = 0) AND {_ARRAY_SHAPE})"""
+
+
+# -- K4 G6: a tree ------------------------------------------------------------
+@query("upsert_tree", f"""
+WITH {_tree_sql('stored', 'true', 'true')},
+{_tree_sql('arriving', "l_returnflag = 'N'", "o_orderstatus <> 'F'")}
+SELECT table_name, key, value FROM stored WHERE doc NOT IN (SELECT doc FROM arriving_d)
+UNION ALL SELECT table_name, key, value FROM arriving
+""")
+def upsert_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order tree is loaded into buckets; then the orders that aren't
+    finished arrive again with some lines less. Nothing of their first version
+    remains, in any of the five tables, and all else stays."""
+    store = ParquetStore(staging_path(spark, "tree"), buckets=8)
+    load_database(order_documents(spark, sf_dir, numbers=True, fabric=True), SHOP, "shop_order", store)
+    later = order_documents(spark, sf_dir, numbers=True, fabric=True, of_orders=F.col("o_orderstatus") != "F",
+                            with_lines=F.col("l_returnflag") == "N")
+    load_database(later, SHOP, "shop_order", store, load_mode="upsert")
+    shown = {"shop_order": ("relationship_id", "priority"), "shop_order_fabric": ("id", "order_id"), "shop_order_lines": ("nested_id", "partkey"),
+             "shop_order_linenos": ("id", "linenumber"), "shop_order_fabric_items": ("nested_id", "parent_id")}
+    parts = [store.read(spark, n).select(F.lit(n).alias("table_name"), F.col(k).alias("key"), F.col(v).cast("string").alias("value"))
+             for n, (k, v) in shown.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+# -- R1: versions of a document -------------------------------------------------
+def _customer_documents(spark: SparkSession, sf_dir: str, version: int) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    name = F.concat("c_name", F.lit(f" v{version}"))
+    return c.select("c_mktsegment", F.to_json(F.struct(
+        F.col("c_custkey").cast("string").alias("_id"), name.alias("name"), F.lit(version).alias("version"),
+        F.struct(name.alias("name"), F.col("c_nationkey").alias("nationkey")).alias("contact"))).alias("doc"))
+
+
+@query("load_versions", """
+SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name || ' v' || v AS name, CAST(v AS INTEGER) AS version,
+       c_name || ' v' || v AS contact_name, c_nationkey AS nationkey
+FROM (SELECT *, CASE c_mktsegment WHEN 'BUILDING' THEN 3 WHEN 'MACHINERY' THEN 2 ELSE 1 END AS v FROM customer)
+""")
+def load_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dump with up to three versions of a document: the latest supplies the
+    main row and the child row."""
+    seg = F.col("c_mktsegment")
+    docs = _customer_documents(spark, sf_dir, 1).unionByName(
+        _customer_documents(spark, sf_dir, 2).where(seg.isin("BUILDING", "MACHINERY"))).unionByName(
+        _customer_documents(spark, sf_dir, 3).where(seg == "BUILDING"))
+    store = ParquetStore(staging_path(spark, "versions"))
+    load_database(docs.select("doc"), CUSTOMERS, "customer", store, order_by="version")
+    main = store.read(spark, "customer").select(F.col("relationship_id").alias("customer_id"), "name", "version")
+    child = store.read(spark, "customer_contact").select("customer_id", F.col("name").alias("contact_name"), "nationkey")
+    return main.join(child.hint("merge"), "customer_id", "full_outer")
+
+
+# -- R1 R2: databases at the same time --------------------------------------------
+@query("run_all", """
+SELECT 'customers' AS database, 'ok' AS status, 'customer' AS table_name, count(*) AS loaded FROM customer
+UNION ALL SELECT 'customers', 'ok', 'customer_contact', count(*) FROM customer
+UNION ALL SELECT 'events', 'ok', 'event', count(*) FROM events
+UNION ALL SELECT 'cut_short', 'failed', NULL, NULL
+""")
+def run_all_databases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three dumps loaded at the same time, one of which can't be read: one
+    report a database, and the others are loaded."""
+    e = table(spark, sf_dir, "events")
+    events = F.to_json(F.struct(F.col("event_id").cast("string").alias("_id"), F.col("ts").cast("string").alias("ts"), F.col("event_type").alias("kind")))
+    customers = _customer_documents(spark, sf_dir, 1).select(F.col("doc").alias("value"))
+    dumps = {
+        "customers": stage_text(customers, "customers"), "events": stage_text(e.select(events.alias("value")), "events"),
+        "cut_short": stage_text(customers.select(F.expr("left(value, length(value) - 1)").alias("value")), "cut"),
+    }
+    catalog = Catalog({**CUSTOMERS.tables, **EVENTS.tables})
+    store = ParquetStore(staging_path(spark, "databases"))
+    runs = run_databases(spark, dumps, catalog, store, {"customers": "customer", "events": "event", "cut_short": "customer"},
+                         parallel=3, on_error="report", dedupe=False)
+    found = [(db, r.status, t.table if t else None, t.loaded if t else None) for db, r in zip(dumps, runs) for t in r.tables or [None]]
+    return spark.createDataFrame(found, "database string, status string, table_name string, loaded long")
+
+
+# -- A3: content --------------------------------------------------------------
+@query("reconcile_content", """
+SELECT 'as loaded' AS table_name, count(*) AS expected, count(*) AS loaded, 'ok' AS status FROM part
+UNION ALL SELECT 'a value changed', count(*), count(*), 'changed' FROM part
+UNION ALL SELECT 'a row lost', count(*), count(*) - 1, 'mismatch' FROM part
+UNION ALL SELECT 'report', count(*), count(*), 'ok ok' FROM part
+""")
+def reconcile_content_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table loaded with its content verified, and compared with what it was
+    made of: as it is, with one price changed, and with one row lost."""
+    p = table(spark, sf_dir, "part").withColumn("key", F.col("p_partkey").cast("string"))
+    store = ParquetStore(staging_path(spark, "parts"))
+    r = load_table(p, store, "part", "key", dedupe=False, verify="content")
+    stored, one = store.read(spark, "part"), F.col("p_partkey") == p.agg(F.min("p_partkey")).first()[0]
+    expected = p.select(*null_policy_exprs(p.schema))
+    report = spark.createDataFrame([("report", r.written, r.loaded, f"{r.status} {r.content}")], "table_name string, expected long, loaded long, status string")
+    return reconcile_content([
+        ("as loaded", expected, stored),
+        ("a value changed", expected, stored.withColumn("p_retailprice", F.when(one, F.col("p_retailprice") + 1).otherwise(F.col("p_retailprice")))),
+        ("a row lost", expected, stored.where(~one)),
+    ]).unionByName(report)
+
+
+# -- K6: rejected rows ----------------------------------------------------------
+@query("load_rejects", """
+SELECT c_mktsegment AS segment, count(*) AS rows, CASE c_mktsegment WHEN 'BUILDING' THEN 'key' WHEN 'MACHINERY' THEN 'key' END AS reject_column,
+       CASE c_mktsegment WHEN 'BUILDING' THEN 'blank key' WHEN 'MACHINERY' THEN 'null key' END AS reject_reason
+FROM customer GROUP BY 1
+""")
+def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good and rejected rows, written to the store and to the quarantine by one pass."""
+    c = table(spark, sf_dir, "customer")
+    seg = F.col("c_mktsegment")
+    key = F.when(seg == "BUILDING", F.lit("\x0b")).when(seg != "MACHINERY", F.col("c_custkey").cast("string"))
+    store, aside = (ParquetStore(staging_path(spark, n)) for n in ("good", "rejected"))
+    load_table(c.select(key.alias("key"), seg.alias("segment"), "c_name"), store, "customers", "key", dedupe=False, quarantine=aside)
+    none = F.lit(None).cast("string")
+    good = store.read(spark, "customers").select("segment", none.alias("reject_column"), none.alias("reject_reason"))
+    bad = aside.read(spark, "customers__rejected").select(
+        "segment", F.col(REJECT_COLUMN).alias("reject_column"), F.col(ROW_REASON).alias("reject_reason"))
+    return good.unionByName(bad).groupBy("segment", "reject_column", "reject_reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
 # -- K6 Q16 ------------------------------------------------------------------

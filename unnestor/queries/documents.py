@@ -141,6 +141,7 @@ customer:
   fields:
     - {name: relationship_id, type: string, source_field: _id}
     - {name: name, type: string}
+    - {name: version, type: integer}
     - name: contact
       type: struct
       fields:
@@ -337,16 +338,23 @@ def order_documents(
     fabric: bool = False,
     null_when_returned: bool = False,
     page_size: int = PAGE_SIZE,
+    of_orders: Column | None = None,
+    with_lines: Column | None = None,
 ) -> DataFrame:
     """Order documents ``{_id, custkey, status, totalprice, orderdate,
     priority, orderLines?, lineNumbers?, fabric?}``, one per order and page
-    of at most ``page_size`` lines."""
+    of at most ``page_size`` lines. ``of_orders`` and ``with_lines`` choose the
+    orders that become documents, and the lines that they have."""
     # orders stay spread: when the planner broadcasts the pages, the join
     # output keeps the orders' partitioning, and everything after it (JSON,
     # parse, unnest) runs in those partitions. The lines go straight into a
     # grouping shuffle, so they are not spread.
     orders = table(spark, sf_dir, "orders")
     li = table(spark, sf_dir, "lineitem", spread_rows=False)
+    if with_lines is not None:
+        li = li.where(with_lines)
+    if of_orders is not None:
+        orders = orders.where(of_orders)
 
     def build(x: Column) -> Column:  # one packed line -> its parts of the document
         r = lambda c: x[c]

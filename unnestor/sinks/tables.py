@@ -11,13 +11,15 @@ import uuid
 from dataclasses import dataclass, field
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.values import apply_null_policy, sanitize_name
-from ..operators.upsert import blank_key, latest_per_key, merge_upsert
-from ..plans.staging import stage_at, unstage
+from ..functions.values import null_policy_exprs, sanitize_name
+from ..operators.checks import content_checksum
+from ..operators.upsert import blank_key, latest_per_key
+from ..plans.sizing import fits_broadcast, measure
+from ..plans.staging import stage_at, staging_path, unstage
 
 QUARANTINE_SUFFIX = "__rejected"
 
@@ -67,6 +69,8 @@ def choose_primary_key(schema: T.StructType, declared: str | None = None) -> str
 
 # -- stores ------------------------------------------------------------------
 class Store:
+    exact = False  # whether values come back as they were written, to the bit
+
     def write(self, df: DataFrame, table: str, mode: str = "overwrite") -> None:
         raise NotImplementedError
 
@@ -81,12 +85,26 @@ class Store:
             return False
 
 
+BUCKET = "_bucket_of_"  # with the number of buckets, the partition column of a table in buckets
+
+
+def bucket_of(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key.cast("string")), F.lit(buckets)).cast("int")
+
+
 @dataclass
 class ParquetStore(Store):
     """One Parquet directory per table under ``root`` (a shared file system
-    or object store path)."""
+    or object store path).
+
+    With ``buckets``, tables are laid out by the hash of their owner key (the
+    document's, for a tree of tables), and an upsert reads and rewrites the
+    buckets of the arriving keys alone. A table keeps the number of buckets
+    it was written with; a flat one gets buckets at its next refresh."""
 
     root: str
+    buckets: int | None = None
+    exact = True
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -94,14 +112,101 @@ class ParquetStore(Store):
     def write(self, df: DataFrame, table: str, mode: str = "overwrite") -> None:
         df.write.mode(mode).parquet(self.path(table))
 
+    def read_buckets(self, spark: SparkSession, table: str) -> tuple[DataFrame, str | None]:
+        """The table with its bucket column, and that column's name."""
+        df = spark.read.parquet(self.path(table))
+        found = [c for c in df.columns if c.startswith(BUCKET)]
+        return df, found[0] if found else None
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.parquet(self.path(table))
+        df, bucket = self.read_buckets(spark, table)
+        return df.drop(bucket) if bucket else df
 
     def exists(self, spark: SparkSession, table: str) -> bool:
         """A file system check (no read is attempted on a missing folder)."""
-        sc = spark.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(self.path(table))
-        return bool(path.getFileSystem(sc._jsc.hadoopConfiguration()).exists(path))
+        return _folder(spark, self.path(table)).exists()
+
+    def write_buckets(self, df: DataFrame, table: str, owner: Column, buckets: int, only: bool = False) -> None:
+        """Write ``df`` in buckets of ``owner``; ``only``: the buckets that it
+        has rows of, leaving the others as they are. Rows come together by
+        bucket, and the planner splits a bucket that is too large."""
+        name = f"{BUCKET}{buckets}"
+        out = df.withColumn(name, bucket_of(owner, buckets)).hint("rebalance", name)
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if only else "static")
+         .partitionBy(name).parquet(self.path(table)))
+
+    def replace_owned(self, rows: DataFrame, table: str, owner: Column, arriving: DataFrame, observe) -> DataFrame:
+        """Remove every stored row whose owner is in ``arriving`` (one column)
+        and add ``rows``; returns what is stored where rows were written. Of a
+        table in buckets only the touched ones are read and written.
+        ``observe`` is applied to the rows on their way out."""
+        spark = rows.sparkSession
+        current, bucket = self.read_buckets(spark, table)
+        if bucket is None:
+            merged = observe(_unowned(current, owner, arriving).unionByName(rows.select(*current.columns)))
+            swap_in(merged, self, table)
+            return self.read(spark, table)
+        buckets = int(bucket[len(BUCKET):])
+        touched = sorted(r[0] for r in arriving.select(bucket_of(F.col(arriving.columns[0]), buckets)).distinct().collect())
+        here = current.where(F.col(bucket).isin(touched)) if touched else current.limit(0)
+        folders = {t: _folder(spark, f"{self.path(table)}/{bucket}={t}") for t in touched}
+        before = {t: f.names() for t, f in folders.items()}
+        columns = [c for c in current.columns if c != bucket]
+        merged = observe(_unowned(here.drop(bucket), owner, arriving).unionByName(rows.select(*columns)))
+        self.write_buckets(merged, table, owner, buckets, only=True)
+        for t, f in folders.items():  # a bucket that has no rows left was not written
+            if before[t] & f.names():
+                f.delete()
+        after = self.read_buckets(spark, table)[0]
+        return (after.where(F.col(bucket).isin(touched)) if touched else after.limit(0)).drop(bucket)
+
+
+def _unowned(current: DataFrame, owner: Column, arriving: DataFrame) -> DataFrame:
+    """Rows whose owner doesn't arrive. The arriving keys are broadcast only
+    after their size is measured; beyond it both sides are sorted."""
+    key = arriving.columns[0]
+    size = measure(arriving, [key])
+    side = arriving.select(F.col(f"`{key}`").alias("_arriving"))
+    side = F.broadcast(side) if fits_broadcast(current.sparkSession, *size) else side.hint("merge")
+    return current.withColumn("_owner", owner).join(side, F.col("_owner") == F.col("_arriving"), "left_anti").drop("_owner")
+
+
+class _folder:
+    """A folder of any file system that the cluster's client reaches."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, jvm = spark, spark.sparkContext._jvm
+        self.path = jvm.org.apache.hadoop.fs.Path(path)
+        self.fs = self.path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def exists(self) -> bool:
+        return bool(self.fs.exists(self.path))
+
+    def names(self) -> set[str]:
+        return {f.getPath().getName() for f in self.fs.listStatus(self.path)} if self.exists() else set()
+
+    def delete(self) -> None:
+        self.fs.delete(self.path, True)
+
+    def move(self, to: "_folder") -> None:
+        to.delete()
+        to.fs.mkdirs(to.path.getParent())
+        if not self.fs.rename(self.path, to.path):
+            raise OSError(f"can't move {self.path} to {to.path}")
+
+    def beside(self, other: "_folder") -> bool:
+        return self.fs.getUri().toString() == other.fs.getUri().toString()
+
+
+INCOMING = "__incoming"
+
+
+def swap_in(df: DataFrame, store: ParquetStore, table: str) -> None:
+    """Write a table next to the stored one and put it in its place: a job
+    that fails leaves the stored table as it was, and it may be read by it."""
+    at = store.path(table) + INCOMING
+    df.write.mode("overwrite").parquet(at)
+    _folder(df.sparkSession, at).move(_folder(df.sparkSession, store.path(table)))
 
 
 @dataclass
@@ -152,14 +257,41 @@ class JdbcStore(Store):
 
 @dataclass(frozen=True)
 class LoadReport:
+    """Rows written, read back and set aside. ``content`` compares the
+    checksums of both where that was asked for: ``ok`` or ``changed``."""
+
     table: str
     written: int
     loaded: int
     rejected: int
+    content: str | None = None
 
     @property
     def status(self) -> str:
-        return "ok" if self.written == self.loaded else "mismatch"
+        return "ok" if self.written == self.loaded and self.content in (None, "ok") else "mismatch"
+
+
+REJECT_COLUMN, REJECT_REASON = "_reject_column", "_reject_reason"
+_NULL_PART = "__HIVE_DEFAULT_PARTITION__"  # fixed value: folder of a null partition column
+
+
+def split_write(rows: DataFrame, folder: str) -> tuple[str, list[str]]:
+    """K6: write good and rejected rows in one pass. Rows that have a
+    ``_reject_reason`` go to folders of their column and reason, the others to
+    one of their own; returns it and those of the rejected. Tasks keep a file
+    open for each, so nothing is sorted."""
+    spark, writers = rows.sparkSession, "spark.sql.maxConcurrentOutputFileWriters"
+    was = spark.conf.get(writers, "0")
+    try:
+        if was == "0":
+            spark.conf.set(writers, "8")
+        rows.write.mode("overwrite").partitionBy(REJECT_COLUMN, REJECT_REASON).parquet(folder)
+    finally:
+        if was == "0":
+            spark.conf.unset(writers)
+    own = [n for n in _folder(spark, folder).names() if n.startswith(f"{REJECT_COLUMN}=")]
+    good = f"{REJECT_COLUMN}={_NULL_PART}"
+    return f"{folder}/{good}/{REJECT_REASON}={_NULL_PART}", [f"{folder}/{n}" for n in own if n != good]
 
 
 # -- K1 / K4 / K6 ------------------------------------------------------------
@@ -172,62 +304,141 @@ def load_table(
     order_by: str | Sequence[str] | None = None,
     quarantine: Store | None = None,
     dedupe: bool = True,
+    owner: Column | None = None,
+    arriving: DataFrame | None = None,
+    verify: str = "rows",
 ) -> LoadReport:
-    """Write one table and reconcile its count.
+    """Write one table and reconcile it.
 
-    * rows with a null or blank key are set aside (to ``quarantine`` when
-      given) and counted, never silently dropped;
+    * rows with a null or blank key are set aside and counted, never silently
+      dropped; with ``quarantine`` they are written there, with the column and
+      the reason, by the pass that writes the good rows;
     * the null policy and control-character strip are applied (V6, V9);
     * several rows with one key collapse to the latest (``order_by``); with
       keys unique by construction (document ids and the keys derived from
       them) ``dedupe=False`` skips this shuffle;
-    * ``mode="refresh"`` replaces the table; ``mode="upsert"`` merges into the
-      existing one by key (the merged result is staged first, so the table is
-      never overwritten while it is being read, and is removed only after the
-      overwrite succeeded);
+    * ``mode="refresh"`` replaces the table. ``mode="upsert"`` replaces the
+      stored rows of the arriving keys. ``owner`` is the key that a stored row
+      goes with (an expression over the table's columns, by default its own
+      key) and ``arriving`` the owners that arrive (by default those of the
+      rows): a child whose parent arrives without it is removed;
+    * a Parquet table is written beside the stored one and takes its place
+      when it is whole; one in buckets is rewritten where keys arrive;
     * the written count is observed during the write itself, then compared
-      with a read-back count (A3).
+      with a read-back count (A3), and with ``verify="content"`` the checksums
+      of both too (for stores that give back what they got). Of an upsert in
+      buckets both are those of the touched buckets.
     """
     if mode not in ("refresh", "upsert"):
         raise ValueError(f"mode must be 'refresh' or 'upsert', not {mode!r}")
+    if verify not in ("rows", "content"):
+        raise ValueError(f"verify must be 'rows' or 'content', not {verify!r}")
     spark = df.sparkSession
     name = sanitize_name(table_name)
     pk = choose_primary_key(df.schema, primary_key)
-    bad = blank_key(pk, df.schema)
-    # Counts come from observations in a write's final stage, where only
-    # successful task attempts are merged; an observation in a stage before a
-    # shuffle could count twice if that stage were re-run after a lost
-    # executor. Without a shuffle before the write (refresh, no dedupe) the
-    # set-aside rows are counted on the write's own pass.
-    same_stage = not dedupe and mode == "refresh"
-    obs_in = Observation(f"input_{name}_{uuid.uuid4().hex[:12]}")
-    source = df.observe(obs_in, F.count_if(bad).alias("bad")) if same_stage else df
-    rows = apply_null_policy(source.where(~bad))
+    owner = F.col(f"`{pk}`") if owner is None else owner
+    reason = reject_reason(pk, df.schema)
+    rows = df.select(*null_policy_exprs(df.schema), reason.alias(REJECT_REASON))
     if dedupe:
-        rows = latest_per_key(rows, pk, order_by)
-    rejected = None
-    if quarantine is not None:
-        obs_bad = Observation(f"rejected_{name}_{uuid.uuid4().hex[:12]}")
-        quarantine.write(df.where(bad).observe(obs_bad, F.count(F.lit(1)).alias("n")), name + QUARANTINE_SUFFIX)
-        rejected = int(obs_bad.get["n"])
-    elif not same_stage:
-        rejected = df.where(bad).count()
-
-    merged_path = None
-    if mode == "upsert" and store.exists(spark, name):
-        current = store.read(spark, name)
-        rows, merged_path = stage_at(merge_upsert(current, rows, pk), f"merge_{name}")
+        rows = _latest_good(rows, pk, order_by)
+    good = F.col(REJECT_REASON).isNull()
+    rows = rows.withColumn(REJECT_COLUMN, F.when(~good, F.lit(pk)))
+
+    # Counts come from observations in a write's final stage, where only
+    # successful task attempts are merged.
+    def observed(frame: DataFrame, obs: Observation, where: Column) -> DataFrame:
+        metrics = [F.count_if(where).alias("n"), F.count_if(~where).alias("bad")]
+        return frame.observe(obs, *metrics, *([content_checksum(df.columns, where).alias("sum")] if verify == "content" else []))
+
     obs = Observation(f"written_{name}_{uuid.uuid4().hex[:12]}")
+    parquet = isinstance(store, ParquetStore)
+    upsert = mode == "upsert" and store.exists(spark, name)
+    plain = parquet and not upsert and not store.buckets
+    staged = None if plain else staging_path(spark, f"split_{name}")
+    folder = store.path(name) + INCOMING if plain else staged
+    counts = observed(rows, obs, good)
+    if quarantine is not None:
+        at, bad = split_write(counts, folder)
+    else:
+        at, bad = folder, []
+        counts.where(good).drop(REJECT_COLUMN, REJECT_REASON).write.mode("overwrite").parquet(at)
+    seen = obs.get
+    rejected = int(seen["bad"])
+    if quarantine is not None:
+        _set_aside(spark, rows, folder, bad, quarantine, name + QUARANTINE_SUFFIX)
+    if not _folder(spark, at).exists():  # no good rows: the schema alone
+        rows.where("false").drop(REJECT_COLUMN, REJECT_REASON).write.mode("overwrite").parquet(at)
+    if plain:
+        _folder(spark, at).move(_folder(spark, store.path(name)))
+        _folder(spark, folder).delete()
+        back = store.read(spark, name)
+    else:
+        clean = spark.read.schema(rows.drop(REJECT_COLUMN, REJECT_REASON).schema).parquet(at)
+        back, seen = _write_staged(clean, store, name, upsert, pk, owner, arriving, observed, staged)
+    aggs = [F.count(F.lit(1)).alias("n")] + ([content_checksum(df.columns).alias("sum")] if verify == "content" and store.exact else [])
+    found = back.agg(*aggs).first()
+    content = None if len(aggs) == 1 else "ok" if found["sum"] == seen["sum"] else "changed"
+    if staged is not None:  # only once the table is written
+        _folder(spark, staged).delete()
+    return LoadReport(name, int(seen["n"]), int(found["n"]), rejected, content)
+
+
+def _write_staged(clean, store, name, upsert, pk, owner, arriving, observed, staged) -> tuple[DataFrame, dict]:
+    """The staged good rows into a store that can't take the files themselves;
+    what is read back, and the observed figures."""
+    spark = clean.sparkSession
+    obs = Observation(f"merged_{name}_{uuid.uuid4().hex[:12]}")
+
+    def watch(frame: DataFrame) -> DataFrame:
+        return observed(frame, obs, F.lit(True))
+
     try:
-        store.write(rows.observe(obs, F.count(F.lit(1)).alias("n")), name, "overwrite")
+        if upsert:
+            if arriving is None:
+                arriving = clean.select(owner.alias("_key")).distinct()
+            if isinstance(store, ParquetStore):
+                back = store.replace_owned(clean, name, owner, arriving, watch)
+            else:
+                current = store.read(spark, name)
+                merged, at = stage_at(_unowned(current, owner, arriving).unionByName(clean.select(*current.columns)), f"merge_{name}")
+                store.write(watch(merged), name, "overwrite")
+                unstage(spark, at)
+                back = store.read(spark, name)
+        elif isinstance(store, ParquetStore):
+            store.write_buckets(watch(clean), name, owner, store.buckets)
+            back = store.read(spark, name)
+        else:
+            store.write(watch(clean), name, "overwrite")
+            back = store.read(spark, name)
     except Exception as ex:
-        if merged_path:  # the merged table survives the failed overwrite
-            raise RuntimeError(f"writing {name!r} failed; the merged rows are kept at {merged_path}") from ex
-        raise
-    written = int(obs.get["n"])
-    if rejected is None:
-        rejected = int(obs_in.get["bad"])
-    loaded = store.read(spark, name).count()
-    if merged_path:  # only once the table is written
-        unstage(spark, merged_path)
-    return LoadReport(name, written, loaded, rejected)
+        raise RuntimeError(f"writing {name!r} failed; its rows are kept at {staged}") from ex
+    return back, obs.get
+
+
+def _set_aside(spark: SparkSession, rows: DataFrame, folder: str, bad: list[str], quarantine: Store, name: str) -> None:
+    """Move the folders of rejected rows to the quarantine, or copy them where
+    it can't take folders. Without any, its table is empty."""
+    to = _folder(spark, quarantine.path(name)) if isinstance(quarantine, ParquetStore) else None
+    if to is not None:
+        to.delete()
+        if bad and to.beside(_folder(spark, folder)):
+            for path in bad:
+                _folder(spark, path).move(_folder(spark, f"{quarantine.path(name)}/{path.rsplit('/', 1)[1]}"))
+            return
+    columns = [c for c in rows.columns if c not in (REJECT_COLUMN, REJECT_REASON)]
+    found = spark.read.option("basePath", folder).schema(rows.schema).parquet(*bad) if bad else rows.where("false")
+    quarantine.write(found.select(*columns, REJECT_COLUMN, REJECT_REASON), name, "overwrite")
+
+
+def reject_reason(key: str, schema: T.StructType) -> Column:
+    """Why a row can't be stored: its key is null, or text without anything
+    but control characters. Null for a good row."""
+    return F.when(F.col(f"`{key}`").isNull(), "null key").when(blank_key(key, schema), "blank key")
+
+
+def _latest_good(rows: DataFrame, pk: str, order_by: str | Sequence[str] | None) -> DataFrame:
+    """The latest row of each key, and every rejected row, in one pass: a
+    rejected row is a group of its own."""
+    bad = F.col(REJECT_REASON).isNotNull()
+    group = F.struct(F.when(bad, F.monotonically_increasing_id()).alias("i"), F.when(~bad, F.col(f"`{pk}`")).alias("k"))
+    return latest_per_key(rows.withColumn("_grp", group), "_grp", order_by).drop("_grp")
