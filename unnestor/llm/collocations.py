@@ -27,7 +27,7 @@ from .common import attach, partitions, stage_at, unstage
 
 SHARDS = 7
 LONGEST = 4  # words of a phrase
-CHUNK = 1 << 20  # words that a task counts at a time
+CHUNK = 1 << 19  # words that a task counts at a time
 SEGMENT = 1 << 22  # bytes of a long text that are cut at a time
 MAP_BITS = 27  # of the bitmap: 16 MB
 GROUP = 1 << 23  # bytes of text whose phrases meet in one group of hashes
