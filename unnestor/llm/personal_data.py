@@ -23,8 +23,8 @@ from .common import attach, stage_at, unstage
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
-ACCEPT = 0.9  # least score of a value that becomes an entity
-PRIOR = 2.0  # values of no kind that every pattern starts with
+ACCEPT = 0.85  # least score of a value that becomes an entity
+PRIOR = 1.0  # values of no kind that every pattern starts with
 UNKNOWN = 0.25  # weight against a pattern of a value that may yet be of its kind
 AROUND = 64  # code points kept on either side of a match for its context
 
@@ -39,9 +39,10 @@ SEEDS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 # Other writings that only a pattern can make an entity: runs of digits with
-# single signs between them, a bracketed area code, and spelt-out addresses.
+# single signs between them (no letter beside them), a bracketed area code, and
+# spelt-out addresses.
 OTHERS = (
-    r"\([0-9]{2,4}\)\x20?[0-9]{2,4}[\x20.-][0-9]{3,4}|(?:\G|(?<![0-9]))[0-9]++(?:[./_-][0-9]++)*+"
+    r"\([0-9]{2,4}\)\x20?[0-9]{2,4}[\x20.-][0-9]{3,4}|(?<![0-9A-Za-z])[0-9]++(?:[./_-][0-9]++)*+(?![A-Za-z])"
     rf"|(?:\G|(?<!{_MAIL})){_MAIL}++\x20?(?:\(at\)|\[at\])\x20?[A-Za-z0-9-]++(?:\x20?(?:\(dot\)|\[dot\]|\.)\x20?[A-Za-z0-9-]++)++"
 )
 LEAST_DIGITS = 7  # of another writing
