@@ -4,7 +4,7 @@ import pytest
 
 from unnestor.plans.pipeline import ENTITIES, load_database, run_databases
 from unnestor.sinks.tables import ParquetStore
-from unnestor.sources.documents import envelope_texts
+from unnestor.sources.documents import read_envelope
 
 from .conftest import docs_df, needs_database, needs_testdata, rows
 
@@ -154,9 +154,76 @@ def test_unreadable_envelopes_are_quarantined(spark, edge_catalog, tmp_path):
     run = run_databases(spark, {"things": str(d)}, edge_catalog, store, bindings={"things": "t"}, layout="envelope",
                         mode="permissive", quarantine=q)[0]
     assert run.rejected_documents == 2
-    kept = q.read(spark, "things__envelopes_rejected").collect()
-    assert sorted(r["doc"] for r in kept) == sorted([cut, '{"other":1}'])
-    loaded = [r["relationship_id"] for r in store.read(spark, "t").collect()]
-    assert "a" in loaded
-    with pytest.raises(ValueError, match="layout 'lines'"):
-        envelope_texts(spark, str(d), whole=50)
+    kept = {r["doc"].rsplit("/", 1)[1]: r["_reject_reason"] for r in q.read(spark, "things__envelopes_rejected").collect()}
+    assert kept == {"b.json": "envelope is cut short", "c.json": "not an envelope"}
+    # the row that ends before the cut is read
+    assert sorted(r["relationship_id"] for r in store.read(spark, "t").collect()) == ["a", "b"]
+    with pytest.raises(ValueError, match="cut short|not an envelope"):
+        read_envelope(spark, str(d))
+
+
+def test_databases_report_their_own_failure(spark, edge_catalog, tmp_path):
+    good, bad = tmp_path / "good.txt", tmp_path / "bad.txt"
+    good.write_text("\n".join(DOCS[:2]))
+    bad.write_text('{"_id":"a"')
+    dumps, bind = {"one": str(bad), "two": str(good)}, {"one": "t", "two": "t"}
+    for parallel in (1, 2):
+        store = ParquetStore(str(tmp_path / f"o{parallel}"))
+        runs = run_databases(spark, dumps, edge_catalog, store, bind, parallel=parallel, on_error="report")
+        assert [r.status for r in runs] == ["failed", "ok"] and "not a JSON object" in runs[0].error
+    with pytest.raises(Exception, match="not a JSON object"):
+        run_databases(spark, dumps, edge_catalog, ParquetStore(str(tmp_path / "x")), bind)
+    assert not (tmp_path / "x" / "t").exists()  # one after another, the failure stops the rest
+
+
+def test_tables_load_at_the_same_time(spark, edge_catalog, tmp_path):
+    one, many = ParquetStore(str(tmp_path / "one")), ParquetStore(str(tmp_path / "many"))
+    runs = [load_database(docs_df(spark, DOCS), edge_catalog, "t", s, parallel=n) for s, n in ((one, 1), (many, 5))]
+    assert runs[0] == runs[1]
+    for r in runs[0].tables:
+        assert rows(one.read(spark, r.table)) == rows(many.read(spark, r.table))
+
+
+@pytest.mark.parametrize("buckets", [None, 1, 7])
+def test_upsert_replaces_children_by_document(spark, edge_catalog, tmp_path, buckets):
+    def doc(i, n, prim, items):
+        return f'{{"_id":"{i}","n":{n},"prim":{prim},"arr":[{{"k":"{n}"}}],"st":{{"p":"{n}","items":{items}}}}}'
+
+    store = ParquetStore(str(tmp_path / "o"), buckets=buckets)
+    first = [doc(f"d_{i}", i, [1, 2, 3], '[{"ID":"x_1"},{"ID":"y"}]') for i in range(20)] + [doc("d", 99, [4], "[]"), doc("1", 98, [5], "[]")]
+    load_database(docs_df(spark, first), edge_catalog, "t", store)
+    # one loses children, one all of them, one comes anew; keys that begin another stay apart
+    load_database(docs_df(spark, [doc("d_1", 50, [7], '[{"ID":"z"}]'), '{"_id":"d_2","n":51}', doc("new", 52, [8], "[]")]), edge_catalog, "t", store, load_mode="upsert")
+    got = {n: store.read(spark, n).collect() for n in ("t", "t_prim", "t_arr", "t_st", "t_path")}
+    assert {r.relationship_id: r.n for r in got["t"]} == {**{f"d_{i}": i for i in range(20)}, "d": 99, "1": 98, "d_1": 50, "d_2": 51, "new": 52}
+    prim = {}
+    for r in got["t_prim"]:
+        prim.setdefault(r.t_id, []).append(r.value)
+    assert {k: sorted(v) for k, v in prim.items()} == {**{f"d_{i}": [1, 2, 3] for i in range(20) if i != 2}, "d_1": [7], "d": [4], "1": [5], "new": [8]}
+    assert len(got["t_st"]) == 23 and len(got["t_arr"]) == 22
+    assert sorted(r.nested_id for r in got["t_path"] if "d%5F1_" in r.nested_id) == ["t_path_z_d%5F1_0"]
+    assert len(got["t_path"]) == 2 * 18 + 1
+
+
+def test_upsert_empties_a_bucket(spark, edge_catalog, tmp_path):
+    """All children of a bucket go, and its folder with them."""
+    store = ParquetStore(str(tmp_path / "o"), buckets=64)
+    load_database(docs_df(spark, ['{"_id":"a","prim":[1]}', '{"_id":"b","prim":[2]}']), edge_catalog, "t", store)
+    load_database(docs_df(spark, ['{"_id":"a","prim":[]}']), edge_catalog, "t", store, load_mode="upsert")
+    assert rows(store.read(spark, "t_prim")) == [("b_0", "b", 2)]
+
+
+def test_versions_move_no_document_where_keys_are_unique(spark, edge_catalog, tmp_path):
+    from pyspark.sql import functions as F
+
+    from unnestor.operators.upsert import superseded, without_rows
+    df = spark.range(50).select(F.col("id").cast("string").alias("k"), F.col("id").alias("row"), F.lit("payload").alias("p"))
+    lost, _ = superseded(df, F.col("k"), "row", "row")
+    out = without_rows(df, lost, "row")
+    assert lost.count() == 0 and out is df
+    many = df.unionByName(df.withColumn("row", F.col("row") + 100)).unionByName(df.where("k is null"))
+    lost, _ = superseded(many, F.col("k"), "row", "row")
+    left = without_rows(many, lost, "row")
+    assert rows(left, "k", "row") == sorted(((str(i), i + 100) for i in range(50)), key=repr)
+    plan = left._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan and "Sort " not in plan

@@ -107,3 +107,83 @@ def test_jdbc_upsert_embedded_derby(spark):
     rep = load_table(later, store, "derby_up", "k", mode="upsert")
     assert rep.status == "ok" and rep.loaded == 3
     assert rows(store.read(spark, "derby_up")) == [("a", 1), ("b", 20), ("c", 3)]
+
+
+def test_upsert_reads_touched_buckets_only(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+    store = ParquetStore(str(tmp_path / "s"), buckets=16)
+    load_table(spark.range(1000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v")), store, "t", "k", dedupe=False)
+    plans = []
+    write = ParquetStore.write_buckets
+    monkeypatch.setattr(ParquetStore, "write_buckets", lambda self, df, *a, **k: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(self, df, *a, **k))[1])
+    folders = lambda: {p.name: sorted(f.name for f in p.glob("*.parquet")) for p in (tmp_path / "s" / "t").glob("_bucket*")}
+    before = folders()
+    rep = load_table(spark.createDataFrame([("5", -5), ("1001", 7)], "k string, v long"), store, "t", "k", mode="upsert", dedupe=False, verify="content")
+    assert rep.status == "ok" and rep.content == "ok" and rep.loaded < 300
+    changed = [b for b, files in folders().items() if files != before[b]]
+    assert 1 <= len(changed) <= 2 and len(before) == 16
+    assert "PartitionFilters: [_bucket_of_16" in plans[0]
+    got = dict(store.read(spark, "t").collect())
+    assert len(got) == 1001 and got["5"] == -5 and got["1001"] == 7 and got["6"] == 6
+
+
+def test_a_table_in_buckets_keeps_their_number(spark, tmp_path):
+    df = spark.createDataFrame([(str(i), i) for i in range(40)], "k string, v int")
+    load_table(df, ParquetStore(str(tmp_path), buckets=4), "t", "k", dedupe=False)
+    other = ParquetStore(str(tmp_path), buckets=32)
+    load_table(df.where("v < 3").withColumn("v", df.v + 100), other, "t", "k", mode="upsert", dedupe=False)
+    assert sorted(p.name.split("=")[0] for p in (tmp_path / "t").glob("_b*"))[0] == "_bucket_of_4"
+    assert sorted(v for _, v in other.read(spark, "t").collect()) == [*range(3, 40), 100, 101, 102]
+    flat = ParquetStore(str(tmp_path))
+    load_table(df, flat, "t", "k", dedupe=False)
+    assert not list((tmp_path / "t").glob("_b*")) and flat.read(spark, "t").columns == ["k", "v"]
+
+
+def test_rejects_are_written_with_their_reason_in_one_pass(spark, tmp_path):
+    from pyspark.sql import functions as F
+    store, aside = ParquetStore(str(tmp_path / "s")), ParquetStore(str(tmp_path / "q"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame([("a", 1), ("", 2), (None, 3), ("\x0b", 4), ("b", 5)], "k string, v int").mapInArrow(count, "k string, v int")
+    for dedupe in (False, True):
+        was = seen.value
+        rep = load_table(df, store, "t", "k", quarantine=aside, dedupe=dedupe)
+        assert (rep.written, rep.loaded, rep.rejected, rep.status) == (2, 2, 3, "ok")
+        assert seen.value - was == 5
+        assert rows(aside.read(spark, "t__rejected").select("v", "_reject_column", "_reject_reason")) == [
+            (2, "k", "blank key"), (3, "k", "null key"), (4, "k", "blank key")]
+        assert store.read(spark, "t").columns == ["k", "v"] and rows(store.read(spark, "t")) == [("a", 1), ("b", 5)]
+    # nothing to set aside, and nothing but that
+    rep = load_table(df.where("v = 1"), store, "t", "k", quarantine=aside, dedupe=False)
+    assert (rep.written, rep.rejected) == (1, 0) and aside.read(spark, "t__rejected").count() == 0
+    rep = load_table(df.where("v = 3"), store, "t", "k", quarantine=aside, dedupe=False)
+    assert (rep.written, rep.loaded, rep.rejected) == (0, 0, 1) and store.read(spark, "t").columns == ["k", "v"]
+
+
+def test_content_is_verified(spark, tmp_path):
+    class Losing(ParquetStore):
+        """A store that changes a value."""
+
+        def read(self, spark, table):
+            from pyspark.sql import functions as F
+            return super().read(spark, table).withColumn("v", F.when(F.col("k") == "a", 9).otherwise(F.col("v")))
+
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("c", None)], "k string, v int")
+    assert load_table(df, ParquetStore(str(tmp_path / "s")), "t", "k", dedupe=False, verify="content").content == "ok"
+    rep = load_table(df, Losing(str(tmp_path / "s")), "t", "k", dedupe=False, verify="content")
+    assert (rep.content, rep.status, rep.loaded) == ("changed", "mismatch", 3)
+
+
+def test_a_failed_refresh_leaves_the_table(spark, tmp_path):
+    from pyspark.sql import functions as F
+    store = ParquetStore(str(tmp_path / "s"))
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    load_table(df, store, "t", "k", dedupe=False)
+    with pytest.raises(Exception, match="broken"):
+        load_table(df.withColumn("v", F.raise_error(F.lit("broken")).cast("int")), store, "t", "k", dedupe=False)
+    assert rows(store.read(spark, "t")) == [("a", 1)]

@@ -13,7 +13,7 @@ from ..functions.values import strip_control
 from ..operators.upsert import blank_key, latest_per_key, superseded, without_rows
 from ..sinks.tables import LoadReport, Store, load_table
 from ..sources.documents import (
-    DOC, DOC_HASH, REJECT, envelope_texts, read_document_lines, read_envelope, rejected_envelopes, rejected_lines, unreadable_documents,
+    DOC, DOC_HASH, REJECT, read_document_lines, read_envelopes, rejected_lines, unreadable_documents,
 )
 from .catalog import Catalog, CatalogError
 from .normalize import extract_table, normalize_parsed, owners, parse_tree
@@ -102,9 +102,8 @@ def load_database(
             # the document key), so no table needs a keyed shuffle of its own
             lost, lost_at = superseded(parsed, key, ROW, order_by, DOC_HASH)
             parsed = without_rows(parsed, lost, ROW).drop(ROW, DOC_HASH)
-        owner, arriving = {}, None
+        owner, arriving = owners(catalog, root) if key is not None else {}, None
         if load_mode == "upsert" and key is not None:
-            owner = owners(catalog, root)
             arriving = parsed.select(key.alias("_key")).where("_key is not null")
 
         def load(name: str, df: DataFrame) -> LoadReport:
@@ -123,13 +122,7 @@ def load_database(
             # from the staged parse: no second pass over the JSON
             cols = [c for c in (spec.primary_key, REJECT, DOC) if c and c in parsed.columns]
             bad = parsed.where(F.col(REJECT).isNotNull()).select(*cols)
-            if quarantine is not None:
-                obs = Observation(f"rejected_docs_{uuid.uuid4().hex[:12]}")
-                quarantine.write(bad.observe(obs, F.count(F.lit(1)).alias("n")),
-                                 f"{spec.table_name}__documents_rejected")
-                rejected = int(obs.get["n"])
-            else:
-                rejected = bad.count()
+            rejected = _set_aside(bad, f"{spec.table_name}__documents_rejected", quarantine)
     finally:
         for path in filter(None, (staged_path, lost_at)):
             unstage(spark, path)
@@ -146,21 +139,21 @@ def _has(df: DataFrame, cols: str | Sequence[str]) -> bool:
     return all(c in df.columns for c in cols)
 
 
-def read_dump(spark: SparkSession, path: str, layout: str = "lines", mode: str = "strict") -> DataFrame:
+def read_dump(spark: SparkSession, path: str, layout: str = "lines", mode: str = "strict") -> tuple[DataFrame, DataFrame]:
+    """``(documents, rejects)`` of a dump; the latter are what holds none."""
     if layout == "lines":
-        return read_document_lines(spark, path, mode)
+        return read_document_lines(spark, path, mode), rejected_lines(spark.read.text(path))
     if layout == "envelope":
-        return read_envelope(spark, path, mode)
+        return read_envelopes(spark, path, mode)
     raise ValueError(f"unknown dump layout {layout!r}")
 
 
-def _set_aside(spark: SparkSession, path: str, layout: str, database: str, quarantine: Store | None) -> int:
-    """Count the lines, or the envelopes, of a dump that can't be read, and keep them."""
-    bad = rejected_lines(spark.read.text(path)) if layout == "lines" else rejected_envelopes(envelope_texts(spark, path))
+def _set_aside(bad: DataFrame, name: str, quarantine: Store | None) -> int:
+    """Count what can't be read, and keep it."""
     if quarantine is None:
         return bad.count()
-    obs = Observation(f"rejected_{layout}_{uuid.uuid4().hex[:12]}")
-    quarantine.write(bad.observe(obs, F.count(F.lit(1)).alias("n")), f"{database}__{'lines' if layout == 'lines' else 'envelopes'}_rejected")
+    obs = Observation(f"{name}_{uuid.uuid4().hex[:12]}")
+    quarantine.write(bad.observe(obs, F.count(F.lit(1)).alias("n")), name)
     return int(obs.get["n"])
 
 
@@ -187,12 +180,8 @@ def load_path_table(
         first = bad.first()
         if first:
             raise ValueError(f"not a JSON object: {first[DOC][:200]}")
-    elif quarantine is not None:
-        obs = Observation(f"rejected_docs_{uuid.uuid4().hex[:12]}")
-        quarantine.write(bad.observe(obs, F.count(F.lit(1)).alias("n")), f"{spec.table_name}__documents_rejected")
-        rejected = int(obs.get["n"])
     else:
-        rejected = bad.count()
+        rejected = _set_aside(bad, f"{spec.table_name}__documents_rejected", quarantine)
     report = load_table(items, store, spec.table_name, spec.primary_key, load_mode, None, quarantine, dedupe)
     return DatabaseRun(spec.table_name, (report,), rejected)
 
@@ -226,14 +215,15 @@ def run_databases(
     mode = load_options.get("mode", "strict")
 
     def load(db: str, path: str) -> DatabaseRun:
-        docs = read_dump(spark, path, layout, mode)
+        docs, bad = read_dump(spark, path, layout, mode)
         if db in bindings:
             run = load_database(docs, catalog, bindings[db], store, parallel=parallel, **load_options)
         else:
             opts = {k: v for k, v in load_options.items() if k in ("load_mode", "quarantine", "dedupe", "mode")}
             run = load_path_table(docs, catalog, STANDALONE_PATH_TABLES[db], store, **opts)
         if mode == "permissive":
-            lost = _set_aside(spark, path, layout, db.replace("-", "_"), load_options.get("quarantine"))
+            name = f"{db.replace('-', '_')}__{'lines' if layout == 'lines' else 'envelopes'}_rejected"
+            lost = _set_aside(bad, name, load_options.get("quarantine"))
             run = replace(run, rejected_documents=run.rejected_documents + lost)
         return run
 

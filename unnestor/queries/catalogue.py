@@ -25,7 +25,7 @@ from ..plans.pipeline import load_database, run_databases
 from ..plans.staging import stage, stage_text, staging_path
 from ..sinks.tables import REJECT_COLUMN, ParquetStore, load_table
 from ..sinks.tables import REJECT_REASON as ROW_REASON
-from ..sources.documents import REJECT, parse_documents, read_document_lines, scan_lines, unreadable_documents, unwrap_envelope
+from ..sources.documents import REJECT, parse_documents, read_document_lines, read_envelope, scan_lines, unreadable_documents, unwrap_envelope
 from ..sources.tables import PAGE_SIZE, group_positions
 from .documents import (
     CONVERSATIONS, CUSTOMERS, EVENTS, LINE_ORDER, PARTS, QUIRKS, SHOP, SHOP_TYPED, TURN_ORDER,
@@ -176,6 +176,23 @@ def order_scan_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scan_result(unwrap_envelope(env.select(text.alias("value"))))
 
 
+@query("envelope_file", _SCAN_ORACLE)
+def envelope_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders as envelope files without line breaks, of at most about half
+    a million rows, read back by splits."""
+    rows = _order_rows(spark, sf_dir)
+    n = 2 + rows.count() // 500_000
+    lines = rows.select(
+        F.pmod("o_orderkey", F.lit(n)).alias("part"), F.lit(1).alias("at"), F.col("o_orderkey").alias("key"), F.concat(F.lit(","), "row").alias("value"))
+    frame = spark.range(n).select(F.col("id").alias("part"), F.explode(F.array(
+        F.struct(F.lit(0).alias("at"), F.lit('{"total_rows":0,"rows":[{"id":"","doc":null}').alias("value")),
+        F.struct(F.lit(2).alias("at"), F.lit("]}").alias("value")))).alias("f")).select("part", "f.at", F.lit(0).alias("key"), "f.value")
+    path = staging_path(spark, "envelopes")
+    (lines.unionByName(frame).repartition(n, "part").sortWithinPartitions("part", "at", "key").select("part", "value")
+     .write.partitionBy("part").option("lineSep", " ").text(path))
+    return _scan_result(read_envelope(spark, path))
+
+
 @query("order_scan_lines", _SCAN_ORACLE)
 def order_scan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A line dump (one envelope row per line, trailing commas, the envelope's

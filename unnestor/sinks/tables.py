@@ -11,6 +11,7 @@ import uuid
 from dataclasses import dataclass, field
 from typing import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -134,6 +135,12 @@ class ParquetStore(Store):
         out = df.withColumn(name, bucket_of(owner, buckets)).hint("rebalance", name)
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if only else "static")
          .partitionBy(name).parquet(self.path(table)))
+        self._keep_schema(df, table, name)
+
+    def _keep_schema(self, df: DataFrame, table: str, bucket: str) -> None:
+        """A table without any rows has an empty file in its first bucket."""
+        if not any(n.startswith(f"{bucket}=") for n in _folder(df.sparkSession, self.path(table)).names()):
+            df.limit(0).write.mode("overwrite").parquet(f"{self.path(table)}/{bucket}=0")
 
     def replace_owned(self, rows: DataFrame, table: str, owner: Column, arriving: DataFrame, observe) -> DataFrame:
         """Remove every stored row whose owner is in ``arriving`` (one column)
@@ -157,6 +164,7 @@ class ParquetStore(Store):
         for t, f in folders.items():  # a bucket that has no rows left was not written
             if before[t] & f.names():
                 f.delete()
+        self._keep_schema(rows.select(*columns), table, bucket)
         after = self.read_buckets(spark, table)[0]
         return (after.where(F.col(bucket).isin(touched)) if touched else after.limit(0)).drop(bucket)
 
@@ -362,7 +370,7 @@ def load_table(
     else:
         at, bad = folder, []
         counts.where(good).drop(REJECT_COLUMN, REJECT_REASON).write.mode("overwrite").parquet(at)
-    seen = obs.get
+    seen = _figures(obs)
     rejected = int(seen["bad"])
     if quarantine is not None:
         _set_aside(spark, rows, folder, bad, quarantine, name + QUARANTINE_SUFFIX)
@@ -412,7 +420,16 @@ def _write_staged(clean, store, name, upsert, pk, owner, arriving, observed, sta
             back = store.read(spark, name)
     except Exception as ex:
         raise RuntimeError(f"writing {name!r} failed; its rows are kept at {staged}") from ex
-    return back, obs.get
+    return back, _figures(obs)
+
+
+def _figures(obs: Observation) -> dict:
+    """What was observed; nothing is where the planner saw that there are no
+    rows and ran no observation. (If it were wrong, the read-back would differ.)"""
+    try:
+        return obs.get
+    except Py4JJavaError:
+        return {"n": 0, "bad": 0, "sum": 0}
 
 
 def _set_aside(spark: SparkSession, rows: DataFrame, folder: str, bad: list[str], quarantine: Store, name: str) -> None:

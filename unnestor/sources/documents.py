@@ -3,12 +3,13 @@
 A document is one JSON object; ``_id`` is its identity. Two dump layouts are
 read, both with Spark's own readers so the scan is distributed:
 
-* the whole-database envelope ``{"rows": [{"id": .., "doc": {..}}, ..]}``
-  (one JSON value per file, so one task per file of at most ``WHOLE`` bytes), and
+* the whole-database envelope ``{"rows": [{"id": .., "doc": {..}}, ..]}``, one
+  JSON value per file, with or without line breaks, and
 * the line-per-row form, where each line holds one envelope row or one bare
   document, optionally followed by a comma, with the envelope's opening and
-  closing lines around them. This layout is splittable and is the one to use
-  for large databases.
+  closing lines around them.
+
+Both are splittable; lines are read in one pass, envelopes in two.
 
 ``parse_documents`` applies a declared layout to the ``doc`` column (S3).
 """
@@ -25,14 +26,13 @@ from pyspark.sql import types as T
 from ..functions.json_text import Paths, guard
 from ..functions.values import as_float, as_timestamp
 from ..plans.catalog import TableSpec
+from .envelope import scan_envelopes
 
 DOC = "doc"
 DOC_HASH = "_doc_hash"
 CORRUPT = "_corrupt_record"
 REJECT = "_reject_reason"
 
-WHOLE = 1 << 30  # bytes of a file that is read as one text
-
 _ENVELOPE = "rows array<struct<id:string,doc:string>>"
 _ROW = "id string, doc string, _id string"
 # the lines around an envelope's rows
@@ -66,21 +66,25 @@ def rejected_envelopes(texts: DataFrame, column: str = "value") -> DataFrame:
     return parsed.where(bad).select(F.lit("not an envelope").alias(REJECT), F.col(column).alias(DOC))
 
 
-def envelope_texts(spark: SparkSession, path: str | list[str], whole: int = WHOLE) -> DataFrame:
-    """The files as one text each; a file of more than ``whole`` bytes is an error."""
-    large = spark.read.format("binaryFile").load(path).where(F.col("length") > whole).select("path", "length").take(1)
-    if large:
-        raise ValueError(
-            f"{large[0]['path']} has {large[0]['length']} bytes; an envelope is read whole up to {whole} bytes, "
-            "and with one row per line at any size by layout 'lines'")
-    return spark.read.text(path, wholetext=True)
-
-
 def read_envelope(spark: SparkSession, path: str | list[str], mode: str = "strict") -> DataFrame:
-    """Whole-envelope dump file(s): each file is one JSON value, read whole by
-    one task, so for small databases; the usual dump, with one row per line,
-    is read in parallel by ``read_document_lines``."""
-    return unwrap_envelope(envelope_texts(spark, path), mode=mode)
+    """Whole-envelope dump file(s) of any size, each read by many tasks (see
+    ``sources.envelope``) -> ``DataFrame[id, doc]``. In strict mode a file that
+    is no whole envelope fails the read."""
+    return read_envelopes(spark, path, mode)[0]
+
+
+def read_envelopes(spark: SparkSession, path: str | list[str], mode: str = "strict") -> tuple[DataFrame, DataFrame]:
+    """``(documents, rejects)`` of envelope files; rejects are
+    ``DataFrame[_reject_reason, doc]``: files that are no envelopes or are cut
+    short, by their name, and rows that hold no document, as they are. The
+    rows of a file that end before it is cut are read."""
+    rows, files = scan_envelopes(spark, path)
+    if mode == "strict":
+        bad = files.first()
+        if bad:
+            raise ValueError(f"{bad['file']}: {bad['reason']}")
+    bad_rows = rejected_lines(rows)
+    return document_lines(rows, mode=mode), files.select(F.col("reason").alias(REJECT), F.col("file").alias(DOC)).unionByName(bad_rows)
 
 
 def scan_lines(lines: DataFrame, column: str = "value") -> DataFrame:
