@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.values import apply_null_policy, null_policy_exprs, sanitize_name_col, strip_control
-from ..operators.checks import column_profile, reconcile, reconcile_content, row_counts, schema_drift
+from ..operators.checks import column_profile, reconcile, reconcile_content, row_counts, schema_drift, schema_matches
+from ..operators.drift import path_drift
 from ..operators.unnest import unnest_values
 from ..operators.upsert import latest_per_key, split_bad_rows
 from ..plans.catalog import Catalog
@@ -29,7 +30,7 @@ from ..sources.documents import REJECT, parse_documents, read_document_lines, re
 from ..sources.tables import PAGE_SIZE, group_positions
 from .documents import (
     CONVERSATIONS, CUSTOMERS, EVENTS, LINE_ORDER, PARTS, QUIRKS, SHOP, SHOP_TYPED, TURN_ORDER,
-    order_documents, table,
+    order_documents, table, with_field,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -816,6 +817,53 @@ def schema_drift_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema_drift(e.select(F.to_json(doc).alias("doc")), EVENTS["event"])
 
 
+@query("path_drift", """
+WITH e AS (SELECT * FROM events)
+SELECT '_id' AS path, 'STRING' AS kind, count(*) AS documents, 'string' AS declared, 'ok' AS status FROM e
+UNION ALL SELECT 'ts', 'STRING', count(*) FILTER (event_type <> 'error'), 'timestamp', 'ok' FROM e
+UNION ALL SELECT 'ts', 'BIGINT', count(*) FILTER (event_type = 'error'), 'timestamp', 'type' FROM e
+UNION ALL SELECT 'kind', 'STRING', count(*), 'string', 'ok' FROM e
+UNION ALL SELECT 'props', 'OBJECT', count(*), 'map<string,string>', 'ok' FROM e
+UNION ALL SELECT 'props.user', 'BIGINT', count(*), NULL, 'ok' FROM e
+UNION ALL SELECT 'tags', NULL, 0, 'array<map<string,string>>', 'missing'
+UNION ALL SELECT 'more', 'OBJECT', count(*) FILTER (event_type = 'purchase'), NULL, 'extra' FROM e
+UNION ALL SELECT 'more.list', 'ARRAY', count(*) FILTER (event_type = 'purchase'), NULL, 'extra' FROM e
+UNION ALL SELECT 'more.list[]', 'OBJECT', count(*) FILTER (event_type = 'purchase'), NULL, 'extra' FROM e
+UNION ALL SELECT 'more.list[].`a.b`', 'BOOLEAN', count(*) FILTER (event_type = 'purchase'), NULL, 'extra' FROM e
+""")
+def path_drift_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with a time that is sometimes a number, a map, and an object that no layout names."""
+    e = table(spark, sf_dir, "events")
+    key, error = F.col("event_id").cast("string"), F.col("event_type") == "error"
+    doc = F.to_json(F.struct(key.alias("_id"), F.col("event_type").alias("kind"), F.struct(F.col("user_id").alias("user")).alias("props")))
+    time = F.when(error, F.lit("17")).otherwise(F.concat(F.lit('"'), F.col("ts").cast("string"), F.lit('"')))
+    more = F.when(F.col("event_type") == "purchase", F.lit('{"list":[{"a.b":true},{"a.b":false}]}'))
+    return path_drift(e.select(with_field(with_field(doc, "ts", time), "more", more).alias("doc")), EVENTS, "event")
+
+
+# -- C4 S5 G6 ---------------------------------------------------------------------
+@query("schema_checks", f"""
+WITH {_RANKED}, {_DOCS}
+SELECT 'shop_order_fabric' AS table_name, doc_id || '_fabric' AS key, doc_id AS parent,
+       CASE WHEN o_orderpriority = '2-HIGH' THEN o_orderpriority END AS note, true AS as_declared FROM docs
+UNION ALL
+SELECT 'no_items', NULL, NULL, 'nested_id string, id string, parent_id string, qty string, flag string, dims string, w string, note string', true
+""")
+def schema_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the fabric table, whose schema is the declared one, and the
+    path table of documents without any items, which has no rows but its schema."""
+    t = tables_of(order_documents(spark, sf_dir, lines=False, fabric=True), SHOP, "shop_order")["shop_order_fabric"]
+    declared = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "order_id", "items", "note")])
+    fabric = t.select(F.lit("shop_order_fabric").alias("table_name"), F.col("id").alias("key"), F.col("order_id").alias("parent"), "note",
+                      F.lit(schema_matches(t, declared)).alias("as_declared"))
+    none = tables_of(order_documents(spark, sf_dir, lines=False), SHOP, "shop_order")["shop_order_fabric_items"]
+    said = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in none.schema.fields)
+    empty = none.agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("no_items").alias("table_name"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("parent"),
+        F.lit(said).alias("note"), (F.col("n") == 0).alias("as_declared"))
+    return fabric.unionByName(empty)
+
+
 # -- Q19 ---------------------------------------------------------------------
 @query("default_fill", """
 SELECT CAST(event_id AS VARCHAR) AS relationship_id,
