@@ -111,3 +111,21 @@ def test_validate_tree(edge_catalog):
     with pytest.raises(CatalogError):
         bad.validate("m")
     assert Catalog().problems("m") == ["unknown root layout 'm'"]
+
+
+def test_layouts_of_the_bound_databases(tmp_path):
+    """Written as YAML and read back as a folder of layouts, one file a table."""
+    import yaml
+
+    from unnestor.layouts import catalog, layouts
+    from unnestor.plans.pipeline import ENTITIES
+    for i, (key, layout) in enumerate(layouts().items()):
+        (tmp_path / f"{i}.yml").write_text(yaml.safe_dump({key: layout}, sort_keys=False))
+    cat = Catalog.load_dir(str(tmp_path))
+    assert cat.tables == catalog().tables
+    assert set(ENTITIES.values()) - set(cat.tables) == {"channel1_order"}
+    sizes = {root: len(cat.tree(root)) for root in ENTITIES.values() if root in cat.tables}
+    assert sizes == {"channel1_user": 2, "channel1_company": 12, "channel1_orderline-steps": 2}
+    fields = {k: len(t.fields) for k, t in cat.tables.items()}
+    assert fields["channel1_company"] == 53 and fields["channel1_company_sustainability"] == 29 and fields["channel1_company_officeAddresses"] == 24
+    assert all(not cat.problems(root) for root in sizes)

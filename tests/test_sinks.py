@@ -187,3 +187,44 @@ def test_a_failed_refresh_leaves_the_table(spark, tmp_path):
     with pytest.raises(Exception, match="broken"):
         load_table(df.withColumn("v", F.raise_error(F.lit("broken")).cast("int")), store, "t", "k", dedupe=False)
     assert rows(store.read(spark, "t")) == [("a", 1)]
+
+
+def test_jdbc_tables_are_created_as_declared(spark, tmp_path, monkeypatch):
+    """What a JDBC store runs, without a database: its statements, then an append."""
+    store, said, written = JdbcStore("jdbc:none:"), [], []
+    monkeypatch.setattr(JdbcStore, "execute", lambda self, spark, *sql: said.extend(sql))
+    stored = spark.createDataFrame([("a", 1, "{}")], "k string, n bigint, m string")
+    monkeypatch.setattr(JdbcStore, "read", lambda self, spark, table: stored if said else (_ for _ in ()).throw(ValueError()))
+    df = spark.createDataFrame([("a", 1, {})], "k string, n bigint, m map<string,string>")
+
+    class Writer:
+        def __init__(self, df):
+            self.df, self.seen = df, {}
+
+        def format(self, name):
+            return self
+
+        def options(self, **kw):
+            self.seen.update(kw)
+            return self
+
+        def option(self, k, v):
+            self.seen[k] = v
+            return self
+
+        def mode(self, mode):
+            self.seen["mode"] = mode
+            return self
+
+        def save(self):
+            written.append((self.seen["mode"], self.seen["dbtable"], self.df.columns))
+
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+    real = Frame.write
+    monkeypatch.setattr(Frame, "write", property(Writer))
+    store.write(df, "t_x", "overwrite", primary_key="k")
+    store.write(df, "t_x", "overwrite", primary_key="k")
+    monkeypatch.setattr(Frame, "write", real)
+    made = 'CREATE TABLE "t_x" ("k" TEXT, "n" BIGINT, "m" JSONB, PRIMARY KEY ("k"))'
+    assert said == [made, 'DROP TABLE "t_x"', made]
+    assert written == [("append", '"t_x"', ["k", "n", "m"])] * 2

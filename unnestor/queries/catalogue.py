@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.values import apply_null_policy, null_policy_exprs, sanitize_name_col, strip_control
+from ..functions.values import apply_null_policy, null_policy_exprs, sanitize_name, sanitize_name_col, strip_control
+from ..layouts import catalog
 from ..operators.checks import column_profile, reconcile, reconcile_content, row_counts, schema_drift, schema_matches
 from ..operators.drift import path_drift
 from ..operators.unnest import unnest_values
@@ -841,6 +842,65 @@ def path_drift_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return path_drift(e.select(with_field(with_field(doc, "ts", time), "more", more).alias("doc")), EVENTS, "event")
 
 
+# -- R3 C2: layouts of the bound databases -----------------------------------------
+_ID = "CAST(c_custkey AS VARCHAR)"
+
+
+@query("company_tree", f"""
+SELECT 'channel1_company' AS table_name, {_ID} AS key, {_ID} AS parent, c_name || '|' || CAST(c_nationkey AS VARCHAR) || '|' || CASE WHEN c_acctbal < 0 THEN 'true' ELSE 'false' END AS value FROM customer
+UNION ALL SELECT 'channel1_company_categories', {_ID} || '_0', {_ID}, CAST(c_nationkey AS VARCHAR) FROM customer
+UNION ALL SELECT 'channel1_company_categories', {_ID} || '_1', {_ID}, CAST(c_nationkey + 1 AS VARCHAR) FROM customer
+UNION ALL SELECT 'channel1_company_productGroups', {_ID} || '_0', {_ID}, NULL FROM customer
+UNION ALL SELECT 'channel1_company_sustainability', {_ID} || '_1', {_ID}, c_mktsegment || '|3|true' FROM customer
+UNION ALL SELECT 'channel1_company_officeAddresses', {_ID} || '_0', {_ID}, 'Main St|12' FROM customer WHERE c_acctbal >= 0
+UNION ALL SELECT 'channel1_company_factoryAddresses', {_ID} || '_0', {_ID}, 'Mill Rd|' FROM customer
+UNION ALL SELECT 'channel1_company_profilePics', {_ID} || '_0', {_ID}, 'a.png|7' FROM customer WHERE c_mktsegment = 'BUILDING'
+UNION ALL SELECT 'channel1_company_topBrands', {_ID} || '_0', {_ID}, c_name FROM customer
+UNION ALL SELECT 'channel1_company_admin', {_ID} || '_admin', {_ID}, c_name FROM customer
+UNION ALL SELECT 'channel1_company_contact', {_ID} || '_contact', {_ID}, CASE WHEN c_acctbal >= 0 THEN c_mktsegment END FROM customer
+UNION ALL SELECT 'channel1_user', {_ID}, {_ID}, c_name || '|' || '{{"segment":"' || c_mktsegment || '"}}' FROM customer
+UNION ALL SELECT 'channel1_user_topbrands', {_ID} || '_0', {_ID}, c_name FROM customer
+UNION ALL SELECT 'channel1_orderline_steps', {_ID}, {_ID}, c_name FROM customer
+UNION ALL SELECT 'channel1_orderline_steps_evidencephotos', {_ID} || '_0', {_ID}, '|1.5' FROM customer
+""")
+def company_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Company documents with all eleven kinds of children, users and order
+    line steps, made of the customers: rows of all their tables."""
+    c = table(spark, sf_dir, "customer")
+    text, none = (lambda name: F.col(name).cast("string")), F.lit(None).cast("string")
+    f = lambda **fields: F.struct(*[v.alias(k) for k, v in fields.items()])
+    s, seg, named = F.lit, F.col("c_mktsegment"), F.array(F.struct(F.col("c_name").alias("brandName")))
+    company = F.to_json(f(
+        _id=text("c_custkey"), name=F.col("c_name"), companyType=F.col("c_nationkey"), isBlocked=F.col("c_acctbal") < 0,
+        categories=F.array("c_nationkey", F.col("c_nationkey") + 1), productGroups=F.array(F.lit(None).cast("int")), companySubtypes=F.array().cast("array<int>"),
+        sustainability=F.array(F.lit(None).cast("struct<title:string,type:string,Doc:string,other:string>"),
+                               f(title=seg, type=s("3"), Doc=s("true"), other=s("x"))),
+        officeAddresses=F.when(F.col("c_acctbal") >= 0, F.array(f(line1=s("Main St"), employees=s("12")))),
+        factoryAddresses=F.array(f(line1=s("Mill Rd"), employees=s("a dozen"))),
+        profilePics=F.when(seg == "BUILDING", F.array(f(fileName=s("a.png"), sequence=s("7")))),
+        topBrands=named, admin=f(firstName=F.col("c_name")), contact=F.when(F.col("c_acctbal") >= 0, f(city=seg))))
+    user = F.to_json(f(_id=text("c_custkey"), firstName=F.col("c_name"), company=f(segment=seg), topBrands=named))
+    steps = F.to_json(f(_id=text("c_custkey"), displayName=F.col("c_name"), evidencePhotos=F.array(f(geoLat=s("1.5")))))
+    made = catalog()
+    shown = {
+        "channel1_company": [F.col("name"), F.col("companyType"), F.coalesce("isBlocked", F.lit(False))],
+        "categories": ["category"], "productGroups": ["productGroup"], "companySubtypes": ["companySubtype"],
+        "sustainability": ["title", "type", "Doc"], "social": ["title"], "officeAddresses": ["line1", "employees"], "factoryAddresses": ["line1", "employees"],
+        "profilePics": ["fileName", "sequence"], "topBrands": ["brandName"], "admin": ["firstName"], "contact": ["city"],
+        "channel1_user": [F.col("firstName"), F.to_json("company")], "topbrands": ["brandName"],
+        "channel1_orderline-steps": [F.col("displayName")], "evidencePhotos": ["fileName", "geoLat"],
+    }
+    parts = []
+    for root, doc in (("channel1_company", company), ("channel1_user", user), ("channel1_orderline-steps", steps)):
+        for name, df in normalize_staged(c.select(doc.alias("doc")), made, root):
+            own = shown.get(name) or shown[name[len(root) + 1 :]]
+            value = [F.coalesce((F.col(x) if isinstance(x, str) else x).cast("string"), F.lit("")) for x in own]
+            value = F.concat_ws("|", *value) if len(own) > 1 else (F.col(own[0]) if isinstance(own[0], str) else own[0]).cast("string")
+            parts.append(df.select(F.lit(name if root == "channel1_company" else sanitize_name(name)).alias("table_name"), F.col(df.columns[0]).alias("key"),
+                                   F.col(df.columns[0 if name == root else 1]).alias("parent"), value.alias("value")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # -- C4 S5 G6 ---------------------------------------------------------------------
 @query("schema_checks", f"""
 WITH {_RANKED}, {_DOCS}

@@ -72,7 +72,7 @@ def choose_primary_key(schema: T.StructType, declared: str | None = None) -> str
 class Store:
     exact = False  # whether values come back as they were written, to the bit
 
-    def write(self, df: DataFrame, table: str, mode: str = "overwrite") -> None:
+    def write(self, df: DataFrame, table: str, mode: str = "overwrite", primary_key: str | None = None) -> None:
         raise NotImplementedError
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
@@ -110,7 +110,7 @@ class ParquetStore(Store):
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
-    def write(self, df: DataFrame, table: str, mode: str = "overwrite") -> None:
+    def write(self, df: DataFrame, table: str, mode: str = "overwrite", primary_key: str | None = None) -> None:
         df.write.mode(mode).parquet(self.path(table))
 
     def read_buckets(self, spark: SparkSession, table: str) -> tuple[DataFrame, str | None]:
@@ -227,7 +227,7 @@ class JdbcStore(Store):
     parallel when a numeric ``partition_column`` with bounds, or a list of
     ``predicates`` (one per partition, in the database's SQL), is given;
     otherwise a table is read through one connection. Counts and limits are
-    pushed down to the database."""
+    pushed down to the database. Names are quoted, as in ``create_table_sql``."""
 
     url: str
     properties: dict = field(default_factory=dict)
@@ -239,15 +239,39 @@ class JdbcStore(Store):
     predicates: list[str] | None = None
 
     def _opts(self, table: str) -> dict:
-        opts = {"url": self.url, "dbtable": table, "pushDownAggregate": "true",
+        opts = {"url": self.url, "dbtable": f'"{table}"', "pushDownAggregate": "true",
                 "pushDownLimit": "true", **self.properties}
         if self.num_partitions:
             opts["numPartitions"] = str(self.num_partitions)
         return opts
 
-    def write(self, df: DataFrame, table: str, mode: str = "overwrite") -> None:
-        # column types follow the DataFrame (after the null policy, JSON
-        # columns are text), mapped by Spark's dialect for the database
+    def execute(self, spark: SparkSession, *statements: str) -> None:
+        """Run statements on one connection of the driver (metadata only: rows
+        are written by the executors)."""
+        jvm = spark.sparkContext._jvm
+        if "driver" in self.properties:
+            jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(self.properties["driver"])
+        props = jvm.java.util.Properties()
+        for k, v in self.properties.items():
+            props.setProperty(k, str(v))
+        connection = jvm.java.sql.DriverManager.getConnection(self.url, props)
+        try:
+            for sql in statements:
+                connection.createStatement().execute(sql)
+        finally:
+            connection.close()
+
+    def create(self, df: DataFrame, table: str, primary_key: str) -> None:
+        """K2: the table anew, with the declared types and the key constraint."""
+        drop = [f'DROP TABLE "{table}"'] if self.exists(df.sparkSession, table) else []
+        self.execute(df.sparkSession, *drop, create_table_sql(df.schema, table, primary_key))
+
+    def write(self, df: DataFrame, table: str, mode: str = "overwrite", primary_key: str | None = None) -> None:
+        """With a key, the table is created by ``create_table_sql`` and the rows
+        are appended to it; else Spark's dialect picks the types."""
+        if mode == "overwrite" and primary_key:
+            self.create(df, table, primary_key)
+            mode = "append"
         (df.write.format("jdbc").options(**self._opts(table))
          .option("batchsize", str(self.batchsize))
          .mode(mode).save())
@@ -256,7 +280,7 @@ class JdbcStore(Store):
         opts = self._opts(table)
         if self.predicates:
             props = {k: v for k, v in opts.items() if k not in ("url", "dbtable")}
-            return spark.read.jdbc(self.url, table, predicates=self.predicates, properties=props)
+            return spark.read.jdbc(self.url, f'"{table}"', predicates=self.predicates, properties=props)
         if self.partition_column and self.num_partitions:
             opts.update(partitionColumn=self.partition_column, lowerBound=str(self.lower_bound),
                         upperBound=str(self.upper_bound))
@@ -409,14 +433,14 @@ def _write_staged(clean, store, name, upsert, pk, owner, arriving, observed, sta
             else:
                 current = store.read(spark, name)
                 merged, at = stage_at(_unowned(current, owner, arriving).unionByName(clean.select(*current.columns)), f"merge_{name}")
-                store.write(watch(merged), name, "overwrite")
+                store.write(watch(merged), name, "overwrite", primary_key=pk)
                 unstage(spark, at)
                 back = store.read(spark, name)
         elif isinstance(store, ParquetStore):
             store.write_buckets(watch(clean), name, owner, store.buckets)
             back = store.read(spark, name)
         else:
-            store.write(watch(clean), name, "overwrite")
+            store.write(watch(clean), name, "overwrite", primary_key=pk)
             back = store.read(spark, name)
     except Exception as ex:
         raise RuntimeError(f"writing {name!r} failed; its rows are kept at {staged}") from ex
