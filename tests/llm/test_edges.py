@@ -1,6 +1,7 @@
 """Every operator on nulls in any column, empty and very long texts, ties,
 repeated rows, clashing column names and empty tables."""
 
+import time
 import pytest
 from pyspark.sql import functions as F
 
@@ -175,3 +176,19 @@ def test_pipeline_stages(docs, labels, benchmark, spark, tmp_path):
         out = corpus_pipeline.run(spark, d)
         assert out.columns == [*slim.columns, "shard"]
         assert (out.count() > 0) == (sub == "some")
+
+
+def test_the_marked_part_of_a_page():
+    lines = lambda html: [t for t, _ in html_text.page_lines(html)]
+    article = "<article><p>one two three four</p></article>"
+    assert lines(f"<main><h1>Headline</h1>{article}<div>Aside words</div></main>") == ["Headline", "one two three four"]
+    assert lines(f"<h1>Site</h1>{article}") == ["one two three four"]
+    teaser = "<main><p>long main text of many words here</p><article><p>teaser</p></article></main>"
+    assert lines(teaser) == ["long main text of many words here", "teaser"]
+
+
+def test_many_equal_lines_are_compared_in_time():
+    started = time.time()
+    assert html_text.common_lines(["x"] * 20_000, ["x"] * 20_000) == set(range(20_000))
+    assert html_text.common_lines(["x", "y"] * 10_000, ["y"] * 5_000) and not html_text.common_lines(["x"] * 9, ["y"] * 9)
+    assert time.time() - started < 20

@@ -12,7 +12,6 @@ pair shares more than half its words: copies of an article aren't a template.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 from html import unescape
 
@@ -87,7 +86,7 @@ def page_lines(html: str | None) -> list[tuple[str, bool]]:
     in a marked article, under no class or id."""
     html = html or ""
     stack = [_Element("", False, 0, False)]
-    lines: list[tuple[str, int, bool]] = []
+    lines: list[tuple[str, int, bool, bool]] = []  # text, level, plain, heading
     buffer: list[str] = []
     block = ""
 
@@ -96,7 +95,8 @@ def page_lines(html: str | None) -> list[tuple[str, bool]]:
         buffer.clear()
         if text:
             top = stack[-1]
-            lines.append((text, top.level, top.level > 0 and not top.named and (block in PROSE or block in ("article", "main", ""))))
+            plain = top.level > 0 and not top.named and (block in PROSE or block in ("article", "main", ""))
+            lines.append((text, top.level, plain, block == "h1"))
 
     at = 0
     while at < len(html):
@@ -134,31 +134,55 @@ def page_lines(html: str | None) -> list[tuple[str, bool]]:
         elif tag not in VOID and not m["attrs"].endswith("/"):
             stack.append(_open(tag, m["attrs"], stack[-1]))
     flush()
-    best = max((level for _, level, _ in lines), default=0)
-    return [(text, plain) for text, level, plain in lines if level >= best]
+    # the strongest mark that holds most of what is marked; a teaser's doesn't
+    words = [len(text.split()) for text, *_ in lines]
+    marked = sum(n for n, line in zip(words, lines) if line[1])
+    best = next((k for k in (3, 2, 1) if marked and 2 * sum(n for n, line in zip(words, lines) if line[1] >= k) > marked), 0)
+    begin = next((i for i, line in enumerate(lines) if line[1] >= best), 0)
+    # and the headline that stands before it in a weaker one
+    return [(text, plain) for i, (text, level, plain, head) in enumerate(lines) if level >= best or level and head and i < begin]
 
 
 def common_lines(a: list, b: list) -> set[int]:
-    """Places of ``a`` in a longest common subsequence with ``b``: the longest
-    rising run of places in ``b``, over the pairs of equal lines."""
+    """Places of ``a`` in a longest common subsequence with ``b``, found row by
+    row on bits: the cost doesn't depend on how many lines are equal, and of
+    the rows only the first of each stretch is kept."""
+    both = set(a) & set(b)
+    at = [i for i, line in enumerate(a) if line in both]
+    b = [line for line in b if line in both]
+    if not at:
+        return set()
     places: dict = {}
-    for j in range(len(b) - 1, -1, -1):
-        places.setdefault(b[j], []).append(j)
-    ends: list[int] = []
-    links: list[tuple] = []  # (place in a, link before)
-    for i, line in enumerate(a):
-        for j in places.get(line, ()):
-            k = bisect_left(ends, j)
-            link = (i, links[k - 1] if k else None)
-            if k == len(ends):
-                ends.append(j)
-                links.append(link)
-            else:
-                ends[k], links[k] = j, link
-    found, link = set(), links[-1] if links else None
-    while link:
-        found.add(link[0])
-        link = link[1]
+    for j, line in enumerate(b):
+        places[line] = places.get(line, 0) | 1 << j
+    mask, size = (1 << len(b)) - 1, len(b) // 8 + 1
+    stretch = max(64, int(len(at) ** 0.5))
+
+    def rows(first: int, row: int) -> Iterator[int]:
+        """Rows first + 1, ... of a stretch: a zero bit is a step of the length."""
+        for i in at[first : first + stretch]:
+            u = row & places[a[i]]
+            row = (row + u | row - u) & mask
+            yield row
+
+    starts, row = [], mask
+    for first in range(0, len(at), stretch):
+        starts.append(row)
+        for row in rows(first, row):
+            pass
+    found, column = set(), len(b)
+    for k in range(len(starts) - 1, -1, -1):
+        held = [r.to_bytes(size, "little") for r in (starts[k], *rows(k * stretch, starts[k]))]
+        here = len(held) - 1
+        while here and column:
+            byte, bit = divmod(column - 1, 8)
+            if held[here][byte] >> bit & 1:
+                column -= 1
+                continue
+            here -= 1
+            if held[here][byte] >> bit & 1:  # the step is new in this row: its line is the match
+                found.add(at[k * stretch + here])
+                column -= 1
     return found
 
 
@@ -222,7 +246,9 @@ def main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     """``pages`` with ``text`` instead of the html: the blocks of the article
     that page differencing leaves, one per line, white space inside a block as
     one space. Null or empty html gives an empty text. Pages without a
-    readable URL are not paired. An input column ``text`` is replaced."""
+    readable URL are not paired. An input column ``text`` is replaced. Equal
+    pages have equal texts, of equally near neighbours the earlier counts, long
+    pages are read whole, and an empty table gives no rows."""
     url, html = F.col(f"`{url_col}`"), F.col(f"`{html_col}`")
     others = [c for c in pages.columns if c not in (html_col, "text")]
     # pages are named by their content, so equal ones are one page of the search
