@@ -63,6 +63,26 @@ def test_command_line(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out" / "t_prim")).count() == 2
 
 
+def test_command_line_keeps_going(spark, tmp_path, capsys):
+    import json
+
+    from tests.conftest import EDGE_LAYOUT
+    from unnestor.__main__ import main
+
+    (tmp_path / "schema").mkdir()
+    (tmp_path / "schema" / "t.yml").write_text(EDGE_LAYOUT)
+    good, bad = tmp_path / "good.txt", tmp_path / "bad.txt"
+    good.write_text("\n".join(DOCS[:2]))
+    bad.write_text('{"_id":')
+    args = ["--schema-dir", str(tmp_path / "schema"), "--dump", f"a={bad}", "--dump", f"b={good}", "--bind", "a=t", "--bind", "b=t",
+            "--parquet", str(tmp_path / "out"), "--parallel", "2", "--keep-going", "--buckets", "3", "--verify", "content"]
+    assert main(args) == 1
+    said = [json.loads(line) for line in capsys.readouterr().out.splitlines() if line.startswith("{")]
+    assert said[0]["status"] == "failed" and [x["status"] for x in said[1:]] == ["ok"] * 5
+    assert ParquetStore(str(tmp_path / "out")).read(spark, "t_prim").count() == 2
+    assert list((tmp_path / "out" / "t").glob("_bucket_of_3=*"))
+
+
 def test_standalone_path_table_load(spark, edge_catalog, tmp_path, monkeypatch):
     import unnestor.plans.pipeline as P
     monkeypatch.setitem(P.STANDALONE_PATH_TABLES, "items_only", "t_path")

@@ -42,6 +42,10 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--load", choices=["refresh", "upsert"], default="refresh")
     ap.add_argument("--order-by", help="column ordering versions of a row (upsert)")
     ap.add_argument("--no-dedupe", action="store_true", help="keys are unique; skip the dedupe shuffle")
+    ap.add_argument("--buckets", type=int, default=None, help="lay Parquet tables out in so many key buckets, for upserts")
+    ap.add_argument("--parallel", type=int, default=1, help="databases, and tables of each, that load at once")
+    ap.add_argument("--keep-going", action="store_true", help="report a database that fails and load the others")
+    ap.add_argument("--verify", choices=["rows", "content"], default="rows", help="what is compared after a load")
     ap.add_argument("--duplicates", choices=["error", "first", "last"], default="error",
                     help="repeated YAML keys: reject, or keep the first / last")
     args = ap.parse_args(argv)
@@ -58,7 +62,7 @@ def main(argv: list[str] | None = None) -> int:
     catalog = Catalog.load_dir(args.schema_dir, duplicates=args.duplicates)
     bindings = {**ENTITIES, **_pairs(args.bind, "--bind")}
     if args.parquet:
-        store = ParquetStore(args.parquet)
+        store = ParquetStore(args.parquet, buckets=args.buckets)
     else:
         store = JdbcStore(args.jdbc_url, _pairs(args.jdbc_property, "--jdbc-property"),
                           num_partitions=args.jdbc_partitions)
@@ -66,10 +70,13 @@ def main(argv: list[str] | None = None) -> int:
     runs = run_databases(
         spark, _pairs(args.dump, "--dump"), catalog, store, bindings=bindings, layout=args.layout,
         mode=args.mode, load_mode=args.load, order_by=args.order_by, quarantine=quarantine,
-        dedupe=not args.no_dedupe,
+        dedupe=not args.no_dedupe, parallel=args.parallel, on_error="report" if args.keep_going else "stop", verify=args.verify,
     )
     failed = False
     for run in runs:
+        if run.error:
+            failed = True
+            print(json.dumps({"database": run.database, "status": run.status, "error": run.error}))
         for r in run.tables:
             # rows set aside with nowhere to keep them are lost
             failed |= r.status != "ok" or (r.rejected > 0 and quarantine is None)

@@ -38,4 +38,4 @@ def run_all(spark: SparkSession, jobs: Sequence[tuple[str, Callable[[], R]]], wo
     if workers <= 1 or len(jobs) <= 1:
         return [outcome(name, job, False) for name, job in jobs]
     with ThreadPoolExecutor(workers) as threads:
-        return list(threads.map(lambda j: inheritable_thread_target(outcome)(*j, True), jobs))
+        return list(threads.map(lambda j: inheritable_thread_target(spark)(outcome)(*j, True), jobs))

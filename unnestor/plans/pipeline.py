@@ -166,6 +166,7 @@ def load_path_table(
     quarantine: Store | None = None,
     dedupe: bool = True,
     mode: str = "strict",
+    verify: str = "rows",
 ) -> DatabaseRun:
     """A path-extracted table loaded on its own, straight from the documents.
     With ``dedupe``, one row per document and position stays (of documents
@@ -182,7 +183,7 @@ def load_path_table(
             raise ValueError(f"not a JSON object: {first[DOC][:200]}")
     else:
         rejected = _set_aside(bad, f"{spec.table_name}__documents_rejected", quarantine)
-    report = load_table(items, store, spec.table_name, spec.primary_key, load_mode, None, quarantine, dedupe)
+    report = load_table(items, store, spec.table_name, spec.primary_key, load_mode, None, quarantine, dedupe, verify=verify)
     return DatabaseRun(spec.table_name, (report,), rejected)
 
 
@@ -219,7 +220,7 @@ def run_databases(
         if db in bindings:
             run = load_database(docs, catalog, bindings[db], store, parallel=parallel, **load_options)
         else:
-            opts = {k: v for k, v in load_options.items() if k in ("load_mode", "quarantine", "dedupe", "mode")}
+            opts = {k: v for k, v in load_options.items() if k in ("load_mode", "quarantine", "dedupe", "mode", "verify")}
             run = load_path_table(docs, catalog, STANDALONE_PATH_TABLES[db], store, **opts)
         if mode == "permissive":
             name = f"{db.replace('-', '_')}__{'lines' if layout == 'lines' else 'envelopes'}_rejected"
