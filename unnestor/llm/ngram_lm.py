@@ -7,6 +7,9 @@ of several rows gets the count of its first word and is joined to the
 documents' bigrams, whose counts it has less the document's own; a bigram that
 one row alone has backs off to ``BACKOFF`` times the share of its second word,
 whose count it gets.
+
+Bigrams of one row needn't go to that join: a bitmap over hashes of those of
+several rows, of a fixed size, keeps most of them back. It only saves work.
 """
 
 from __future__ import annotations
@@ -20,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, stage_at, unstage
+from .common import partitions, stage, stage_at, unstage
 
 BACKOFF = 0.4
 CACHE = 1 << 18  # words whose hash a task keeps
 SHORT = 1 << 18  # short names, the mark's among them
+MAP_BITS = 27  # of the bitmap: 16 MB
+STRETCH = 1 << 17  # bits of it that are merged together
 SAMPLE = 0.05  # share of the rows that chooses the words with short names
 
 
@@ -82,10 +87,54 @@ def _key() -> Column:
     return F.when((F.col("first") >= 0) & (F.col("second") >= 0), short).otherwise(long).alias("bigram")
 
 
-def _document_bigrams(docs: DataFrame, names: dict[str, int], known: np.ndarray | None = None) -> DataFrame:
-    """(doc_id, first, second, n) of each document row; words that aren't in
-    ``known``, if given, are one class."""
+def _bits(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """The place of each bigram in the bitmap."""
+    h = (first.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + second.view(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    return (h * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+
+
+def _bitmap(bigrams: DataFrame) -> np.ndarray:
+    """The bitmap of (first, second): tasks set bits, stretches of it are
+    merged, and at most 16 MB reach the driver."""
+
+    def packed(held: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for k, bits in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([bits.tobytes()], pa.binary())], names=["stretch", "bits"])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at = np.unique(_bits(*(batch.column(c).to_numpy() for c in ("first", "second"))))
+            cuts = np.searchsorted(at, np.arange((1 << MAP_BITS) // STRETCH + 1) * STRETCH)
+            for k in np.flatnonzero(np.diff(cuts)):
+                own = np.zeros(STRETCH, bool)
+                own[at[cuts[k] : cuts[k + 1]] - k * STRETCH] = True
+                found = np.packbits(own)
+                held[int(k)] = held[int(k)] | found if int(k) in held else found
+        yield from packed(held)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, bits in zip(batch.column("stretch").to_pylist(), batch.column("bits")):
+                found = np.frombuffer(bits.as_buffer(), np.uint8)
+                held[k] = held[k] | found if k in held else found
+        yield from packed(held)
+
+    merged = bigrams.select("first", "second").mapInArrow(mark, "stretch int, bits binary").repartition(
+        partitions(bigrams.sparkSession), "stretch").mapInArrow(merge, "stretch int, bits binary")
+    out = np.zeros((1 << MAP_BITS) // 8, np.uint8)
+    for k, bits in merged.collect():
+        out[k * STRETCH // 8 :][: STRETCH // 8] = np.frombuffer(bits, np.uint8)
+    return out
+
+
+def _document_bigrams(docs: DataFrame, names: dict[str, int], known: np.ndarray | None = None, bitmap: np.ndarray | None = None) -> DataFrame:
+    """(doc_id, first, second, n) of each document row, or of those bigrams
+    that are in ``bitmap``; words that aren't in ``known``, if given, are one class."""
     turn = np.uint64(0x9E3779B97F4A7C15)
+    shared = None if bitmap is None else docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = _Names(names).__getitem__
@@ -96,7 +145,12 @@ def _document_bigrams(docs: DataFrame, names: dict[str, int], known: np.ndarray
                 ids[1:-1][~np.isin(ids[1:-1], known)] = OTHER
             pairs = ids.view(np.uint64)
             _, at, n = np.unique(pairs[:-1] * turn + pairs[1:], return_index=True, return_counts=True)
-            return ids[at], ids[at + 1], n
+            first, second = ids[at], ids[at + 1]
+            if shared is not None:
+                bit = _bits(first, second)
+                there = (shared.value[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 > 0
+                return first[there], second[there], n[there]
+            return first, second, n
 
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text")
@@ -133,7 +187,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare:
     spark = docs.sparkSession
     texts = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     names = _short_names(texts)
-    mine = _document_bigrams(texts, names, _frequent(texts, names, rare) if rare else None)
+    known = _frequent(texts, names, rare) if rare else None
+    mine = _document_bigrams(texts, names, known)
     # doc_id is that of the row if there is one alone
     bigrams, bigrams_at = stage_at(mine.groupBy("first", "second").agg(
         F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_rows"), F.min("doc_id").alias("doc_id")), "bigram-counts")
@@ -147,17 +202,19 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare:
 
     # a bigram of several rows is found for each of them, one of a single row never
     single = bigrams.where("n_rows = 1").select("doc_id", "second", "total").join(
-        counts.hint("merge"), F.col("second") == F.col("word"))
+        counts.hint("shuffle_hash"), F.col("second") == F.col("word"))
     value = F.log10(F.lit(backoff) * F.col("count") / F.lit(everything))
     single = stage(summed(single.select(
         "doc_id", F.when(ends, 0).otherwise(F.col("total")).alias("n_words"), F.col("total").alias("n_backoff"),
         F.col("total").alias("n"), (F.col("total") * value).alias("log_score"))), "bigrams-of-one")
     several = bigrams.where("n_rows > 1").select("first", _key(), "total", ends).join(
-        counts.hint("merge"), F.col("first") == F.col("word"))
+        counts.hint("shuffle_hash"), F.col("first") == F.col("word"))
     several = stage(several.select("bigram", "total", "ends", "count"), "bigrams-of-several")
+    again = _document_bigrams(texts, names, known, _bitmap(bigrams.where("n_rows > 1")))
     unstage(spark, bigrams_at)
     unstage(spark, counts_at)
-    found = mine.select("doc_id", _key(), "n").join(several.hint("merge"), "bigram")
+    # their keys are unique, so each task holds an even part of them
+    found = again.select("doc_id", _key(), "n").join(several.hint("shuffle_hash"), "bigram")
     value = F.log10((F.col("total") - F.col("n")) / F.col("count"))
     found = found.select(
         "doc_id", F.when(F.col("ends"), 0).otherwise(F.col("n")).alias("n_words"), F.lit(0).cast("bigint").alias("n_backoff"),
