@@ -7,8 +7,9 @@ a bipartite graph over all documents, which Spark scores in rounds: a pattern of
 a kind is worth the share of that kind among the values it brings, those that
 are still unknown but could be of the kind weighing little, and a value what its
 best pattern is worth. Values that score at least ``ACCEPT`` are entities of
-the kind too, teach patterns in the next round, and their places are added to
-the spans.
+the kind too, teach patterns in the next round (half as much as seeds, so that
+one finding alone doesn't lead to the next), and their places are added to the
+spans.
 
 Nothing here runs in Python: places come from the gaps that a split leaves
 between matches, added up per document row and kind.
@@ -26,6 +27,7 @@ ROUNDS = 3
 ACCEPT = 0.85  # least score of a value that becomes an entity
 PRIOR = 1.0  # values of no kind that every pattern starts with
 UNKNOWN = 0.25  # weight against a pattern of a value that may yet be of its kind
+TEACH = 0.5  # weight for a pattern of a value that was found, not a seed
 AROUND = 64  # code points kept on either side of a match for its context
 
 # Fixed expressions of the seed entities. They find what the plain forms find,
@@ -177,7 +179,7 @@ def bootstrap(seeds: DataFrame, others: DataFrame, rounds: int = ROUNDS, accept:
     state, state_at = stage_at(could.select("value", "kind", "seed", F.when(F.col("seed"), 1.0).alias("score")), "scores")
     for _ in range(rounds):
         held = edges.select("pattern", "value").join(state.hint("merge"), "value").groupBy("pattern", "kind").agg(
-            F.coalesce(F.sum("score"), F.lit(0.0)).alias("held"), F.count_if(F.col("score").isNull()).alias("open"))
+            F.coalesce(F.sum(F.col("score") * F.when(F.col("seed"), 1.0).otherwise(TEACH)), F.lit(0.0)).alias("held"), F.count_if(F.col("score").isNull()).alias("open"))
         against = F.col("n") - F.col("held") - (1 - UNKNOWN) * F.col("open") + PRIOR
         worth = held.join(sizes.hint("merge"), "pattern").select("pattern", "kind", (F.col("held") / (F.col("held") + against)).alias("worth"))
         worth, worth_at = stage_at(worth.where(F.col("worth") >= accept), "worth")
