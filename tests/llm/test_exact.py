@@ -1,6 +1,7 @@
 """Operators against brute force, exact round trips and held-out accuracy."""
 
 import random
+from collections import Counter
 import zlib
 
 import duckdb
@@ -301,6 +302,32 @@ def test_backoff_scores_keep_every_word(spark):
     assert got[3].n_backoff == 2 and got[3].log_score == pytest.approx(np.log10([3 / n_rows, 3 / 4, 0.4 * 1 / total, 0.4 * n_rows / total]).sum())
 
 
+@pytest.mark.parametrize("sample", [1.0, 1e-9])
+def test_backoff_scores_do_not_depend_on_what_is_frequent(spark, monkeypatch, sample):
+    # with every word and bigram in the sample most are scored where they are
+    # read; with none all are looked up by long names
+    monkeypatch.setattr(ngram_lm, "SAMPLE", sample)
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(30)] + ["x" * 60, "y" * 60]
+    texts = {i: " ".join(rng.choice(vocabulary) if rng.random() < 0.8 else f"r{rng.randrange(300)}" for _ in range(rng.randrange(40))) for i in range(80)}
+    texts[80] = texts[3]
+    rows = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r for r in ngram_lm.score(rows).collect()}
+    lines = {d: ["<s>", *t.split(), "<s>"] for d, t in texts.items()}
+    uni = Counter(w for x in lines.values() for w in x[:-1])
+    pairs = Counter(p for x in lines.values() for p in zip(x, x[1:]))
+    assert set(got) == set(texts)
+    for d, x in lines.items():
+        own = Counter(zip(x, x[1:]))
+        logs, back = 0.0, 0
+        for (a, b), n in own.items():
+            other = pairs[a, b] - n
+            back += n * (other == 0)
+            logs += n * np.log10(other / uni[a] if other else 0.4 * uni[b] / sum(uni.values()))
+        assert got[d].n_words == len(x) - 2 and got[d].n_backoff == back
+        assert got[d].log_score == pytest.approx(logs) and got[d].word_score == pytest.approx(logs / (len(x) - 1))
+
+
 # --- tokens -----------------------------------------------------------------
 
 @settings(max_examples=60, deadline=None)
