@@ -1,8 +1,8 @@
 """Operators against brute force, exact round trips and held-out accuracy."""
 
 import random
-from collections import Counter
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -256,6 +256,43 @@ def test_pages_of_a_host_lose_what_they_share(spark):
     assert all(len(text[i]) == 2 and not any("news" in t or "Contact" in t for t in text[i]) for i in range(4)) and len(text[9]) == 4
 
 
+def test_neighbours_pass_over_runs_of_copies(spark):
+    rng = random.Random(5)
+    rows, k = [], 0
+    for host in ("a", "b", "c", None):
+        while len(rows) < 60 * (1 + "abc".find(host or "d") % 4):
+            longest = rng.choice([1, 2, 3, None])
+            for _ in range(rng.choice([1, 1, 2, 25])):
+                rows.append((f"r{k:04}", host, f"/p/{k:04}", longest))
+                k += 1
+    got = dict(html_text.neighbours(spark.createDataFrame(rows, "row string, host string, path string, longest bigint").repartition(5)).collect())
+
+    near = {}
+    for i, (row, host, path, longest) in enumerate(rows):
+        before = next((r for r in reversed(rows[:i]) if host and r[1] == host and r[3] != longest), None)
+        after = next((r for r in rows[i + 1 :] if host and r[1] == host and r[3] != longest), None)
+        near[row] = {r[0] for r in (before, after) if r}
+    assert all((got.get(row) in near[row]) if near[row] else row not in got for row in near)
+    assert any(len(v) == 2 for v in near.values()) and any(not v for v in near.values())
+
+
+def test_template_longer_than_the_article_goes_and_copies_stay(spark):
+    menu = "".join(f"<div>{w} and more</div>" for w in "home news sport money travel science culture video".split())
+    page = "<html><body>" + menu + "<div>{0}</div><div>Buy one and get one free today</div><div>All rights reserved by the paper</div></body></html>"
+    texts = ["the harbour reopened on monday after a storm had closed it", "voters in the north chose a new council this week"]
+    rows = [(0, "http://h.example/n/a", page.format(texts[0])), (1, "http://h.example/n/b", page.format(texts[1]))]
+    # copies of an article stand between others in the order of the URLs
+    rows += [(i, f"http://g.example/n/{i:02}", page.format(texts[0])) for i in range(2, 20)] + [(20, "http://g.example/n/z", page.format(texts[1]))]
+    # only copies: nothing to compare with
+    rows += [(i, f"http://k.example/n/{i}", "<div>Menu</div><div>" + texts[0] + "</div>") for i in (30, 31)]
+    # two versions of one article: what they share is no template
+    body = "<div>Some paragraph number {} that both versions hold unchanged from the first to the last word</div>"
+    rows += [(40 + i, f"http://v.example/n/{i}", "".join(body.format(n) for n in range(5)) + f"<div>{'a last line that was edited ' * 5} {i}</div>") for i in (0, 1)]
+    out = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert [out[i] for i in range(21)] == [texts[0], texts[1]] + [texts[0]] * 18 + [texts[1]]
+    assert all(out[i] == "Menu\n" + texts[0] for i in (30, 31)) and all(len(out[i].split("\n")) == 6 for i in (40, 41))
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.sampled_from("abcd"), max_size=12), st.lists(st.sampled_from("abcd"), max_size=12))
 def test_common_lines_are_a_longest_common_subsequence(a, b):

@@ -3,10 +3,13 @@
 A page is cut into lines, one per block, in page order. Parts whose element
 says that they aren't the article (navigation, forms, adverts and the like) are
 left out, and if a page marks its article, so is what lies outside. The page is
-then paired with the page of its host whose URL path is nearest; lines that the
-longest common subsequence of both shares come from the template and go. Plain
-prose inside a marked article is kept even if shared, as is everything if the
-pair shares more than half its words: copies of an article aren't a template.
+then paired with the page of its host whose URL path is nearest and whose
+longest line is another one, so that copies of the article are passed over;
+lines that the longest common subsequence of both shares come from the template
+and go. Plain prose inside a marked article is kept even if shared. So is
+everything where the pair holds two versions of one article: most words of the
+page's sentences, lines of at least ``SENTENCE`` words, are shared. Lines as
+short as a template's mostly are don't count there, however many they are.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import attach, partitions, stage
@@ -52,6 +55,7 @@ ARTICLE_NAMES = frozenset("article articlebody entry post story content maintext
 # an open element of these is closed by the next one
 SIBLINGS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre td th dd dt figcaption".split())
+SENTENCE = 10
 LINES = "array<struct<text: string, plain: boolean>>"
 
 
@@ -190,7 +194,7 @@ def difference(lines: list[tuple[str, bool]], own: list, other: list) -> list[st
     """The lines of a page that remain when compared with another page's;
     ``own`` and ``other`` are the hashes of both pages' lines."""
     shared = common_lines(own, other)
-    words = [len(t.split()) for t, _ in lines]
+    words = [n if (n := len(t.split())) >= SENTENCE else 0 for t, _ in lines]
     if 2 * sum(words[i] for i in shared) > sum(words):
         return [t for t, _ in lines]
     return [t for i, (t, plain) in enumerate(lines) if plain or i not in shared]
@@ -219,23 +223,46 @@ def _difference(lines, own, other):
 
 
 def neighbours(urls: DataFrame) -> DataFrame:
-    """(row, other): for rows (row, host, path) the row of the same host whose
-    path is nearest by edit distance among the two next to it in the order of
-    host, path and row (the earlier at a tie). Rows without a host, or alone
-    on it, have none. Rows are ordered by range partitions; the ends of each
-    partition are looked up in a table with a row per partition."""
+    """(row, other): for rows (row, host, path, longest) a row of the same host
+    with another ``longest``: of the last such row before it and the first
+    after it, in the order of host, path and row, the one whose path is nearer
+    by edit distance (the earlier at a tie). Rows without a host, or with no
+    such row, have none. Rows are ordered by range partitions; what lies beyond
+    a partition is looked up in a table with a row per partition, so a run of
+    equal ``longest`` may be of any length."""
     spark = urls.sparkSession
     order = ["host", "path", "row"]
     ranged = urls.where("host is not null").repartitionByRange(partitions(spark), *order)
     placed = stage(ranged.withColumn("part", F.spark_partition_id()), "urls")
-    me = F.struct(*order)
-    ends = placed.groupBy("part").agg(F.min(me).alias("first"), F.max(me).alias("last"))
-    along = Window.orderBy("part")
-    ends = ends.select("part", F.lag("last").over(along).alias("before"), F.lead("first").over(along).alias("after"))
-    inside = Window.partitionBy("part").orderBy(*order)
-    rows = attach(
-        placed.withColumn("lag", F.lag(me).over(inside)).withColumn("lead", F.lead(me).over(inside)), ends, ["part"])
-    near = rows.withColumn("a", F.coalesce("lag", "before")).withColumn("b", F.coalesce("lead", "after"))
+    me = F.struct(*order, "longest")
+
+    def unlike(one: Column, other: Column) -> Column:
+        """``one`` if it is there and stands outside the run of ``other``."""
+        same = (one["host"] == other["host"]) & one["longest"].eqNullSafe(other["longest"])
+        return F.when(one.isNotNull() & ~same, one)
+
+    def latest(value: Column, window) -> Column:
+        return F.last(value, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+    inside = Window.partitionBy("part")
+    up, down = inside.orderBy(*order), inside.orderBy(*[F.desc(c) for c in order])
+    rows = placed.withColumn("me", me)
+    rows = rows.withColumn("step", unlike(F.lag("me").over(up), F.col("me"))).withColumn("before", latest(F.col("step"), up))
+    rows = rows.withColumn("step", unlike(F.lag("me").over(down), F.col("me"))).withColumn("after", latest(F.col("step"), down))
+    ends = rows.groupBy("part").agg(
+        F.min("me").alias("first"), F.min_by("after", "me").alias("first_after"), F.max("me").alias("last"), F.max_by("before", "me").alias("last_before"))
+
+    def beyond(ends: DataFrame, edge: str, inner: str, along, names: tuple[str, str]) -> DataFrame:
+        """The nearest row beyond each partition, and the nearest that is unlike it."""
+        ends = ends.withColumn("step", F.coalesce(F.col(inner), unlike(F.lag(edge).over(along), F.col(edge))))
+        ends = ends.withColumn("step", latest(F.col("step"), along))
+        return ends.withColumn(names[0], F.lag(edge).over(along)).withColumn(names[1], F.lag("step").over(along))
+
+    ends = beyond(ends, "last", "last_before", Window.orderBy("part"), ("a1", "a2"))
+    ends = beyond(ends, "first", "first_after", Window.orderBy(F.desc("part")), ("b1", "b2"))
+    near = attach(rows.drop("step"), ends.select("part", "a1", "a2", "b1", "b2"), ["part"])
+    near = near.withColumn("a", F.coalesce("before", unlike(F.col("a1"), F.col("me")), "a2"))
+    near = near.withColumn("b", F.coalesce("after", unlike(F.col("b1"), F.col("me")), "b2"))
     far = lambda c: F.when(F.col(f"{c}.host") == F.col("host"), F.levenshtein(F.col(f"{c}.path"), F.col("path")))
     near = near.withColumn("to_a", far("a")).withColumn("to_b", far("b"))
     pick = F.when(F.col("to_b").isNull() | (F.col("to_a") <= F.col("to_b")), F.when(F.col("to_a").isNotNull(), F.col("a.row"))).otherwise(F.col("b.row"))
@@ -254,14 +281,15 @@ def main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     # pages are named by their content, so equal ones are one page of the search
     name = F.concat(F.hex(F.xxhash64(url, html)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), html, url)))
     keys = lambda lines: F.transform(lines, lambda r: F.xxhash64(r["text"]))
+    longest = F.array_max(F.transform("lines", lambda r: F.struct(F.length(r["text"]).alias("size"), F.xxhash64(r["text"]).alias("key"))))["key"]
     cut = stage(
         pages.select(
             name.alias("row"), F.lower(F.try_parse_url(url, F.lit("HOST"))).alias("host"),
             F.rtrim(F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit("")), F.lit("/")).alias("path"), _lines(html).alias("lines"),
-        ).select("row", "host", "path", keys(F.col("lines")).alias("keys")).dropDuplicates(["row"]),
+        ).select("row", "host", "path", keys(F.col("lines")).alias("keys"), longest.alias("longest")).dropDuplicates(["row"]),
         "page-keys",
     )
-    pairs = stage(neighbours(cut.select("row", "host", "path")), "page-pairs")
+    pairs = stage(neighbours(cut.select("row", "host", "path", "longest")), "page-pairs")
     there = cut.select(F.col("row").alias("other"), F.col("keys").alias("there"))
     paired = pairs.join(there.hint("merge"), "other").select(F.col("row").alias("__row"), "there")
     own = pages.select(
