@@ -98,10 +98,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     the id among texts of 1 to ``TEXT_BYTES`` bytes: three
     quarters of them make the dictionaries, the rest, weighted to the classes' shares of
     all ``labels``, the calibration. Null labels don't count; without both classes every
-    score is the share of good labels (one half without labels)."""
+    score is the share of good labels (one half without labels). An id with
+    several labels is good if all of them say so."""
     spark = docs.sparkSession
     known = labels.select(F.col(f"`{id_col}`").alias("doc_id"), (F.col(f"`{label_col}`") > 0).cast("int").alias("label")).where(
-        "label is not null and doc_id is not null").dropDuplicates(["doc_id"])
+        "label is not null and doc_id is not null").groupBy("doc_id").agg(F.min("label").alias("label"))
     sizes = dict(known.groupBy("label").count().collect())
     good_share = sizes.get(1, 0) / max(1, sum(sizes.values())) if sizes else 0.5
     # more than are needed, as some have no text that fits
