@@ -96,8 +96,6 @@ def unit_rows(vectors: list, width: int) -> np.ndarray:
 
 def _placed(vector: Column, books: Codebooks, radius: float) -> Column:
     """A vector's list, the lists it probes (its own included), codes and error."""
-    between = np.sqrt(np.maximum(_squared(books.centres, books.centres), 0))
-
     @F.arrow_udf("struct<list: int, probes: array<int>, codes: binary, error: double>")
     def place(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for vectors in batches:
@@ -108,7 +106,9 @@ def _placed(vector: Column, books: Codebooks, radius: float) -> Column:
                 d = _squared(x, books.centres)
                 own = d.argmin(axis=1)
                 codes, error = books.encode(x, own)
-                reach = d - d[np.arange(len(x)), own][:, None] <= 2 * (radius + SLACK) * between[own] + SLACK
+                # between the rows' own centres and all others; the matrix of all pairs would grow with the square of the lists
+                between = np.sqrt(np.maximum(_squared(books.centres[own], books.centres), 0))
+                reach = d - d[np.arange(len(x)), own][:, None] <= 2 * (radius + SLACK) * between + SLACK
                 for j in range(len(x)):
                     out.append({"list": int(own[j]), "probes": np.flatnonzero(reach[j]).tolist(), "codes": codes[j].tobytes(), "error": float(error[j])})
             kind = pa.struct([("list", pa.int32()), ("probes", pa.list_(pa.int32())), ("codes", pa.binary()), ("error", pa.float64())])
@@ -219,7 +219,9 @@ def near_duplicates(
         "vector-roots",
     )
     unstage(spark, found_at)
-    least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stage(roots.join(least.hint("merge"), "root").select(*key, "n_links", "component_id"), "vector-components")
+    # staged, so that the planner can split the rows of a large component
+    least, least_at = stage_at(roots.groupBy("root").agg(F.min("least").alias("component_id")), "vector-least")
+    named = stage(attach(roots, least, ["root"]).select(*key, "n_links", "component_id"), "vector-components")
+    unstage(spark, least_at)
     linked = attach(rows.where("usable"), named, key).select("vec_id", "n_links", "component_id")
     return linked.unionByName(alone).withColumn("kept", kept)
