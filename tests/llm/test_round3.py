@@ -77,6 +77,20 @@ def test_trie_when_the_sketch_proves_nothing(spark, monkeypatch):
     assert rows_of(prefix_trie.prefix_trie(df)) == trie_by_hand(turns)
 
 
+def test_trie_when_the_sketch_is_often_wrong(spark, monkeypatch):
+    """Many cells of others are full: lone prefixes count as shared, also such
+    as follow a proven tail, and none is lost."""
+    turns = [(c, t, "u", f"{c % 5} {t}" if t < 2 else f"{c} {t}") for c in range(300) for t in range(c % 7)]
+    exact = prefix_trie.shared_cells
+
+    def overfull(prefixes, width):
+        bits = exact(prefixes, width)
+        return bits | prefix_trie.np.random.default_rng(1).integers(0, 256, len(bits), prefix_trie.np.uint8) | prefix_trie.np.uint8(0x5A)
+
+    monkeypatch.setattr(prefix_trie, "shared_cells", overfull)
+    assert rows_of(prefix_trie.prefix_trie(spark.createDataFrame(turns, TURNS))) == trie_by_hand(turns)
+
+
 def test_trie_of_one_long_conversation(spark):
     """Two copies of a conversation that hold two thirds of the rows, over a block's length."""
     turns = [(c, t, "u", f"{t % 9} word") for c in (40, 41) for t in range(1500)] + [(c, 0, "u", "hello") for c in range(60, 900)]

@@ -310,8 +310,9 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
              F.lit(1).cast("bigint").alias("n_leaves"), zero.alias("saved_tokens"), id_hash.alias("ends_sha256")]
     hung = named.unionByName(first.select("conv_id", *up, *alone))
     hung, hung_at = stage_at(hung, "hung")
-    # the root's parent is no node: its row has depth -1 here and null digests
-    linked = attach(hung.where("depth >= 0"), parents, NODE)
+    # the root's parent is no node: its row has depth -1 here and null digests. A lone prefix that the sketch calls
+    # shared may follow a proven tail, which is no row of parents and has the same one member
+    linked = attach(hung.where("depth >= 0"), parents, NODE, "left").withColumn("parent_conv_id", F.coalesce("parent_conv_id", "conv_id"))
     out = ["conv_id", (F.col("depth") + 1).alias("depth"), "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
     root = hung.where("depth < 0").withColumn("parent_conv_id", F.lit(None).cast("bigint"))
     free = tails.where("not forked and depth > 0").select(
