@@ -405,6 +405,23 @@ def test_encoder_equals_a_fresh_tokenizer(texts):
 ENCODER = {}
 
 
+def test_encoder_learns_a_piece_once(monkeypatch):
+    """A piece is encoded in the first batch that holds it, and a full store
+    of pieces is emptied without a change of any id."""
+    encoder = token_files.Encoder(queries.tokenizer_file())
+    learnt, spaced = [], encoder._spaced_ids
+    monkeypatch.setattr(encoder, "_spaced_ids", lambda pieces: (learnt.append(sorted(pieces)), spaced(pieces)))
+    texts = ["a word, a (word) x\0y", "b word, c  word"]
+    want = [np.array(e.ids, "<u4").tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.encode(texts) == want and ["a", "c", "word"] in learnt and ["(word)"] in learnt
+    learnt.clear()
+    assert encoder.encode(texts) == want and not sum(learnt, [])
+    monkeypatch.setattr(token_files, "CACHE", 4)
+    more = [f"{t} other{k}, word" for k, t in enumerate(texts)]
+    assert encoder.encode(more) == [np.array(e.ids, "<u4").tobytes() for e in encoder.tokenizer.encode_batch(more, add_special_tokens=False)]
+    assert "c" in encoder.later and "(word)" in encoder.later
+
+
 @needs_testdata
 def test_token_files_equal_the_tokenizer(spark):
     docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect())

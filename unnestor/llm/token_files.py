@@ -25,6 +25,7 @@ from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,7 +35,8 @@ from .common import attach, partitions
 BLOCK = 128
 SHARE = 0.9
 SEGMENT = 1 << 20  # ids after which a segment is written
-CACHE = 1_500_000  # words whose ids a Python worker keeps
+CACHE = 1_500_000  # pieces of texts whose ids a Python worker keeps
+JOINED = 256  # texts whose ids are put together at once
 END = 2  # the id that ends a document
 
 MAGIC = b"PFR1"
@@ -126,6 +128,10 @@ def read_segment(data: bytes) -> tuple[np.ndarray, int, np.ndarray]:
 STEM = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
+def _visible_end(piece: str) -> bool:
+    return piece[-1:].isprintable() and piece != "" and not piece[-1].isspace()
+
+
 class Encoder:
     """Ids of texts by a byte-level tokenizer, word by word. Its pattern never
     joins a space to the visible character before it, so the ids of a text are
@@ -143,65 +149,82 @@ class Encoder:
         # whatever the case and the form, as added tokens may be matched after normalization
         self.added = re.compile("|".join(map(re.escape, added)), re.I) if added else None
         self.gap = np.array(self.tokenizer.encode(" \0", add_special_tokens=False).ids)
-        self.stems: dict[str, bytes] = {}
+        self.later: dict[str, bytes] = {}  # of pieces after a space
         self.tails: dict[str, bytes] = {"": b""}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _stem_ids(self, stems: list[str]) -> None:
-        """Ids of words after a space, many in one text: a space and a zero
-        byte between them is encoded alone, and the words hold none."""
-        for i in range(0, len(stems), 4096):
-            part = stems[i : i + 4096]
+    def _spaced_ids(self, pieces: list[str]) -> None:
+        """Ids of pieces after a space, many in one text: a space and a zero
+        byte between them is encoded alone, and the pieces hold none."""
+        for i in range(0, len(pieces), 4096):
+            part = pieces[i : i + 4096]
             text = "".join([f" {w} \0" for w in part])
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             ends = (np.flatnonzero(ids == self.gap[-1]) + 1 - len(self.gap)).tolist()
             raw, at = ids.tobytes(), 0
             for w, end in zip(part, ends, strict=True):
-                self.stems[w] = raw[4 * at : 4 * end]
+                self.later[w] = raw[4 * at : 4 * end]
                 at = end + len(self.gap)
 
-    def _pieces(self, pieces: list[str], space: str) -> dict[str, bytes | None]:
-        """Ids of pieces after ``space``; None for those that end in white
-        space, to whose last word the next space may belong."""
-        known: dict[str, bytes | None] = {}
-        if space:
-            # strings alone: millions of small tuples would keep the garbage collector busy
-            found = list(map(STEM.fullmatch, pieces))
-            plain = [m[0] for m in found if m]
-            stems, tails = [m[1] for m in found if m], [m[2] for m in found if m]
-            pieces = [p for p, m in zip(pieces, found) if not m]
-            if len(self.stems) + len(self.tails) > CACHE:
-                self.stems, self.tails = {}, {"": b""}
-            self._stem_ids(list(set(stems) - self.stems.keys()))
-            ends = list(set(tails) - self.tails.keys())
-            self.tails.update(zip(ends, self._ids(ends)))
-            known.update(zip(plain, map(bytes.__add__, map(self.stems.__getitem__, stems), map(self.tails.__getitem__, tails))))
-        for p, ids in zip(pieces, self._ids([space + p for p in pieces])):
-            known[p] = None if p[-1:].isspace() or not p[-1:].isprintable() else ids
-        return known
+    def _learn(self, pieces: list[str]) -> None:
+        """Ids of pieces after a space, kept in ``later``; those that end in
+        white space, to whose last word the next space may belong, are left out."""
+        # strings alone: millions of small tuples would keep the garbage collector busy
+        found = list(map(STEM.fullmatch, pieces))
+        plain = [m[0] for m in found if m]
+        stems, tails = [m[1] for m in found if m], [m[2] for m in found if m]
+        self._spaced_ids(list(set(stems) - self.later.keys()))
+        ends = list(set(tails) - self.tails.keys())
+        self.tails.update(zip(ends, self._ids(ends)))
+        self.later.update(zip(plain, map(bytes.__add__, map(self.later.__getitem__, stems), map(self.tails.__getitem__, tails))))
+        rest = list(filter(_visible_end, (p for p, m in zip(pieces, found) if not m)))
+        self._spaced_ids([p for p in rest if "\0" not in p])
+        zeros = [p for p in rest if "\0" in p]
+        self.later.update(zip(zeros, self._ids([f" {p}" for p in zeros])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of unsigned 32-bit numbers."""
-        whole_texts = {i for i, t in enumerate(texts) if self.added and self.added.search(t)}
-        split = [[] if i in whole_texts else t.split(" ") for i, t in enumerate(texts)]
-        first = self._pieces(list({p[0] for p in split if p and p[0]}), "")
-        later = self._pieces(list(set().union(*(p[1:] for p in split)) - {""}), " ")
-        out: list[bytes | None] = []
-        for pieces in split:
-            if not pieces:
-                out.append(None)
-                continue
-            head = first[pieces[0]] if pieces[0] else b""
-            ids = list(map(later.get, pieces[1:]))
-            whole = len(pieces) == 1 or head is not None and None not in ids
-            # a first piece alone is a whole text, whatever it ends in
-            out.append(head + b"".join(ids) if whole and head is not None else None)
-        slow = [i for i, ids in enumerate(out) if ids is None]
-        for i, ids in zip(slow, self._ids([texts[i] for i in slow])):
-            out[i] = ids
+        whole = np.array([bool(self.added and self.added.search(t)) for t in texts])
+        split = pc.split_pattern(pa.array(["" if w else t for t, w in zip(texts, whole)], pa.large_string()), " ")
+        ends = split.offsets.to_numpy()
+        begins, ends = ends[:-1], ends[1:]
+        coded = split.values.dictionary_encode()
+        codes, pieces = coded.indices.to_numpy().copy(), coded.dictionary.to_pylist()
+        heads = codes[begins]
+        codes[begins] = -1
+        ids = list(map(self.later.get, pieces))
+        used = np.bincount(codes[codes >= 0], minlength=len(pieces)) > 0
+        new = [k for k in np.flatnonzero(used).tolist() if ids[k] is None and pieces[k]]
+        if len(self.later) + len(self.tails) + 2 * len(new) > CACHE:  # a piece's letters are kept as well
+            self.later, self.tails = {p: i for p, i in zip(pieces, ids) if i is not None}, {"": b""}
+        self._learn([pieces[k] for k in new])
+        for k in new:
+            ids[k] = self.later.get(pieces[k])
+        # first pieces have no space before them
+        opening = [p for k in np.unique(heads).tolist() if _visible_end(p := pieces[k])]
+        first = {"": b""} | dict(zip(opening, self._ids(opening)))
+        codes[begins] = len(ids) + np.arange(len(texts))
+        ids += [first.get(pieces[k]) for k in heads.tolist()]
+        unsafe = np.append(0, np.cumsum(np.array([i is None for i in ids])[codes]))
+        slow = whole | (unsafe[ends] > unsafe[begins]) | (ends - begins < 2)
+        sizes = np.array([len(i or b"") // 4 for i in ids])
+        starts, kept = np.cumsum(sizes) - sizes, np.frombuffer(b"".join([i or b"" for i in ids]), "<u4")
+        out: list[bytes] = []
+        for a in range(0, len(texts), JOINED):
+            here = codes[begins[a] : ends[min(a + JOINED, len(texts)) - 1]]
+            n = sizes[here]
+            to = np.append(0, np.cumsum(n))
+            raw = kept[np.repeat(starts[here] - to[:-1], n) + np.arange(to[-1])].tobytes()
+            at = (4 * to[np.append(begins[a : a + JOINED], ends[a : a + JOINED][-1]) - begins[a]]).tolist()
+            out += [raw[x:y] for x, y in zip(at, at[1:])]
+        slow = np.flatnonzero(slow).tolist()
+        for i, found in zip(slow, self._ids([texts[i] for i in slow])):
+            out[i] = found
         return out
 
 
