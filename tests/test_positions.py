@@ -107,3 +107,20 @@ def test_spread_keeps_tiny_tables_whole(spark, tmp_path):
     df = spark.read.parquet(str(tmp_path / "tiny"))
     assert spread(df).rdd.getNumPartitions() == df.rdd.getNumPartitions()
     assert spread(spark.read.parquet("/root/testdata/sf0.01/orders.parquet")).rdd.getNumPartitions() > 1
+
+
+def test_parents_are_shuffled_once_for_their_pages(spark):
+    from pyspark.sql import functions as F
+    parents = spark.range(0, 40, 1, 8).select(F.when(F.col("id") < 38, F.col("id")).alias("pk"), (F.col("id") * 2).alias("w"))
+    df = spark.range(60).select((F.col("id") % 30).alias("k"), F.col("id").alias("o"))
+    pages = pack_pages(df, ["k"], ["o"], F.col("o"), page_size=5)
+    docs = attach_pages(parents, "pk", pages, "k", "items")
+    got = sorted(docs.collect(), key=lambda r: r.w)
+    assert [(r.pk, r.w, r.page, r["items"]) for r in got] == [
+        (i if i < 38 else None, i * 2, 0, [i, i + 30] if i < 30 else None) for i in range(40)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = attach_pages(parents, "pk", pages, "k", "items")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert "ReusedExchange [pk" in plan

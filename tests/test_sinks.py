@@ -228,3 +228,66 @@ def test_jdbc_tables_are_created_as_declared(spark, tmp_path, monkeypatch):
     made = 'CREATE TABLE "t_x" ("k" TEXT, "n" BIGINT, "m" JSONB, PRIMARY KEY ("k"))'
     assert said == [made, 'DROP TABLE "t_x"', made]
     assert written == [("append", '"t_x"', ["k", "n", "m"])] * 2
+
+
+def _plans_written(monkeypatch):
+    plans, write = [], ParquetStore.write_buckets
+    monkeypatch.setattr(ParquetStore, "write_buckets", lambda self, df, *a, **k: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(self, df, *a, **k))[1])
+    return plans
+
+
+def test_a_large_upsert_moves_owners_and_not_rows(spark, tmp_path, monkeypatch):
+    """Arriving owners too many to broadcast: stored rows are neither shuffled nor sorted, only marked."""
+    from pyspark.sql import functions as F
+
+    def table(of, v):
+        return of.select(F.concat("k", F.lit("_"), "i").alias("id"), "k", F.lit(v).alias("payload"))
+
+    ids = spark.range(0, 80_000, 1, 1).select(F.concat(F.lit("d"), (F.col("id") % 20_000).cast("string")).alias("k"), (F.col("id") % 7).cast("string").alias("i"))
+    arriving = spark.range(0, 30_000, 3).select(F.concat(F.lit("d"), F.col("id").cast("string")).alias("k"))
+    some = arriving.where("k not like '%0'").withColumn("i", F.lit("new"))
+    for buckets, name in ((1, "one"), (3, "three"), (None, "flat")):
+        store = ParquetStore(str(tmp_path), buckets=buckets)
+        stored = table(ids, "old").unionByName(table(ids.limit(5).withColumn("k", F.lit(None).cast("string")), "old").withColumn("id", F.lit("nobody")))
+        load_table(stored, store, name, "id", dedupe=False, owner=F.col("k"))
+        plans = _plans_written(monkeypatch)
+        monkeypatch.setattr("unnestor.sinks.tables.stage_at", None)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "0")
+        try:
+            rep = load_table(table(some, "new"), store, name, "id", mode="upsert", dedupe=False, owner=F.col("k"), arriving=arriving, verify="content")
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert rep.status == "ok" and rep.content == "ok"
+        come = {r.k for r in arriving.collect()}
+        want = sorted([tuple(r) for r in stored.collect() if r.k not in come] + [tuple(r) for r in table(some, "new").collect()], key=str)
+        assert sorted(map(tuple, store.read(spark, name).collect()), key=str) == want
+        assert not buckets or "LeftSemi" in plans[-1] and "LeftAnti" not in plans[-1]
+    # a table with more rows than may be marked
+    monkeypatch.setattr("unnestor.sinks.tables.MAX_MARKED_BYTES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "0")
+    try:
+        load_table(table(some, "newer"), ParquetStore(str(tmp_path)), "three", "id", mode="upsert", dedupe=False, owner=F.col("k"), arriving=arriving)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "LeftAnti" in plans[-1] and sorted((r[0], r[1], r[2].replace("newer", "new")) for r in store.read(spark, "three").collect() if r.k) == [r for r in want if r[1]]
+
+
+def test_a_table_in_buckets_is_written_once(spark, tmp_path, monkeypatch):
+    """No copy before the buckets, nothing shuffled into them; a failed refresh leaves the stored table."""
+    from pyspark.sql import functions as F
+    store = ParquetStore(str(tmp_path / "s"), buckets=4)
+    monkeypatch.setattr("unnestor.sinks.tables.staging_path", None)
+    plans = _plans_written(monkeypatch)
+    df = spark.range(0, 500, 1, 3).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    rep = load_table(df.unionByName(spark.createDataFrame([("", 1)], "k string, v long")), store, "t", "k", dedupe=False, verify="content")
+    assert (rep.loaded, rep.rejected, rep.content) == (500, 1, "ok") and "Exchange" not in plans[0]
+    assert [p.name for p in (tmp_path / "s").iterdir()] == ["t"] and len(list((tmp_path / "s" / "t").glob("_bucket_of_4=*"))) == 4
+    bad = df.withColumn("v", F.raise_error(F.lit("cut")).cast("long"))
+    with pytest.raises(Exception, match="cut"):
+        load_table(bad, store, "t", "k", dedupe=False)
+    assert store.read(spark, "t").count() == 500
+    # more buckets than a task keeps files of
+    many = ParquetStore(str(tmp_path / "m"), buckets=40)
+    assert load_table(df, many, "t", "k", dedupe=False).loaded == 500 and rows(many.read(spark, "t")) == rows(df)
+    # a table without any good row
+    assert load_table(df.limit(0), store, "u", "k", dedupe=False).loaded == 0 and store.read(spark, "u").columns == ["k", "v"]

@@ -89,7 +89,7 @@ def load_database(
         if order_by is not None and not _has(parsed, order_by):
             raise CatalogError(f"layout {root!r} has no field {order_by!r} to order by")
         parsed = parsed.withColumn(ROW, F.monotonically_increasing_id())
-    parsed, staged_path = stage_at(parsed, f"parsed_{root}")
+    parsed, staged_path = stage_at(parsed, f"parsed_{root}", "zstd")
     keys = primary_keys(catalog, root)
     reports, lost_at = [], None
     try:

@@ -59,12 +59,14 @@ def staging_path(spark: SparkSession, name: str) -> str:
 _new_path = staging_path
 
 
-def stage_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def stage_at(df: DataFrame, name: str, compression: str | None = None) -> tuple[DataFrame, str]:
     """``stage`` that also returns the folder, for ``unstage`` once every
-    consumer of the staged copy has run."""
+    consumer of the staged copy has run. ``compression``: another codec than
+    the session's."""
     spark = df.sparkSession
     path = _new_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
+    write = df.write.mode("errorifexists")
+    (write.option("compression", compression) if compression else write).parquet(path)
     return spark.read.parquet(path), path
 
 

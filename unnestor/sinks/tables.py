@@ -8,6 +8,7 @@ JDBC in batches), never by collecting rows on the driver.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from typing import Sequence
 
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 from ..functions.values import null_policy_exprs, sanitize_name
 from ..operators.checks import content_checksum
 from ..operators.upsert import blank_key, latest_per_key
-from ..plans.sizing import fits_broadcast, measure
+from ..plans.sizing import broadcast_limit, fits_broadcast, measure
 from ..plans.staging import stage_at, staging_path, unstage
 
 QUARANTINE_SUFFIX = "__rejected"
@@ -89,6 +90,15 @@ class Store:
 BUCKET = "_bucket_of_"  # with the number of buckets, the partition column of a table in buckets
 
 
+# Up to so many buckets, every task keeps a file of each open and rows are written where they are; with more,
+# they are brought together by bucket first.
+OPEN_FILES = 32
+
+# The rows of a stored table that go are marked in broadcast bitmaps (a bit a row) up to so many bytes.
+MAX_MARKED_BYTES = 64 << 20
+_CHUNK = 1 << 15  # positions of one ``bitmap_construct_agg``
+
+
 def bucket_of(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key.cast("string")), F.lit(buckets)).cast("int")
 
@@ -101,17 +111,19 @@ class ParquetStore(Store):
     With ``buckets``, tables are laid out by the hash of their owner key (the
     document's, for a tree of tables), and an upsert reads and rewrites the
     buckets of the arriving keys alone. A table keeps the number of buckets
-    it was written with; a flat one gets buckets at its next refresh."""
+    it was written with; a flat one gets buckets at its next refresh.
+    ``compression`` is the codec of the files."""
 
     root: str
     buckets: int | None = None
+    compression: str = "zstd"
     exact = True
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
     def write(self, df: DataFrame, table: str, mode: str = "overwrite", primary_key: str | None = None) -> None:
-        df.write.mode(mode).parquet(self.path(table))
+        df.write.mode(mode).option("compression", self.compression).parquet(self.path(table))
 
     def read_buckets(self, spark: SparkSession, table: str) -> tuple[DataFrame, str | None]:
         """The table with its bucket column, and that column's name."""
@@ -129,12 +141,17 @@ class ParquetStore(Store):
 
     def write_buckets(self, df: DataFrame, table: str, owner: Column, buckets: int, only: bool = False) -> None:
         """Write ``df`` in buckets of ``owner``; ``only``: the buckets that it
-        has rows of, leaving the others as they are. Rows come together by
-        bucket, and the planner splits a bucket that is too large."""
+        has rows of, leaving the others as they are. Every task writes its
+        rows into the buckets' files, so nothing is shuffled or sorted. More
+        than ``OPEN_FILES`` buckets would be too many files: rows come together
+        by bucket, and the planner splits a bucket that is too large."""
         name = f"{BUCKET}{buckets}"
-        out = df.withColumn(name, bucket_of(owner, buckets)).hint("rebalance", name)
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if only else "static")
-         .partitionBy(name).parquet(self.path(table)))
+        out = df.withColumn(name, bucket_of(owner, buckets))
+        if buckets > OPEN_FILES:
+            out = out.hint("rebalance", name)
+        with _open_files(df.sparkSession, buckets if buckets <= OPEN_FILES else 0):
+            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if only else "static")
+             .option("compression", self.compression).partitionBy(name).parquet(self.path(table)))
         self._keep_schema(df, table, name)
 
     def _keep_schema(self, df: DataFrame, table: str, bucket: str) -> None:
@@ -150,16 +167,16 @@ class ParquetStore(Store):
         spark = rows.sparkSession
         current, bucket = self.read_buckets(spark, table)
         if bucket is None:
-            merged = observe(_unowned(current, owner, arriving).unionByName(rows.select(*current.columns)))
+            merged = observe(_kept(current, F.lit(True), owner, arriving).unionByName(rows.select(*current.columns)))
             swap_in(merged, self, table)
             return self.read(spark, table)
         buckets = int(bucket[len(BUCKET):])
         touched = sorted(r[0] for r in arriving.select(bucket_of(F.col(arriving.columns[0]), buckets)).distinct().collect())
-        here = current.where(F.col(bucket).isin(touched)) if touched else current.limit(0)
         folders = {t: _folder(spark, f"{self.path(table)}/{bucket}={t}") for t in touched}
         before = {t: f.names() for t, f in folders.items()}
         columns = [c for c in current.columns if c != bucket]
-        merged = observe(_unowned(here.drop(bucket), owner, arriving).unionByName(rows.select(*columns)))
+        kept = _kept(current, F.col(bucket).isin(touched), owner, arriving) if touched else current.limit(0)
+        merged = observe(kept.select(*columns).unionByName(rows.select(*columns)))
         self.write_buckets(merged, table, owner, buckets, only=True)
         for t, f in folders.items():  # a bucket that has no rows left was not written
             if before[t] & f.names():
@@ -179,6 +196,46 @@ def _unowned(current: DataFrame, owner: Column, arriving: DataFrame) -> DataFram
     return current.withColumn("_owner", owner).join(side, F.col("_owner") == F.col("_arriving"), "left_anti").drop("_owner")
 
 
+def _kept(current: DataFrame, where: Column, owner: Column, arriving: DataFrame) -> DataFrame:
+    """Rows of a stored Parquet table ``where`` their owner doesn't arrive. Where the arriving keys are too
+    many to broadcast, only the stored rows' owners and places (file and row) are sorted with them; the places
+    of the rows that go come back as bitmaps, and the rows themselves stay where they are."""
+    spark, key = current.sparkSession, arriving.columns[0]
+    here, files = current.where(where), current.inputFiles()
+    if (fits_broadcast(spark, *measure(arriving, [key])) or broadcast_limit(spark) < 0
+            or here.count() // 8 + len(files) * (_CHUNK // 8) > MAX_MARKED_BYTES or not _told_apart(spark, files)):
+        return _unowned(here, owner, arriving)
+    placed = current.select("*", F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at")).where(where)
+    chunk, bit = F.expr(f"_at div {_CHUNK}"), F.expr(f"_at % {_CHUNK}")
+    side = arriving.select(F.col(f"`{key}`").alias("_arriving")).hint("merge")
+    gone = (placed.select(owner.alias("_owner"), "_file", chunk.alias("_chunk"), bit.alias("_bit"))
+            .join(side, F.col("_owner") == F.col("_arriving"), "left_semi")
+            .groupBy("_file", "_chunk").agg(F.bitmap_construct_agg(F.col("_bit")).alias("_gone")))
+    byte = F.conv(F.hex(F.expr(f"substring(_gone, cast(_at % {_CHUNK} div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    marked = F.expr("cast(shiftleft(1, cast(_at % 8 as int)) as int)").bitwiseAND(byte) != 0
+    return (placed.withColumn("_chunk", chunk).join(F.broadcast(gone), ["_file", "_chunk"], "left")
+            .where(F.col("_gone").isNull() | ~marked).select(*current.columns))
+
+
+def _told_apart(spark: SparkSession, files: list[str]) -> bool:
+    """Whether no two of the files have the same hash."""
+    return spark.createDataFrame([(f,) for f in files], "f string").select(F.xxhash64("f")).distinct().count() == len(files)
+
+
+@contextmanager
+def _open_files(spark: SparkSession, most: int):
+    """Tasks that write into folders keep so many files open, and sort nothing up to there."""
+    writers = "spark.sql.maxConcurrentOutputFileWriters"
+    was = spark.conf.get(writers, "0")
+    try:
+        if was == "0" and most:
+            spark.conf.set(writers, str(most))
+        yield
+    finally:
+        if was == "0" and most:
+            spark.conf.unset(writers)
+
+
 class _folder:
     """A folder of any file system that the cluster's client reaches."""
 
@@ -213,7 +270,7 @@ def swap_in(df: DataFrame, store: ParquetStore, table: str) -> None:
     """Write a table next to the stored one and put it in its place: a job
     that fails leaves the stored table as it was, and it may be read by it."""
     at = store.path(table) + INCOMING
-    df.write.mode("overwrite").parquet(at)
+    df.write.mode("overwrite").option("compression", store.compression).parquet(at)
     _folder(df.sparkSession, at).move(_folder(df.sparkSession, store.path(table)))
 
 
@@ -312,15 +369,9 @@ def split_write(rows: DataFrame, folder: str) -> tuple[str, list[str]]:
     ``_reject_reason`` go to folders of their column and reason, the others to
     one of their own; returns it and those of the rejected. Tasks keep a file
     open for each, so nothing is sorted."""
-    spark, writers = rows.sparkSession, "spark.sql.maxConcurrentOutputFileWriters"
-    was = spark.conf.get(writers, "0")
-    try:
-        if was == "0":
-            spark.conf.set(writers, "8")
+    spark = rows.sparkSession
+    with _open_files(spark, 8):
         rows.write.mode("overwrite").partitionBy(REJECT_COLUMN, REJECT_REASON).parquet(folder)
-    finally:
-        if was == "0":
-            spark.conf.unset(writers)
     own = [n for n in _folder(spark, folder).names() if n.startswith(f"{REJECT_COLUMN}=")]
     good = f"{REJECT_COLUMN}={_NULL_PART}"
     return f"{folder}/{good}/{REJECT_REASON}={_NULL_PART}", [f"{folder}/{n}" for n in own if n != good]
@@ -385,6 +436,9 @@ def load_table(
     obs = Observation(f"written_{name}_{uuid.uuid4().hex[:12]}")
     parquet = isinstance(store, ParquetStore)
     upsert = mode == "upsert" and store.exists(spark, name)
+    if parquet and quarantine is None and (arriving is not None if upsert else store.buckets):
+        counts = observed(rows, obs, good).where(good).drop(REJECT_COLUMN, REJECT_REASON)
+        return _load_rows(counts, store, name, upsert, owner, arriving, observed, obs, verify)
     plain = parquet and not upsert and not store.buckets
     staged = None if plain else staging_path(spark, f"split_{name}")
     folder = store.path(name) + INCOMING if plain else staged
@@ -407,12 +461,34 @@ def load_table(
     else:
         clean = spark.read.schema(rows.drop(REJECT_COLUMN, REJECT_REASON).schema).parquet(at)
         back, seen = _write_staged(clean, store, name, upsert, pk, owner, arriving, observed, staged)
-    aggs = [F.count(F.lit(1)).alias("n")] + ([content_checksum(df.columns).alias("sum")] if verify == "content" and store.exact else [])
-    found = back.agg(*aggs).first()
-    content = None if len(aggs) == 1 else "ok" if found["sum"] == seen["sum"] else "changed"
+    report = _reported(name, back, seen, rejected, df.columns, verify == "content" and store.exact)
     if staged is not None:  # only once the table is written
         _folder(spark, staged).delete()
-    return LoadReport(name, int(seen["n"]), int(found["n"]), rejected, content)
+    return report
+
+
+def _reported(name: str, back: DataFrame, seen: dict, rejected: int, columns: list[str], content: bool) -> LoadReport:
+    """What was observed in the write against what is read back."""
+    found = back.agg(F.count(F.lit(1)).alias("n"), *([content_checksum(columns).alias("sum")] if content else [])).first()
+    same = None if not content else "ok" if found["sum"] == seen["sum"] else "changed"
+    return LoadReport(name, int(seen["n"]), int(found["n"]), rejected, same)
+
+
+def _load_rows(clean, store, name, upsert, owner, arriving, observed, obs, verify) -> LoadReport:
+    """Rows that are read once, with nothing to set aside, go straight into a
+    Parquet store: a refresh in buckets beside the stored table, which it then
+    replaces; an upsert over the touched buckets."""
+    spark = clean.sparkSession
+    if upsert:
+        merged = Observation(f"merged_{name}_{uuid.uuid4().hex[:12]}")
+        back = store.replace_owned(clean, name, owner, arriving, lambda frame: observed(frame, merged, F.lit(True)))
+        rejected, seen = int(_figures(obs)["bad"]), _figures(merged)
+    else:
+        store.write_buckets(clean, name + INCOMING, owner, store.buckets)
+        _folder(spark, store.path(name + INCOMING)).move(_folder(spark, store.path(name)))
+        back, seen = store.read(spark, name), _figures(obs)
+        rejected = int(seen["bad"])
+    return _reported(name, back, seen, rejected, clean.columns, verify == "content" and store.exact)
 
 
 def _write_staged(clean, store, name, upsert, pk, owner, arriving, observed, staged) -> tuple[DataFrame, dict]:

@@ -243,14 +243,16 @@ def attach_pages(
     partial aggregate, so it is small and skew-free)."""
     # Both sides grow with the data (no proven size bound), so the joins are
     # sort-merge joins, never broadcasts chosen from a size estimate.
+    # Parents without a key are apart, so that both joins read the same rows
+    # and share one shuffle of them.
     p = pages.select(F.col(child_key).alias("_ck"), "page", F.col("items").alias(items_as)).hint("merge")
     cols = [parents[c] for c in parents.columns]
-    with_pages = parents.join(p, parents[parent_key] == p["_ck"], "inner").select(*cols, "page", items_as)
+    keyed = parents.where(parents[parent_key].isNotNull())
+    with_pages = keyed.join(p, keyed[parent_key] == p["_ck"], "inner").select(*cols, "page", items_as)
     keys = pages.select(F.col(child_key).alias("_ck")).distinct().hint("merge")
-    lonely = parents.join(keys, parents[parent_key] == keys["_ck"], "left_anti").select(
-        *cols, F.lit(0).cast("long").alias("page"), F.lit(None).cast(p.schema[items_as].dataType).alias(items_as)
-    )
-    return with_pages.unionByName(lonely)
+    none = [*cols, F.lit(0).cast("long").alias("page"), F.lit(None).cast(p.schema[items_as].dataType).alias(items_as)]
+    lonely = keyed.join(keys, keyed[parent_key] == keys["_ck"], "left_anti").select(*none)
+    return with_pages.unionByName(lonely).unionByName(parents.where(parents[parent_key].isNull()).select(*none))
 
 
 def doc_id(key: Column | str, page: Column | str = "page") -> Column:
