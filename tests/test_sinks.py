@@ -291,3 +291,22 @@ def test_a_table_in_buckets_is_written_once(spark, tmp_path, monkeypatch):
     assert load_table(df, many, "t", "k", dedupe=False).loaded == 500 and rows(many.read(spark, "t")) == rows(df)
     # a table without any good row
     assert load_table(df.limit(0), store, "u", "k", dedupe=False).loaded == 0 and store.read(spark, "u").columns == ["k", "v"]
+
+
+def test_the_last_of_several_writes_takes_the_setting_back(spark):
+    from unnestor.sinks.tables import OPEN_FILES, _open_files
+    setting = lambda: spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0")
+    one, two = _open_files(spark), _open_files(spark)
+    one.__enter__()
+    two.__enter__()
+    one.__exit__(None, None, None)
+    assert setting() == str(OPEN_FILES)
+    two.__exit__(None, None, None)
+    assert setting() == "0"
+    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "5")
+    try:
+        with _open_files(spark):
+            assert setting() == "5"
+        assert setting() == "5"
+    finally:
+        spark.conf.unset("spark.sql.maxConcurrentOutputFileWriters")

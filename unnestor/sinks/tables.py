@@ -7,7 +7,9 @@ JDBC in batches), never by collecting rows on the driver.
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections import Counter
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from typing import Sequence
@@ -149,7 +151,7 @@ class ParquetStore(Store):
         out = df.withColumn(name, bucket_of(owner, buckets))
         if buckets > OPEN_FILES:
             out = out.hint("rebalance", name)
-        with _open_files(df.sparkSession, buckets if buckets <= OPEN_FILES else 0):
+        with _open_files(df.sparkSession):
             (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if only else "static")
              .option("compression", self.compression).partitionBy(name).parquet(self.path(table)))
         self._keep_schema(df, table, name)
@@ -222,18 +224,31 @@ def _told_apart(spark: SparkSession, files: list[str]) -> bool:
     return spark.createDataFrame([(f,) for f in files], "f string").select(F.xxhash64("f")).distinct().count() == len(files)
 
 
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+_writing, _writing_lock = Counter(), threading.Lock()
+
+
 @contextmanager
-def _open_files(spark: SparkSession, most: int):
-    """Tasks that write into folders keep so many files open, and sort nothing up to there."""
-    writers = "spark.sql.maxConcurrentOutputFileWriters"
-    was = spark.conf.get(writers, "0")
+def _open_files(spark: SparkSession):
+    """Tasks that write into folders keep up to ``OPEN_FILES`` files open, and
+    sort nothing up to there. Of tables written at the same time the last one
+    takes the setting back: a write that is planned with it must run with it."""
+    session = spark._jsparkSession.hashCode()
+    with _writing_lock:
+        if _writing[session] or spark.conf.get(_WRITERS, "0") == "0":
+            spark.conf.set(_WRITERS, str(OPEN_FILES))
+            _writing[session] += 1
+            ours = True
+        else:
+            ours = False
     try:
-        if was == "0" and most:
-            spark.conf.set(writers, str(most))
         yield
     finally:
-        if was == "0" and most:
-            spark.conf.unset(writers)
+        with _writing_lock:
+            if ours:
+                _writing[session] -= 1
+                if not _writing[session]:
+                    spark.conf.unset(_WRITERS)
 
 
 class _folder:
@@ -370,7 +385,7 @@ def split_write(rows: DataFrame, folder: str) -> tuple[str, list[str]]:
     one of their own; returns it and those of the rejected. Tasks keep a file
     open for each, so nothing is sorted."""
     spark = rows.sparkSession
-    with _open_files(spark, 8):
+    with _open_files(spark):
         rows.write.mode("overwrite").partitionBy(REJECT_COLUMN, REJECT_REASON).parquet(folder)
     own = [n for n in _folder(spark, folder).names() if n.startswith(f"{REJECT_COLUMN}=")]
     good = f"{REJECT_COLUMN}={_NULL_PART}"
