@@ -1,11 +1,14 @@
 """Operators against brute force, exact round trips and held-out accuracy."""
 
+import math
 import random
+import re
 import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -365,6 +368,39 @@ def test_backoff_scores_do_not_depend_on_what_is_frequent(spark, monkeypatch, sa
         assert got[d].log_score == pytest.approx(logs) and got[d].word_score == pytest.approx(logs / (len(x) - 1))
 
 
+def test_backoff_scores_of_a_text_with_many_frequent_bigrams(spark, monkeypatch):
+    """More of them back off than there are short names."""
+    monkeypatch.setattr(ngram_lm, "SAMPLE", 1.0)
+    n = ngram_lm.SHORT
+    row = ngram_lm.score(spark.createDataFrame([(1, "a b " * n)], "doc_id bigint, text string")).collect()[0]
+    assert (row.n_words, row.n_backoff) == (2 * n, 2 * n + 1)
+
+
+def test_backoff_rows_of_a_key_come_in_any_order(spark):
+    """Spark sorts them by the key alone."""
+    long, both = ngram_lm.word_hash("x"), 5 * ngram_lm.SHORT + 6
+    model = ngram_lm._Model(np.arange(1, ngram_lm.SHORT + 1), np.zeros(0, np.int64), np.zeros(0, np.int64), 100.0, 0.4)
+    rows = [
+        (1, long, ngram_lm.FIRST_LONG, 3, 2, None), (2, long, ngram_lm.FIRST_LONG, 3, 1, None), (3, long, ngram_lm.FIRST_LONG, long, 1, None),
+        (1, long, ngram_lm.SECOND_LONG, 3, 1, None), (2, long, ngram_lm.SECOND_LONG, 4, 2, None), (3, long, ngram_lm.SECOND_LONG, 3, 2, None),
+        (1, both, ngram_lm.BOTH_SHORT, 0, 1, None), (2, both, ngram_lm.BOTH_SHORT, 0, 3, None),
+        (1, ngram_lm.LAST_KEY + 7, ngram_lm.SCORED, 300_000, 9, -1.5),
+    ]
+    found = []
+    for seed in range(5):
+        random.Random(seed).shuffle(rows)
+        rows.sort(key=lambda r: r[1])
+        table = pa.table(dict(zip(["doc_id", "key", "kind", "rest", "n", "log_score"], zip(*rows))))
+        found.append(sorted((r["doc_id"], r["word"] or 0, r["n_words"], r["rows"], r["n_backoff"], round(r["log_score"], 9)) for r in ngram_lm._scores(table, model).to_pylist()))
+    assert all(f == found[0] for f in found)
+    assert (3, long, 0, 0, 1, 0.0) in found[0] and (1, 0, 9, 1, 300_000, -1.5) in found[0]
+    # 4 of the word are first; 3 and 1 of the pair, the first word 6 times
+    assert (1, 0, 0, 0, 0, round(math.log10(3 / 6), 9)) in found[0] and (1, 0, 0, 0, 0, round(2 * math.log10(1 / 4), 9)) in found[0]
+    docs = spark.createDataFrame([(1, "a")], "doc_id bigint, text string")
+    plan = ngram_lm._looked_up(ngram_lm._explode(docs, ngram_lm._Reader({}), model), model)._jdf.queryExecution().toString()
+    assert re.search(r"Sort \[key#\d+L ASC NULLS FIRST\], false", plan)
+
+
 # --- tokens -----------------------------------------------------------------
 
 @settings(max_examples=60, deadline=None)

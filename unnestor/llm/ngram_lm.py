@@ -18,26 +18,31 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from hashlib import blake2b
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pandas.util import hash_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage, stage_at, unstage
 
 BACKOFF = 0.4
-CACHE = 1 << 17  # words whose hash a task keeps
+CACHE = 1 << 17  # words that a task names or counts at once
 SHORT = 1 << 18  # short names, the mark's among them
 FREQUENT = 1 << 18  # bigrams that are counted and scored where they are read
 SAMPLE = 0.05  # share of the rows that chooses both
 LONG_WORD = 40  # letters from which on a word is held by its digest
 ROWS = 512  # documents that are looked up together
+ADDED = 1 << 19  # scored rows that a task adds up at once
 TURN = np.uint64(0x9E3779B97F4A7C15)
 
-# kinds of rows that are sorted by their key
+# kinds of rows that are sorted by their key: those of long words' keys, which are negative, come
+# first, and those that are scored already, from ``LAST_KEY`` on, last
 BOTH_SHORT, FIRST_LONG, SECOND_LONG, SCORED = range(4)
+LAST_KEY = SHORT * SHORT
+SUMS = ["n_words", "rows", "n_backoff", "log_score"]
 EXPLODED = "doc_id bigint, key bigint, kind bigint, rest bigint, n bigint, log_score double"
 
 
@@ -46,9 +51,13 @@ def words(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
 
+def word_hashes(found: np.ndarray) -> np.ndarray:
+    """63 bits of the words' hash below zero, as short names are positive."""
+    return (hash_array(found, categorize=False) | np.uint64(1 << 63)).view(np.int64)
+
+
 def word_hash(word: str) -> int:
-    """A negative number, as short names are positive."""
-    return int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") // 2 - (1 << 63)
+    return int(word_hashes(np.array([word], object))[0])
 
 
 # one mark is both start and end of a document; no word holds a space
@@ -60,24 +69,6 @@ def _held(word: str) -> str:
     return word if len(word) < LONG_WORD else f" {word_hash(word)}"
 
 
-class _Names(dict):
-    """Names of words: the short ones, and hashes as they are met."""
-
-    def __init__(self, short: dict[str, int]):
-        super().__init__(short)
-        self.short = short
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= len(self.short) + CACHE:
-            self.clear()
-            self.update(self.short)
-        found = self.short.get(_held(word)) if len(word) >= LONG_WORD else None
-        found = word_hash(word) if found is None else found
-        if len(word) < LONG_WORD:
-            self[word] = found
-        return found
-
-
 class _Index:
     """Places of numbers in a table of them, the most frequent first, by two
     hashes; one whose slots are taken by more frequent ones is left out."""
@@ -114,25 +105,34 @@ class _Reader:
     names: dict[str, int]
     known: np.ndarray | None = None  # words not in it, if given, are one class
 
-    def __post_init__(self) -> None:
-        self.get = _Names(self.names).__getitem__
-
-    def __reduce__(self):
-        return _Reader, (self.names, self.known)
+    def _named(self, met: list[str]) -> np.ndarray:
+        """Short names, and hashes of all other words."""
+        ids = np.fromiter(map(self.names.get, met, repeat(-1)), np.int64, len(met))
+        rest = np.flatnonzero(ids < 0)
+        other = np.array([met[i] for i in rest.tolist()], object)
+        ids[rest] = word_hashes(other)
+        for i, word in zip(rest.tolist(), other):
+            if len(word) >= LONG_WORD:
+                ids[i] = self.names.get(_held(word), ids[i])
+        return ids
 
     def bigrams(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, first, second) of every bigram of some texts, in their order."""
-        named: list[int] = [MARK]
-        sizes = []
+        met: list[str] = []
+        parts, ends, size = [], [], 0
         for t in texts:
-            before = len(named)
-            named.extend(map(self.get, words(t.as_py())))
-            named.append(MARK)
-            sizes.append(len(named) - before)
-        ids = np.array(named, np.int64)
+            own = words(t.as_py())
+            met += own
+            size += len(own)
+            ends.append(size)
+            if len(met) >= CACHE:
+                parts.append(self._named(met))
+                met = []
+        ids = np.concatenate([*parts, self._named(met)])
         if self.known is not None:
-            ids[(ids != MARK) & ~np.isin(ids, self.known)] = OTHER
-        return np.repeat(np.arange(len(sizes)), sizes), ids[:-1], ids[1:]
+            ids[~np.isin(ids, self.known)] = OTHER
+        ids = np.append(MARK, np.insert(ids, ends, MARK))
+        return np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0) + 1), ids[:-1], ids[1:]
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +250,7 @@ def _explode(docs: DataFrame, reader: _Reader, model: _Model) -> DataFrame:
             score = np.where(
                 back, model.shared(model.count[second[here]]), np.log10(np.maximum(other, 1) / model.count[first[here]])) * n[here]
             yield _batch(
-                doc_id=ids, key=np.arange(len(ids)) + len(ids) * n_words, kind=np.full(len(ids), SCORED),
+                doc_id=ids, key=LAST_KEY + np.arange(len(ids)) + len(ids) * n_words, kind=np.full(len(ids), SCORED),
                 rest=np.bincount(row[here], back * n[here], len(ids)).astype(np.int64), n=n_words,
                 log_score=np.bincount(row[here], score, len(ids)).astype(float))
             row, first, second, n, key, both = (c[~here] for c in (row, first, second, n, key, both))
@@ -262,33 +262,50 @@ def _explode(docs: DataFrame, reader: _Reader, model: _Model) -> DataFrame:
 
 
 def _scores(rows: pa.Table, model: _Model) -> pa.RecordBatch:
-    """The rows of some keys, all of each key, in the order of key, kind, rest."""
-    key, kind, rest, n = (rows.column(c).to_numpy() for c in ("key", "kind", "rest", "n"))
-    new_key = np.append(True, key[1:] != key[:-1])
-    new = new_key | np.append(True, (kind[1:] != kind[:-1]) | (rest[1:] != rest[:-1]))
-    total = np.add.reduceat(n, np.flatnonzero(new))[np.cumsum(new) - 1]
-    # how often the long word of the key occurs
-    own = np.add.reduceat(np.where(kind == FIRST_LONG, n, 0), np.flatnonzero(new_key))[np.cumsum(new_key) - 1]
-    short = lambda word: model.count[np.maximum(word, 0)]
-    first = np.where(kind == BOTH_SHORT, short(key // SHORT), np.where(kind == FIRST_LONG, own, short(rest)))
-    second = np.where(kind == BOTH_SHORT, short(key % SHORT), np.where(kind == FIRST_LONG, short(rest), own))
-    other, scored = total - n, kind == SCORED
-    back = (other == 0) & ~scored
-    unknown = back & (kind == FIRST_LONG) & (rest < 0)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        score = np.where(back, model.shared(second), np.log10(np.maximum(other, 1) / first)) * n
-    score[unknown] = 0
-    score[scored] = rows.column("log_score").to_numpy()[scored]
+    """The rows of some keys, all of each key, in the order of key."""
+    long, last = np.searchsorted(rows.column("key").to_numpy(), [0, LAST_KEY])
+    key, kind, rest, n = (rows.column(c).to_numpy()[:last] for c in ("key", "kind", "rest", "n"))
+    # two short names have the key to themselves
+    order = np.append(np.lexsort((rest[:long], kind[:long], key[:long])), np.arange(long, last))
+    kind, rest, n = kind[order], rest[order], n[order]
+    n_back, score = np.zeros(rows.num_rows, np.int64), np.zeros(rows.num_rows)
+    n_back[last:], score[last:] = rows.column("rest").to_numpy()[last:], rows.column("log_score").to_numpy()[last:]
+    unknown = np.zeros(rows.num_rows, bool)
+    if last:
+        new_key = np.append(True, key[1:] != key[:-1])
+        new = new_key | np.append(True, (kind[1:] != kind[:-1]) | (rest[1:] != rest[:-1]))
+        total = np.add.reduceat(n, np.flatnonzero(new))[np.cumsum(new) - 1]
+        # how often the long word of the key occurs
+        own = np.add.reduceat(np.where(kind == FIRST_LONG, n, 0), np.flatnonzero(new_key))[np.cumsum(new_key) - 1]
+        short = lambda word: model.count[np.maximum(word, 0)]
+        first = np.where(kind == BOTH_SHORT, short(key // SHORT), np.where(kind == FIRST_LONG, own, short(rest)))
+        second = np.where(kind == BOTH_SHORT, short(key % SHORT), np.where(kind == FIRST_LONG, short(rest), own))
+        other = total - n
+        back = other == 0
+        unknown[:last] = back & (kind == FIRST_LONG) & (rest < 0)
+        n_back[:last] = np.where(back, n, 0)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            score[:last] = np.where(back, model.shared(second), np.log10(np.maximum(other, 1) / first)) * n
+        score[unknown] = 0
+    doc_id = rows.column("doc_id").combine_chunks()
+    scored = np.arange(rows.num_rows) >= last
     return _batch(
-        doc_id=rows.column("doc_id").combine_chunks(), word=pa.array(rest, mask=~unknown), n_words=np.where(scored, n, 0),
-        rows=scored.astype(np.int64), n_backoff=np.where(scored, rest, np.where(back, n, 0)), log_score=score)
+        doc_id=doc_id.take(pa.array(np.append(order, np.arange(last, rows.num_rows)))),
+        word=pa.array(np.append(rest, np.zeros(rows.num_rows - last, np.int64)), mask=~unknown),
+        n_words=np.where(scored, rows.column("n").to_numpy(), 0), rows=scored.astype(np.int64), n_backoff=n_back, log_score=score)
+
+
+def _added(found: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    """Rows of ``_scores``, one for each document and word among them."""
+    sums = pa.Table.from_batches(found).group_by(["doc_id", "word"], use_threads=False).aggregate([(c, "sum") for c in SUMS])
+    return sums.select(["doc_id", "word", *[f"{c}_sum" for c in SUMS]]).rename_columns(["doc_id", "word", *SUMS]).to_batches()
 
 
 def _looked_up(exploded: DataFrame, model: _Model) -> DataFrame:
     """Sums of each document's scores; a backed off bigram of two long names
     has the second as ``word``, whose share is still to be added."""
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
@@ -302,17 +319,30 @@ def _looked_up(exploded: DataFrame, model: _Model) -> DataFrame:
             whole = pa.Table.from_batches(held)
             held = [batch.slice(begin)]
             if whole.num_rows:
-                yield _scores(whole, model)
+                yield whole
         if held:
-            yield _scores(pa.Table.from_batches(held), model)
+            yield pa.Table.from_batches(held)
 
-    placed = exploded.repartition("key").sortWithinPartitions("key", "kind", "rest")
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[pa.RecordBatch] = []
+        size = 0
+        for rows in whole_keys(batches):
+            found.append(_scores(rows, model))
+            size += rows.num_rows
+            if size >= ADDED:
+                yield from _added(found)
+                found, size = [], 0
+        if found:
+            yield from _added(found)
+
+    # by one number, which Spark sorts by its digits
+    placed = exploded.repartition("key").sortWithinPartitions("key")
     found = placed.mapInArrow(score, "doc_id bigint, word bigint, n_words bigint, rows bigint, n_backoff bigint, log_score double")
     return _summed(found, "doc_id", "word")
 
 
 def _summed(rows: DataFrame, *keys: str) -> DataFrame:
-    return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n_words", "rows", "n_backoff", "log_score")])
+    return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in SUMS])
 
 
 def _frequent(docs: DataFrame, reader: _Reader, rare: float) -> np.ndarray:
