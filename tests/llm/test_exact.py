@@ -458,6 +458,36 @@ def test_encoder_learns_a_piece_once(monkeypatch):
     assert "c" in encoder.later and "(word)" in encoder.later
 
 
+def test_encoder_cuts_pieces_at_line_breaks(monkeypatch):
+    """Letters after a single line break are learnt by themselves, and pieces
+    met before a full store was emptied aren't encoded again."""
+    encoder = token_files.Encoder(queries.tokenizer_file())
+    texts = ["the end.\nThe naïve\nÜber, x", "an end.\nNext\n\nThe e\n f \ng.\n\tThe", "the\nend. The\r\nend"]
+    want = [np.array(e.ids, "<u4").tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.by_line and encoder.by_word
+    assert encoder.encode(texts) == want and {"The", "Über", "Next"} & encoder.lines.keys() == {"The", "Über"}
+    monkeypatch.setattr(token_files, "CACHE", 4)
+    assert encoder.encode(["b other"]) and "naïve\nÜber," not in encoder.later
+    learnt = []
+    monkeypatch.setattr(encoder, "_spaced_ids", learnt.extend)
+    monkeypatch.setattr(token_files, "CACHE", 1000)
+    assert encoder.encode(texts[:1]) == want[:1] and not learnt
+    # without these shortcuts the ids are the same
+    plain = token_files.Encoder(queries.tokenizer_file())
+    plain.by_word = False
+    assert plain.encode(texts) == want and plain.lines == encoder.lines | plain.lines
+    plain.by_line = False
+    plain.later.clear()
+    assert plain.encode(texts) == want
+
+
+def test_packed_ids_are_read_by_their_bytes():
+    for width in range(1, 33):
+        values = np.random.default_rng(width).integers(0, 1 << width, (5, token_files.BLOCK), dtype=np.uint64).astype(np.uint32)
+        values[0] = (1 << width) - 1
+        assert (token_files._unpack(token_files._pack(values, width), width) == values).all()
+
+
 @needs_testdata
 def test_token_files_equal_the_tokenizer(spark):
     docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect())

@@ -56,11 +56,14 @@ def _pack(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def _unpack(data: np.ndarray, width: int) -> np.ndarray:
-    bits = np.unpackbits(data, axis=1, bitorder="little").reshape(len(data), BLOCK, width)
-    word = 2 if width <= 16 else 4
-    full = np.zeros((len(data), BLOCK, 8 * word), np.uint8)
-    full[:, :, :width] = bits
-    return np.packbits(full, axis=2, bitorder="little").view(f"<u{word}").reshape(len(data), BLOCK)
+    """Rows of ``BLOCK`` values from ``width`` bits each, of the bytes that a value may lie in."""
+    begin = np.arange(BLOCK) * width
+    data = np.pad(data, ((0, 0), (0, 4)))
+    kind = np.uint32 if width <= 25 else np.uint64
+    values = np.zeros((len(data), BLOCK), kind)
+    for i in range((width + 14) // 8):
+        values |= data[:, begin // 8 + i].astype(kind) << kind(8 * i)
+    return (values >> (begin % 8).astype(kind) & kind((1 << width) - 1)).astype(np.uint32)
 
 
 def write_segment(doc_ids: list[int | None], counts: list[int], ids: np.ndarray, before: int) -> bytes:
@@ -128,6 +131,10 @@ def read_segment(data: bytes) -> tuple[np.ndarray, int, np.ndarray]:
 STEM = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
+# the characters that a byte-level model has for bytes that aren't visible in Latin-1
+HIDDEN = {b: 256 + n for n, b in enumerate([*range(33), *range(127, 161), 173])}
+
+
 def _visible_end(piece: str) -> bool:
     return piece[-1:].isprintable() and piece != "" and not piece[-1].isspace()
 
@@ -136,8 +143,10 @@ class Encoder:
     """Ids of texts by a byte-level tokenizer, word by word. Its pattern never
     joins a space to the visible character before it, so the ids of a text are
     those of its pieces between such places; nor does it join letters and the
-    punctuation after them. Pieces recur, so their ids are kept. Texts that
-    hold an added token, such as <|endoftext|>, are encoded whole."""
+    punctuation after them, nor, if it is so on trial, a line break between
+    these and letters to either. Letters go to the tokenizer's model at once,
+    which takes them as they are. Pieces recur, so their ids are kept. Texts
+    that hold an added token, such as <|endoftext|>, are encoded whole."""
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
@@ -148,9 +157,22 @@ class Encoder:
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         # whatever the case and the form, as added tokens may be matched after normalization
         self.added = re.compile("|".join(map(re.escape, added)), re.I) if added else None
-        self.gap = np.array(self.tokenizer.encode(" \0", add_special_tokens=False).ids)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        # bytes of each id: a token has a character for each
+        self.width = np.zeros(max([*vocabulary.values(), *self.tokenizer.get_added_tokens_decoder()], default=0) + 1, np.int64)
+        self.width[list(vocabulary.values())] = list(map(len, vocabulary))
+        self.width[list(self.tokenizer.get_added_tokens_decoder())] = 0
+        cut = self.tokenizer.pre_tokenizer.pre_tokenize_str(" a.\nB\nc d") if self.tokenizer.pre_tokenizer else []
+        self.by_line = [at for _, at in cut] == [(0, 2), (2, 3), (3, 4), (4, 5), (5, 6), (6, 7), (7, 9)]
+        trial = ["the", "Über", "naïve", "ɏAble", "Thoughts"]
+        self.by_word = self.tokenizer.normalizer is None and all(
+            self._word_ids(trial, mark) == self._ids([mark + w for w in trial]) for mark in ("", " "))
+        self.line = self._ids(["\n"])[0]
         self.later: dict[str, bytes] = {}  # of pieces after a space
+        self.older: dict[str, bytes] = {}  # of those met before ``later`` was begun
+        self.lines: dict[str, bytes] = {}  # of letters after a line break, the break's among them
         self.tails: dict[str, bytes] = {"": b""}
+        self.first: dict[str, bytes] = {"": b""}  # of pieces that begin a text
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         if not texts:
@@ -158,31 +180,75 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _spaced_ids(self, pieces: list[str]) -> None:
-        """Ids of pieces after a space, many in one text: a space and a zero
-        byte between them is encoded alone, and the pieces hold none."""
+    def _word_ids(self, found: list[str], mark: str = "") -> list[bytes]:
+        """Ids of letters, after the mark, by the model itself."""
+        tokenize, ids, cuts = self.tokenizer.model.tokenize, [], [0]
+        mark = mark.translate(HIDDEN)
+        for w in found:
+            ids += [t.id for t in tokenize(mark + (w if w.isascii() else w.encode().decode("latin-1").translate(HIDDEN)))]
+            cuts.append(4 * len(ids))
+        raw = np.array(ids, "<u4").tobytes()
+        return [raw[x:y] for x, y in zip(cuts, cuts[1:])]
+
+    def _learn_after(self, mark: str, pieces: list[str], held: dict[str, bytes]) -> None:
+        """Ids of pieces after a mark, the mark's among them, many in one text,
+        in which the bytes of the ids tell where a piece ends."""
         for i in range(0, len(pieces), 4096):
-            part = pieces[i : i + 4096]
-            text = "".join([f" {w} \0" for w in part])
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            ends = (np.flatnonzero(ids == self.gap[-1]) + 1 - len(self.gap)).tolist()
-            raw, at = ids.tobytes(), 0
-            for w, end in zip(part, ends, strict=True):
-                self.later[w] = raw[4 * at : 4 * end]
-                at = end + len(self.gap)
+            part = [f"{mark}{p}" for p in pieces[i : i + 4096]]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            places = np.append(0, np.cumsum(self.width[ids]))
+            ends = np.cumsum(np.fromiter(map(len, map(str.encode, part)), np.int64, len(part)))
+            at = np.searchsorted(places, ends)
+            if at[-1] != len(ids) or (places[at] != ends).any():
+                held.update(zip(pieces[i : i + 4096], self._ids(part)))
+                continue
+            raw, cuts = ids.tobytes(), [0, *(4 * at).tolist()]
+            held.update(zip(pieces[i : i + 4096], [raw[x:y] for x, y in zip(cuts, cuts[1:])]))
+
+    def _spaced_ids(self, pieces: list[str]) -> None:
+        """Ids of pieces after a space, kept in ``later``; either all are letters alone or none."""
+        if self.by_word and pieces and STEM.fullmatch(pieces[0]):
+            self.later.update(zip(pieces, self._word_ids(pieces, " ")))
+        else:
+            self._learn_after(" ", pieces, self.later)
+
+    def _unmet(self, pieces: list[str]) -> list[str]:
+        """The pieces that aren't in ``later``, to which those that were met before are brought."""
+        new = []
+        for p in pieces:
+            if (i := self.older.get(p)) is not None:
+                self.later[p] = i
+            elif p not in self.later:
+                new.append(p)
+        return new
 
     def _learn(self, pieces: list[str]) -> None:
         """Ids of pieces after a space, kept in ``later``; those that end in
         white space, to whose last word the next space may belong, are left out."""
         # strings alone: millions of small tuples would keep the garbage collector busy
         found = list(map(STEM.fullmatch, pieces))
-        plain = [m[0] for m in found if m]
-        stems, tails = [m[1] for m in found if m], [m[2] for m in found if m]
-        self._spaced_ids(list(set(stems) - self.later.keys()))
-        ends = list(set(tails) - self.tails.keys())
-        self.tails.update(zip(ends, self._ids(ends)))
-        self.later.update(zip(plain, map(bytes.__add__, map(self.later.__getitem__, stems), map(self.tails.__getitem__, tails))))
+        alone = [p for p, m in zip(pieces, found) if m and not m[2]]
+        tailed = [m for m in found if m and m[2]]
         rest = list(filter(_visible_end, (p for p, m in zip(pieces, found) if not m)))
+        broken = []
+        if self.by_line:
+            cut = [(p, list(map(STEM.fullmatch, p.split("\n")))) for p in rest if "\n" in p]
+            broken = [(p, parts) for p, parts in cut if all(parts)]
+            rest = list(set(rest).difference([p for p, _ in broken]))
+        stems = [m[1] for m in tailed]
+        spaced = alone + self._unmet(list({*stems, *(parts[0][1] for _, parts in broken)}.difference(alone)))
+        after = [w for w in {m[1] for _, parts in broken for m in parts[1:]} if w not in self.lines]
+        self._spaced_ids(spaced)
+        if self.by_word:
+            self.lines.update(zip(after, [self.line + i for i in self._word_ids(after)]))
+        else:
+            self._learn_after("\n", after, self.lines)
+        tails = [m[2] for m in tailed]
+        ends = [t for t in {*tails, *(m[2] for _, parts in broken for m in parts)} if t not in self.tails]
+        self.tails.update(zip(ends, self._ids(ends)))
+        self.later.update(zip([m[0] for m in tailed], map(bytes.__add__, map(self.later.__getitem__, stems), map(self.tails.__getitem__, tails))))
+        for p, (first, *others) in broken:
+            self.later[p] = b"".join([self.later[first[1]], self.tails[first[2]], *(x for m in others for x in (self.lines[m[1]], self.tails[m[2]]))])
         self._spaced_ids([p for p in rest if "\0" not in p])
         zeros = [p for p in rest if "\0" in p]
         self.later.update(zip(zeros, self._ids([f" {p}" for p in zeros])))
@@ -194,26 +260,28 @@ class Encoder:
         ends = split.offsets.to_numpy()
         begins, ends = ends[:-1], ends[1:]
         coded = split.values.dictionary_encode()
-        codes, pieces = coded.indices.to_numpy().copy(), coded.dictionary.to_pylist()
+        codes, pieces = coded.indices.to_numpy().copy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         heads = codes[begins]
         codes[begins] = -1
         ids = list(map(self.later.get, pieces))
         used = np.bincount(codes[codes >= 0], minlength=len(pieces)) > 0
         new = [k for k in np.flatnonzero(used).tolist() if ids[k] is None and pieces[k]]
-        if len(self.later) + len(self.tails) + 2 * len(new) > CACHE:  # a piece's letters are kept as well
-            self.later, self.tails = {p: i for p, i in zip(pieces, ids) if i is not None}, {"": b""}
-        self._learn([pieces[k] for k in new])
+        if len(self.later) + len(self.lines) + len(self.tails) + len(self.first) + 2 * len(new) > CACHE // 2:  # a piece's letters are kept as well
+            self.older, self.later = self.later, {p: i for p, i in zip(pieces, ids) if i is not None}
+            self.lines, self.tails, self.first = {}, {"": b""}, {"": b""}
+        self._learn(self._unmet([pieces[k] for k in new]))
         for k in new:
             ids[k] = self.later.get(pieces[k])
         # first pieces have no space before them
-        opening = [p for k in np.unique(heads).tolist() if _visible_end(p := pieces[k])]
-        first = {"": b""} | dict(zip(opening, self._ids(opening)))
+        opening = [p for k in np.unique(heads).tolist() if (p := pieces[k]) not in self.first and _visible_end(p)]
+        self.first.update(zip(opening, self._ids(opening)))
         codes[begins] = len(ids) + np.arange(len(texts))
-        ids += [first.get(pieces[k]) for k in heads.tolist()]
+        ids += [self.first.get(pieces[k]) for k in heads.tolist()]
         unsafe = np.append(0, np.cumsum(np.array([i is None for i in ids])[codes]))
         slow = whole | (unsafe[ends] > unsafe[begins]) | (ends - begins < 2)
-        sizes = np.array([len(i or b"") // 4 for i in ids])
-        starts, kept = np.cumsum(sizes) - sizes, np.frombuffer(b"".join([i or b"" for i in ids]), "<u4")
+        known = [i or b"" for i in ids]
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        starts, kept = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(known), "<u4")
         out: list[bytes] = []
         for a in range(0, len(texts), JOINED):
             here = codes[begins[a] : ends[min(a + JOINED, len(texts)) - 1]]
