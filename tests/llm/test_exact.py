@@ -376,6 +376,41 @@ def test_backoff_scores_of_a_text_with_many_frequent_bigrams(spark, monkeypatch)
     assert (row.n_words, row.n_backoff) == (2 * n, 2 * n + 1)
 
 
+@pytest.mark.parametrize("frequent", [5, 1 << 18])
+def test_backoff_rows_are_no_more_than_unsettled_bigrams(spark, monkeypatch, frequent):
+    """Whatever the number of tasks and documents: a bigram makes at most one row,
+    and none if its row alone has it and the count of its second word is at hand."""
+    monkeypatch.setattr(ngram_lm, "SAMPLE", 1.0)
+    monkeypatch.setattr(ngram_lm, "FREQUENT", frequent)
+    made, found = [], ngram_lm._found
+
+    def counted(exploded, model):
+        made.append(found(exploded, model).count())
+        return found(exploded, model)
+
+    monkeypatch.setattr(ngram_lm, "_found", counted)
+    rng = random.Random(5)
+    # words that occur once have long names
+    texts = {i: " ".join(rng.choice([f"w{rng.randrange(40)}", f"r{rng.randrange(4000)}"]) for _ in range(rng.randrange(30))) for i in range(200)}
+    got = {r.doc_id: r for r in ngram_lm.score(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(3)).collect()}
+    lines = {d: ["<s>", *t.split(), "<s>"] for d, t in texts.items()}
+    uni = Counter(w for x in lines.values() for w in x[:-1])
+    pairs = Counter(p for x in lines.values() for p in zip(x, x[1:]))
+    rows = len(texts)
+    shared = 0
+    for d, x in lines.items():
+        own = Counter(zip(x, x[1:]))
+        back = {p: pairs[p] == n for p, n in own.items()}
+        rows += sum(back[p] and uni[p[1]] == 1 for p in own)
+        shared += sum(not b for b in back.values())
+        logs = sum(n * math.log10(0.4 * uni[p[1]] / sum(uni.values()) if back[p] else (pairs[p] - n) / uni[p[0]]) for p, n in own.items())
+        assert got[d].n_words == len(x) - 2 and got[d].n_backoff == sum(n for p, n in own.items() if back[p])
+        assert got[d].log_score == pytest.approx(logs)
+    assert rows <= made[0] <= rows + shared
+    # those of the large table are scored where they are read
+    assert (made[0] == rows) == (frequent > 5)
+
+
 def test_backoff_rows_of_a_key_come_in_any_order(spark):
     """Spark sorts them by the key alone."""
     long, both = ngram_lm.word_hash("x"), 5 * ngram_lm.SHORT + 6

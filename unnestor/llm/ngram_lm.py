@@ -4,11 +4,13 @@ The model is made of the corpus itself: bigrams of all its words, each document
 between two marks. Words are named by a 63-bit hash; at most ``SHORT`` frequent
 ones have short names. A first pass counts every word, and the bigrams of a
 bounded table of frequent ones, exactly; with those counts a document's frequent
-bigrams are scored where it is read. All other bigrams are partitioned once by
+bigrams are scored where it is read, and all others that end in a short name as
+if they backed off. All but the frequent bigrams are partitioned once by
 hash: two short names by both, a long one by itself, which also brings its word
 count along. Sorted there, a bigram's total less the document's own is its
 count; a bigram that one row alone has backs off to ``BACKOFF`` times the share
-of its second word. Which words and bigrams are frequent only decides where
+of its second word. What was scored so already makes no row; any other bigram
+makes one, with the difference, so there are never more of them than bigrams. Which words and bigrams are frequent only decides where
 they are counted, so any sample may choose them: no partition holds a hot word
 or bigram, and no score depends on the choice.
 """
@@ -35,7 +37,6 @@ FREQUENT = 1 << 18  # bigrams that are counted and scored where they are read
 SAMPLE = 0.05  # share of the rows that chooses both
 LONG_WORD = 40  # letters from which on a word is held by its digest
 ROWS = 512  # documents that are looked up together
-ADDED = 1 << 19  # scored rows that a task adds up at once
 TURN = np.uint64(0x9E3779B97F4A7C15)
 
 # kinds of rows that are sorted by their key: those of long words' keys, which are negative, come
@@ -228,7 +229,8 @@ class _Model:
 
 def _explode(docs: DataFrame, reader: _Reader, model: _Model) -> DataFrame:
     """One row for each of a document's bigrams that isn't frequent, and one
-    with the score of those that are."""
+    with the score of those that are and, as if they backed off, of the others
+    that end in a short name."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _Index(model.frequent)
@@ -245,14 +247,16 @@ def _explode(docs: DataFrame, reader: _Reader, model: _Model) -> DataFrame:
             key = np.where(both, _short_key(first, second), np.where(first < 0, first, second))
             place = np.where(both, index.find(key), -1)
             here = place >= 0
-            other = model.total[place[here]] - n[here]
-            back = other == 0
-            score = np.where(
-                back, model.shared(model.count[second[here]]), np.log10(np.maximum(other, 1) / model.count[first[here]])) * n[here]
+            other = np.zeros(len(n), np.int64)
+            other[here] = model.total[place[here]] - n[here]
+            told = second >= 0
+            back = (other == 0)[told]
+            score = model.shared(model.count[second[told]])
+            score[~back] = np.log10(other[told][~back] / model.count[first[told][~back]])
             yield _batch(
                 doc_id=ids, key=LAST_KEY + np.arange(len(ids)) + len(ids) * n_words, kind=np.full(len(ids), SCORED),
-                rest=np.bincount(row[here], back * n[here], len(ids)).astype(np.int64), n=n_words,
-                log_score=np.bincount(row[here], score, len(ids)).astype(float))
+                rest=np.bincount(row[told], back * n[told], len(ids)).astype(np.int64), n=n_words,
+                log_score=np.bincount(row[told], score * n[told], len(ids)).astype(float))
             row, first, second, n, key, both = (c[~here] for c in (row, first, second, n, key, both))
             yield _batch(
                 doc_id=ids.take(pa.array(row)), key=key, kind=np.where(both, BOTH_SHORT, np.where(first < 0, FIRST_LONG, SECOND_LONG)),
@@ -261,8 +265,9 @@ def _explode(docs: DataFrame, reader: _Reader, model: _Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(explode, EXPLODED)
 
 
-def _scores(rows: pa.Table, model: _Model) -> pa.RecordBatch:
-    """The rows of some keys, all of each key, in the order of key."""
+def _scores(rows: pa.Table, model: _Model, told: bool = False) -> pa.RecordBatch:
+    """The rows of some keys, all of each key, in the order of key. If ``told``,
+    what ``_explode`` has scored is taken off, and rows it has settled are left out."""
     long, last = np.searchsorted(rows.column("key").to_numpy(), [0, LAST_KEY])
     key, kind, rest, n = (rows.column(c).to_numpy()[:last] for c in ("key", "kind", "rest", "n"))
     # two short names have the key to themselves
@@ -270,7 +275,7 @@ def _scores(rows: pa.Table, model: _Model) -> pa.RecordBatch:
     kind, rest, n = kind[order], rest[order], n[order]
     n_back, score = np.zeros(rows.num_rows, np.int64), np.zeros(rows.num_rows)
     n_back[last:], score[last:] = rows.column("rest").to_numpy()[last:], rows.column("log_score").to_numpy()[last:]
-    unknown = np.zeros(rows.num_rows, bool)
+    unknown, left = np.zeros(rows.num_rows, bool), np.ones(rows.num_rows, bool)
     if last:
         new_key = np.append(True, key[1:] != key[:-1])
         new = new_key | np.append(True, (kind[1:] != kind[:-1]) | (rest[1:] != rest[:-1]))
@@ -287,23 +292,23 @@ def _scores(rows: pa.Table, model: _Model) -> pa.RecordBatch:
         with np.errstate(divide="ignore", invalid="ignore"):
             score[:last] = np.where(back, model.shared(second), np.log10(np.maximum(other, 1) / first)) * n
         score[unknown] = 0
+        if told:
+            ends_short = (kind == BOTH_SHORT) | (kind == FIRST_LONG) & (rest >= 0)
+            left[:last] = ~(ends_short & back)
+            taken = np.flatnonzero(ends_short & ~back)
+            n_back[taken] = -n[taken]
+            score[taken] -= model.shared(second[taken]) * n[taken]
     doc_id = rows.column("doc_id").combine_chunks()
     scored = np.arange(rows.num_rows) >= last
     return _batch(
-        doc_id=doc_id.take(pa.array(np.append(order, np.arange(last, rows.num_rows)))),
-        word=pa.array(np.append(rest, np.zeros(rows.num_rows - last, np.int64)), mask=~unknown),
-        n_words=np.where(scored, rows.column("n").to_numpy(), 0), rows=scored.astype(np.int64), n_backoff=n_back, log_score=score)
+        doc_id=doc_id.take(pa.array(np.append(order, np.arange(last, rows.num_rows))[left])),
+        word=pa.array(np.append(rest, np.zeros(rows.num_rows - last, np.int64))[left], mask=~unknown[left]),
+        n_words=np.where(scored, rows.column("n").to_numpy(), 0)[left], rows=scored[left].astype(np.int64), n_backoff=n_back[left], log_score=score[left])
 
 
-def _added(found: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
-    """Rows of ``_scores``, one for each document and word among them."""
-    sums = pa.Table.from_batches(found).group_by(["doc_id", "word"], use_threads=False).aggregate([(c, "sum") for c in SUMS])
-    return sums.select(["doc_id", "word", *[f"{c}_sum" for c in SUMS]]).rename_columns(["doc_id", "word", *SUMS]).to_batches()
-
-
-def _looked_up(exploded: DataFrame, model: _Model) -> DataFrame:
-    """Sums of each document's scores; a backed off bigram of two long names
-    has the second as ``word``, whose share is still to be added."""
+def _found(exploded: DataFrame, model: _Model) -> DataFrame:
+    """Scores of documents: a row for each that ``_explode`` has begun, and one
+    for each bigram that it hasn't settled."""
 
     def whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         held: list[pa.RecordBatch] = []
@@ -324,21 +329,18 @@ def _looked_up(exploded: DataFrame, model: _Model) -> DataFrame:
             yield pa.Table.from_batches(held)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: list[pa.RecordBatch] = []
-        size = 0
         for rows in whole_keys(batches):
-            found.append(_scores(rows, model))
-            size += rows.num_rows
-            if size >= ADDED:
-                yield from _added(found)
-                found, size = [], 0
-        if found:
-            yield from _added(found)
+            yield _scores(rows, model, told=True)
 
     # by one number, which Spark sorts by its digits
     placed = exploded.repartition("key").sortWithinPartitions("key")
-    found = placed.mapInArrow(score, "doc_id bigint, word bigint, n_words bigint, rows bigint, n_backoff bigint, log_score double")
-    return _summed(found, "doc_id", "word")
+    return placed.mapInArrow(score, "doc_id bigint, word bigint, n_words bigint, rows bigint, n_backoff bigint, log_score double")
+
+
+def _looked_up(exploded: DataFrame, model: _Model) -> DataFrame:
+    """Sums of each document's scores; a backed off bigram of two long names
+    has the second as ``word``, whose share is still to be added."""
+    return _summed(_found(exploded, model), "doc_id", "word")
 
 
 def _summed(rows: DataFrame, *keys: str) -> DataFrame:
