@@ -247,3 +247,33 @@ def test_versions_move_no_document_where_keys_are_unique(spark, edge_catalog, tm
     assert rows(left, "k", "row") == sorted(((str(i), i + 100) for i in range(50)), key=repr)
     plan = left._jdf.queryExecution().toString()
     assert "BroadcastHashJoin" in plan and "Sort " not in plan
+
+
+def test_owners_that_arrive_are_measured_once(spark, edge_catalog, tmp_path, monkeypatch):
+    """For every table of the tree: their size, and the buckets that they touch."""
+    from unnestor.sinks import tables
+
+    store = ParquetStore(str(tmp_path), buckets=2)
+    load_database(docs_df(spark, ['{"_id":"a","prim":[1,2]}', '{"_id":"b","prim":[3]}']), edge_catalog, "t", store)
+    sizes, buckets, measure, of = [], [], tables.measure, tables.bucket_of
+    monkeypatch.setattr(tables, "measure", lambda df, columns: (sizes.append(columns), measure(df, columns))[1])
+    monkeypatch.setattr(tables, "bucket_of", lambda key, n: (buckets.append(n), of(key, n))[1])
+    run = load_database(docs_df(spark, ['{"_id":"b","prim":[4,5]}']), edge_catalog, "t", store, load_mode="upsert")
+    assert [t.status for t in run.tables] == ["ok"] * 5 and sizes == [["_key"]]
+    assert len(buckets) == 6  # the five tables' own rows, and the owners once
+    assert rows(store.read(spark, "t_prim"), "id", "value") == [("a_0", 1), ("a_1", 2), ("b_0", 4), ("b_1", 5)]
+
+
+def test_versions_of_unique_keys_are_not_ranked(spark, monkeypatch):
+    """Only rows of keys that repeat are ranked: of unique keys, nothing but the keys is grouped."""
+    from pyspark.sql import functions as F
+
+    from unnestor.operators import upsert
+
+    staged, stage_at = [], upsert.stage_at
+    monkeypatch.setattr(upsert, "stage_at", lambda df, name: (staged.append((name, df._jdf.queryExecution().executedPlan().toString())), stage_at(df, name))[1])
+    df = spark.createDataFrame([("a", 1, 10), ("b", 1, 11), (None, 1, 12), (None, 2, 13)], "k string, o int, i long")
+    assert upsert.superseded(df, F.col("k"), "i", "o")[0].count() == 0
+    assert [n for n, _ in staged] == ["repeated", "superseded"] and not any("max(" in p for _, p in staged)
+    more = df.unionByName(spark.createDataFrame([("a", 3, 14), ("a", 2, 15), ("b", None, 16)], df.schema))
+    assert rows(upsert.superseded(more, F.col("k"), "i", "o")[0]) == [(10,), (15,), (16,)]

@@ -124,3 +124,36 @@ def test_parents_are_shuffled_once_for_their_pages(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert "ReusedExchange [pk" in plan
+
+
+def test_single_pages_are_joined_once_as_raw_rows(spark):
+    """Where no key has more than one page, parents and children are read once
+    each, and what is made of the items is made after the join sorted them."""
+    from unnestor.sources import tables
+
+    rows = [("a", 2, None), ("a", 1, "x"), ("b", 1, "y"), (None, 1, "z")]
+    df = spark.createDataFrame(rows, "k string, o int, v string")
+    parents = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), ("none", 4), (None, 5)], "pk string, w int")
+    pages, single = tables.pack_rows(df, ["k"], ["o"], payload=["v"])
+    assert single and not tables.pack_rows(df, ["k"], ["o"], 1)[1]
+    docs = attach_pages(parents, "pk", pages, "k", "items", single).select("w", "page", F.transform("items", lambda x: F.concat_ws("-", x["o"], x["v"])).alias("items"))
+    want = [(1, 0, ["1-x", "2"]), (2, 0, ["1-y"]), (3, 0, ["1-y"]), (4, 0, None), (5, 0, None)]
+    assert sorted((r.w, r.page, r["items"]) for r in docs.collect()) == want
+    plan = docs.select("*")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1 and "LeftAnti" not in plan
+    assert "transform(items" in plan and "transform(items" not in plan[plan.index("SortMergeJoin"):]
+    # several pages of a key: the raw rows are the same, without a position
+    several, single = tables.pack_rows(df, ["k"], ["o"], 1, ["v"])
+    assert several.schema["items"].dataType.elementType.names == ["o", "v"]
+    got = attach_pages(parents, "pk", several, "k", "items", single).collect()
+    assert sorted((r.w, r.page, [tuple(i) for i in r["items"] or []]) for r in got) == [
+        (1, 0, [(1, "x")]), (1, 1, [(2, None)]), (2, 0, [(1, "y")]), (3, 0, [(1, "y")]), (4, 0, []), (5, 0, [])]
+
+
+@needs_testdata
+def test_order_documents_sort_rows_and_not_what_is_made_of_them(spark):
+    from unnestor.queries.documents import order_documents
+
+    plan = order_documents(spark, "/root/testdata/sf0.001", numbers=True, fabric=True)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("SortMergeJoin"):]
+    assert plan.count("SortMergeJoin") == 1 and "map(" in plan and "map(" not in below and "to_json" not in below

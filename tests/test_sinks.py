@@ -310,3 +310,18 @@ def test_the_last_of_several_writes_takes_the_setting_back(spark):
         assert setting() == "5"
     finally:
         spark.conf.unset("spark.sql.maxConcurrentOutputFileWriters")
+
+
+def test_marks_of_every_row_of_a_chunk(spark):
+    """A bitmap as whole numbers: every bit is where the mark of a row is looked for."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from unnestor.sinks.tables import _CHUNK, _marked, _words
+    some = random.Random(3)
+    want = {0, 7, 8, 31, 32, 63, _CHUNK - 1} | {some.randrange(_CHUNK) for _ in range(5000)}
+    bits = spark.createDataFrame([(b,) for b in want], "b long").agg(F.bitmap_construct_agg("b").alias("m"))
+    at = spark.range(_CHUNK, 2 * _CHUNK).select(F.col("id").alias("_at"))  # the second chunk of a file
+    found = at.join(F.broadcast(bits.select(_words(F.col("m")).alias("_gone")))).where(_marked())
+    assert {r["_at"] - _CHUNK for r in found.collect()} == want

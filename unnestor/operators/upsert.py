@@ -76,12 +76,20 @@ def superseded(
     orders = [] if order_by is None else _keys(order_by)
     ranks = [*[_q(o).alias(f"_o{i}") for i, o in enumerate(orders)], *([_q(tiebreak).alias("_t")] if tiebreak else []), _q(row_id).alias("_id")]
     slim = df.select(key.alias("_k"), F.struct(*ranks).alias("_v")).where(F.col("_k").isNotNull())
-    several = slim.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.max("_v").alias("_best")).where("_n > 1")
-    several, several_at = stage_at(several.select("_k", F.col("_best._id").alias("_best")), "versions")
-    size = measure(several, ["_k"])
-    side = F.broadcast(several) if fits_broadcast(df.sparkSession, *size) else several.hint("merge")
+    # keys that repeat first, by a hash aggregate of the keys alone: only their rows are ranked
+    spark = df.sparkSession
+    repeated, repeated_at = stage_at(slim.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_k"), "repeated")
+    size = measure(repeated, ["_k"])
+    if not size[0]:
+        unstage(spark, repeated_at)
+        return stage_at(slim.where("false").select(F.col("_v._id").alias(row_id)), "superseded")
+    side = F.broadcast(repeated) if fits_broadcast(spark, *size) else repeated.hint("merge")
+    ranked = slim.join(side, "_k", "left_semi")
+    several, several_at = stage_at(ranked.groupBy("_k").agg(F.max("_v").alias("_best")).select("_k", F.col("_best._id").alias("_best")), "versions")
+    side = F.broadcast(several) if fits_broadcast(spark, *size) else several.hint("merge")
     lost = stage_at(slim.join(side, "_k").where("_v._id <> _best").select(F.col("_v._id").alias(row_id)), "superseded")
-    unstage(df.sparkSession, several_at)
+    unstage(spark, repeated_at)
+    unstage(spark, several_at)
     return lost
 
 

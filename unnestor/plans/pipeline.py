@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.values import strip_control
 from ..operators.upsert import blank_key, latest_per_key, superseded, without_rows
-from ..sinks.tables import LoadReport, Store, load_table
+from ..sinks.tables import Arriving, LoadReport, Store, load_table
 from ..sources.documents import (
     DOC, DOC_HASH, REJECT, read_document_lines, read_envelopes, rejected_lines, unreadable_documents,
 )
@@ -104,7 +104,7 @@ def load_database(
             parsed = without_rows(parsed, lost, ROW).drop(ROW, DOC_HASH)
         owner, arriving = owners(catalog, root) if key is not None else {}, None
         if load_mode == "upsert" and key is not None:
-            arriving = parsed.select(key.alias("_key")).where("_key is not null")
+            arriving = Arriving(parsed.select(key.alias("_key")).where("_key is not null"))
 
         def load(name: str, df: DataFrame) -> LoadReport:
             order = order_by if order_by is None or _has(df, order_by) else None

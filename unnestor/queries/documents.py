@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.catalog import Catalog
-from ..sources.tables import PAGE_SIZE, attach_pages, doc_id, pack_pages, spread
+from ..sources.tables import PAGE_SIZE, attach_pages, doc_id, pack_rows, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
@@ -345,29 +345,24 @@ def order_documents(
     priority, orderLines?, lineNumbers?, fabric?}``, one per order and page
     of at most ``page_size`` lines. ``of_orders`` and ``with_lines`` choose the
     orders that become documents, and the lines that they have."""
-    # orders stay spread: when the planner broadcasts the pages, the join
-    # output keeps the orders' partitioning, and everything after it (JSON,
-    # parse, unnest) runs in those partitions. The lines go straight into a
-    # grouping shuffle, so they are not spread.
-    orders = table(spark, sf_dir, "orders")
+    # both go straight into the shuffle of their join, so they are not spread
+    orders = table(spark, sf_dir, "orders", spread_rows=False)
     li = table(spark, sf_dir, "lineitem", spread_rows=False)
     if with_lines is not None:
         li = li.where(with_lines)
     if of_orders is not None:
         orders = orders.where(of_orders)
 
-    def build(x: Column) -> Column:  # one packed line -> its parts of the document
-        r = lambda c: x[c]
-        items = [line_map(null_when_returned, r).alias("m")]
-        if numbers:
-            n = r("l_linenumber")
-            items.append((F.when(r("l_returnflag") != "R", n) if null_when_returned else n).alias("n"))
-        if fabric:
-            items.append(fabric_item(r).alias("f"))
-        return F.struct(*items)
-
-    pages = pack_pages(li, ["l_orderkey"], LINE_ORDER, build, page_size)
-    docs = attach_pages(orders, "o_orderkey", pages, "l_orderkey", "_items")
+    pages, single = pack_rows(li, ["l_orderkey"], LINE_ORDER, page_size)
+    docs = attach_pages(orders, "o_orderkey", pages, "l_orderkey", "_items", single)
+
+    def of_each(build: Callable[[Row], Column]) -> Column:  # an array of what is made of each packed line
+        return F.transform("_items", lambda x: build(lambda c: x[c]))
+
+    def number(r: Row) -> Column:
+        n = r("l_linenumber")
+        return F.when(r("l_returnflag") != "R", n) if null_when_returned else n
+
     fields = [
         doc_id("o_orderkey").alias("_id"),
         F.col("o_custkey").alias("custkey"),
@@ -377,14 +372,14 @@ def order_documents(
         F.col("o_orderpriority").alias("priority"),
     ]
     if lines:
-        fields.append(F.transform("_items", lambda x: x["m"]).alias("orderLines"))
+        fields.append(of_each(lambda r: line_map(null_when_returned, r)).alias("orderLines"))
     if numbers:
-        fields.append(F.transform("_items", lambda x: x["n"]).alias("lineNumbers"))
+        fields.append(of_each(number).alias("lineNumbers"))
     doc = F.to_json(F.struct(*fields))
     if not fabric:
         return docs.select(doc.alias("doc"))
     # spliced in as text, so that its numbers stay as they are written; above
     # generators, so that both texts are built once
     texts = docs.select(F.explode_outer(F.array(F.struct(
-        doc.alias("doc"), fabric_value(F.transform("_items", lambda x: x["f"])).alias("fabric")))).alias("t"))
+        doc.alias("doc"), fabric_value(of_each(fabric_item)).alias("fabric")))).alias("t"))
     return texts.select(with_field(F.col("t.doc"), "fabric", F.col("t.fabric")).alias("doc"))

@@ -7,11 +7,13 @@ JDBC in batches), never by collecting rows on the driver.
 
 from __future__ import annotations
 
+import json
 import threading
 import uuid
 from collections import Counter
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import cached_property
 from typing import Sequence
 
 from py4j.protocol import Py4JJavaError
@@ -98,13 +100,44 @@ OPEN_FILES = 32
 
 # The rows of a stored table that go are marked in broadcast bitmaps (a bit a row) up to so many bytes.
 MAX_MARKED_BYTES = 64 << 20
-_CHUNK = 1 << 15  # positions of one ``bitmap_construct_agg``
+_AT_BITS = 15
+_CHUNK = 1 << _AT_BITS  # positions of one ``bitmap_construct_agg``
+_CHUNK_BITS = 24  # a file has fewer than 2 ** 24 chunks (500 billion rows)
 
 
 def bucket_of(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key.cast("string")), F.lit(buckets)).cast("int")
 
 
+class Arriving:
+    """The owners that arrive (a DataFrame of one column), for every table of a
+    tree: their size and their buckets are found once."""
+
+    def __init__(self, keys: DataFrame):
+        self.keys, self.name = keys, keys.columns[0]
+        self._buckets: dict[int, list[int]] = {}
+
+    @staticmethod
+    def of(keys: DataFrame | Arriving) -> Arriving:
+        return keys if isinstance(keys, Arriving) else Arriving(keys)
+
+    @cached_property
+    def small(self) -> bool:
+        """Whether they can be broadcast, by their measured size."""
+        return fits_broadcast(self.keys.sparkSession, *measure(self.keys, [self.name]))
+
+    def buckets(self, n: int) -> list[int]:
+        if n not in self._buckets:
+            found = self.keys.select(bucket_of(F.col(f"`{self.name}`"), n)).distinct().collect()
+            self._buckets[n] = sorted(r[0] for r in found)
+        return self._buckets[n]
+
+    def side(self) -> DataFrame:
+        """The keys as ``_arriving``; beyond a broadcast both sides are sorted."""
+        out = self.keys.select(F.col(f"`{self.name}`").alias("_arriving"))
+        return F.broadcast(out) if self.small else out.hint("merge")
+
+
 @dataclass
 class ParquetStore(Store):
     """One Parquet directory per table under ``root`` (a shared file system
@@ -161,19 +194,19 @@ class ParquetStore(Store):
         if not any(n.startswith(f"{bucket}=") for n in _folder(df.sparkSession, self.path(table)).names()):
             df.limit(0).write.mode("overwrite").parquet(f"{self.path(table)}/{bucket}=0")
 
-    def replace_owned(self, rows: DataFrame, table: str, owner: Column, arriving: DataFrame, observe) -> DataFrame:
+    def replace_owned(self, rows: DataFrame, table: str, owner: Column, arriving: DataFrame | Arriving, observe) -> DataFrame:
         """Remove every stored row whose owner is in ``arriving`` (one column)
         and add ``rows``; returns what is stored where rows were written. Of a
         table in buckets only the touched ones are read and written.
         ``observe`` is applied to the rows on their way out."""
-        spark = rows.sparkSession
+        spark, arriving = rows.sparkSession, Arriving.of(arriving)
         current, bucket = self.read_buckets(spark, table)
         if bucket is None:
             merged = observe(_kept(current, F.lit(True), owner, arriving).unionByName(rows.select(*current.columns)))
             swap_in(merged, self, table)
             return self.read(spark, table)
         buckets = int(bucket[len(BUCKET):])
-        touched = sorted(r[0] for r in arriving.select(bucket_of(F.col(arriving.columns[0]), buckets)).distinct().collect())
+        touched = arriving.buckets(buckets)
         folders = {t: _folder(spark, f"{self.path(table)}/{bucket}={t}") for t in touched}
         before = {t: f.names() for t, f in folders.items()}
         columns = [c for c in current.columns if c != bucket]
@@ -188,40 +221,56 @@ class ParquetStore(Store):
         return (after.where(F.col(bucket).isin(touched)) if touched else after.limit(0)).drop(bucket)
 
 
-def _unowned(current: DataFrame, owner: Column, arriving: DataFrame) -> DataFrame:
-    """Rows whose owner doesn't arrive. The arriving keys are broadcast only
-    after their size is measured; beyond it both sides are sorted."""
-    key = arriving.columns[0]
-    size = measure(arriving, [key])
-    side = arriving.select(F.col(f"`{key}`").alias("_arriving"))
-    side = F.broadcast(side) if fits_broadcast(current.sparkSession, *size) else side.hint("merge")
-    return current.withColumn("_owner", owner).join(side, F.col("_owner") == F.col("_arriving"), "left_anti").drop("_owner")
+def _unowned(current: DataFrame, owner: Column, arriving: Arriving) -> DataFrame:
+    """Rows whose owner doesn't arrive."""
+    return current.withColumn("_owner", owner).join(arriving.side(), F.col("_owner") == F.col("_arriving"), "left_anti").drop("_owner")
 
 
-def _kept(current: DataFrame, where: Column, owner: Column, arriving: DataFrame) -> DataFrame:
+def _kept(current: DataFrame, where: Column, owner: Column, arriving: Arriving) -> DataFrame:
     """Rows of a stored Parquet table ``where`` their owner doesn't arrive. Where the arriving keys are too
     many to broadcast, only the stored rows' owners and places (file and row) are sorted with them; the places
     of the rows that go come back as bitmaps, and the rows themselves stay where they are."""
-    spark, key = current.sparkSession, arriving.columns[0]
+    spark = current.sparkSession
     here, files = current.where(where), current.inputFiles()
-    if (fits_broadcast(spark, *measure(arriving, [key])) or broadcast_limit(spark) < 0
+    if (arriving.small or broadcast_limit(spark) < 0
             or here.count() // 8 + len(files) * (_CHUNK // 8) > MAX_MARKED_BYTES or not _told_apart(spark, files)):
         return _unowned(here, owner, arriving)
-    placed = current.select("*", F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at")).where(where)
-    chunk, bit = F.expr(f"_at div {_CHUNK}"), F.expr(f"_at % {_CHUNK}")
-    side = arriving.select(F.col(f"`{key}`").alias("_arriving")).hint("merge")
-    gone = (placed.select(owner.alias("_owner"), "_file", chunk.alias("_chunk"), bit.alias("_bit"))
-            .join(side, F.col("_owner") == F.col("_arriving"), "left_semi")
-            .groupBy("_file", "_chunk").agg(F.bitmap_construct_agg(F.col("_bit")).alias("_gone")))
-    byte = F.conv(F.hex(F.expr(f"substring(_gone, cast(_at % {_CHUNK} div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    marked = F.expr("cast(shiftleft(1, cast(_at % 8 as int)) as int)").bitwiseAND(byte) != 0
-    return (placed.withColumn("_chunk", chunk).join(F.broadcast(gone), ["_file", "_chunk"], "left")
-            .where(F.col("_gone").isNull() | ~marked).select(*current.columns))
+    at = F.col("_metadata.row_index")
+    chunk = (_file_hash("_metadata.file_path") + F.shiftright(at, _AT_BITS)).alias("_chunk")
+    placed = current.select("*", chunk, at.alias("_at")).where(where)
+    gone = (placed.select(owner.alias("_owner"), "_chunk", F.expr(f"_at % {_CHUNK}").alias("_bit"))
+            .join(arriving.side(), F.col("_owner") == F.col("_arriving"), "left_semi")
+            .groupBy("_chunk").agg(F.bitmap_construct_agg(F.col("_bit")).alias("_gone"))
+            .select("_chunk", _words(F.col("_gone")).alias("_gone")))
+    return (placed.join(F.broadcast(gone), "_chunk", "left")
+            .where(F.col("_gone").isNull() | ~_marked()).select(*current.columns))
+
+
+def _file_hash(path: str) -> Column:
+    """A number of a file, with room for the numbers of its chunks."""
+    return F.xxhash64(path).bitwiseAND(F.lit(-1 << _CHUNK_BITS))
+
+
+def _words(bitmap: Column) -> Column:
+    """A bitmap as an array of whole numbers of four bytes: one is read for
+    each row, and a row that reads of a binary copies all of it."""
+    def word(i: Column) -> Column:
+        n = F.conv(F.hex(F.substring(bitmap, i * 4 + 1, F.lit(4))), 16, 10).cast("long")
+        return F.when(n >= 1 << 31, n - (1 << 32)).otherwise(n).cast("int")
+
+    return F.transform(F.sequence(F.lit(0), F.lit(_CHUNK // 32 - 1)), word)
+
+
+def _marked() -> Column:
+    """Whether the row at ``_at`` is marked in the words of its chunk, ``_gone``
+    (whose bytes are in the order of a number's digits)."""
+    return F.expr(f"getbit(_gone[cast(_at % {_CHUNK} div 32 as int)], cast(_at % 8 + 24 - 8 * (_at % 32 div 8) as int))") != 0
 
 
 def _told_apart(spark: SparkSession, files: list[str]) -> bool:
     """Whether no two of the files have the same hash."""
-    return spark.createDataFrame([(f,) for f in files], "f string").select(F.xxhash64("f")).distinct().count() == len(files)
+    each = spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(files)), "array<string>")).alias("f"))
+    return each.select(_file_hash("f")).distinct().count() == len(files)
 
 
 _WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
@@ -403,7 +452,7 @@ def load_table(
     quarantine: Store | None = None,
     dedupe: bool = True,
     owner: Column | None = None,
-    arriving: DataFrame | None = None,
+    arriving: DataFrame | Arriving | None = None,
     verify: str = "rows",
 ) -> LoadReport:
     """Write one table and reconcile it.
@@ -523,7 +572,7 @@ def _write_staged(clean, store, name, upsert, pk, owner, arriving, observed, sta
                 back = store.replace_owned(clean, name, owner, arriving, watch)
             else:
                 current = store.read(spark, name)
-                merged, at = stage_at(_unowned(current, owner, arriving).unionByName(clean.select(*current.columns)), f"merge_{name}")
+                merged, at = stage_at(_unowned(current, owner, Arriving.of(arriving)).unionByName(clean.select(*current.columns)), f"merge_{name}")
                 store.write(watch(merged), name, "overwrite", primary_key=pk)
                 unstage(spark, at)
                 back = store.read(spark, name)

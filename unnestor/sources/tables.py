@@ -129,18 +129,11 @@ def _order_struct(order: Sequence[str]) -> Column:
 ItemBuilder = Callable[[Column], Column]
 
 
-def _finish(items: Column, build: ItemBuilder | None) -> Column:
-    """Items out of collected ``struct(..., _item)`` entries."""
-    if build is None:
-        return F.transform(items, lambda x: x["_item"])
-    return F.transform(items, lambda x: build(x["_item"]))
-
-
 def _pages_by_positions(
-    src: DataFrame, keys: list[str], order: list[str], page_size: int, build: ItemBuilder | None = None
+    src: DataFrame, keys: list[str], order: list[str], page_size: int, raw: Sequence[str] | None = None
 ) -> DataFrame:
     # ties fall back on the whole row, as they do in a single page
-    ties = [] if build is None else ["_item"]
+    ties = [] if raw is None else ["_item"]
     ranked = group_positions(src, keys, [*order, *ties])
     paged = ranked.select(
         *keys,
@@ -148,34 +141,32 @@ def _pages_by_positions(
         F.pmod(F.col("pos"), F.lit(page_size)).alias("_slot"),
         "_item",
     )
-    if build is None:
+    if raw is None:
         collected = F.collect_list(F.struct("_slot", "_item"))
         grouped = paged.groupBy(*keys, "page").agg(in_slot_order(collected).alias("_items"))
-        return grouped.select(*keys, "page", _finish(F.col("_items"), None).alias("items"))
+        return grouped.select(*keys, "page", F.transform("_items", lambda x: x["_item"]).alias("items"))
     # raw rows: one flat struct (slot first, then the row's fields), sorted by
-    # the natural (compiled) order; the builder reads the row's fields by name
+    # the natural (compiled) order
     collected = F.collect_list(F.struct(F.col("_slot"), F.col("_item.*")))
     grouped = paged.groupBy(*keys, "page").agg(F.array_sort(collected).alias("_items"))
-    return grouped.select(*keys, "page", F.transform("_items", build).alias("items"))
+    return grouped.select(*keys, "page", F.transform("_items", lambda x: F.struct(*[x[c].alias(c) for c in raw])).alias("items"))
 
 
 def _single_pages(
-    src: DataFrame, keys: list[str], order: list[str], build: ItemBuilder | None = None
+    src: DataFrame, keys: list[str], order: list[str], raw: Sequence[str] | None = None
 ) -> DataFrame:
     """Keys with at most one page of children: one bounded list per key,
     sorted by ``order`` (no positions needed)."""
-    if build is None:
+    if raw is None:
         entry = F.struct(_order_struct(order).alias("_o"), F.col("_item"))
         by_order = lambda a, b: F.when(a["_o"] < b["_o"], -1).when(a["_o"] > b["_o"], 1).otherwise(0)
-        ordered = F.array_sort(F.collect_list(entry), by_order)
-        finish = lambda items: _finish(items, None)
+        items = F.transform(F.array_sort(F.collect_list(entry), by_order), lambda x: x["_item"])
     else:
         # the raw row leads with the order columns: natural (compiled) sort of
         # the rows themselves (an extra struct around them costs over 2x here)
-        ordered = F.array_sort(F.collect_list(F.col("_item")))
-        finish = lambda items: F.transform(items, build)
-    grouped = src.groupBy(*keys).agg(ordered.alias("_items"))
-    return grouped.select(*keys, F.lit(0).cast("long").alias("page"), finish(F.col("_items")).alias("items"))
+        items = F.array_sort(F.collect_list(F.col("_item")))
+    grouped = src.groupBy(*keys).agg(items.alias("items"))
+    return grouped.select(*keys, F.lit(0).cast("long").alias("page"), "items")
 
 
 def pack_pages(
@@ -204,38 +195,57 @@ def pack_pages(
     session's broadcast threshold (and it has at most ``MAX_BROADCAST_KEYS``
     keys); otherwise every key takes the exact path.
     """
-    keys = [k for k in keys]
+    if callable(item) and not isinstance(item, Column):
+        pages = pack_rows(children, keys, order, page_size, payload)[0]
+        return pages.select(*keys, "page", F.transform("items", item).alias("items"))
     order = [c for c in order if c not in keys]
-    build = item if callable(item) and not isinstance(item, Column) else None
-    if build is None:
-        src = children.select(*keys, *order, item.alias("_item"))
-    else:
-        raw = [*order, *[c for c in payload if c not in order]]
-        src = children.select(*keys, *order, F.struct(*raw).alias("_item"))
+    return _packed(children, children.select(*keys, *order, item.alias("_item")), list(keys), order, page_size)[0]
+
+
+def pack_rows(
+    children: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    page_size: int = PAGE_SIZE,
+    payload: Sequence[str] = (),
+) -> tuple[DataFrame, bool]:
+    """Pages (as of ``pack_pages``) whose items are the raw rows, structs of the
+    ``order`` and ``payload`` columns, and whether no key has more than one
+    page. What is made of the items is best built after the pages are joined,
+    so that the join sorts compact rows."""
+    order = [c for c in order if c not in keys]
+    raw = [*order, *[c for c in payload if c not in order]]
+    return _packed(children, children.select(*keys, *order, F.struct(*raw).alias("_item")), list(keys), order, page_size, raw)
+
+
+def _packed(
+    children: DataFrame, src: DataFrame, keys: list[str], order: list[str], page_size: int, raw: Sequence[str] | None = None
+) -> tuple[DataFrame, bool]:
     if not keys:
-        return _pages_by_positions(src, keys, order, page_size, build)
+        return _pages_by_positions(src, keys, order, page_size, raw), False
     counts = children.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") > page_size).select(*keys)
     n_hot, hot_bytes = measure(hot, keys)
     if n_hot == 0:
-        return _single_pages(src, keys, order, build)
+        return _single_pages(src, keys, order, raw), True
     if not fits_broadcast(children.sparkSession, n_hot, hot_bytes, MAX_BROADCAST_KEYS):
-        return _pages_by_positions(src, keys, order, page_size, build)
+        return _pages_by_positions(src, keys, order, page_size, raw), False
     b = F.broadcast(hot)
     cold = src.join(b, _key_match(src, b, keys), "left_anti")
     heavy = src.join(b, _key_match(src, b, keys), "left_semi")
-    return _single_pages(cold, keys, order, build).unionByName(
-        _pages_by_positions(heavy, keys, order, page_size, build)
-    )
+    return _single_pages(cold, keys, order, raw).unionByName(
+        _pages_by_positions(heavy, keys, order, page_size, raw)
+    ), False
 
 
 def attach_pages(
-    parents: DataFrame, parent_key: str, pages: DataFrame, child_key: str, items_as: str
+    parents: DataFrame, parent_key: str, pages: DataFrame, child_key: str, items_as: str, single: bool = False
 ) -> DataFrame:
     """Parents with their pages: one row per (parent, page); a parent without
     children gets page 0 and a null array.
 
-    Written as an inner join plus the parents that have no page, not as a
+    ``single``: no key has more than one page, so a left join is free of skew
+    and reads both sides once. Else written as an inner join plus the parents that have no page, not as a
     left join: a parent with very many children has very many pages, and
     adaptive execution can split a skewed partition on either side of an
     inner join, but only on the preserved side of an outer one. The parents
@@ -248,6 +258,11 @@ def attach_pages(
     p = pages.select(F.col(child_key).alias("_ck"), "page", F.col("items").alias(items_as)).hint("merge")
     cols = [parents[c] for c in parents.columns]
     keyed = parents.where(parents[parent_key].isNotNull())
+    if single:
+        page = F.coalesce("page", F.lit(0).cast("long")).alias("page")
+        left = keyed.join(p, keyed[parent_key] == p["_ck"], "left").select(*cols, page, items_as)
+        none = [*cols, F.lit(0).cast("long").alias("page"), F.lit(None).cast(p.schema[items_as].dataType).alias(items_as)]
+        return left.unionByName(parents.where(parents[parent_key].isNull()).select(*none))
     with_pages = keyed.join(p, keyed[parent_key] == p["_ck"], "inner").select(*cols, "page", items_as)
     keys = pages.select(F.col(child_key).alias("_ck")).distinct().hint("merge")
     none = [*cols, F.lit(0).cast("long").alias("page"), F.lit(None).cast(p.schema[items_as].dataType).alias(items_as)]
